@@ -5,21 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import language_id, pieces, quality, transport_stream
+from .common import bucket, table
 from .exact_dedup import exact_dedup
 from .mixing import mix_sources
 
+HELD_OUT = 2  # remainder, modulo 4, of documents that nothing is learned from
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+def piece_model() -> str:
+    """The model file that the query uses; the operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), piece_model())
+
+
+def op4_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = transport_stream.store(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return transport_stream.describe(stored.select("doc_id", "n_bytes", "media")).drop("media")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("remainder", bucket(F.col("doc_id"), 4))
+    model = language_id.fit(language_id.training_rows(docs, F.col("remainder"), HELD_OUT))
+    rows = docs.select("doc_id", (F.col("remainder") == HELD_OUT).alias("held_out"), "text")
+    return language_id.identify(rows, model).drop("text")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", bucket(F.col("doc_id"), 4).alias("remainder"), "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.fit(docs.where(F.col("remainder") != HELD_OUT), labels)
+    return quality.score_quality(docs.select("doc_id", (F.col("remainder") == HELD_OUT).alias("held_out"), "text"), model).drop("text")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mix_sources, op9_exact_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op2_mix_sources, op3_sentencepiece, op4_transport_stream, op6_language_id, op8_quality, op9_exact_dedup)
+}
