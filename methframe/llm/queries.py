@@ -11,6 +11,7 @@ from . import language_id, pieces, quality, transport_stream
 from .common import bucket, table
 from .exact_dedup import exact_dedup
 from .mixing import mix_sources
+from .substring_dedup import substring_dedup
 
 HELD_OUT = 2  # remainder, modulo 4, of documents that nothing is learned from
 
@@ -22,6 +23,11 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -54,5 +60,5 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op3_sentencepiece, op4_transport_stream, op6_language_id, op8_quality, op9_exact_dedup)
+    f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op4_transport_stream, op6_language_id, op8_quality, op9_exact_dedup)
 }
