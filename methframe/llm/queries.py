@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import language_id, pieces, quality, transport_stream
 from .common import bucket, table
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_join
 from .mixing import mix_sources
 from .substring_dedup import substring_dedup
 
@@ -59,6 +60,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op4_transport_stream, op6_language_id, op8_quality, op9_exact_dedup)
+    f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op4_transport_stream, op6_language_id, op8_quality, op9_exact_dedup, op10_jaccard_join)
 }

@@ -21,7 +21,7 @@ from .common import partitions
 
 BITS = 1 << 27  # per filter: 16 MB
 SLICES = 1024
-KEY_BITS = 40  # of a hash below its slice; with the slice's bits enough to tell hashes apart for counting
+KEY_BITS = 32  # of a hash below its slice; with the bits of the slice enough to tell hashes apart for counting
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
