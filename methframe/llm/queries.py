@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, pieces, quality, transport_stream
+from . import gru_lm, html_text, language_id, pieces, quality, transport_stream
 from .common import bucket, table
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_join
@@ -42,6 +42,13 @@ def op4_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transport_stream.describe(stored.select("doc_id", "n_bytes", "media")).drop("media")
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = bucket(F.col("doc_id"), 10) == 0
+    scored = gru_lm.score(docs, docs.where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("remainder", bucket(F.col("doc_id"), 4))
     model = language_id.fit(language_id.training_rows(docs, F.col("remainder"), HELD_OUT))
@@ -49,6 +56,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(rows, model).drop("text")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", bucket(F.col("doc_id"), 4).alias("remainder"), "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -65,5 +76,5 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op4_transport_stream, op6_language_id, op8_quality, op9_exact_dedup, op10_jaccard_join)
+    f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op4_transport_stream, op5_language_model, op6_language_id, op7_html_text, op8_quality, op9_exact_dedup, op10_jaccard_join)
 }
