@@ -11,6 +11,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import without
 
+#: Input is handed on in slices of about this size, whatever the size of the batches that arrive.
+SLICE_BYTES = 8 << 20
+
 
 def add_columns(df: DataFrame, fields: list[tuple[str, T.DataType]], make: Callable[[], Callable[[pa.RecordBatch], list]]) -> DataFrame:
     """df with further columns (which replace others of their names).
@@ -25,8 +28,9 @@ def add_columns(df: DataFrame, fields: list[tuple[str, T.DataType]], make: Calla
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            step = max(1, whole.num_rows * SLICE_BYTES // max(1, whole.nbytes))
+            for batch in (whole.slice(i, step) for i in range(0, whole.num_rows, step)):
                 new = [x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(f(batch), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
 

@@ -35,7 +35,7 @@ from .arrowmap import add_columns
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values of the model format
 UNIGRAM, BPE = 1, 2
-REMEMBERED = 500_000  # stretches that make a worker forget those it has not met since the last time
+REMEMBERED = 350_000  # stretches that make a worker forget those it has not met since the last time
 REMEMBER_UP_TO = 64  # characters of a remembered stretch
 _UNKNOWN_PENALTY = 10.0
 
@@ -73,7 +73,7 @@ class Codec:
         apart = [c for c in "\n\t\r\x0b\x0c\0" if c not in chars]
         inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         lone = re.escape("".join(apart))
-        self.stretch = None if inner else re.compile(f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+|[{lone}]" if apart else f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.S)
+        self.stretch = None if inner else re.compile(f" *[^ {lone}]+| +|[{lone}]" if apart else " *[^ ]+| +", re.S)
         self.memory: dict[str, bytes] = {}  # stretches since the last turn, and those before it
         self.older: dict[str, bytes] = {}
         self.stays: dict[tuple[str, str], bool] = {}
@@ -273,8 +273,9 @@ class Codec:
     def _stretch_ids(self, stretch: str) -> bytes:
         found = self.older.get(stretch)
         if found is None:
-            short = self._short(stretch) if self.v.merging and len(stretch) <= 2 * self.longest else None
-            found = np.array(short or [i for p in self.segments(stretch) for i in self._ids(p)], np.int32).tobytes()
+            escaped = stretch.replace(" ", SPACE)
+            short = self._short(escaped) if self.v.merging and len(stretch) <= 2 * self.longest else None
+            found = np.array(short or [i for p in self.segments(escaped) for i in self._ids(p)], np.int32).tobytes()
         if len(stretch) <= REMEMBER_UP_TO:
             if len(self.memory) >= REMEMBERED:
                 self.older = dict(self.memory)
@@ -286,7 +287,7 @@ class Codec:
         """Ids of a whole text."""
         if not text:
             return np.empty(0, np.int32)
-        text = (SPACE if self.v.prefix else "") + text.replace(" ", SPACE)
+        text = (" " if self.v.prefix else "") + text.replace(SPACE, " ")
         parts = [text] if self.stretch is None else self.stretch.findall(text)
         memory, miss = self.memory, self._stretch_ids
         return np.frombuffer(b"".join([memory.get(p) or miss(p) for p in parts]), np.int32)
