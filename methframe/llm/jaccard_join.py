@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stash
+from .common import fresh, small, stash
 from .components import components
 from .repeats import BITS, Filter, frequent
 from .wordhash import Words, mix, scanned, signed
@@ -379,3 +379,11 @@ def _verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
     return met.mapInArrow(compare, "a long, b long")
+
+
+def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of df, with all their columns, whose id is the smallest of its component; rows with a null id stay."""
+    (mark,) = fresh(df, "dropped_id")
+    joined = jaccard_join(df, id_col, text_col, **options)
+    dropped = small(stash(joined.where("doc_id <> component_id").select(F.col("doc_id").alias(mark)).distinct()))
+    return df.join(dropped, df[id_col] == dropped[mark], "left_anti")
