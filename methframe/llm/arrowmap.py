@@ -15,6 +15,13 @@ from .common import without
 SLICE_BYTES = 8 << 20
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in slices of about SLICE_BYTES, so that a worker's memory does not follow the batch size."""
+    for whole in batches:
+        step = max(1, whole.num_rows * SLICE_BYTES // max(1, whole.nbytes))
+        yield from (whole.slice(i, step) for i in range(0, whole.num_rows, step))
+
+
 def add_columns(df: DataFrame, fields: list[tuple[str, T.DataType]], make: Callable[[], Callable[[pa.RecordBatch], list]]) -> DataFrame:
     """df with further columns (which replace others of their names).
 
@@ -28,10 +35,8 @@ def add_columns(df: DataFrame, fields: list[tuple[str, T.DataType]], make: Calla
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for whole in batches:
-            step = max(1, whole.num_rows * SLICE_BYTES // max(1, whole.nbytes))
-            for batch in (whole.slice(i, step) for i in range(0, whole.num_rows, step)):
-                new = [x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(f(batch), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
+        for batch in sliced(batches):
+            new = [x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(f(batch), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
 
     return df.mapInArrow(run, schema)

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .arrowmap import sliced
 from .common import partitions, stash
 from .wordhash import Words, scan, scanned, signed
 
@@ -237,7 +238,7 @@ def _counts(train: DataFrame) -> DataFrame:
     """(h, ending, c): words of the training texts and how often they occur."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             hs, es = [], []
             for _, _, words in scanned(batch.column(0), True):
                 hs.append(words.hash)
@@ -315,7 +316,7 @@ def _trained(train: DataFrame, classes: Classes) -> Recurrent:
         classes, start = shared.value
         model = Recurrent(classes.number, classes.end).load(start.vector())
         seen, key = 0, 0
-        for batch in batches:
+        for batch in sliced(batches):
             for _, _, words in scanned(batch.column(0), True, 8 << 20):
                 tokens, begin = classes.tokens(words, classes(words)[0])
                 model.run(tokens, begin, LOCAL_RATE)
@@ -368,7 +369,7 @@ def score(df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, model, hashes, logs = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             for i, j, words in scanned(batch.column(1), True, 8 << 20):
                 docs = j - i
                 kind, head_log = classes(words)

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrowmap import sliced
 from .common import fresh, small, stash
 from .components import components
 from .repeats import BITS, Filter, frequent
@@ -250,7 +251,7 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = spark.sparkContext.broadcast(_Shared(filters, size, percent))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for i, j, n, c, sig, _, _ in shared.value(batch.column(1)):
                 open_ = c > 0
                 yield pa.RecordBatch.from_arrays(
@@ -259,7 +260,7 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 )
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             seen: set[tuple[int, int, int]] = set()
@@ -319,7 +320,7 @@ def _postings(items: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """(token, item, n, c, label) of the shared prefix shingles."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             item, n, c, label = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
             sets = _sets(batch.column(4))
             length = prefix_length(n.astype(np.int64), c.astype(np.int64), percent)
@@ -372,7 +373,7 @@ def _verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     met = small(stash(pairs)).join(left, "x").join(right, "y").select("x", "y", "n_x", "n_y", "tokens_x", "tokens_y")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             n = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
             over = np.array([len(np.intersect1d(a, b, True)) for a, b in zip(_sets(batch.column(4)), _sets(batch.column(5)), strict=True)], np.int64)
             ok = pa.array((100 + percent) * over >= percent * n)

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .arrowmap import sliced
 from .common import partitions
 
 BITS = 1 << 27  # per filter: 16 MB
@@ -65,7 +66,7 @@ def frequent(df: DataFrame, columns: list[str], hashes: Callable[[], Callable[[p
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = hashes()
-        for batch in batches:
+        for batch in sliced(batches):
             h, count = np.unique(f(batch), return_counts=True)
             if not len(h):
                 continue

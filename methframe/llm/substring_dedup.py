@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from .arrowmap import sliced
 from .repeats import BITS, Filter, frequent
 from .wordhash import Words, mix, scanned, signed
 
@@ -136,7 +137,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(key, doc_id, start, sure): one row per surviving window; sure: an earlier one is in the same batch."""
-        for batch in batches:
+        for batch in sliced(batches):
             ids, known = _ids(batch.column(0))
             hs, ds, ps = [], [], []
             for i, _, words in scanned(batch.column(1), False):
@@ -161,7 +162,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def settled(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[pa.RecordBatch]:
         """Documents that have surviving windows (with their text), or results of those that have none."""
-        for batch in batches:
+        for batch in sliced(batches):
             _, known = _ids(batch.column(0))
             for i, j, words in scanned(batch.column(1), False):
                 docs_here = j - i
@@ -183,7 +184,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Takes the covered words out of (doc_id, text, starts of removed windows)."""
-        for batch in batches:
+        for batch in sliced(batches):
             starts = batch.column(2)
             at, values = starts.offsets.to_numpy(), starts.values.to_numpy(zero_copy_only=False)
             for i, j, words in scanned(batch.column(1), False):
