@@ -149,7 +149,7 @@ def color_space(seq: str) -> Column:
 
 
 def percent_text(part: str, whole: str) -> Column:
-    return F.expr(f"case when {whole} > 0 then format_string('%.2f %%', cast({part} as double) * 100 / {whole}) else 'NA' end")
+    return F.expr(f"case when ({whole}) > 0 then format_string('%.2f %%', cast({part} as double) * 100 / ({whole})) else 'NA' end")
 
 
 def thousands(value: str) -> Column:

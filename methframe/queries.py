@@ -1,3 +1,528 @@
-"""Registered queries."""
+"""Registered queries: each applies one operator, with production settings, to whole derived tables."""
 
-QUERIES = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .fixtures import Fixtures
+from .functions import cigar as C
+from .functions import reads as R
+from .operators import calls, dedup, genome, intervals, merge, preprocess, profile, report, simulate, view
+from .sources import sinks
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+CYCLE = 50
+REGION = "chr3:201-900"
+
+
+def query(f: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFrame]:
+    QUERIES[f.__name__] = lambda spark, sf_dir: f(Fixtures(spark, sf_dir))
+    return f
+
+
+def cpg(x: Fixtures) -> DataFrame:
+    return calls.call(x.single, x.genome)
+
+
+def info(x: Fixtures) -> DataFrame:
+    return genome.chr_info(x.genome)
+
+
+# --- calls ---------------------------------------------------------------------------
+
+
+@query
+def cpg_calls(x):
+    return cpg(x)
+
+
+@query
+def cpg_calls_mapq(x):
+    return calls.call(x.single, x.genome, min_mapq=30)
+
+
+@query
+def cpg_calls_pe(x):
+    return calls.call(x.pairs, x.genome)
+
+
+@query
+def cph_calls(x):
+    return calls.call(x.single, x.genome, context="CpH")
+
+
+@query
+def cph_calls_strict(x):
+    return calls.call(x.single, x.genome, context="CpH", exclude_crick_cpg=True)
+
+
+@query
+def cpg_bedgraph_bs(x):
+    return calls.bedgraph(cpg(x), "BS")
+
+
+@query
+def cpg_bedgraph_taps(x):
+    return calls.bedgraph(cpg(x), "TAPS")
+
+
+@query
+def chr_log(x):
+    return calls.chr_log(x.single, cpg(x), x.genome)
+
+
+@query
+def chr_levels(x):
+    return calls.chr_levels(calls.chr_log(x.single, cpg(x), x.genome))
+
+
+@query
+def overall_level(x):
+    return report.methylation_totals(calls.chr_log(x.single, cpg(x), x.genome))
+
+
+@query
+def lambda_conversion(x):
+    return report.control_conversion(calls.chr_log(x.single, cpg(x), x.genome))
+
+
+@query
+def mbias_se(x):
+    return calls.mbias(calls.observations(calls.shown(x.single, x.genome), x.genome), CYCLE)
+
+
+@query
+def mbias_r1(x):
+    return calls.mbias(calls.observations(calls.shown(x.pairs, x.genome), x.genome), CYCLE, 1)
+
+
+@query
+def mbias_r2(x):
+    return calls.mbias(calls.observations(calls.shown(x.pairs, x.genome), x.genome), CYCLE, 2)
+
+
+@query
+def mbias_level(x):
+    return calls.mbias_levels(mbias_se(x))
+
+
+# --- duplicates, merging -------------------------------------------------------------
+
+
+@query
+def dedup_se(x):
+    return dedup.dedup_single(x.single, info(x)).select("read_no", "chr", "strand", "pos")
+
+
+@query
+def dedup_pe(x):
+    return dedup.dedup_pairs(x.pairs, info(x)).select("read_no", "chr", "strand", "left", "frag_size")
+
+
+@query
+def dedup_log(x):
+    return dedup.dedup_log(x.pairs, info(x), dedup.dedup_pairs(x.pairs, info(x)))
+
+
+@query
+def discard_unknown_chr(x):
+    return dedup.discarded(x.pairs, info(x)).select("read_no", "chr")
+
+
+@query
+def size_dist(x):
+    return dedup.size_distribution(dedup.dedup_pairs(x.pairs, info(x)), 70)
+
+
+@query
+def size_axis(x):
+    return dedup.size_axis(dedup.size_distribution(dedup.dedup_pairs(x.pairs, info(x)), 70))
+
+
+@query
+def merge_hypotheses(x):
+    return merge.merge_hypotheses(x.hyp_w, x.hyp_c)
+
+
+@query
+def merge_strand_counts(x):
+    return merge.strand_counts(merge.merge_hypotheses(x.hyp_w, x.hyp_c))
+
+
+@query
+def mate_fields(x):
+    return merge.mate_fields(x.pairs.where(C.supported("cigar1") & C.supported("cigar2")))
+
+
+# --- scalar functions ----------------------------------------------------------------
+
+
+@query
+def cigar_reflen(x):
+    return x.single.select("read_no", C.reference_length("cigar").cast("long").alias("ref_length"))
+
+
+@query
+def cigar_projection(x):
+    return x.single.where(C.supported("cigar")).select("read_no", C.bases("cigar", "seq").alias("bases"))
+
+
+@query
+def qual_sum(x):
+    return x.single.select("read_no", C.quality_sum("qual").alias("score"))
+
+
+@query
+def fragment_sizes(x):
+    return x.pairs.select("read_no", C.fragment_size("strand", "pos1", "cigar1", "pos2", "cigar2").alias("frag_size"))
+
+
+@query
+def clean_ids(x):
+    return x.raw.select("read_no", R.clean_id("id1").alias("id"))
+
+
+@query
+def reverse_complement(x):
+    return x.raw.select("read_no", R.reverse_complement("seq1").alias("seq"))
+
+
+@query
+def hex_offsets(x):
+    packed = x.raw.select("read_no", R.hex_join("filter(sequence(0, length(seq1) - 1), i -> substr(seq1, i + 1, 1) = 'C')").alias("packed"))
+    return packed.withColumn("n", F.size(R.hex_split("packed")).cast("long")).withColumn("last", F.array_max(R.hex_split("packed")).cast("long"))
+
+
+@query
+def colour_space(x):
+    return x.genome.select("chr", R.color_space("substr(seq, 1, 200)").alias("colours"))
+
+
+@query
+def phred_error(x):
+    return x.single.select("read_no", F.round(R.phred_error("qual"), 9).alias("error"))
+
+
+@query
+def number_format(x):
+    return chr_log(x).select("chr", R.thousands("wT").alias("wT"), R.percent_text("wC", "wC + wT").alias("share"))
+
+
+# --- preprocessing -------------------------------------------------------------------
+
+
+def se(x: Fixtures) -> DataFrame:
+    return x.raw.selectExpr("read_no", "id1 as id", "seq1 as seq", "qual1 as qual")
+
+
+def pe(x: Fixtures) -> DataFrame:
+    return preprocess.crop(preprocess.equal_mates(x.raw), CYCLE)
+
+
+@query
+def cycle_detect(x):
+    return x.raw.agg(F.max(F.length("seq1")).alias("cycle"))
+
+
+@query
+def fqstat(x):
+    return preprocess.composition(pe(x))
+
+
+@query
+def fqstat_pct(x):
+    return preprocess.composition_percent(preprocess.composition(pe(x)))
+
+
+@query
+def fqstat_axis(x):
+    return preprocess.composition_limit(preprocess.composition_percent(preprocess.composition(pe(x))))
+
+
+@query
+def quality_trim_se(x):
+    return se(x).select("read_no", R.quality_trim(53, "qual").alias("kept"))
+
+
+@query
+def quality_trim_pe(x):
+    return pe(x).select("read_no", R.quality_trim(53, "qual1", "qual2").alias("kept"))
+
+
+def _trimmed(df: DataFrame, *seqs: str) -> DataFrame:
+    return preprocess.trim(df).select("read_no", "trimmed_length", "adapter_at", "tail", "dropped", *seqs)
+
+
+@query
+def adapter_cut_se(x):
+    return _trimmed(preprocess.crop(se(x), CYCLE), "seq")
+
+
+@query
+def adapter_cut_pe(x):
+    return _trimmed(pe(x), "seq1", "seq2")
+
+
+@query
+def trim_counters(x):
+    return preprocess.trim_counters(preprocess.trim(pe(x)))
+
+
+@query
+def trim_counters_se(x):
+    return preprocess.trim_counters(preprocess.trim(preprocess.crop(se(x), CYCLE)))
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    lists = {c: F.array_join(F.transform(c, lambda i: i.cast("string")), ";") for c in df.columns if c.startswith("conv")}
+    return df.withColumns(lists).drop("id1", "id2")
+
+
+@query
+def convert_mode3(x):
+    return _flat(preprocess.convert(pe(x), 3))
+
+
+@query
+def convert_mode4(x):
+    return _flat(preprocess.convert(pe(x), 4))
+
+
+@query
+def packed_names(x):
+    return preprocess.packed_ids(preprocess.convert(pe(x), 4), 4).select("read_no", "name1", "name2")
+
+
+@query
+def deconvert_roundtrip(x):
+    """Converted mate 1 put back on either strand: must equal the original bases, oriented as aligned."""
+    c = preprocess.convert(pe(x), 4).selectExpr("read_no", "seq1 as read", "qual1 as read_qual", "conv1 as conv", "end_qual1 as end_qual")
+    w = c.withColumns({"strand": F.lit("W"), "seq": F.col("read"), "qual": F.col("read_qual")})
+    b = c.withColumns({"strand": F.lit("C"), "seq": R.reverse_complement("read"), "qual": F.reverse("read_qual")})
+    rows = w.unionByName(b).withColumns({"cigar": F.expr("length(read) || 'M'"), "pos": F.lit(100).cast("long")})
+    return merge.deconvert(rows).select("read_no", "strand", "seq", "qual", "cigar", "pos")
+
+
+# --- intervals and profiles ----------------------------------------------------------
+
+
+@query
+def region_stats(x):
+    return profile.region_stats(cpg(x), x.bed, info(x), clean=False)
+
+
+@query
+def region_stats_clean(x):
+    return profile.region_stats(cpg(x), x.bed, info(x))
+
+
+@query
+def clean_sites(x):
+    return profile.clean_sites(cpg(x)).select("chr", "locus", "total", "wO", "cO")
+
+
+@query
+def binned_methylome(x):
+    return profile.binned(cpg(x), 100, "hs")
+
+
+@query
+def merge_calls(x):
+    return profile.merge_calls(calls.call(x.single.where("read_no % 2 = 0"), x.genome), calls.call(x.single.where("read_no % 2 = 1"), x.genome), calls.call(x.pairs, x.genome))
+
+
+@query
+def tss_bins(x):
+    return genome.tss_bins(x.refgene)
+
+
+@query
+def tss_profile(x):
+    return profile.tss_profile(cpg(x), genome.tss_bins(x.refgene))
+
+
+@query
+def bed_wig(x):
+    return intervals.coverage(x.bed, info(x), 100, normalise=False)
+
+
+@query
+def bed_wig_norm(x):
+    return intervals.coverage(x.bed, info(x), 100)
+
+
+@query
+def interval_overlap(x):
+    return intervals.overlaps(x.bed.where("start % 2 = 0"), x.bed.where("start % 3 = 0"))
+
+
+@query
+def interval_semijoin(x):
+    return intervals.overlapping(x.bed.where("start % 2 = 0"), x.bed.where("start % 7 = 0"))
+
+
+@query
+def merge_intervals(x):
+    return intervals.merge(x.bed)
+
+
+@query
+def mirror_bed(x):
+    return genome.mirror(x.bed, info(x))
+
+
+@query
+def pe_bed(x):
+    ok = x.pairs.where(C.supported("cigar1") & C.supported("cigar2"))
+    return intervals.pair_fragments(merge.mate_fields(ok))
+
+
+@query
+def se_bed(x):
+    return intervals.single_fragments(x.single.where(C.supported("cigar")), 200)
+
+
+# --- genome --------------------------------------------------------------------------
+
+
+@query
+def chr_info(x):
+    return info(x)
+
+
+@query
+def genome_convert(x):
+    return genome.converted(x.genome)
+
+
+@query
+def genome_convert_counts(x):
+    return genome.conversion_counts(x.genome)
+
+
+@query
+def ct_rich_tiles(x):
+    return genome.ct_rich(x.genome, 50, 0.6)
+
+
+@query
+def genome_kmers(x):
+    return genome.kmers(x.genome, 12)
+
+
+@query
+def sam_header(x):
+    return sinks.sam_header(info(x), {"mode": "3"})
+
+
+# --- accuracy, view, report, simulation ----------------------------------------------
+
+
+def _named(x: Fixtures) -> DataFrame:
+    """Single reads named by a place that is right for two of three."""
+    return x.single.withColumn("id", F.expr("concat(read_no, '_', chr, ':', pos + if(read_no % 3 = 0, 1, 0), '-', pos + length(seq) - 1)"))
+
+
+@query
+def accuracy_se(x):
+    return profile.accuracy_single(_named(x))
+
+
+@query
+def accuracy_pe(x):
+    p = x.pairs.withColumn("id", F.expr("concat(read_no, '_', chr, ':', least(pos1, pos2), '-', if(pos1 <= pos2, pos2 + length(seq2) - 1, pos1 + length(seq1) - 1) + if(mapq % 4 = 0, 1, 0))"))
+    return profile.accuracy_pairs(p)
+
+
+def _mates(x: Fixtures) -> DataFrame:
+    p = x.pairs
+    one = [p.select(F.concat("name", F.lit(f"_R{k}")).alias("name"), "chr", F.col(f"pos{k}").alias("pos"), F.col(f"cigar{k}").alias("cigar"), F.col(f"seq{k}").alias("seq"), F.col(f"qual{k}").alias("qual"), "strand") for k in "12"]
+    return one[0].unionByName(one[1])
+
+
+def _viewed(x: Fixtures) -> DataFrame:
+    return view.fragments(view.in_region(_mates(x), REGION))
+
+
+@query
+def viewer_fragments(x):
+    return _viewed(x)
+
+
+@query
+def viewer_glyphs(x):
+    return view.glyphs(_viewed(x), x.genome)
+
+
+@query
+def viewer_glyphs_taps(x):
+    return view.glyphs(_viewed(x), x.genome, "TAPS")
+
+
+def _picture(x: Fixtures) -> DataFrame:
+    return view.padded(view.glyphs(_viewed(x), x.genome))
+
+
+@query
+def viewer_trim(x):
+    return view.trim(_picture(x), 301, 600)
+
+
+@query
+def viewer_snp_column(x):
+    return view.snp_column(_picture(x))
+
+
+@query
+def viewer_snp_sorted(x):
+    return view.snp_sorted(_picture(x)).select("name", "pos", "allele")
+
+
+def _reference(x: Fixtures, first: int, n: int) -> str:
+    chr_ = view.parse_region(REGION)[0]
+    return x.genome.where(F.col("chr") == chr_).select(F.substring("seq", first, n).alias("s")).first()["s"]
+
+
+def _left(x: Fixtures) -> int:
+    return _viewed(x).agg(F.min("pos").alias("left")).first()["left"] or 1
+
+
+@query
+def viewer_dense1(x):
+    return view.dense(_picture(x), _reference(x, _left(x), 1000)).select("name", "row")
+
+
+@query
+def viewer_dense2(x):
+    return view.packed(view.dense(_picture(x), _reference(x, _left(x), 1000)))
+
+
+@query
+def html_report(x):
+    log = calls.chr_log(x.pairs, calls.call(x.pairs, x.genome), x.genome)
+    counters = preprocess.trim_counters(preprocess.trim(pe(x)))
+    rows = report.table(counters, merge.strand_counts(x.pairs), dedup_log(x), log)
+    return x.spark.createDataFrame([(report.page(rows),)], "page string")
+
+
+@query
+def report_table(x):
+    log = calls.chr_log(x.single, cpg(x), x.genome)
+    t = report.methylation_totals(log)
+    return t.select("strand", R.thousands("c").alias("c"), R.thousands("t").alias("t"), R.percent_text("c", "c + t").alias("level"))
+
+
+@query
+def sim_reads(x):
+    return simulate.simulate(x.spark, x.genome, simulate.SimConfig(n=5000, length=50, cg_conversion=50.0, ch_conversion=99.5, error=0.5))
+
+
+@query
+def sim_bisulfite(x):
+    """Whole conversion of simulated reads: no C is left in mate 1."""
+    conf = simulate.SimConfig(conversion=100.0)
+    rows = x.raw.select("read_no", F.col("seq1").alias("seq"))
+    return simulate.bisulfite(rows, "seq", conf)
