@@ -39,6 +39,7 @@ PERCENT = 75
 GROUP = 512
 CLASSES = [2, 16, 128]  # frequency thresholds of the order
 BLOCK_POSITIONS = 8  # positions of a list's block
+LEAD = 8  # first prefix shingles that tell a pair that it has met before
 
 
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -317,7 +318,7 @@ def _home_links(items: DataFrame, group: int, percent: int) -> DataFrame:
 
 
 def _postings(items: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(token, item, n, c, label) of the shared prefix shingles."""
+    """(token, item, n, c, label, i, lead) of the shared prefix shingles; i: place among the item's shared shingles; lead: its first LEAD ones."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -327,43 +328,55 @@ def _postings(items: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
             for a in range(0, len(sets), 256):
                 part = slice(a, a + 256)
                 token = np.concatenate([s[:k] for s, k in zip(sets[part], length[part], strict=True)])
-                yield pa.RecordBatch.from_arrays([pa.array(signed(token)), *(pa.array(np.repeat(x[part], length[part])) for x in (item, n, c, label))], names=["token", "item", "n", "c", "label"])
+                place = _ramp(length[part]).astype(np.int32)
+                lead = [signed(s[: min(k, LEAD)]) for s, k in zip(sets[part], length[part].tolist(), strict=True) for _ in range(k)]
+                at = np.zeros(len(lead) + 1, np.int32)
+                np.cumsum([len(x) for x in lead], out=at[1:])
+                leads = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(lead)))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(token)), *(pa.array(np.repeat(x[part], length[part])) for x in (item, n, c, label)), pa.array(place), leads], names=["token", "item", "n", "c", "label", "i", "lead"])
 
     labelled = items.join(labels, "item", "left").select("item", "n", "c", F.coalesce("label", "item").alias("label"), "tokens")
-    return labelled.mapInArrow(spread, "token long, item long, n int, c int, label long")
+    return labelled.mapInArrow(spread, "token long, item long, n int, c int, label long, i int, lead array<long>")
 
 
-def _bound(common: str, percent: int):
-    """Whether so many common prefix shingles can make up, with all that may follow, for a link of x and y."""
-    rest = [F.col(f"n_{k}") - (F.col(f"n_{k}") - F.ceil(percent * F.col(f"n_{k}") / 100) + 1) for k in "xy"]
-    total = F.col("n_x") + F.col("n_y")
-    return F.col(common) + F.least(*rest) >= F.ceil(percent * total / (100 + percent))
+def _likely(common: str, percent: int):
+    """Whether so many common prefix shingles make a link likely; the exact pass does not rely on it."""
+    rest = [F.ceil(percent * F.col(f"n_{k}") / 100) - 1 for k in "xy"]
+    return F.col(common) + F.least(*rest) >= F.ceil(percent * (F.col("n_x") + F.col("n_y")) / (100 + percent))
 
 
 def _label_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """(x, y): for each prefix shingle that components share, one pair of items of the smallest and each other component."""
-    heads = postings.groupBy("token", "label").agg(F.min(F.struct("item", "n")).alias("head"))
+    heads = postings.groupBy("token", "label").agg(F.min(F.struct("item", "n", "c", "i")).alias("head"))
     centres = heads.groupBy("token").agg(F.min(F.struct("label", "head")).alias("centre"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    pairs = heads.join(centres, "token").where("label <> centre.label").select(
-        F.col("centre.head.item").alias("x"), F.col("centre.head.n").alias("n_x"), F.col("head.item").alias("y"), F.col("head.n").alias("n_y")
-    )
-    counted = pairs.groupBy("x", "y", "n_x", "n_y").count()
-    return counted.where(_sizes_fit(percent)).where(_bound("count", percent)).select("x", "y")
+    own = [F.col(f"centre.head.{k}").alias(a) for k, a in (("item", "x"), ("n", "n_x"), ("c", "c_x"), ("i", "i_x"))]
+    other = [F.col(f"head.{k}").alias(a) for k, a in (("item", "y"), ("n", "n_y"), ("c", "c_y"), ("i", "i_y"))]
+    pairs = heads.join(centres, "token").where("label <> centre.label").select(*own, *other)
+    counted = pairs.where(_may_link(percent)).groupBy("x", "y", "n_x", "n_y").count()
+    return counted.where(_likely("count", percent)).select("x", "y")
 
 
-def _sizes_fit(percent: int):
-    return 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
+def _may_link(percent: int):
+    """Whether sizes, and the places of a common shingle among the shared ones, leave enough room for a link."""
+    room = F.least("i_x", "i_y") + 1 + F.least(F.col("c_x") - F.col("i_x") - 1, F.col("c_y") - F.col("i_y") - 1)
+    return (100 + percent) * room >= percent * (F.col("n_x") + F.col("n_y"))
 
 
 def _item_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """(x, y): every pair of items of different components that shares enough prefix shingles."""
+    """(x, y): every pair of items of different components that shares a prefix shingle and may link.
+
+    A pair is left out where it has certainly met before, at a common shingle among the first ones of both, so
+    pairs of a large group come once rather than once per common shingle.
+    """
     postings = stash(postings)
     mixed = stash(postings.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token"))
     open_ = stash(postings.join(mixed, "token", "left_semi"))
-    x = open_.select("token", F.col("item").alias("x"), F.col("n").alias("n_x"), F.col("label").alias("label_x"))
-    y = open_.select("token", F.col("item").alias("y"), F.col("n").alias("n_y"), F.col("label").alias("label_y"))
-    pairs = x.join(y, "token").where("x < y and label_x <> label_y").where(_sizes_fit(percent))
-    return pairs.groupBy("x", "y", "n_x", "n_y").count().where(_bound("count", percent)).select("x", "y")
+    names = ("n", "c", "i", "label", "lead")
+    x = open_.select("token", F.col("item").alias("x"), *[F.col(k).alias(f"{k}_x") for k in names])
+    y = open_.select("token", F.col("item").alias("y"), *[F.col(k).alias(f"{k}_y") for k in names])
+    met = F.expr("arrays_overlap(slice(lead_x, 1, i_x), slice(lead_y, 1, i_y))")
+    on = (x["token"] == y["token"]) & (F.col("x") < F.col("y")) & (F.col("label_x") != F.col("label_y")) & _may_link(percent) & ~met
+    return x.join(y, on).select("x", "y").distinct()
 
 
 def _verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
