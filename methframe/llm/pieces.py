@@ -35,7 +35,7 @@ from .arrowmap import add_columns
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values of the model format
 UNIGRAM, BPE = 1, 2
-REMEMBERED = 350_000  # stretches that make a worker forget those it has not met since the last time
+REMEMBERED = 200_000  # stretches that make a worker forget those it has not met since the last time
 REMEMBER_UP_TO = 64  # characters of a remembered stretch
 _UNKNOWN_PENALTY = 10.0
 
@@ -142,11 +142,13 @@ class Codec:
         if found is None:
             if len(self.stays) > REMEMBERED:
                 self.stays.clear()
-            tied = a[-1] == SPACE == b[0] or SPACE * 2 in a  # runs of spaces have equal scores
-            found = self._merged(a + b)[0] == [a, b] if tied or not self.ordered else self._never_joined(a, b)
-            self.stays[a, b] = found
+            found = self.stays[a, b] = self._stays(a, b)
         return found
 
+    def _stays(self, a: str, b: str) -> bool:
+        tied = a[-1] == SPACE == b[0] or SPACE * 2 in a  # runs of spaces have equal scores
+        return self._merged(a + b)[0] == [a, b] if tied or not self.ordered else self._never_joined(a, b)
+
     def _never_joined(self, a: str, b: str) -> bool:
         """The same from scores: no part at a's right edge meets a part at b's left edge with which it would merge
         before either becomes part of something larger.  Where scores tie, the left one is merged first."""
@@ -237,9 +239,9 @@ class Codec:
                         return None
                     ok = pairs.get(before * many + i)
                     if ok is None:
-                        if len(pairs) > 4 * REMEMBERED:
+                        if len(pairs) > 2 * REMEMBERED:
                             pairs.clear()
-                        ok = pairs[before * many + i] = self._stay(self.v.names[before], self.v.names[i])
+                        ok = pairs[before * many + i] = self._stays(self.v.names[before], self.v.names[i])
                     if ok:
                         last[end + 1] = i
                 else:
