@@ -73,17 +73,17 @@ def observations(frags: DataFrame, genome: DataFrame, context: str = "CpG", excl
     unless exclude_crick_cpg), at its own place.
     """
     rows = with_reference(frags, genome, "pos", "length(bases)", "ref", tile, span)
-    rows = rows.withColumn("up", F.upper("ref"))
-    every = "sequence(0, length(bases) - 1)"
-    # ref[i + 3] (1-based) is the reference at pos + i.
+    # u[i + 3] (1-based) is the reference at pos + i; binding u keeps it from being cut out anew for every i.
     if context == "CpG":
-        w, c, shift = "substr(up, i + 3, 2) = 'CG'", "substr(up, i + 2, 2) = 'CG'", "if(strand = 'W', 0, 1)"
+        w, c, shift = "substr(u, i + 3, 2) = 'CG'", "substr(u, i + 2, 2) = 'CG'", "if(strand = 'W', 0, 1)"
     else:
-        w = "substr(up, i + 3, 1) = 'C' and substr(up, i + 4, 1) <> 'G'"
-        c = "substr(up, i + 3, 1) = 'G'" + (" and substr(up, i + 2, 1) <> 'C'" if exclude_crick_cpg else "")
+        w = "substr(u, i + 3, 1) = 'C' and substr(u, i + 4, 1) <> 'G'"
+        c = "substr(u, i + 3, 1) = 'G'" + (" and substr(u, i + 2, 1) <> 'C'" if exclude_crick_cpg else "")
         shift = "0"
-    sites = F.expr(f"case when strand = 'W' then filter({every}, i -> {w}) else filter({every}, i -> {c}) end")
-    hits = rows.where("bases <> ''").withColumn("sites", sites).where("size(sites) > 0").withColumn("i", F.explode("sites"))
+    every = "sequence(0, length(bases) - 1)"
+    found = f"case when length(bases) = 0 then array() when strand = 'W' then filter({every}, i -> {w}) else filter({every}, i -> {c}) end"
+    sites = F.expr(f"transform(array(ref), r -> transform(array(upper(r)), u -> transform({found}, i -> struct(i, substr(r, i + 2 - {shift}, 4) as context)))[0])[0]")
+    hits = rows.select("chr", "pos", "strand", "mate", "apart", "bases", F.explode(sites).alias("site")).withColumns({"i": F.col("site.i"), "context": F.col("site.context")})
     return hits.select(
         "chr",
         F.expr(f"pos + i - {shift}").alias("locus"),
@@ -93,7 +93,7 @@ def observations(frags: DataFrame, genome: DataFrame, context: str = "CpG", excl
         "i",
         F.length("bases").alias("n"),
         F.expr("substr(bases, i + 1, 1)").alias("base"),
-        F.expr(f"substr(ref, i + 2 - {shift}, 4)").alias("context"),
+        "context",
     )
 
 
@@ -106,7 +106,8 @@ def _counters() -> list:
 
 def calls(observed: DataFrame) -> DataFrame:
     """(chr, locus, total, wC, wT, wO, context, cC, cT, cO)."""
-    counted = observed.groupBy("chr", "locus").agg(F.count(F.lit(1)).alias("total"), *_counters(), F.max("context").alias("context"))
+    # The context is a function of the place; as a key it leaves the counters to hash aggregation.
+    counted = observed.groupBy("chr", "locus", "context").agg(F.count(F.lit(1)).alias("total"), *_counters())
     return counted.select("chr", "locus", "total", "wC", "wT", "wO", "context", "cC", "cT", "cO")
 
 
