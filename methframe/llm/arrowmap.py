@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,10 +17,23 @@ SLICE_BYTES = 8 << 20
 
 
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of the batches in slices of about SLICE_BYTES, so that a worker's memory does not follow the batch size."""
+    """The rows of the batches in slices of about SLICE_BYTES, so that a worker's memory does not follow the batch size.
+
+    At the end free memory goes back to the system: workers idle on between tasks, beside those of other steps.
+    """
     for whole in batches:
         step = max(1, whole.num_rows * SLICE_BYTES // max(1, whole.nbytes))
         yield from (whole.slice(i, step) for i in range(0, whole.num_rows, step))
+        del whole
+    release()
+
+
+def release() -> None:
+    """Returns what Arrow and the C library hold free."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
 
 
 def add_columns(df: DataFrame, fields: list[tuple[str, T.DataType]], make: Callable[[], Callable[[pa.RecordBatch], list]]) -> DataFrame:

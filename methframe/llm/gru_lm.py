@@ -234,6 +234,13 @@ class Recurrent:
             self.p[k] -= rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.99**self.steps)) + 1e-8)
 
 
+def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, document starts) of several blocks as one."""
+    shift = np.cumsum([0, *(len(t) for t, _ in parts)])
+    starts = [begin[:-1] + s for (_, begin), s in zip(parts, shift, strict=False)]
+    return np.concatenate([t for t, _ in parts]), np.concatenate([*starts, shift[-1:]])
+
+
 def _counts(train: DataFrame) -> DataFrame:
     """(h, ending, c): words of the training texts and how often they occur."""
 
@@ -317,11 +324,13 @@ def _trained(train: DataFrame, classes: Classes) -> Recurrent:
         model = Recurrent(classes.number, classes.end).load(start.vector())
         seen, key = 0, 0
         for batch in sliced(batches):
-            for _, _, words in scanned(batch.column(0), True, 8 << 20):
-                tokens, begin = classes.tokens(words, classes(words)[0])
-                model.run(tokens, begin, LOCAL_RATE)
-                seen += len(tokens)
+            parts = []
+            for _, _, words in scanned(batch.column(0), True):
+                parts.append(classes.tokens(words, classes(words)[0]))
                 key ^= int(words.hash[0] >> np.uint64(33)) if len(words.hash) else 0
+            tokens, begin = _joined(parts)
+            model.run(tokens, begin, LOCAL_RATE)
+            seen += len(tokens)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([key % n], pa.int32()), pa.array([seen]), pa.array([(model.vector().astype(np.float64) * seen).tobytes()], pa.binary())], names=["part", "seen", "sums"])
 
@@ -370,7 +379,8 @@ def score(df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, model, hashes, logs = shared.value
         for batch in sliced(batches):
-            for i, j, words in scanned(batch.column(1), True, 8 << 20):
+            parts, sums, lists = [], [], []
+            for i, j, words in scanned(batch.column(1), True):
                 docs = j - i
                 kind, head_log = classes(words)
                 owner = words.document_of()
@@ -379,23 +389,25 @@ def score(df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str
                 hit = hashes[at] == uniq if len(hashes) else np.zeros(len(uniq), bool)
                 log = np.where(hit, logs[at] if len(hashes) else 0.0, 0.0)[inverse]
                 found = hit[inverse]
-                tokens, begin = classes.tokens(words, kind)
-                class_log = model.run(tokens, begin) / np.log(10)
-                word_log = np.bincount(owner, log, docs)
-                within = -np.bincount(owner, head_log + classes.log_size[kind], docs)
+                parts.append(classes.tokens(words, kind))
+                within = head_log + classes.log_size[kind]
+                sums.append(np.stack([np.bincount(owner, x, docs) for x in (log, found, within)]))
                 rare = np.flatnonzero(~found)
-                rare_at = np.searchsorted(rare, words.first)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(i, docs),
-                        pa.array(np.diff(begin)),
-                        pa.array(np.bincount(owner, found, docs).astype(np.int64)),
-                        pa.array(word_log),
-                        pa.array(class_log + within),
-                        pa.ListArray.from_arrays(pa.array(rare_at.astype(np.int32)), pa.array(signed(words.hash[rare]))),
-                    ],
-                    names=["doc_id", "n_tokens", "n_found", "word_log", "model_log", "rare"],
-                )
+                lists.append((np.diff(np.searchsorted(rare, words.first)), words.hash[rare]))
+            tokens, begin = _joined(parts)
+            word_log, found, within = np.concatenate(sums, 1)
+            rare_at = np.concatenate([[0], np.cumsum(np.concatenate([n for n, _ in lists]))])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(np.diff(begin)),
+                    pa.array(found.astype(np.int64)),
+                    pa.array(word_log),
+                    pa.array(model.run(tokens, begin) / np.log(10) - within),
+                    pa.ListArray.from_arrays(pa.array(rare_at.astype(np.int32)), pa.array(signed(np.concatenate([h for _, h in lists])))),
+                ],
+                names=["doc_id", "n_tokens", "n_found", "word_log", "model_log", "rare"],
+            )
 
     done = rows.mapInArrow(apply, "doc_id long, n_tokens long, n_found long, word_log double, model_log double, rare array<long>")
     # The words that were not broadcast: rows of equal id and rare words share their sum.

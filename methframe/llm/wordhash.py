@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes handled at once (a single longer document forms its own block).
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
