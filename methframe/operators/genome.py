@@ -13,15 +13,17 @@ LEAD = 2  # bases before a tile that it also holds
 
 
 def tiles(genome: DataFrame, tile: int = TILE, span: int = SPAN) -> DataFrame:
-    """(chr, tile, piece): piece starts LEAD bases before tile * TILE + 1 ('X' before the chromosome) and reaches span bases beyond the tile.
+    """(chr, tile, piece): piece (binary) starts LEAD bases before tile * TILE + 1 ('X' before the chromosome) and reaches span bases beyond the tile.
+
+    Binary values are cut in time of the cut; strings would be walked from their start, a chromosome for each tile.
 
     A row at position pos joins on (chr, (pos - 1) div tile), so reads of one chromosome spread
     over its tiles and no task holds a genome.  The base at x is piece[x - tile * TILE + LEAD] (1-based).
     """
-    padded = F.concat(F.lit("X" * LEAD), F.col("seq"))
+    padded = F.concat(F.lit("X" * LEAD), F.col("seq")).cast("binary")
     numbers = F.sequence(F.lit(0), F.expr(f"cast(greatest(0, (length(seq) - 1) div {tile}) as int)"))
     cut = genome.select("chr", F.explode(numbers).alias("tile"), padded.alias("padded"))
-    return cut.select("chr", F.col("tile").cast("long").alias("tile"), F.expr(f"substr(padded, tile * {tile} + 1, {tile + span + 2 * LEAD})").alias("piece"))
+    return cut.select("chr", F.col("tile").cast("long").alias("tile"), F.expr(f"substr(padded, cast(tile * {tile} + 1 as int), {tile + span + 2 * LEAD})").alias("piece"))
 
 
 def with_reference(df: DataFrame, genome: DataFrame, start: str, length: str, name: str = "ref", tile: int = TILE, span: int = SPAN) -> DataFrame:
@@ -30,7 +32,7 @@ def with_reference(df: DataFrame, genome: DataFrame, start: str, length: str, na
     The planner broadcasts the tiles if they are small, else both sides are dealt by chromosome and tile.
     """
     joined = df.withColumn("tile", F.expr(f"({start} - 1) div {tile}")).join(tiles(genome, tile, span), ["chr", "tile"])
-    return joined.withColumn(name, F.expr(f"substr(piece, {start} - tile * {tile}, {length} + {2 * LEAD})")).drop("piece", "tile")
+    return joined.withColumn(name, F.expr(f"cast(substr(piece, cast({start} - tile * {tile} as int), {length} + {2 * LEAD}) as string)")).drop("piece", "tile")
 
 
 def prepare(raw: DataFrame, control: DataFrame | None = None) -> DataFrame:
@@ -70,7 +72,7 @@ def kmers(genome: DataFrame, k: int = 20, tile: int = TILE) -> DataFrame:
     pieces = tiles(genome, tile, k)
     at = F.expr(f"sequence(0, least({tile}, length(piece) - {LEAD} - {k} + 1) - 1)")
     rows = pieces.where(f"length(piece) >= {LEAD + k}").select("chr", "tile", "piece", F.explode(at).alias("i"))
-    return rows.select(F.expr(f"substr(piece, i + {LEAD + 1}, {k})").alias("kmer"), "chr", F.expr(f"tile * {tile} + i + 1").alias("pos"))
+    return rows.select(F.expr(f"cast(substr(piece, i + {LEAD + 1}, {k}) as string)").alias("kmer"), "chr", F.expr(f"tile * {tile} + i + 1").alias("pos"))
 
 
 def tss_bins(refgene: DataFrame, bins: int = 20, width: int = 200, min_length: int = 1000) -> DataFrame:
@@ -89,8 +91,8 @@ def tss_bins(refgene: DataFrame, bins: int = 20, width: int = 200, min_length: i
 
 def ct_rich(genome: DataFrame, width: int = 1000, threshold: float = 0.7) -> DataFrame:
     """(chr, start, end, ratio) of tiles rich in C and T, or in G and A: full to 90 % at least and with 10 % N at most."""
-    cut = genome.select("chr", "seq", F.explode(F.sequence(F.lit(0), F.expr(f"cast((length(seq) - 1) div {width} as int)"))).alias("t"))
-    cut = cut.select("chr", F.expr(f"cast(t * {width} as bigint)").alias("start"), F.expr(f"upper(substr(seq, t * {width} + 1, {width}))").alias("s"))
+    cut = genome.select("chr", F.col("seq").cast("binary").alias("seq"), F.explode(F.sequence(F.lit(0), F.expr(f"cast((length(seq) - 1) div {width} as int)"))).alias("t"))
+    cut = cut.select("chr", F.expr(f"cast(t * {width} as bigint)").alias("start"), F.expr(f"upper(cast(substr(seq, t * {width} + 1, {width}) as string))").alias("s"))
     n = F.length("s")
     known = F.length(F.expr("replace(s, 'N', '')"))
     cut = cut.where((n >= 0.9 * width) & (n - known <= 0.1 * n) & (known > 0)).withColumn("ratio", R.ct_ratio("s"))

@@ -99,7 +99,7 @@ def glyphs(frags: DataFrame, genome: DataFrame, protocol: str = "BS") -> DataFra
         f"when {ref('i')} = 'C' then if({base('i')} in ('{wm}', '{wu}'), '-', {base('i')}) "
         f"when {ref('i')} = 'G' then if({base('i')} in ('{cm}', '{cu}'), '-', {base('i')}) else if({base('i')} = {ref('i')}, '-', {base('i')}) end"
     )
-    line = f"array_join(transform(sequence(0, length(seq) - 1), i -> if(strand = 'W', {watson}, {crick})), '')"
+    line = f"transform(array(up), up -> array_join(transform(sequence(0, length(seq) - 1), i -> if(strand = 'W', {watson}, {crick})), ''))[0]"
     return rows.where("seq <> ''").select("name", "chr", "pos", F.expr(line).alias("glyphs"), "strand")
 
 

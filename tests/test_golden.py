@@ -199,3 +199,17 @@ def test_quality_curve():
     curve = simulate.quality_curve(100, 0.5)
     assert curve[0] >= curve[-1] >= 2 and abs(sum(10 ** (-q / 10) for q in curve) - 0.5) < 0.1
     assert simulate.quality_curve(5, 0) == [40] * 5
+
+
+def test_aligner_finds_simulated_places(spark):
+    """Simulated bisulfite reads, aligned under both hypotheses and merged, lie where they came from."""
+    from methframe.operators import align
+
+    seq = simulate.random_sequences(spark, 1, 30_000, seed=5).first()["seq"]
+    g = frame(spark, "chr string, seq string", ("chr1", seq))
+    conf = simulate.SimConfig(n=400, length=60, paired=False, cg_conversion=50.0, ch_conversion=99.5, error=0.5)
+    reads = simulate.simulate(spark, g, conf)
+    converted = preprocess.convert(reads, 3)
+    merged = merge.merge_hypotheses(align.align(converted, g, "W"), align.align(converted, g, "C"))
+    rows = profile.accuracy_single(merged.join(reads.select("read_no", "id"), "read_no")).first()
+    assert rows["total"] > 0.95 * reads.count() and rows["percent"] > 97
