@@ -64,3 +64,8 @@ def size_axis(sizes: DataFrame) -> DataFrame:
     x_min = F.when(low > 100, 100).when(low > 50, 50).otherwise(0)
     x_max = F.greatest(F.lit(300), F.coalesce(F.max(F.when(F.col("proportion") > 0.01, F.col("size"))), F.lit(300)))
     return sizes.agg(x_min.cast("long").alias("x_min"), x_max.cast("long").alias("x_max"))
+
+
+def concordant(pairs: DataFrame, min_size: int = 0, max_size: int = 1000) -> DataFrame:
+    """Pairs whose fragment size lies in the range."""
+    return pairs.where(C.fragment_size("strand", "pos1", "cigar1", "pos2", "cigar2").between(min_size, max_size))
