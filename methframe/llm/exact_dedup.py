@@ -79,7 +79,7 @@ def exact_dedup(
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
-    """The rows of df that exact_dedup keeps, with all their columns; ids decide, so rows of a null id go unless their text is unique to them."""
+    """The rows of df that exact_dedup keeps, with all their columns; its ids decide, so rows with a null id stay, and all rows that repeat a kept id and its text."""
     (mark,) = fresh(df, "dropped_id")
     verdict = exact_dedup(df, id_col, text_col, salts).filter("not kept and doc_id is not null")
     dropped = small(stash(verdict.select(F.col("doc_id").alias(mark)).distinct()))
