@@ -362,6 +362,18 @@ def _may_link(percent: int):
     return (100 + percent) * room >= percent * (F.col("n_x") + F.col("n_y"))
 
 
+def _early_enough(percent: int):
+    """Whether a common prefix shingle can be the first of as many as a link needs.
+
+    Of two sets, the one whose prefix ends first has all further common shingles in its rest; so a link has at least
+    needed - (longer rest) common prefix shingles, and the first of them has the others behind it in both prefixes.
+    """
+    whole = {k: F.ceil(percent * F.col(f"n_{k}") / 100) for k in "xy"}
+    least = F.ceil(percent * (F.col("n_x") + F.col("n_y")) / (100 + percent)) - F.greatest(*whole.values()) + 1
+    places = [F.col(f"i_{k}") <= F.col(f"c_{k}") - whole[k] + 1 - least for k in "xy"]
+    return (least <= 1) | (places[0] & places[1])
+
+
 def _item_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """(x, y): every pair of items of different components that shares a prefix shingle and may link.
 
@@ -375,7 +387,7 @@ def _item_pairs(postings: DataFrame, percent: int) -> DataFrame:
     x = open_.select("token", F.col("item").alias("x"), *[F.col(k).alias(f"{k}_x") for k in names])
     y = open_.select("token", F.col("item").alias("y"), *[F.col(k).alias(f"{k}_y") for k in names])
     met = F.expr("arrays_overlap(slice(lead_x, 1, i_x), slice(lead_y, 1, i_y))")
-    on = (x["token"] == y["token"]) & (F.col("x") < F.col("y")) & (F.col("label_x") != F.col("label_y")) & _may_link(percent) & ~met
+    on = (x["token"] == y["token"]) & (F.col("x") < F.col("y")) & (F.col("label_x") != F.col("label_y")) & _early_enough(percent) & _may_link(percent) & ~met
     return x.join(y, on).select("x", "y").distinct()
 
 
