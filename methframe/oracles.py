@@ -472,6 +472,13 @@ oracle(
     "bed",
 )
 oracle("interval_semijoin", """SELECT * FROM bed a WHERE start % 2 = 0 AND EXISTS (SELECT 1 FROM bed b WHERE b.start % 7 = 0 AND a.chr = b.chr AND a.start <= b."end" AND a."end" >= b.start)""", "bed")
+VIEWS["mirrored"] = ('SELECT chr, length + 1 - "end" AS start, length + 1 - start AS "end" FROM bed JOIN info USING (chr)', ["bed", "info"])
+oracle(
+    "interval_overlap_all",
+    """SELECT a.chr AS chr_a, a.start AS start_a, a."end" AS end_a, b.chr AS chr_b, b.start AS start_b, b."end" AS end_b FROM bed a JOIN mirrored b ON a.chr = b.chr AND a.start <= b."end" AND a."end" >= b.start""",
+    "mirrored",
+)
+oracle("interval_semijoin_all", """SELECT * FROM bed a WHERE EXISTS (SELECT 1 FROM mirrored b WHERE a.chr = b.chr AND a.start <= b."end" AND a."end" >= b.start)""", "mirrored")
 oracle(
     "merge_intervals",
     """

@@ -364,6 +364,16 @@ def interval_semijoin(x):
     return intervals.overlapping(x.bed.where("start % 2 = 0"), x.bed.where("start % 7 = 0"))
 
 
+@query
+def interval_overlap_all(x):
+    return intervals.overlaps(x.bed, genome.mirror(x.bed, info(x)))
+
+
+@query
+def interval_semijoin_all(x):
+    return intervals.overlapping(x.bed, genome.mirror(x.bed, info(x)))
+
+
 @query
 def merge_intervals(x):
     return intervals.merge(x.bed)
