@@ -124,6 +124,7 @@ FROM sized WHERE chr IN (SELECT chr FROM genome)) d WHERE rn = 1
     ["sized", "genome"],
 )
 VIEWS["sizes"] = ("SELECT frag_size AS size, count(*) AS count, count(*)::DOUBLE * 100 / (SELECT count(*) FROM unique_pairs) AS proportion FROM unique_pairs WHERE frag_size BETWEEN 1 AND 70 GROUP BY 1", ["unique_pairs"])
+VIEWS["sizes_all"] = ("SELECT frag_size AS size, count(*) AS count, count(*)::DOUBLE * 100 / (SELECT count(*) FROM unique_pairs) AS proportion FROM unique_pairs WHERE frag_size BETWEEN 1 AND 1000 GROUP BY 1", ["unique_pairs"])
 VIEWS["merged"] = (
     """
 SELECT read_no, strand, CASE WHEN strand = 'W' THEN w_chr ELSE c_chr END AS chr, CASE WHEN strand = 'W' THEN w_pos ELSE c_pos END AS pos,
@@ -361,6 +362,8 @@ oracle(
 oracle("discard_unknown_chr", "SELECT read_no, chr FROM pairs WHERE chr NOT IN (SELECT chr FROM genome)", "pairs")
 oracle("size_dist", "SELECT * FROM sizes", "sizes")
 oracle("size_axis", "SELECT (CASE WHEN min(size) > 100 THEN 100 WHEN min(size) > 50 THEN 50 ELSE 0 END)::BIGINT AS x_min, greatest(300, coalesce(max(size) FILTER (proportion > 0.01), 300))::BIGINT AS x_max FROM sizes", "sizes")
+oracle("size_dist_all", "SELECT * FROM sizes_all", "sizes_all")
+oracle("size_axis_all", "SELECT (CASE WHEN min(size) > 100 THEN 100 WHEN min(size) > 50 THEN 50 ELSE 0 END)::BIGINT AS x_min, greatest(300, coalesce(max(size) FILTER (proportion > 0.01), 300))::BIGINT AS x_max FROM sizes_all", "sizes_all")
 oracle("merge_hypotheses", "SELECT read_no, strand, chr, pos, mapq::INTEGER AS mapq, as_score, has_xs FROM merged", "merged")
 oracle("merge_strand_counts", "SELECT strand, count(*) AS reads FROM merged GROUP BY 1", "merged")
 VIEWS["ended"] = (f"SELECT *, pos1 + {REFLEN.format(c='cigar1')} - 1 AS e1, pos2 + {REFLEN.format(c='cigar2')} - 1 AS e2 FROM pairs WHERE regexp_full_match(cigar1, '([0-9]+[MID])+') AND regexp_full_match(cigar2, '([0-9]+[MID])+')", ["pairs"])
@@ -395,6 +398,11 @@ oracle(
     "SELECT chr, 'T' || array_to_string(list_transform(range(1, 201), lambda i: xor(instr('ACGT', substr(s, i, 1)) - 1, instr('ACGT', substr(s, i + 1, 1)) - 1)::VARCHAR), '') AS colours FROM (SELECT chr, 'T' || substr(seq, 1, 200) AS s FROM genome) g",
     "genome",
 )
+oracle(
+    "colour_space_all",
+    "SELECT chr, 'T' || array_to_string(list_transform(range(1, length(s)), lambda i: xor(instr('ACGT', substr(s, i, 1)) - 1, instr('ACGT', substr(s, i + 1, 1)) - 1)::VARCHAR), '') AS colours FROM (SELECT chr, 'T' || seq AS s FROM genome) g",
+    "genome",
+)
 oracle("phred_error", "SELECT read_no, round(pow(10.0::DOUBLE, -(ascii(qual) - 33)::DOUBLE / 10), 9) AS error FROM single", "single")
 oracle("number_format", "SELECT chr, format('{:,}', wT) AS wT, CASE WHEN wC + wT > 0 THEN printf('%.2f %%', wC::DOUBLE * 100 / (wC + wT)) ELSE 'NA' END AS share FROM log", "log")
 

@@ -11,6 +11,7 @@ from .fixtures import Fixtures
 from .functions import cigar as C
 from .functions import reads as R
 from .operators import calls, dedup, genome, intervals, merge, preprocess, profile, report, simulate, view
+from .plans.pipeline import Conf
 from .sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,6 +143,16 @@ def size_axis(x):
     return dedup.size_axis(dedup.size_distribution(dedup.dedup_pairs(x.pairs, info(x)), 70))
 
 
+@query
+def size_dist_all(x):
+    return dedup.size_distribution(dedup.dedup_pairs(x.pairs, info(x)), Conf().max_ins)
+
+
+@query
+def size_axis_all(x):
+    return dedup.size_axis(dedup.size_distribution(dedup.dedup_pairs(x.pairs, info(x)), Conf().max_ins))
+
+
 @query
 def merge_hypotheses(x):
     return merge.merge_hypotheses(x.hyp_w, x.hyp_c)
@@ -201,6 +212,11 @@ def colour_space(x):
     return x.genome.select("chr", R.color_space("substr(seq, 1, 200)").alias("colours"))
 
 
+@query
+def colour_space_all(x):
+    return x.genome.select("chr", R.color_space("seq").alias("colours"))
+
+
 @query
 def phred_error(x):
     return x.single.select("read_no", F.round(R.phred_error("qual"), 9).alias("error"))

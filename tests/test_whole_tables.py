@@ -20,3 +20,19 @@ def test_every_interval_is_joined(spark):
     got = QUERIES["interval_semijoin_all"](spark, DIR).select("chr", "start", "end").collect()
     assert Counter(map(tuple, got)) == Counter(p for p in a if p in met)
     assert any(p[1] % 2 for p in met)
+
+
+def test_whole_chromosomes_are_encoded(spark):
+    want = {r["chr"]: r["seq"] for r in Fixtures(spark, DIR).genome.collect()}
+    got = {r["chr"]: r["colours"] for r in QUERIES["colour_space_all"](spark, DIR).collect()}
+    assert {c: len(v) for c, v in got.items()} == {c: len(s) + 1 for c, s in want.items()}
+    for c, s in want.items():
+        assert got[c] == "T" + "".join(str("ACGT".index(a) ^ "ACGT".index(b)) for a, b in zip("T" + s, s, strict=False))
+
+
+def test_every_fragment_size_is_counted(spark):
+    unique = QUERIES["dedup_pe"](spark, DIR).collect()
+    want = Counter(r["frag_size"] for r in unique if 1 <= r["frag_size"] <= 1000)
+    got = {r["size"]: r["count"] for r in QUERIES["size_dist_all"](spark, DIR).collect()}
+    assert got == want and max(got) > 70
+    assert len(QUERIES["size_axis_all"](spark, DIR).collect()) == 1
