@@ -27,40 +27,84 @@ DOCUMENTS = 64
 LETTERS = 40_000
 LANGUAGES = 64
 BLOCK = 1024
-ALPHABET = 62  # most frequent letters of the training text; then "another letter" and "space"
 UNDETERMINED = "und"
 _SLICE = 1 << 20  # characters mapped and parsed at once
 
 
-def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions (states x width) of the automaton of all substrings; -1: none; state 0 is the root."""
-    most = 2 * len(symbols) + 2
-    go = np.full((most, width), -1, np.int32)
-    length, link = [0] * most, [-1] * most
-    last, used = 0, 1
+class Automaton:
+    """Transitions of the automaton of all substrings, sparse: a dict of symbols per state; -1: none; state 0 is the root."""
+
+    def __init__(self, rows: list[dict[int, int]]):
+        self.rows = rows
+
+    def __getitem__(self, key: tuple[int, int]) -> int:
+        return self.rows[key[0]].get(key[1], -1)
+
+
+def suffix_automaton(symbols: list[int], width: int) -> Automaton:
+    """The automaton of symbols below width."""
+    rows: list[dict[int, int]] = [{}]
+    length, link = [0], [-1]
+    last = 0
     for c in symbols:
-        new, used = used, used + 1
-        length[new] = length[last] + 1
+        new = len(rows)
+        rows.append({})
+        length.append(length[last] + 1)
+        link.append(0)
         p = last
-        while p >= 0 and go[p, c] < 0:
-            go[p, c] = new
+        while p >= 0 and c not in rows[p]:
+            rows[p][c] = new
             p = link[p]
-        if p < 0:
-            link[new] = 0
-        else:
-            q = int(go[p, c])
+        if p >= 0:
+            q = rows[p][c]
             if length[q] == length[p] + 1:
                 link[new] = q
             else:
-                twin, used = used, used + 1
-                length[twin], link[twin] = length[p] + 1, link[q]
-                go[twin] = go[q]
-                while p >= 0 and go[p, c] == q:
-                    go[p, c] = twin
+                twin = len(rows)
+                rows.append(dict(rows[q]))
+                length.append(length[p] + 1)
+                link.append(link[q])
+                while p >= 0 and rows[p].get(c) == q:
+                    rows[p][c] = twin
                     p = link[p]
                 link[q] = link[new] = twin
         last = new
-    return go[:used]
+    return Automaton(rows)
+
+
+def _packed(go: Automaton, width: int) -> tuple[np.ndarray, int]:
+    """(table, root): the rows displaced over each other in one table.
+
+    A state is its row's displacement, which no other state has; the entry at state + symbol holds
+    symbol << 32 | next state where it belongs to the state, and another symbol (or -1) where it does not.
+    """
+    rows = go.rows
+    order = sorted(range(len(rows)), key=lambda s: -len(rows[s]))  # wide rows first, while there is room
+    size = 1 << max(6, (2 * max(len(rows), sum(map(len, rows)))).bit_length())
+    while True:
+        filled, taken = bytearray(size + width), bytearray(size)
+        base, at, ok = [0] * len(rows), 0, True
+        for s in order:
+            row = rows[s]
+            for _ in range(4096):
+                at = (at * 1103515245 + 12345) & (size - 1)  # runs through all places
+                if not taken[at] and not any(filled[at + c] for c in row):
+                    break
+            else:
+                ok = False
+                break
+            base[s] = at
+            taken[at] = 1
+            for c in row:
+                filled[at + c] = 1
+        if ok:
+            break
+        size *= 2
+    table = np.full(size + width, -1, np.int64)
+    for s, row in enumerate(rows):
+        for c, to in row.items():
+            table[base[s] + c] = c << 32 | base[to]
+    return table, base[0]
 
 
 class LanguageModel:
@@ -68,13 +112,8 @@ class LanguageModel:
 
     def __init__(self, samples: dict[str, list[str]], letters: int = LETTERS):
         texts = {lang: " ".join(t.lower() for t in parts) for lang, parts in sorted(samples.items())}
-        count: dict[str, int] = {}
-        for t in texts.values():
-            for ch in t:
-                if ch.isalpha():
-                    count[ch] = count.get(ch, 0) + 1
-        known = sorted(count, key=lambda ch: (-count[ch], ch))[:ALPHABET]
-        self.width = len(known) + 2
+        known = sorted({ch for t in texts.values() for ch in set(t) if ch.isalpha()})  # each letter is a symbol of its own
+        self.width = len(known) + 2  # then "another letter" and "space"
         self.letter = {ch: i for i, ch in enumerate(known)}
         self.codes = _symbol_table(self.letter, self.width)
         self.langs, self.roots, self.sizes, tables, base = [], [], [], [], 0
@@ -82,14 +121,13 @@ class LanguageModel:
             symbols = _collapse(self.codes, np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32), self.width - 1)[0][:letters]
             if not (symbols < self.width - 1).any():
                 continue
-            go = suffix_automaton(symbols.tolist(), self.width).astype(np.int64)
-            root = np.where(go[0] < 0, 0, go[0])  # a symbol the language lacks is a phrase of its own
+            table, root = _packed(suffix_automaton(symbols.tolist(), self.width), self.width)
             self.langs.append(lang)
-            self.roots.append(base)
+            self.roots.append(base + root)
             self.sizes.append(len(symbols))
-            tables.append(np.where(go < 0, ~((root + base) * self.width)[None, :], (go + base) * self.width).astype(np.int32))
-            base += len(go)
-        self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.int32)
+            tables.append(np.where(table < 0, table, table + base))
+            base += len(table)
+        self.table = np.concatenate(tables) if tables else np.empty(0, np.int64)
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(phrases: texts x languages, symbols per text, whether a text has a letter)."""
@@ -111,15 +149,19 @@ class LanguageModel:
         order = np.argsort(-size, kind="stable")
         owner, start, size = owner[order], start[order], size[order]
         active = np.searchsorted(-size, -np.arange(BLOCK), "left")  # blocks longer than t
-        state = np.repeat((np.array(self.roots, np.int32) * width)[:, None], len(start), 1)
+        roots = np.array(self.roots, np.int64)[:, None]
+        # Where a language's root leads by each symbol: a symbol that it lacks is a phrase of its own.
+        entry = self.table[roots + np.arange(width)]
+        first = np.where(entry >> 32 == np.arange(width), entry & 0xFFFFFFFF, roots)
+        state = np.repeat(roots, len(start), 1)
         count = np.ones((langs, len(start)), np.int32)
         for t in range(int(size[0])):
             m = active[t]
-            c = symbols[start[:m] + t]
-            nxt = self.table[state[:, :m] + c]
-            restart = nxt >> 31  # -1 where no transition was left
-            count[:, :m] -= restart
-            state[:, :m] = nxt ^ restart
+            c = symbols[start[:m] + t].astype(np.int64)
+            entry = self.table[state[:, :m] + c]
+            restart = entry >> 32 != c  # no transition was left
+            count[:, :m] += restart
+            state[:, :m] = np.where(restart, first[:, c], entry & 0xFFFFFFFF)
         for i in range(langs):
             out[:, i] = np.bincount(owner, count[i], n).astype(np.int64)
         return out, lengths, lettered
@@ -146,8 +188,8 @@ class LanguageModel:
 
 def _symbol_table(letter: dict[str, int], width: int) -> np.ndarray:
     """Symbol of each code point below 0x110000: known letters, another letter, space."""
-    out = np.full(0x110000, width - 1, np.uint8)
-    for point in range(0x30000):
+    out = np.full(0x110000, width - 1, np.uint8 if width <= 256 else np.int32)
+    for point in range(0x110000):
         if chr(point).isalpha():
             out[point] = width - 2
     for ch, i in letter.items():

@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -59,6 +60,19 @@ def test_phrases_are_longest_matches():
     assert lengths.tolist() == [len(t) for t in texts] and lettered.all()
 
 
+def test_every_letter_has_its_own_symbol():
+    """Languages of many letters are told apart, however frequent the letters of others are."""
+    r = random.Random(4)
+
+    def words(first, many, n):
+        return " ".join("".join(chr(first + r.randrange(many)) for _ in range(r.randint(2, 6))) for _ in range(n))
+
+    scripts = {"la": (0x61, 26), "el": (0x3B1, 25), "ru": (0x430, 32), "ka": (0x10D0, 33), "zh": (0x4E00, 400), "ja": (0x5E00, 400), "ko": (0xAC00, 400)}
+    few = ("zh", "ja", "ko")
+    model = language_id.LanguageModel({k: [words(*v, 300 if k in few else 4000)] for k, v in scripts.items()})
+    assert model.predict([words(*v, 40) for v in scripts.values()])[0] == list(scripts)
+
+
 def test_language_cases(docs, empty, sample):
     model = language_id.fit(sample)
     out = {(r["doc_id"], r["text"]): r for r in language_id.identify(docs, model).collect()}
