@@ -7,13 +7,17 @@ phrases, the closer the language.  Phrase counts are normalised with the usual
 cross-parsing estimate: phrases * log2(training length) / text length.
 
 Fitting is bounded: per language the labelled documents with the smallest hashes,
-DOCUMENTS at most, give LETTERS symbols at most, for the LANGUAGES most frequent languages.
+DOCUMENTS at most, give LETTERS symbols at most.  Every language with a training row is
+learned; automata are broadcast in groups of GROUP languages, and a worker holds one group at a time.
 Prediction reads whole texts.  Texts are parsed in blocks of BLOCK symbols, each
 begun at the root, so that thousands of blocks advance together in numpy.
 """
 
 from __future__ import annotations
 
+import copy
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,7 +29,7 @@ from .arrowmap import add_columns
 
 DOCUMENTS = 64
 LETTERS = 40_000
-LANGUAGES = 64
+GROUP = 16  # languages whose automata are in memory together
 BLOCK = 1024
 UNDETERMINED = "und"
 _SLICE = 1 << 20  # characters mapped and parsed at once
@@ -107,39 +111,79 @@ def _packed(go: Automaton, width: int) -> tuple[np.ndarray, int]:
     return table, base[0]
 
 
+class Group:
+    """Automata of some languages in one table, ready for parallel parsing."""
+
+    def __init__(self, samples: list[np.ndarray], width: int):
+        roots, tables, base = [], [], 0
+        for symbols in samples:
+            table, root = _packed(suffix_automaton(symbols.tolist(), width), width)
+            roots.append(base + root)
+            tables.append(np.where(table < 0, table, table + base))
+            base += len(table)
+        self.table = np.concatenate(tables)
+        self.roots = np.array(roots, np.int64)[:, None]
+        # Where a language's root leads by each symbol: a symbol that it lacks is a phrase of its own.
+        entry = self.table[self.roots + np.arange(width)]
+        self.first = np.where(entry >> 32 == np.arange(width), entry & 0xFFFFFFFF, self.roots)
+
+    def phrases(self, symbols: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Phrases (languages x blocks) of the blocks of symbols at start, longest first."""
+        active = np.searchsorted(-size, -np.arange(BLOCK), "left")  # blocks longer than t
+        state = np.repeat(self.roots, len(start), 1)
+        count = np.ones((len(self.roots), len(start)), np.int32)
+        for t in range(int(size[0])):
+            m = active[t]
+            c = symbols[start[:m] + t].astype(np.int64)
+            entry = self.table[state[:, :m] + c]
+            restart = entry >> 32 != c  # no transition was left
+            count[:, :m] += restart
+            state[:, :m] = np.where(restart, self.first[:, c], entry & 0xFFFFFFFF)
+        return count
+
+
 class LanguageModel:
-    """Symbols and automata of all languages, ready for parallel parsing."""
+    """Symbols and training samples of all languages; their automata are built group by group."""
 
-    def __init__(self, samples: dict[str, list[str]], letters: int = LETTERS):
+    def __init__(self, samples: dict[str, list[str]], letters: int = LETTERS, group: int = GROUP):
         texts = {lang: " ".join(t.lower() for t in parts) for lang, parts in sorted(samples.items())}
         known = sorted({ch for t in texts.values() for ch in set(t) if ch.isalpha()})  # each letter is a symbol of its own
         self.width = len(known) + 2  # then "another letter" and "space"
         self.letter = {ch: i for i, ch in enumerate(known)}
         self.codes = _symbol_table(self.letter, self.width)
-        self.langs, self.roots, self.sizes, tables, base = [], [], [], [], 0
+        self.langs, self.sizes, self.samples = [], [], []
         for lang, t in texts.items():
             symbols = _collapse(self.codes, np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32), self.width - 1)[0][:letters]
             if not (symbols < self.width - 1).any():
                 continue
-            table, root = _packed(suffix_automaton(symbols.tolist(), self.width), self.width)
             self.langs.append(lang)
-            self.roots.append(base + root)
             self.sizes.append(len(symbols))
-            tables.append(np.where(table < 0, table, table + base))
-            base += len(table)
-        self.table = np.concatenate(tables) if tables else np.empty(0, np.int64)
-
-    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(phrases: texts x languages, symbols per text, whether a text has a letter)."""
-        n, width, langs = len(texts), self.width, len(self.langs)
+            self.samples.append(symbols)
+        self.bounds = [(k, min(k + group, len(self.langs))) for k in range(0, len(self.langs), group)]
+
+    def group(self, k: int) -> Group:
+        """The automata of the k-th group of languages, built anew."""
+        return Group(self.samples[slice(*self.bounds[k])], self.width)
+
+    def without_samples(self) -> LanguageModel:
+        """What workers need besides the groups."""
+        out = copy.copy(self)
+        out.samples = []
+        return out
+
+    def phrases(self, texts: list[str], groups: list[Group] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(phrases: texts x languages of the groups, symbols per text, whether a text has a letter); all groups by default."""
+        if groups is None:
+            groups = [self.group(k) for k in range(len(self.bounds))]
+        n, width = len(texts), self.width
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         bounds = np.zeros(n + 1, np.int64)
         np.cumsum([len(t) for t in texts], out=bounds[1:])
         symbols, kept = _collapse(self.codes, points, width - 1, bounds)
         lengths = np.diff(kept)
         lettered = np.add.reduceat(np.append((symbols < width - 1).astype(np.int64), 0), np.minimum(kept[:-1], len(symbols))) * (lengths > 0) > 0
-        out = np.zeros((n, langs), np.int64)
-        if not langs or not len(symbols):
+        out = np.zeros((n, sum(len(g.roots) for g in groups)), np.int64)
+        if not groups or not len(symbols):
             return out, lengths, lettered
         blocks = -(-lengths // BLOCK)
         owner = np.repeat(np.arange(n), blocks)
@@ -148,41 +192,41 @@ class LanguageModel:
         size = np.minimum(BLOCK, kept[1:][owner] - start)
         order = np.argsort(-size, kind="stable")
         owner, start, size = owner[order], start[order], size[order]
-        active = np.searchsorted(-size, -np.arange(BLOCK), "left")  # blocks longer than t
-        roots = np.array(self.roots, np.int64)[:, None]
-        # Where a language's root leads by each symbol: a symbol that it lacks is a phrase of its own.
-        entry = self.table[roots + np.arange(width)]
-        first = np.where(entry >> 32 == np.arange(width), entry & 0xFFFFFFFF, roots)
-        state = np.repeat(roots, len(start), 1)
-        count = np.ones((langs, len(start)), np.int32)
-        for t in range(int(size[0])):
-            m = active[t]
-            c = symbols[start[:m] + t].astype(np.int64)
-            entry = self.table[state[:, :m] + c]
-            restart = entry >> 32 != c  # no transition was left
-            count[:, :m] += restart
-            state[:, :m] = np.where(restart, first[:, c], entry & 0xFFFFFFFF)
-        for i in range(langs):
-            out[:, i] = np.bincount(owner, count[i], n).astype(np.int64)
+        i = 0
+        for g in groups:
+            for count in g.phrases(symbols, start, size):
+                out[:, i] = np.bincount(owner, count, n).astype(np.int64)
+                i += 1
         return out, lengths, lettered
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        i = 0
-        while i < len(texts):
+    def predict(self, texts: list[str | None], load: Callable[[int], Group] | None = None) -> tuple[list[str], list[float]]:
+        """Languages and scores; load gives the groups, one at a time."""
+        n = len(texts)
+        slices, i = [], 0
+        while i < n:
             j, chars = i, 0
-            while j < len(texts) and (j == i or chars + len(texts[j] or "") <= _SLICE):
+            while j < n and (j == i or chars + len(texts[j] or "") <= _SLICE):
                 chars += len(texts[j] or "")
                 j += 1
-            phrases, lengths, lettered = self.phrases([(t or "").lower() for t in texts[i:j]])
-            if self.langs:
-                entropy = phrases * np.log2(np.array(self.sizes) + 2.0) / np.maximum(lengths, 1)[:, None]
-                best = entropy.argmin(1)
-                share = np.exp2(-4 * (entropy - entropy.min(1, keepdims=True)))
-                top = share.max(1) / share.sum(1)
-                for k in np.flatnonzero(lettered):
-                    names[i + k], scores[i + k] = self.langs[best[k]], float(top[k])
+            slices.append(slice(i, j))
             i = j
+        least, best, shares, lettered = np.full(n, np.inf), np.zeros(n, np.int64), np.zeros(n), np.zeros(n, bool)
+        for k, (first, last) in enumerate(self.bounds):
+            group = (load or self.group)(k)
+            for at in slices:
+                phrases, lengths, lettered[at] = self.phrases([(t or "").lower() for t in texts[at]], [group])
+                entropy = phrases * np.log2(np.array(self.sizes[first:last]) + 2.0) / np.maximum(lengths, 1)[:, None]
+                low = entropy.min(1)
+                share = np.exp2(-4 * (entropy - low[:, None])).sum(1)
+                lower, before = low < least[at], least[at]
+                # The shares of all groups so far, relative to the least entropy of all.
+                shares[at] = np.where(lower, share + shares[at] * np.exp2(-4 * (before - low)), shares[at] + share * np.exp2(-4 * np.maximum(low - before, 0)))
+                best[at] = np.where(lower, first + entropy.argmin(1), best[at])
+                least[at] = np.minimum(before, low)
+            del group
+        names, scores = [UNDETERMINED] * n, [0.0] * n
+        for k in np.flatnonzero(lettered):
+            names[k], scores[k] = self.langs[best[k]], float(1 / shares[k])
         return names, scores
 
 
@@ -211,24 +255,24 @@ def _collapse(codes: np.ndarray, points: np.ndarray, space: int, bounds: np.ndar
     return symbols[keep], sums[bounds]
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", documents: int = DOCUMENTS, letters: int = LETTERS, languages: int = LANGUAGES) -> LanguageModel:
-    """A model of the labelled rows (null languages and texts are left out), bounded by documents and letters a language.
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", documents: int = DOCUMENTS, letters: int = LETTERS) -> LanguageModel:
+    """A model of all languages of the labelled rows (null languages and texts are left out), bounded by documents and letters a language.
 
     Ids choose the documents, by hash; their texts are then read in a second pass, so that only ids are sorted.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     keys = rows.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-    kept = [r["lang"] for r in keys.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
     order = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = keys.where(F.col("lang").isin(kept)).withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents)
+    chosen = keys.withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents)
     ids = F.broadcast(chosen.select(F.col("lang").alias("chosen_lang"), F.col("id").alias("chosen_id"), "n"))  # languages * documents rows at most
     text = F.substring(F.col(text_col), 1, letters).alias("text")
     found = rows.join(ids, (rows[id_col] == F.col("chosen_id")) & (rows[lang_col] == F.col("chosen_lang"))).select("chosen_lang", "n", text)
+    # Only texts that begin within the sample come to the driver.
+    ahead = Window.partitionBy("chosen_lang").orderBy("n", "text").rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("ahead", F.coalesce(F.sum(F.length("text")).over(ahead), F.lit(0))).where(F.col("ahead") < letters)
     samples: dict[str, list[str]] = {}
-    for r in sorted(found.collect(), key=lambda r: (r["chosen_lang"], r["n"], r["text"])):
-        parts = samples.setdefault(r["chosen_lang"], [])
-        if sum(map(len, parts)) < letters:
-            parts.append(r["text"])
+    for r in sorted(found.select("chosen_lang", "n", "text").collect(), key=lambda r: (r["chosen_lang"], r["n"], r["text"])):
+        samples.setdefault(r["chosen_lang"], []).append(r["text"])
     return LanguageModel(samples, letters)
 
 
@@ -238,11 +282,20 @@ def identify(df: DataFrame, model: LanguageModel, text_col: str = "text", lang_o
     Null texts and texts without a letter give 'und' and 0, as does a model without languages.
     Columns named like the outputs are replaced; all others pass through; repeated rows get equal answers.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded: languages * 2 * letters states
+    context = df.sparkSession.sparkContext
+    head = context.broadcast(model.without_samples())
+    groups = [context.broadcast(model.group(k)) for k in range(len(model.bounds))]  # bounded each: GROUP * 2 * letters states
 
     def make():
-        m = shared.value
-        return lambda batch: m.predict(batch.column(text_col).to_pylist())
+        m = head.value
+
+        def load(k: int) -> Group:
+            group = groups[k].value
+            if len(groups) > 1 and hasattr(groups[k], "_path"):  # or the worker would keep every group that it has read
+                vars(groups[k]).pop("_value", None)
+            return group
+
+        return lambda batch: m.predict(batch.column(text_col).to_pylist(), load)
 
     return add_columns(df, [(lang_out, T.StringType()), (score_out, T.DoubleType())], make)
 

@@ -73,6 +73,21 @@ def test_every_letter_has_its_own_symbol():
     assert model.predict([words(*v, 40) for v in scripts.values()])[0] == list(scripts)
 
 
+def test_every_language_is_learned(spark):
+    """Also those with fewer rows than 64 others."""
+    r = random.Random(5)
+    words = {f"l{k:02}": ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(3, 8))) for _ in range(60)] for k in range(70)}
+    text = lambda lang, n: " ".join(r.choice(words[lang]) for _ in range(n))
+    train = [(100 * k + i, text(lang, 80), lang) for k, lang in enumerate(words) for i in range(1 if k >= 64 else 2)]
+    model = language_id.fit(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    asked = spark.createDataFrame([(text(lang, 60), lang) for lang in words for _ in range(2)], "text string, lang string").repartition(3)
+    out = language_id.identify(asked, model).collect()
+    assert len(out) == 140 and all(r["lang_pred"] == r["lang"] and 0 < r["score"] <= 1 for r in out)
+    model.bounds = [(0, 70)]  # all in one group
+    names, scores = model.predict([r["text"] for r in out])
+    assert names == [r["lang_pred"] for r in out] and scores == pytest.approx([r["score"] for r in out])
+
+
 def test_language_cases(docs, empty, sample):
     model = language_id.fit(sample)
     out = {(r["doc_id"], r["text"]): r for r in language_id.identify(docs, model).collect()}
