@@ -7,7 +7,8 @@ are smoothed over the blocks in page order with a Gaussian kernel, fused as thei
 the share of text outside links, and paths above a fraction of the strongest one are content.
 Paths through elements that hold no article text (menus, forms, notices, comments, ...) are ruled out
 before, and the content paths' common container then takes in its remaining blocks,
-so that short paragraphs and headings of the article stay.
+so that short paragraphs, headings and lists of links of the article stay.  Class, id and role words
+also name layouts ('with-sidebar'); elements that they rule out but that hold the page's article are let in again.
 """
 
 from __future__ import annotations
@@ -43,6 +44,11 @@ OTHER_WORDS = re.compile(
     r"navigation|newsletter|notices?|pagination|pager|popup|promo\w*|recommend\w*|related|replies|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|"
     r"tags?|teasers?|toolbar|widgets?|complementary|contentinfo|search)(?:$|[-_ ])"
 )
+# Words before one of these that tell of the page's layout ("with-sidebar").
+LAYOUT_STATES = re.compile(r"(?:^|[-_])(?:with|without|has|have|no|not|non|hide|hides|show|shows|is|single)[-_]$")
+# Parts of words that name elements with running text of their own, such as readers' comments.
+OWN_TEXT = re.compile(r"ad|ads|advert\w*|adverti[sz]ing|comments?|commentlist|consent|cookies?|disqus|disclaimer|gdpr|newsletter|notices?|promo\w*|recommend\w*|related|replies|respond|sponsor\w*|teasers?")
+WHOLE, LAYOUT, TEXT = 1, 2, 3  # ruled out by a whole word, or by part of one that names a layout or text of its own
 MAIN_TAGS = frozenset(("article", "main"))
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?=[a-zA-Z/])[^<]*\Z", re.S)
@@ -59,10 +65,24 @@ class Block:
         self.text, self.path, self.nodes, self.linked, self.other, self.main = text, path, nodes, linked, other, main
 
 
-def _label(name: str, attributes: str) -> tuple[str, bool]:
-    """(name with class and id words, whether these or the name mark something other than article text)."""
+def _ruled_out(word: str) -> int:
+    """WHOLE, LAYOUT or TEXT for a word that marks something other than article text, else 0."""
+    kind, at = 0, 0
+    while (m := OTHER_WORDS.search(word, at)) is not None:
+        part = m[0].strip("-_ ")
+        start = m.start() + m[0].index(part)
+        at = start + len(part)
+        if part == word:
+            return WHOLE
+        if not LAYOUT_STATES.search(word[:start]):
+            kind = TEXT if kind == TEXT or OWN_TEXT.fullmatch(part) else LAYOUT
+    return kind
+
+
+def _label(name: str, attributes: str) -> tuple[str, bool, int]:
+    """(name with class and id words, whether name or state mark something other than article text, and how words do)."""
     if not attributes:
-        return name, name in OTHER_TAGS
+        return name, name in OTHER_TAGS, 0
     words, other = [], name in OTHER_TAGS
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), html.unescape(value.strip("\"'")).lower()
@@ -70,14 +90,46 @@ def _label(name: str, attributes: str) -> tuple[str, bool]:
             words += value.split()
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
             other = True
-    other = other or name not in ("html", "body") and any(OTHER_WORDS.search(w) for w in words)
-    return ".".join([name, *words]), other
+    kinds = [k for k in map(_ruled_out, words) if k] if name not in ("html", "body") else []
+    kind = WHOLE if WHOLE in kinds else max(kinds, default=0)
+    return ".".join([name, *words]), other, kind
+
+
+def _let_in(parents: dict[int, tuple[int, int, int]], held: dict[int, list[tuple[int, bool, int]]]) -> set[int]:
+    """Elements ruled out by words that hold the page's article all the same.
+
+    parents: of each such element the next one around it (0: none), its depth and kind; held: of each of them (0: the
+    rest of the page) its own blocks as (depth of the outermost article or main or -1, whether a main is around it, plain text).
+    Inner elements come first.  What is outside of one are the blocks that nothing but the elements around it rules out.
+    """
+    out = set()
+    total = {n: [sum(b[2] for b in own), sum(b[2] for b in own if b[0] >= 0)] for n, own in held.items()}  # plain text, and that in an article
+    for node in sorted(parents, key=lambda n: -parents[n][1]):
+        own = held.get(node)
+        if not own:
+            continue
+        up, depth, kind = parents[node]
+        rest, named, at = *total.get(0, (0, 0)), up
+        while at:
+            rest, named, at = rest + total.get(at, (0, 0))[0], named + total.get(at, (0, 0))[1], parents[at][0]
+        mass, article = total[node][0], sum(b[2] for b in own if b[0] > depth)
+        keep = any(b[1] and b[0] > depth for b in own)
+        keep = keep or article > named and (kind == LAYOUT or article > rest)
+        keep = keep or kind == LAYOUT and mass > rest or kind == TEXT and not rest
+        if keep:
+            out.add(node)
+            held.setdefault(up, []).extend(own)
+            total[up] = [x + y for x, y in zip(total.get(up, (0, 0)), total[node], strict=True)]
+    return out
 
 
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool, int]] = []  # open block elements: name, label, other, number
+    stack: list[tuple[str, str, bool, int, int]] = []  # open block elements: name, label, other, number, how words rule it out
+    parents: dict[int, tuple[int, int, int]] = {}
+    held: dict[int, list[tuple[int, bool, int]]] = {}
+    inside: list[list[int]] = []  # of each block the elements around it that words rule out
     parts: list[str] = []
     count = linked = 0
     depth_a = 0
@@ -89,9 +141,17 @@ def blocks(page: str) -> list[Block]:
             if text:
                 path = "/".join(s[1] for s in stack)
                 names = [s[0] for s in stack]
-                out.append(
-                    Block(text, path, tuple(s[3] for s in stack), min(linked, len(text)), any(s[2] for s in stack), any(n in MAIN_TAGS for n in names))
-                )
+                mains = [d for d, n in enumerate(names) if n in MAIN_TAGS]
+                b = Block(text, path, tuple(s[3] for s in stack), min(linked, len(text)), any(s[2] for s in stack), bool(mains))
+                out.append(b)
+                inside.append([])
+                for d, s in enumerate(stack):
+                    if s[4]:
+                        parents[s[3]] = (inside[-1][-1] if inside[-1] else 0, d, s[4])
+                        inside[-1].append(s[3])
+                if not b.other:
+                    own = held.setdefault(inside[-1][-1] if inside[-1] else 0, [])
+                    own.append((mains[0] if mains else -1, "main" in names, len(text) - b.linked))
             parts.clear()
         linked = 0
 
@@ -156,9 +216,12 @@ def blocks(page: str) -> list[Block]:
         flush()
         depth_a = 0 if name in CLOSES_P else depth_a
         count += 1
-        label, other = _label(name, m[3])
-        stack.append((name, label, other, count))
+        label, other, kind = _label(name, m[3])
+        stack.append((name, label, other, count, kind))
     flush()
+    let_in = _let_in(parents, held) if parents else set()
+    for b, nodes in zip(out, inside, strict=True):
+        b.other = b.other or any(n not in let_in for n in nodes)
     return out
 
 
@@ -215,7 +278,16 @@ def select(found: list[Block]) -> list[Block]:
                     k -= 1
                 container = b.nodes[k]
                 break
-    return [b for b in open_ if b.path in strong and b in chosen or container is not None and container in b.nodes and (b.path in strong or 2 * b.linked <= len(b.text))]
+    picked = set(map(id, chosen))
+
+    def belongs(b: Block) -> bool:
+        if container is None or container not in b.nodes:
+            return False
+        # The body is no article's own container: unmarked menus lie in it too.
+        whole = b.path.split("/")[b.nodes.index(container)].split(".")[0] in ("html", "body")
+        return not whole or b.path in strong or 2 * b.linked <= len(b.text)
+
+    return [b for b in open_ if id(b) in picked or belongs(b)]
 
 
 def main_text(page: str | None) -> str:

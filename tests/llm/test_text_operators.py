@@ -305,6 +305,30 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("word", ["with-sidebar", "no-sidebar", "has-header", "single-related", "sidebar-right", "page_header_fixed", "search"])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_layout_words_rule_out_no_article(word, inner):
+    if (word, inner) == ("search", "div"):
+        pytest.skip("a whole word and no article or main")
+    page = f"<body><div class='{word}'><div class=has-menu><{inner}><h1>T</h1><p>{TEXT * 3}</{inner}></div><div class='sidebar'><p>{TEXT}</p></div></div><div class='comments'><p>{TEXT * 9}</p></div></body>"
+    assert html_text.main_text(page) == f"T {TEXT * 3}".strip()
+
+
+@pytest.mark.parametrize("word", ["comments", "post-comments", "comments-area", "related", "related-posts", "cookie-notice"])
+def test_other_text_stays_out(word):
+    """However long it is, and in an article element or not, beside an article that no element names."""
+    for text in (f"<p>{TEXT * 9}</p>", f"<article><p>{TEXT}</p></article>"):
+        page = f"<body><div class=content><h1>T</h1><p>{TEXT * 3}</div><div class='{word}'>{text}</div></body>"
+        assert html_text.main_text(page) == f"T {TEXT * 3}".strip()
+    page = f"<body><article><h1>T</h1><p>{TEXT * 3}<section class='{word}'><article><p>{TEXT * 9}</article></section></article></body>"
+    assert html_text.main_text(page) == f"T {TEXT * 3}".strip()
+
+
+def test_lists_of_links_stay():
+    page = f"<body><div class=content><h1>T</h1><p>{TEXT * 3}<p>{TEXT}<h2>References</h2><ul><li><a href=1>First one</a><li><a href=2>Second one</a></ul></div></body>"
+    assert html_text.main_text(page).endswith("References First one Second one")
+
+
 def test_pages(spark):
     """Every page's article, by an independent cut at its tags."""
     import html
