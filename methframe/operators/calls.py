@@ -128,6 +128,12 @@ def chr_log(df: DataFrame, called: DataFrame, genome: DataFrame, min_mapq: int =
     return genome.select("chr").join(reads, "chr", "left").join(sums, "chr", "left").fillna(0)
 
 
+def longest(df: DataFrame) -> int | None:
+    """The largest read length of all aligned reads or pairs; None without reads."""
+    seqs = ["seq1", "seq2"] if "pos2" in df.columns else ["seq"]
+    return max((n for n in df.agg(*[F.max(F.length(c)).alias(c) for c in seqs]).first() if n), default=None)
+
+
 def mbias(observed: DataFrame, cycle: int, mate: int = 1) -> DataFrame:
     """(cycle, six counters) for cycles 1 to *cycle*: reads in the direction of sequencing, overlapping pairs left out."""
     forward, back = F.col("i") + 1, F.lit(cycle) - F.col("i")

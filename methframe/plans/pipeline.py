@@ -24,7 +24,7 @@ class Conf:
     mode: int = 3  # converted letters: 3 all C, 4 those of CpG
     protocol: str = "BS"
     kit: str = "illumina"
-    cycle: int = 0  # 0: detected
+    cycle: int = 0  # 0: detected, from raw reads the usual length, from aligned ones the largest
     min_qual: int = 20
     phred: int = 33
     min_size: int = 20
@@ -102,7 +102,8 @@ class Pipeline:
         called = self.save(CALLS.calls(observed), "calls")
         log = CALLS.chr_log(unique, called, genome, c.min_align)
         out |= {"calls": called, "chr_log": log, "bedgraph": CALLS.bedgraph(called, c.protocol)}
-        n = cycle or c.cycle or 100
+        # Without a given cycle that of the longest read, or bases beyond it would be left out.
+        n = cycle or c.cycle or CALLS.longest(aligned) or 100  # 100: no reads
         for mate in (1, 2) if pairs else (1,):
             out[f"mbias_{mate}"] = CALLS.mbias(observed, n, mate)
         if c.call_cph:

@@ -90,3 +90,20 @@ def test_unknown_chromosomes(spark):
     info = spark.createDataFrame([("chr1", 5)], "chr string, length long")
     df = spark.createDataFrame([("chr1", 1), ("chrU", 2)], "chr string, read_no long")
     assert [r["read_no"] for r in dedup.discarded(df, info).collect()] == [2]
+
+
+def test_longer_reads_than_100_bases_have_all_cycles(spark):
+    """Without a given cycle the M-bias table covers the longest read, on both strands."""
+    g = spark.createDataFrame([("chr1", "ACGT" * 60)], "chr string, seq string")
+    reads = spark.createDataFrame(
+        [(k, "chr1", 1 + 4 * k, 40, "150M", ("ACGT" * 40)[:150], "I" * 150, strand) for k, strand in enumerate("WCWC")],
+        "read_no long, chr string, pos long, mapq int, cigar string, seq string, qual string, strand string",
+    )
+    out = Pipeline(spark, Conf()).run(reads, g)
+    table = {r["cycle"]: r for r in out["mbias_1"].collect()}
+    assert sorted(table) == list(range(1, 151))
+    counters = ["wC", "wT", "wO", "cC", "cT", "cO"]
+    called = out["calls"].collect()
+    assert [sum(r[k] for r in table.values()) for k in counters] == [sum(r[k] for r in called) for k in counters]
+    # C of CpG at offset 1 on W; on C its G at offset 2, counted from the read's right end.
+    assert table[2]["wC"] == 2 and table[148]["cC"] == 2
