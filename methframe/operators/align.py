@@ -5,7 +5,8 @@ exact seeds of a read in a k-mer table of the converted genome, checks each plac
 best.  It reports no gaps, and its mapping quality only tells unique (42) from ambiguous (0 or 1) places.
 
 Scores follow the usual end-to-end scheme: 0 for a match, -MISMATCH for a mismatch, and at least MIN_SCORE per base.
-Places of a seed that occurs more than MAX_PLACES times are found through the read's other seeds.
+Every place of every seed is checked.  The places of a seed that occurs more than MAX_PLACES times are dealt out in
+parts of about that many, and each part is joined by itself, so that no task holds all of them.
 """
 
 from __future__ import annotations
@@ -28,12 +29,19 @@ def _oriented(reads: DataFrame, strand: str) -> DataFrame:
     return reads.select("read_no", F.expr("reverse(translate(seq, 'ACGT', 'TGCA'))").alias("seq"), F.reverse("qual").alias("qual"))
 
 
-def seed_index(genome: DataFrame, strand: str, seed: int = SEED, max_places: int = MAX_PLACES) -> DataFrame:
-    """(kmer, chr, pos) of the C-to-T (W) or G-to-A (C) converted genome, without seeds that occur too often."""
+def seed_index(genome: DataFrame, strand: str, seed: int = SEED) -> DataFrame:
+    """(kmer, chr, pos) of the C-to-T (W) or G-to-A (C) converted genome."""
     base = genome.select("chr", F.translate(F.upper("seq"), "C", "T").alias("seq") if strand == "W" else F.translate(F.upper("seq"), "G", "A").alias("seq"))
-    table = kmers(base, seed)
-    often = table.groupBy("kmer").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_places).select("kmer")
-    return table.join(often, "kmer", "left_anti")
+    return kmers(base, seed)
+
+
+def seed_places(seeds: DataFrame, index: DataFrame, max_places: int = MAX_PLACES) -> DataFrame:
+    """seeds (kmer, ...) with all their places (chr, pos) in the index."""
+    often = index.groupBy("kmer").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_places).select("kmer", F.expr(f"cast(ceil(n / {max_places}) as int)").alias("parts"))
+    rare = seeds.join(index.join(often, "kmer", "left_anti"), "kmer")
+    dealt = index.join(often, "kmer").withColumn("part", F.expr("cast(pmod(xxhash64(chr, pos), parts) as int)")).drop("parts")
+    asked = seeds.join(often, "kmer").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts")
+    return rare.unionByName(asked.join(dealt, ["kmer", "part"]).drop("part"))
 
 
 def align(reads: DataFrame, genome: DataFrame, strand: str, seed: int = SEED, max_places: int = MAX_PLACES) -> DataFrame:
@@ -48,7 +56,7 @@ def align(reads: DataFrame, genome: DataFrame, strand: str, seed: int = SEED, ma
         "read_no", F.explode(F.expr(f"array_distinct(concat(sequence(0, length(seq) - {seed}, {seed}), array(length(seq) - {seed})))")).alias("at"), F.translate("seq", *letter).alias("c")
     )
     seeds = seeds.select("read_no", "at", F.expr(f"substr(c, at + 1, {seed})").alias("kmer"))
-    places = seeds.join(seed_index(genome, strand, seed, max_places), "kmer").select("read_no", "chr", (F.col("pos") - F.col("at")).alias("pos")).where("pos >= 1").distinct()
+    places = seed_places(seeds, seed_index(genome, strand, seed), max_places).select("read_no", "chr", (F.col("pos") - F.col("at")).alias("pos")).where("pos >= 1").distinct()
     met = with_reference(places.join(own, "read_no"), genome, "pos", "length(seq)")
     ref = F.translate(F.upper(F.expr("substr(ref, 3, length(seq))")), *letter)
     met = met.withColumns({"want": ref, "have": F.translate("seq", *letter)}).where("length(want) = length(seq)")

@@ -213,3 +213,26 @@ def test_aligner_finds_simulated_places(spark):
     merged = merge.merge_hypotheses(align.align(converted, g, "W"), align.align(converted, g, "C"))
     rows = profile.accuracy_single(merged.join(reads.select("read_no", "id"), "read_no")).first()
     assert rows["total"] > 0.95 * reads.count() and rows["percent"] > 97
+
+
+def test_aligner_checks_every_place_of_a_repeat(spark):
+    """Reads of a repeat family of more than 64 copies are aligned and told to be ambiguous."""
+    from methframe.operators import align
+
+    parts = [r["seq"] for r in simulate.random_sequences(spark, 101, 60, seed=7).collect()]
+    unit, rest = parts[0].replace("C", "T"), [p.replace("C", "T") for p in parts[1:]]
+    odd = rest[99][:40] + unit[40:]  # one place whose last seed alone is a repeat
+    g = frame(spark, "chr string, seq string", ("chr1", "".join(unit + p for p in rest)), ("chr2", odd))
+    worse = unit[:50] + ("A" if unit[50] != "A" else "G") + unit[51:]
+    reads = frame(spark, "read_no long, seq string, qual string", (1, unit, "I" * 60), (2, worse, "I" * 60), (3, rest[5], "I" * 60), (4, odd, "I" * 60))
+    out = {r["read_no"]: (r["chr"], r["pos"], r["mapq"], r["as_score"], r["has_xs"]) for r in align.align(reads, g, "W").collect()}
+    assert out == {1: ("chr1", 1, 1, 0, True), 2: ("chr1", 1, 1, -6, True), 3: ("chr1", 661, 42, 0, False), 4: ("chr2", 1, 42, 0, False)}
+
+
+def test_parts_of_frequent_seeds_hold_every_place(spark):
+    from methframe.operators import align
+
+    index = spark.range(1000).selectExpr("if(id < 900, 'often', concat('k', id)) as kmer", "concat('chr', id % 3) as chr", "id as pos")
+    seeds = frame(spark, "read_no long, kmer string", (1, "often"), (2, "often"), (3, "k950"), (4, "none"))
+    got = sorted((r["read_no"], r["pos"]) for r in align.seed_places(seeds, index, 7).collect())
+    assert got == sorted([(n, p) for n in (1, 2) for p in range(900)] + [(3, 950)])
