@@ -22,7 +22,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language the model can tell; those without text or letters ('und') go."""
+    """Documents with a letter: only 'und' is rejected, that is null texts, texts without a letter, and all if nothing was learned.
+
+    Which language is predicted, and how surely, decides nothing: texts of no learned language pass.
+    """
     model = language_id.fit(language_id.training_rows(docs, bucket(F.col("doc_id"), 4), HELD_OUT))
     found = language_id.identify(docs, model, lang_out="stage_lang", score_out="stage_score")
     return found.where(F.col("stage_lang") != language_id.UNDETERMINED).select(COLUMNS)
