@@ -7,7 +7,7 @@ rule windows out, so each window of 2n words is judged by one window of n words
 one with the smallest hash); equal windows have equal anchors, and about 2 in n + 2
 windows are anchors of any.  Repeated anchors are kept as a bit filter of fixed size.
 
-At MIN_WORDS every surviving window is grouped by its hash, and all but the first
+At MIN_WORDS every surviving window is grouped by both its hashes (128 bits), and all but the first
 (smallest id, then earliest start) cover the words that go.  Repetitions within one
 batch are settled there, so a passage that a third of all documents share sends one row
 per batch to its group, and the windows of one passage go to different groups.
@@ -39,7 +39,7 @@ def _windows(words: Words, n: int, base: int, filters: dict[int, Filter]) -> tup
         return at, h, at
     half = n // 2
     low_at, low = words.windows(half)
-    by_word = np.zeros(len(words.hash), np.uint64)
+    by_word = np.zeros(len(words.start), np.uint64)
     by_word[low_at] = low
     best, anchor = by_word[at], at.copy()
     for k in range(1, half + 1):
@@ -49,7 +49,7 @@ def _windows(words: Words, n: int, base: int, filters: dict[int, Filter]) -> tup
         anchor = np.where(less, at + k, anchor)
     alive = filters[half](best) if half in filters else np.ones(len(at), bool)
     if half != base:
-        known = np.zeros(len(words.hash), bool)
+        known = np.zeros(len(words.start), bool)
         known[_windows(words, half, base, filters)[0]] = True
         alive &= known[anchor]
     return at[alive], h[alive], anchor[alive]
@@ -70,7 +70,7 @@ def _ladder(df: DataFrame, text_col: str, base: int, min_words: int, bits: int)
                 for _, _, words in scanned(batch.column(0), False):
                     _, _, anchor = _windows(words, 2 * level, base, shared.value)
                     at, h = words.windows(level)
-                    by_word = np.zeros(len(words.hash), np.uint64)
+                    by_word = np.zeros(len(words.start), np.uint64)
                     by_word[at] = h
                     out.append(by_word[np.unique(anchor)])
                 return np.concatenate(out) if out else np.empty(0, np.uint64)
@@ -136,29 +136,31 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     none_left = filters is None
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(key, doc_id, start, sure): one row per surviving window; sure: an earlier one is in the same batch."""
+        """(key, check, doc_id, start, sure): one row per surviving window; sure: an earlier one is in the same batch."""
         for batch in sliced(batches):
             ids, known = _ids(batch.column(0))
-            hs, ds, ps = [], [], []
+            hs, cs, ds, ps = [], [], [], []
             for i, _, words in scanned(batch.column(1), False):
                 at, h, _ = _windows(words, min_words, base, shared.value)
                 doc = words.document_of()[at]
                 ok = known[i + doc]
+                every, c = words.windows(min_words, 1)
                 hs.append(h[ok])
+                cs.append(c[np.searchsorted(every, at[ok])])
                 ds.append(ids[i + doc][ok])
                 ps.append((at - words.first[doc])[ok])
-            h, d, p = np.concatenate(hs), np.concatenate(ds), np.concatenate(ps)
-            order = np.lexsort((p, d, h))
-            h, d, p = h[order], d[order], p[order]
+            h, c, d, p = (np.concatenate(x) for x in (hs, cs, ds, ps))
+            order = np.lexsort((p, d, c, h))
+            h, c, d, p = h[order], c[order], d[order], p[order]
             sure = np.zeros(len(h), bool)
-            sure[1:] = h[1:] == h[:-1]
+            sure[1:] = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
             # Rows that repeat an id and a start tie with the first one.
             first = np.maximum.accumulate(np.where(sure, 0, np.arange(len(h)))) if len(h) else np.empty(0, np.int64)
             sure &= (d != d[first]) | (p != p[first])
             key = np.where(sure, mix(h + np.uint64(2) * np.arange(len(h), dtype=np.uint64) + np.uint64(1)), h)
             for a in range(0, len(h), 1 << 18):
                 b = a + (1 << 18)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(key[a:b])), pa.array(d[a:b]), pa.array(p[a:b].astype(np.int32)), pa.array(sure[a:b])], names=["key", "doc_id", "start", "sure"])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(key[a:b])), pa.array(signed(c[a:b])), pa.array(d[a:b]), pa.array(p[a:b].astype(np.int32)), pa.array(sure[a:b])], names=["key", "check", "doc_id", "start", "sure"])
 
     def settled(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[pa.RecordBatch]:
         """Documents that have surviving windows (with their text), or results of those that have none."""
@@ -179,7 +181,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     yield pa.RecordBatch.from_arrays(rows.columns, names=["doc_id", "text"])
                 else:
                     n = np.diff(words.first)
-                    kept = _squeezed(words, np.ones(len(words.hash), bool)).take(pa.array(pick))
+                    kept = _squeezed(words, np.ones(len(words.start), bool)).take(pa.array(pick))
                     yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n[pick]), pa.array(np.zeros(len(pick), np.int64)), kept], names=RESULT.names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +193,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 n = np.diff(words.first)
                 size = np.diff(at[i : j + 1])
                 begin = np.repeat(words.first[:-1], size) + values[at[i] : at[j]]
-                edge = np.zeros(len(words.hash) + 1, np.int64)
+                edge = np.zeros(len(words.start) + 1, np.int64)
                 np.add.at(edge, begin, 1)
                 np.add.at(edge, begin + min_words, -1)
                 keep = np.cumsum(edge[:-1]) == 0
@@ -201,8 +203,8 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     closed = docs.mapInArrow(lambda b: settled(b, False), RESULT)
     if none_left:
         return closed
-    found = docs.mapInArrow(candidates, "key long, doc_id long, start int, sure boolean")
-    turn = F.rank().over(Window.partitionBy("key").orderBy("doc_id", "start"))
+    found = docs.mapInArrow(candidates, "key long, check long, doc_id long, start int, sure boolean")
+    turn = F.rank().over(Window.partitionBy("key", "check").orderBy("doc_id", "start"))
     removed = found.withColumn("turn", turn).where("sure or turn > 1").groupBy("doc_id").agg(F.collect_list("start").alias("starts"))
     texts = docs.mapInArrow(lambda b: settled(b, True), docs.schema)
     starts = F.coalesce(F.col("starts"), F.array().cast("array<int>"))
