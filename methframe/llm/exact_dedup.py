@@ -1,11 +1,15 @@
 """Exact duplicates with skew-safe combining.
 
-A census of digests finds those that occur more than once (digests only are
-shuffled).  The rows behind them are then combined with their full content as
-part of the key: locally in each map task (partial aggregation), then by digest
-and salt, then the salts' winners by digest.  A hot text so meets in one task
-only as one row per salt.  Content, not the digest, decides at each of these
-stages, so even a digest shared by different texts gives the right groups.
+Rows are combined three times, with their full content as part of the key each time:
+locally in the map tasks (the partial half of the first aggregate, before any shuffle), then by
+(digest, salt, content), then the salts' winners by (digest, content).  A hot text so
+leaves a map task as one row per salt and meets in one task as one row per salt.
+
+Verdicts take the same way back: the salts' rows (at most as many per text as there are salts) learn
+the group's outcome, and every input row meets its own salt's row.  No key of any of
+these joins and aggregates holds more than a salt's share of a text's copies, at any size of
+input; nothing depends on how many texts repeat.  The digest only routes rows: where different contents
+share one, content decides.
 """
 
 from __future__ import annotations
@@ -15,10 +19,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket, fresh, small, stash
+from .common import fresh, partitions, stash
 
 SPACES = r"[\x20\x09-\x0D]+"
-SALTS = 64
+SALTS = 64  # at least; as many as there are shuffle partitions if those are more
 
 
 def normalised(text: Column) -> Column:
@@ -30,11 +34,24 @@ def sha256(content: Column) -> Column:
     return F.sha2(content.cast("binary"), 256)
 
 
+def _routed(df: DataFrame, id_col: str, text_col: str, salts: int, digest: Callable[[Column], Column]) -> DataFrame:
+    """(doc_id, content, digest, salt); the salt comes from the id, so rows that repeat an id share it."""
+    rows = df.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("content"))
+    return rows.select("doc_id", "content", digest(F.col("content")).alias("digest"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
+
+
+def _winners(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(salted, groups): rows per (digest, salt, content) with their smallest id and number, and the same per (digest, content)."""
+    salted = stash(rows.groupBy("digest", "salt", "content").agg(F.min("doc_id").alias("salt_id"), F.count(F.lit(1)).alias("salt_n")))
+    groups = salted.groupBy("digest", "content").agg(F.min("salt_id").alias("keep_id"), F.sum("salt_n").alias("n"))
+    return salted, groups
+
+
 def exact_dedup(
     df: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    salts: int = SALTS,
+    salts: int | None = None,
     digest: Callable[[Column], Column] = sha256,
 ) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
@@ -47,40 +64,30 @@ def exact_dedup(
     An empty table gives an empty result.
 
     digest maps normalised content to a string; it only routes rows (tests use a weak one).
+    Rows with null ids share one salt.
     """
-    rows = df.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("content"))
-    rows = rows.select("doc_id", "content", digest(F.col("content")).alias("digest"))
-    names = rows.select("doc_id", "digest", sha256(F.col("content")).alias("text_sha256")) if digest is not sha256 else rows.select("doc_id", "digest")
-    repeated = small(stash(names.groupBy("digest").count().filter("count > 1").select("digest")))
-
-    salt = F.coalesce(bucket(F.col("doc_id"), salts), F.lit(0)).alias("salt")
-    copies = rows.join(repeated, "digest", "left_semi").select("doc_id", "content", "digest", salt)
-    salted = copies.groupBy("digest", "salt", "content").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
-    groups = stash(salted.groupBy("digest", "content").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("n")))
-
-    verdicts = groups.groupBy("digest").agg(F.count(F.lit(1)).alias("contents"), F.min("keep_id").alias("keep_id"), F.min("n").alias("n"))
-    verdicts = stash(verdicts)
-    plain = small(verdicts.filter("contents = 1").select("digest", "keep_id", "n"))
-    mixed = verdicts.filter("contents > 1").select("digest")
-    out = names.join(plain, "digest", "left")
-    if mixed.take(1):  # different contents under one digest: the content joins
-        doubtful = rows.join(mixed, "digest", "left_semi")
-        settled = doubtful.join(groups, ["digest", "content"]).withColumn("text_sha256", sha256(F.col("content"))).select(*names.columns, "keep_id", "n")
-        out = out.join(mixed, "digest", "left_anti").unionByName(settled)
-    alone = F.col("n").isNull()
-    keep = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
+    salts = salts or max(SALTS, partitions(df.sparkSession))
+    rows = _routed(df, id_col, text_col, salts, digest)
+    salted, groups = _winners(rows)
+    found = stash(groups.select("digest", "keep_id", "n"))
+    collides = bool(found.groupBy("digest").count().where("count > 1").take(1))
+    key = ["digest", "content"] if collides else ["digest"]
+    verdicts = salted.select("salt", *key).join(stash(groups) if collides else found, key)
+    routes = ["salt", *key]
+    text_sha256 = F.col("digest") if digest is sha256 else sha256(F.col("content"))
+    out = rows.select("doc_id", *routes, text_sha256.alias("text_sha256")).join(verdicts, routes, "left")
     return out.select(
         "doc_id",
-        keep.alias("keep_id"),
-        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-        F.coalesce(F.col("doc_id") == keep, F.lit(False)).alias("kept"),
-        F.col("digest" if digest is sha256 else "text_sha256").alias("text_sha256"),
+        "keep_id",
+        F.col("n").cast("long").alias("group_size"),
+        F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"),
+        "text_sha256",
     )
 
 
-def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
+def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int | None = None) -> DataFrame:
     """The rows of df that exact_dedup keeps, with all their columns; its ids decide, so rows with a null id stay, and all rows that repeat a kept id and its text."""
     (mark,) = fresh(df, "dropped_id")
     verdict = exact_dedup(df, id_col, text_col, salts).filter("not kept and doc_id is not null")
-    dropped = small(stash(verdict.select(F.col("doc_id").alias(mark)).distinct()))
+    dropped = stash(verdict.select(F.col("doc_id").alias(mark)).distinct())
     return df.join(dropped, df[id_col] == dropped[mark], "left_anti")

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from methframe.llm import exact_dedup as exact_dedup_module
 from methframe.llm.exact_dedup import drop_copies, exact_dedup
 from methframe.llm.jaccard_join import LocalJoin, jaccard_join, keep_one_of_each
 from methframe.llm.mixing import mix_sources, source_rates
@@ -217,3 +218,25 @@ def test_local_join_agrees_with_all_pairs():
     for k in range(len(sets)):
         groups[root(k)].add(int(got[k]))
     assert all(len(v) == 1 for v in groups.values()) and len({int(x) for x in got}) == len(groups)
+
+
+def test_exact_dedup_spreads_hot_texts(spark):
+    """Half of all rows hold one text: each exchange deals its rows by salt, whatever may be broadcast."""
+    data = [(k, "the same text" if k % 2 else f"text {k}") for k in range(4000)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows_ = exact_dedup_module._routed(df, "doc_id", "text", 64, exact_dedup_module.sha256)
+        plan = rows_.groupBy("digest", "salt", "content").agg(F.min("doc_id"))._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"hashpartitioning\(digest#\d+, salt#\d+, content#\d+", plan) and plan.count("HashAggregate") >= 2
+        salted, _ = exact_dedup_module._winners(rows_)
+        assert salted.count() == 2000 + 64  # a hot text is one row per salt in the global step
+        out = exact_dedup(df)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"hashpartitioning\(salt#\d+, digest#\d+", plan) and "Broadcast" not in plan
+        most = rows_.groupBy("salt", "digest").count().agg(F.max("count")).first()[0]
+        assert most <= 3 * 2000 / 64  # rows of one key on the way back
+        assert out.where("kept").count() == 2001 and {r["group_size"] for r in out.collect()} == {1, 2000}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
