@@ -8,15 +8,17 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A table is broadcast only after it was counted and found to be within this bound.
+#: A table of a few numbers a row is broadcast only after it was counted and found to be within this bound.
 BROADCAST_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster shares (spark.checkpoint.dir); a temporary one only where that is unset, as in tests."""
+    """The folder the cluster shares (spark.checkpoint.dir); a temporary one only where that is unset and driver and executors are one process, as in tests."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if not (sc.master or "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="checkpoints-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(found)
@@ -30,9 +32,14 @@ def stash(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def at_most(df: DataFrame, rows: int) -> bool:
+    """Whether df (already stashed) has at most *rows* rows; reads no more than one row beyond."""
+    return len(df.limit(rows + 1).select(F.lit(1)).take(rows + 1)) <= rows
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df (already stashed), hinted for a broadcast if it has at most *rows* rows; left to the planner otherwise."""
-    return F.broadcast(df) if len(df.limit(rows + 1).select(F.lit(1)).take(rows + 1)) <= rows else df
+    """df (already stashed, of a few numbers a row), hinted for a broadcast if it has at most *rows* rows; left to the planner otherwise."""
+    return F.broadcast(df) if at_most(df, rows) else df
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

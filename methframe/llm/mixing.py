@@ -3,7 +3,10 @@
 Each document is repeated by a Poisson number whose mean is its source's target
 repetition rate.  The number is drawn by inversion: a hash of seed and id gives
 a uniform value, and the number is the count of cumulative probabilities at or
-below it.  Copies are then dealt out by a hash, which shuffles them globally.
+below it.  A mean above PART_MEAN is the sum of that many equal parts as keep each below it,
+drawn one by one with a hash of seed, id and part: sums of Poisson numbers are Poisson numbers,
+and table and work stay in proportion to the copies, whatever the mean.
+Copies are then dealt out by a hash, which shuffles them globally.
 """
 
 from __future__ import annotations
@@ -11,9 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, partitions, small, stash, without
+from .common import at_most, fresh, partitions, stash, without
 
 _HEX = 13  # hexadecimal digits: 52 bits, exact in a double
+PART_MEAN = 32.0
+STRIDE = 256  # more than a part's table of cumulative probabilities is long
+SOURCES = 4096  # broadcast tables have as many rows at most, of 131 numbers at most
+HOT_SHARE = 1000  # a source with at least one in so many rows is broadcast in any case
+_BLOCK = 4096  # parts of a draw that one array holds
 
 
 def _uniform(*parts: Column) -> Column:
@@ -23,7 +31,7 @@ def _uniform(*parts: Column) -> Column:
 
 
 def _cumulative(rate: Column) -> Column:
-    """P(X <= k) for k from 0 to far beyond the mean of a Poisson distribution, summed in logarithms."""
+    """P(X <= k) for k from 0 to far beyond the mean (PART_MEAN at most) of a Poisson distribution, summed in logarithms."""
     top = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
     start = F.struct(F.lit(0.0).alias("log_factorial"), F.exp(-rate).alias("total"), F.array(F.exp(-rate)).alias("cdf"))
 
@@ -36,11 +44,11 @@ def _cumulative(rate: Column) -> Column:
 
 
 def source_rates(df: DataFrame, source_col: str, text_col: str, weights: dict[str, float] | None, epochs: float) -> DataFrame:
-    """(name, rate): mean repetitions of a source's documents so that its share of characters meets its weight.
+    """(name, rate, documents): mean repetitions of a source's documents so that its share of characters meets its weight, and their number.
 
     weights: by source name, sources left out get none; null: proportional to the square root of a source's characters.
     """
-    sizes = df.groupBy(F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("name")).agg(F.sum(F.coalesce(F.length(text_col), F.lit(0)).cast("long")).alias("chars"))
+    sizes = df.groupBy(F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("name")).agg(F.sum(F.coalesce(F.length(text_col), F.lit(0)).cast("long")).alias("chars"), F.count(F.lit(1)).alias("documents"))
     if weights is None:
         weighted = sizes.withColumn("weight", F.sqrt(F.col("chars").cast("double")))
     else:
@@ -49,7 +57,22 @@ def source_rates(df: DataFrame, source_col: str, text_col: str, weights: dict[st
     totals = weighted.agg(F.sum("weight").alias("all_weight"), F.sum("chars").alias("all_chars"))
     share = F.col("weight") / F.col("all_weight") * F.col("all_chars") * F.lit(float(epochs)) / F.col("chars")
     rate = F.when((F.col("chars") > 0) & (F.col("weight") > 0), share).otherwise(F.lit(0.0))
-    return weighted.join(F.broadcast(totals)).select("name", rate.alias("rate"))  # totals: one row
+    return weighted.join(F.broadcast(totals)).select("name", rate.alias("rate"), "documents")  # totals: one row
+
+
+def _with_tables(df: DataFrame, name: str, tables: DataFrame, rate_name: str, documents: str) -> DataFrame:
+    """df joined with the tables of its rows' sources; rows of other sources go.
+
+    Few tables are broadcast.  Of more, those of hot sources are (HOT_SHARE at most), and the other sources, none of
+    which has a larger share of the rows, meet theirs by a shuffle.
+    """
+    on = F.col(name) == F.col(rate_name)
+    if at_most(tables, SOURCES):
+        return df.join(F.broadcast(tables), on)
+    whole = tables.agg(F.sum(documents)).first()[0]
+    hot = F.broadcast(tables.where(F.col(documents) * HOT_SHARE >= whole))
+    cold = tables.where(F.col(documents) * HOT_SHARE < whole)
+    return df.join(hot, on).unionByName(df.join(hot, on, "left_anti").join(cold.hint("shuffle_hash"), on))
 
 
 def mix_sources(
@@ -65,7 +88,8 @@ def mix_sources(
 ) -> DataFrame:
     """The documents, each as often as its draw says, dealt out by order_col.
 
-    All columns of df stay; copy_col numbers a document's copies from 1 and order_col
+    All columns of df stay; copy_col (long) numbers a document's copies: from 1 on in the first part of its draw (the only
+    one where the mean is at most PART_MEAN), from STRIDE + 1 on in the second, and so on.  order_col
     (32 hexadecimal digits) is sorted within partitions that are dealt by it, so reading
     the partitions in any order gives a random order.  Columns of these two names are replaced.
     A null source is the source ''.  A null id draws like the text 'null'.  Rows that repeat
@@ -73,15 +97,19 @@ def mix_sources(
     texts of other sources are drawn like the rest; an empty table gives none.
     """
     df = without(df, order_col, copy_col)
-    name, draw, cdf, rate_name = fresh(df, "mix_source", "mix_draw", "mix_cdf", "mix_name")
+    name, draw, cdf, rate_name, parts, block, part, documents = fresh(df, "mix_source", "mix_draw", "mix_cdf", "mix_name", "mix_parts", "mix_block", "mix_part", "mix_documents")
     rates = source_rates(df, source_col, text_col, weights, epochs).filter("rate > 0")
-    table = small(stash(rates.select(F.col("name").alias(rate_name), _cumulative(F.col("rate")).alias(cdf))))
+    rates = rates.withColumn(parts, F.greatest(F.ceil(F.col("rate") / PART_MEAN).cast("long"), F.lit(1).cast("long")))
+    tables = stash(rates.select(F.col("name").alias(rate_name), parts, F.col("documents").alias(documents), _cumulative(F.col("rate") / F.col(parts)).alias(cdf)))
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    u = _uniform(F.lit(str(seed)), key)
-    n = F.size(F.filter(F.col(cdf), lambda p: p <= F.col(draw)))
-    drawn = df.withColumn(name, F.coalesce(F.col(source_col).cast("string"), F.lit(""))).withColumn(draw, u)
-    drawn = drawn.join(table, F.col(name) == F.col(rate_name)).withColumn(draw, n).filter(F.col(draw) > 0)
-    copies = drawn.select(*[df[c] for c in df.columns], F.explode(F.sequence(F.lit(1), F.col(draw))).alias(copy_col))
+    known = _with_tables(df.withColumn(name, F.coalesce(F.col(source_col).cast("string"), F.lit(""))), name, tables, rate_name, documents)
+    # The parts of each draw, at most _BLOCK to an array.
+    known = known.withColumn(block, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(parts) - 1) / _BLOCK))))
+    known = known.withColumn(part, F.explode(F.sequence(F.col(block) * _BLOCK, F.least((F.col(block) + 1) * _BLOCK, F.col(parts)) - 1)))
+    u = _uniform(F.lit(str(seed)), key, F.when(F.col(part) > 0, F.col(part).cast("string")))
+    known = known.withColumn(draw, u)
+    drawn = known.withColumn(draw, F.size(F.filter(F.col(cdf), lambda p: p <= F.col(draw)))).filter(F.col(draw) > 0)
+    copies = drawn.select(*[df[c] for c in df.columns], F.explode(F.sequence(F.col(part) * STRIDE + 1, F.col(part) * STRIDE + F.col(draw))).alias(copy_col))
     order = F.md5(F.concat_ws(":", F.lit(f"order-{seed}"), key, F.col(copy_col).cast("string")).cast("binary"))
     dealt = copies.withColumn(order_col, order).repartition(partitions(df.sparkSession), order_col)
     return dealt.sortWithinPartitions(order_col)

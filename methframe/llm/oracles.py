@@ -8,20 +8,24 @@ WITH sizes AS (
 ), rates AS (
   SELECT name, sqrt(chars::DOUBLE) / all_weight * all_chars * 1.0::DOUBLE / chars AS rate
   FROM sizes, totals WHERE chars > 0
+), parts AS (
+  SELECT name, ceil(rate / 32.0::DOUBLE)::BIGINT AS parts, rate / ceil(rate / 32.0::DOUBLE)::BIGINT AS rate FROM rates WHERE rate > 0
 ), steps AS (
   SELECT name, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) AS p
-  FROM rates, range(0, 400) AS r(k) WHERE rate > 0 AND k <= ceil(rate + 12 * sqrt(rate) + 30)
+  FROM parts, range(0, 256) AS r(k) WHERE k <= ceil(rate + 12 * sqrt(rate) + 30)
 ), cdfs AS (
   SELECT name, k, sum(p) OVER (PARTITION BY name ORDER BY k) AS cdf FROM steps
+), pieces AS (
+  SELECT d.*, coalesce(d.doc_id::VARCHAR, 'null') AS key, p.name, unnest(range(0, p.parts)) AS part
+  FROM documents d JOIN parts p ON p.name = coalesce(d.source, '')
 ), draws AS (
-  SELECT *, ('0x' || substr(md5('17:' || doc_id), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u FROM documents
-), counts AS (
-  SELECT d.doc_id, count(*) AS n FROM draws d JOIN cdfs c ON c.name = coalesce(d.source, '') AND c.cdf <= d.u GROUP BY 1
+  SELECT *, ('0x' || substr(md5('17:' || key || CASE WHEN part > 0 THEN ':' || part ELSE '' END), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u FROM pieces
 ), copies AS (
-  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, unnest(range(1, n + 1))::INTEGER AS replica
-  FROM documents d JOIN counts USING (doc_id)
+  SELECT doc_id, text, lang, source, n_chars, key,
+         unnest(range(part * 256 + 1, part * 256 + 1 + (SELECT count(*) FROM cdfs c WHERE c.name = d.name AND c.cdf <= d.u))) AS replica
+  FROM draws d
 )
-SELECT *, md5('order-17:' || doc_id || ':' || replica) AS order_key FROM copies
+SELECT doc_id, text, lang, source, n_chars, replica, md5('order-17:' || key || ':' || replica) AS order_key FROM copies
 """
 
 OP9 = r"""

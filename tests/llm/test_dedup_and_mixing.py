@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import math
 import re
 
 import duckdb
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from methframe.llm import exact_dedup as exact_dedup_module
+from methframe.llm import mixing
 from methframe.llm.exact_dedup import drop_copies, exact_dedup
 from methframe.llm.jaccard_join import LocalJoin, jaccard_join, keep_one_of_each
 from methframe.llm.mixing import mix_sources, source_rates
@@ -90,6 +92,45 @@ def test_mixing_meets_weights(spark):
     assert n["small"] / (n["small"] + n["big"]) == pytest.approx(0.75, abs=0.01) and n["small"] + n["big"] == pytest.approx(40_000, rel=0.02)
 
 
+def inverted(rate, key, seed=17):
+    """Numbers of copies by inversion, part by part, in plain Python."""
+    parts = math.ceil(rate / 32)
+    mean, out = rate / parts, []
+    for k in range(parts):
+        u = int(hashlib.md5(f"{seed}:{key}{f':{k}' if k else ''}".encode()).hexdigest()[:13], 16) / 2**52
+        n, p = 0, math.exp(-mean)
+        total = p
+        while total <= u:
+            n += 1
+            p *= mean / n
+            total += p
+        out += [256 * k + j + 1 for j in range(n)]
+    return out
+
+
+@pytest.mark.parametrize("sources", [4096, 1])
+def test_mixing_of_any_mean(spark, monkeypatch, sources):
+    """Means from below one to many thousands, null and repeated ids; few tables are broadcast, of more only those of hot sources."""
+    monkeypatch.setattr(mixing, "SOURCES", sources)
+    monkeypatch.setattr(mixing, "HOT_SHARE", 3)
+    data = [(k, "x" * 100, "big") for k in range(300)] + [(900, "y", "tiny"), (901, "yy" * 5, "small"), (901, "yy" * 5, "small"), (None, "zz", None), (None, None, "big"), (903, "", "empty")]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3)
+    weights = {"big": 1.0, "tiny": 2.0, "small": 0.05, "": 0.5, "empty": 1.0}
+    rates = {r["name"]: r["rate"] for r in source_rates(df, "source", "text", weights, 1.0).collect()}
+    assert rates["tiny"] > 10_000 and rates["big"] < 1
+    want = counted((i, t, k) for i, t, s in data if rates[s or ""] > 0 for k in inverted(rates[s or ""], "null" if i is None else i))
+    assert counted((r["doc_id"], r["text"], r["replica"]) for r in mix_sources(df, weights).collect()) == want
+
+
+def test_mixing_sql_on_null_and_repeated_ids(spark, tmp_path):
+    df = spark.createDataFrame([(k % 40 if k % 7 else None, "word " * (k % 13), "en", ["a", "b", None][k % 3], k) for k in range(120)] + [(500, "z", "en", "lone", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = QUERIES["op2_mix_sources"](spark, str(tmp_path))
+    assert counted(map(tuple, got.select("doc_id", "text", "lang", "source", "n_chars", "replica", "order_key").collect())) == counted(c.execute(ORACLES["op2_mix_sources"]).fetchall())
+
+
 def without_repeats(data, size):
     """Removed words by the definition: starts in a smaller id, or earlier in the same document."""
     first = {}
