@@ -1,20 +1,20 @@
 """SentencePiece encoding and decoding by a streaming Viterbi pass.
 
-The lattice of pieces is walked left to right with one backpointer per position.
-Which path into a position survives is decided as the model's kind demands:
+The lattice of pieces is walked left to right with one backpointer per position, the
+piece that ends there.  Which path into a position survives is decided as the model's kind demands:
 
 * unigram models: the path with the highest sum of piece scores;
 * merge (BPE) models: the path that merging would give.  A sequence of pieces is
   the result of merging exactly if every two neighbours, merged on their own, stay as
   they are; so each position has one surviving backpointer, found from its neighbour.
 
-Only a window as long as the longest piece is open: no later piece can reach back
-further.  As soon as the backpointer paths of all open positions meet in one
-boundary, the ids before it are committed and forgotten.
+Only positions within the longest piece's length can still be reached back to.  Whenever the window of
+open positions is twice that long, the paths of those positions are followed down; where all meet in one
+boundary, the ids before it are committed and their positions forgotten.
 
 Positions that no piece spans (before a space, around characters that are in no
-piece) are such boundaries for every text; the stretches between them are remembered
-in a bounded table, since most recur.
+piece) are such boundaries for every text.  So a text is handed to the pass stretch by stretch between them,
+and what the pass committed for a stretch is remembered in a bounded table, since most stretches recur.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from array import array
 
 import ahocorasick
 import numpy as np
@@ -39,6 +39,7 @@ UNIGRAM, BPE = 1, 2
 REMEMBERED = 200_000  # stretches that make a worker forget those it has not met since the last time
 REMEMBER_UP_TO = 64  # characters of a remembered stretch
 _UNKNOWN_PENALTY = 10.0
+_NONE, _STRANGE = -1, -2  # no piece ends here; _STRANGE - code point: a character that is no piece
 
 
 class Vocabulary:
@@ -77,9 +78,9 @@ class Codec:
         self.stretch = None if inner else re.compile(f" *[^ {lone}]+| +|[{lone}]" if apart else " *[^ ]+| +", re.S)
         self.memory: dict[str, bytes] = {}  # stretches since the last turn, and those before it
         self.older: dict[str, bytes] = {}
-        self.stays: dict[tuple[str, str], bool] = {}
         self.pairs: dict[int, bool] = {}
         self.lengths = [len(p) for p in v.names]
+        self.passes = self.commits = self.widest = 0  # stretches walked, commits inside of them, most open positions
         self.halves: dict[str, tuple[str, str] | None] = {}  # of each piece that merging can make: the two parts merged last
         if v.merging:
             for p in self.ids:
@@ -137,16 +138,8 @@ class Codec:
                 offer(left[i])
         return [p for p in parts if p is not None], last
 
-    def _stay(self, a: str, b: str) -> bool:
-        """Whether two neighbouring pieces stay as they are when merged on their own."""
-        found = self.stays.get((a, b))
-        if found is None:
-            if len(self.stays) > REMEMBERED:
-                self.stays.clear()
-            found = self.stays[a, b] = self._stays(a, b)
-        return found
-
     def _stays(self, a: str, b: str) -> bool:
+        """Whether two neighbouring pieces stay as they are when merged on their own."""
         tied = a[-1] == SPACE == b[0] or SPACE * 2 in a  # runs of spaces have equal scores
         return self._merged(a + b)[0] == [a, b] if tied or not self.ordered else self._never_joined(a, b)
 
@@ -172,98 +165,101 @@ class Codec:
 
     # --- the streaming pass -------------------------------------------------------------
 
-    def segments(self, text: str) -> Iterator[str]:
-        """The pieces of a text, in order; unknown characters come as themselves."""
-        # Open positions: base is committed; back[k], best[k] belong to position base + 1 + k.
-        base, before = 0, None  # before: the committed piece that ends at base
-        back: list[int] = []
-        best: list[float] = []
-        longest, merging, stays, stay = self.longest, self.v.merging, self.stays, self._stay
-        found = self.lattice.iter(text)  # (last character, (length, score, id)) of every piece in the text, by end, longest first
-        at, edge = next(found, (-1, None))
-        for end in range(1, len(text) + 1):
-            winner, top = -1, -np.inf
-            single = False
-            while at == end - 1:
-                start = end - edge[0]
-                single = single or edge[0] == 1
-                if start < base:
-                    pass
-                elif not merging:
-                    score = edge[1] + (0.0 if start == base else best[start - base - 1])
-                    if score > top:
-                        winner, top = start, score
-                elif winner < 0:
-                    last = before if start == base else text[back[start - base - 1] : start]
-                    if last is None:
-                        winner = start
-                    else:
-                        ok = stays.get(pair := (last, text[start:end]))
-                        if ok or ok is None and stay(*pair):
-                            winner = start
-                at, edge = next(found, (-1, None))
-            if not single:  # a character that is no piece
-                start = end - 1
-                score = self.floor + (0.0 if start == base else best[start - base - 1])
-                if winner < 0 or not merging and score > top:
-                    winner, top = start, score
-            back.append(winner)
-            best.append(top)
-            # Later pieces begin at open positions only: follow all their paths down to where they meet.
-            if len(back) >= 2 * longest:
-                heads = set(range(max(base, end - longest + 1), end + 1))
-                while len(heads) > 1:
-                    h = max(heads)
-                    heads.remove(h)
-                    heads.add(back[h - base - 1] if h > base else base)
-                meet = heads.pop()
-                if meet > base:
-                    done = self._path(text, base, meet, back)
-                    yield from done
-                    before = done[-1]
-                    lost = best[meet - base - 1]
-                    back = back[meet - base :]
-                    best = [b - lost for b in best[meet - base :]]
-                    base = meet
-        yield from self._path(text, base, len(text), back)
-
-    def _short(self, text: str) -> list[int] | None:
-        """The pass of *segments* for a merge model and a text that fits into one window, on ids; null if a character is no piece."""
-        last = [-1] * (len(text) + 1)  # the surviving piece that ends here
-        pairs, many = self.pairs, len(self.v.names)
-        for end, (length, _, i) in self.lattice.iter(text):
-            if last[end + 1] < 0:
-                start = end + 1 - length
-                if start:
+    def walk(self, text: str) -> list[int]:
+        """The pieces of a text in order, by id; characters that are no piece as _STRANGE - code point."""
+        merging, longest, lengths, pairs, many = self.v.merging, self.longest, self.lengths, self.pairs, len(self.lengths)
+        done: list[int] = []
+        base, top, limit = 0, 0, 2 * longest  # committed up to base; open positions
+        last = [_NONE] * (min(len(text), limit) + 1)  # of base and the open positions after it: the surviving piece,
+        best = [] if merging else [0.0] + [-np.inf] * (len(last) - 1)  # and its path's score
+
+        get = pairs.get
+        self.passes += 1
+        for end, (length, score, i) in self.lattice.iter(text):  # every piece in the text, by end, longest first
+            k = end + 1 - base
+            if k == top + 1 and top < limit and merging and (last[top] != _NONE or not top):
+                top = k  # the usual step
+            while k != top:
+                if top and (last[top] == _NONE or not merging):
+                    self._close(text[base + top - 1], last, best, top)
+                if top >= limit:
+                    self.widest = max(self.widest, top)
+                    meet = self._meet(last, top)
+                    if meet:
+                        done += self._back(last, meet)
+                        best = [x - best[meet] for x in best[meet:]]
+                        last = last[meet:]
+                        base, top, k = base + meet, top - meet, k - meet
+                        self.commits += 1
+                    limit = max(top, longest) + longest
+                    more = limit + 1 - len(last)
+                    last += [_NONE] * more
+                    best += [] if merging else [-np.inf] * more
+                top += 1
+            start = k - length
+            if start < 0:
+                continue
+            if not merging:
+                score += best[start]
+                if score > best[k]:
+                    last[k], best[k] = i, score
+            elif last[k] == _NONE:
+                if start or base:
                     before = last[start]
-                    if before < 0:
-                        return None
-                    ok = pairs.get(before * many + i)
-                    if ok is None:
-                        if len(pairs) > 2 * REMEMBERED:
-                            pairs.clear()
-                        ok = pairs[before * many + i] = self._stays(self.v.names[before], self.v.names[i])
-                    if ok:
-                        last[end + 1] = i
+                    if before >= 0:
+                        ok = get(before * many + i)
+                        if ok is None:
+                            if len(pairs) > 2 * REMEMBERED:
+                                pairs.clear()
+                            ok = pairs[before * many + i] = self._stays(self.v.names[before], self.v.names[i])
+                        if ok:
+                            last[k] = i
+                    else:
+                        last[k] = i
                 else:
-                    last[end + 1] = i
-        out, end = [], len(text)
-        while end:
+                    last[k] = i
+        while True:
+            if top and (last[top] == _NONE or not merging):
+                self._close(text[base + top - 1], last, best, top)
+            if base + top == len(text):
+                break
+            top += 1
+            if top == len(last):
+                last.append(_NONE)
+                best += [] if merging else [-np.inf]
+        self.widest = max(self.widest, top)
+        return done + self._back(last, top)
+
+    def _close(self, ch: str, last: list[int], best: list[float], top: int) -> None:
+        """Position top is complete: a character that is no piece is one by itself where no piece, or no better path, ends."""
+        if self.v.merging:
+            if last[top] == _NONE:
+                last[top] = _STRANGE - ord(ch)
+        elif ch not in self.reachable and best[top - 1] + self.floor > best[top]:
+            last[top], best[top] = _STRANGE - ord(ch), best[top - 1] + self.floor
+
+    def _meet(self, last: list[int], top: int) -> int:
+        """The position that the paths of all positions which a later piece can begin at have in common."""
+        lengths = self.lengths
+        heads = set(range(max(0, top - self.longest + 1), top + 1))
+        while len(heads) > 1:
+            h = max(heads)
+            heads.remove(h)
+            heads.add(h - (lengths[last[h]] if last[h] >= 0 else 1))
+        return heads.pop()
+
+    def _back(self, last: list[int], end: int) -> list[int]:
+        """The path into a position, from base on."""
+        out, lengths = [], self.lengths
+        while end > 0:
             i = last[end]
-            if i < 0:
-                return None
             out.append(i)
-            end -= self.lengths[i]
+            end -= lengths[i] if i >= 0 else 1
         return out[::-1]
 
-    @staticmethod
-    def _path(text: str, base: int, end: int, back: list[int]) -> list[str]:
-        out = []
-        while end > base:
-            start = back[end - base - 1]
-            out.append(text[start:end])
-            end = start
-        return out[::-1]
+    def segments(self, text: str) -> list[str]:
+        """The pieces of a text, in order; unknown characters come as themselves."""
+        return [self.v.names[i] if i >= 0 else chr(_STRANGE - i) for i in self.walk(text)]
 
     def _ids(self, piece: str) -> list[int]:
         i = self.ids.get(piece)
@@ -276,9 +272,10 @@ class Codec:
     def _stretch_ids(self, stretch: str) -> bytes:
         found = self.older.get(stretch)
         if found is None:
-            escaped = stretch.replace(" ", SPACE)
-            short = self._short(escaped) if self.v.merging and len(stretch) <= 2 * self.longest else None
-            found = np.array(short or [i for p in self.segments(escaped) for i in self._ids(p)], np.int32).tobytes()
+            ids = self.walk(stretch.replace(" ", SPACE))
+            if ids and min(ids) < 0:
+                ids = [j for i in ids for j in ([i] if i >= 0 else self._ids(chr(_STRANGE - i)))]
+            found = array("i", ids).tobytes()
         if len(stretch) <= REMEMBER_UP_TO:
             if len(self.memory) >= REMEMBERED:
                 self.older = dict(self.memory)

@@ -244,10 +244,26 @@ def test_pieces_equal_library(codec, library, sample):
 
 
 def test_pieces_commit_in_a_window(codec, library):
-    """The general pass on texts without boundaries, far longer than the window."""
-    for t in ("aab" * 3000, "internationalization" * 400, "漢字かな" * 900):
-        got = [i for p in codec.segments("▁" + t) for i in codec._ids(p)]
-        assert got == library.encode(t)
+    """Texts without boundaries, far longer than the window, which stays within a few lengths of the longest piece."""
+    for t in ("aab" * 3000, "internationalization" * 400, "漢字かな" * 900, "a😀bc" * 2000):
+        codec.passes = codec.commits = codec.widest = 0
+        assert codec.encode(t).tolist() == library.encode(t)
+        assert codec.passes == 1 and codec.commits > len(t) / (4 * codec.longest) and codec.widest <= 4 * codec.longest
+
+
+def test_pieces_all_pass_through_the_window(library, sample):
+    """Every stretch that is not remembered is walked; what is remembered was committed by a walk."""
+    with open(piece_model(), "rb") as f:
+        c = pieces.Codec(pieces.Vocabulary(f.read()))
+    texts = [r["text"] for r in sample.select("text").collect()]
+    distinct = {x for t in texts if t for x in c.stretch.findall(" " + t)}
+    for t in texts:
+        c.encode(t)
+    assert c.passes == len(distinct) and c.widest <= 4 * c.longest
+    before = c.passes
+    c.memory.clear()
+    c.older.clear()
+    assert c.encode(texts[0]).tolist() == library.encode(texts[0]) and c.passes > before
 
 
 def test_unigram_paths():
