@@ -9,13 +9,18 @@ cross-parsing estimate: phrases * log2(training length) / text length.
 Fitting is bounded: per language the labelled documents with the smallest hashes,
 DOCUMENTS at most, give LETTERS symbols at most.  Every language with a training row is
 learned; automata are broadcast in groups of GROUP languages, and a worker holds one group at a time.
-Prediction reads whole texts.  Texts are parsed in blocks of BLOCK symbols, each
-begun at the root, so that thousands of blocks advance together in numpy.
+Prediction reads whole texts, and a phrase ends only where the language has no longer match.  For numpy, thousands of
+blocks of BLOCK symbols advance together: first each from the root, then again from the state
+in which its predecessor ended, until the two walks meet (from there on they are one) or the block ends;
+this is repeated while any block's last state changed.  The counts are those of one walk over the whole text.
+
+Letters and the marks that combine with them are symbols, everything else is a space.
 """
 
 from __future__ import annotations
 
 import copy
+import unicodedata
 from collections.abc import Callable
 
 import numpy as np
@@ -127,19 +132,45 @@ class Group:
         entry = self.table[self.roots + np.arange(width)]
         self.first = np.where(entry >> 32 == np.arange(width), entry & 0xFFFFFFFF, self.roots)
 
-    def phrases(self, symbols: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Phrases (languages x blocks) of the blocks of symbols at start, longest first."""
-        active = np.searchsorted(-size, -np.arange(BLOCK), "left")  # blocks longer than t
+    def _step(self, state: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next states, whether a phrase began) of states (languages x walks) by the walks' next symbols; a symbol that a language lacks is a phrase and leads to its root."""
+        entry = self.table[state + c]
+        restart = entry >> 32 != c  # no transition was left
+        return np.where(restart, self.first[:, c], entry & 0xFFFFFFFF), restart | (state == self.roots)
+
+    def phrases(self, symbols: np.ndarray, start: np.ndarray, size: np.ndarray, follows: np.ndarray) -> np.ndarray:
+        """Phrases (languages x blocks) that begin in the blocks of symbols at start; follows: whether a block goes on with the text of the one before."""
+        order = np.argsort(-size, kind="stable")
+        begin, length = start[order], size[order]
+        active = np.searchsorted(-length, -np.arange(int(length[0])), "left")  # blocks longer than t
         state = np.repeat(self.roots, len(start), 1)
-        count = np.ones((len(self.roots), len(start)), np.int32)
-        for t in range(int(size[0])):
+        count = np.zeros((len(self.roots), len(start)), np.int32)
+        for t in range(int(length[0])):
             m = active[t]
-            c = symbols[start[:m] + t].astype(np.int64)
-            entry = self.table[state[:, :m] + c]
-            restart = entry >> 32 != c  # no transition was left
+            state[:, :m], restart = self._step(state[:, :m], symbols[begin[:m] + t].astype(np.int64))
             count[:, :m] += restart
-            state[:, :m] = np.where(restart, self.first[:, c], entry & 0xFFFFFFFF)
-        return count
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        count, last = count[:, back], state[:, back]
+        entered = np.repeat(self.roots, len(start), 1)
+        while True:
+            ahead = np.roll(last, 1, 1)
+            again = np.flatnonzero(follows & (ahead != entered).any(0))  # blocks that begin in another state than they were walked from
+            if not len(again):
+                return count
+            old, new = entered[:, again], ahead[:, again]
+            entered[:, again] = new
+            begin, left, t = start[again], size[again], 0
+            while len(again):
+                c = symbols[begin + t].astype(np.int64)
+                old, before = self._step(old, c)
+                new, now = self._step(new, c)
+                count[:, again] += now.astype(np.int32) - before
+                t += 1
+                over = left == t
+                last[:, again[over]] = new[:, over]
+                on = (old != new).any(0) & ~over
+                again, begin, left, old, new = again[on], begin[on], left[on], old[:, on], new[:, on]
 
 
 class LanguageModel:
@@ -147,10 +178,11 @@ class LanguageModel:
 
     def __init__(self, samples: dict[str, list[str]], letters: int = LETTERS, group: int = GROUP):
         texts = {lang: " ".join(t.lower() for t in parts) for lang, parts in sorted(samples.items())}
-        known = sorted({ch for t in texts.values() for ch in set(t) if ch.isalpha()})  # each letter is a symbol of its own
+        known = sorted({ch for t in texts.values() for ch in set(t) if _counts(ch)})  # each is a symbol of its own
         self.width = len(known) + 2  # then "another letter" and "space"
         self.letter = {ch: i for i, ch in enumerate(known)}
         self.codes = _symbol_table(self.letter, self.width)
+        self.alpha = np.fromiter((chr(k).isalpha() for k in range(0x110000)), bool, 0x110000)
         self.langs, self.sizes, self.samples = [], [], []
         for lang, t in texts.items():
             symbols = _collapse(self.codes, np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32), self.width - 1)[0][:letters]
@@ -181,7 +213,9 @@ class LanguageModel:
         np.cumsum([len(t) for t in texts], out=bounds[1:])
         symbols, kept = _collapse(self.codes, points, width - 1, bounds)
         lengths = np.diff(kept)
-        lettered = np.add.reduceat(np.append((symbols < width - 1).astype(np.int64), 0), np.minimum(kept[:-1], len(symbols))) * (lengths > 0) > 0
+        found = np.zeros(len(points) + 1, np.int64)
+        np.cumsum(self.alpha[points], out=found[1:])
+        lettered = found[bounds[1:]] > found[bounds[:-1]]
         out = np.zeros((n, sum(len(g.roots) for g in groups)), np.int64)
         if not groups or not len(symbols):
             return out, lengths, lettered
@@ -190,11 +224,9 @@ class LanguageModel:
         rank = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         start = kept[:-1][owner] + rank * BLOCK
         size = np.minimum(BLOCK, kept[1:][owner] - start)
-        order = np.argsort(-size, kind="stable")
-        owner, start, size = owner[order], start[order], size[order]
         i = 0
         for g in groups:
-            for count in g.phrases(symbols, start, size):
+            for count in g.phrases(symbols, start, size, rank > 0):
                 out[:, i] = np.bincount(owner, count, n).astype(np.int64)
                 i += 1
         return out, lengths, lettered
@@ -230,11 +262,16 @@ class LanguageModel:
         return names, scores
 
 
+def _counts(ch: str) -> bool:
+    """Whether a character is a symbol: a letter, or a mark that combines with letters."""
+    return ch.isalpha() or unicodedata.category(ch)[0] == "M"
+
+
 def _symbol_table(letter: dict[str, int], width: int) -> np.ndarray:
     """Symbol of each code point below 0x110000: known letters, another letter, space."""
     out = np.full(0x110000, width - 1, np.uint8 if width <= 256 else np.int32)
     for point in range(0x110000):
-        if chr(point).isalpha():
+        if _counts(chr(point)):
             out[point] = width - 2
     for ch, i in letter.items():
         out[ord(ch)] = i

@@ -57,7 +57,30 @@ def test_phrases_are_longest_matches():
     phrases, lengths, lettered = model.phrases(texts)
     for t, n in zip(texts[:3], phrases[:3, 0], strict=True):
         assert n == occurs_parse(t, training)
-    assert lengths.tolist() == [len(t) for t in texts] and lettered.all()
+    assert phrases[3, 0] == 3 and lengths.tolist() == [len(t) for t in texts] and lettered.all()
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, 64, 1024])
+def test_phrases_go_on_across_blocks(monkeypatch, block):
+    """Texts of any number of blocks, with long matches, symbols that a language lacks, and repeats of the training text."""
+    monkeypatch.setattr(language_id, "BLOCK", block)
+    r = random.Random(block)
+    training = {k: "".join(r.choice(v) for _ in range(600)) for k, v in (("a", "abc "), ("b", "abd"), ("c", "zy "))}
+    training = {k: " ".join(v.split()) for k, v in training.items()}
+    model = language_id.LanguageModel({k: [v] for k, v in training.items()})
+    texts = [" ".join("".join(r.choice("abcdzyq ") for _ in range(n)).split()) for n in (0, 1, 3, 40, 500, 1300)] + list(training.values()) + [training["a"] * 3, "q" * 200, training["c"][5:] + training["a"]]
+    phrases, _, _ = model.phrases(texts)
+    for t, found in zip(texts, phrases.tolist(), strict=True):
+        assert found == [occurs_parse(t, training[k]) if t else 0 for k in model.langs]
+
+
+def test_marks_and_far_letters():
+    """Marks that combine with letters are no spaces, but alone no letters; letters of every plane count."""
+    hindi, far = "\u0939\u093f\u0928\u094d\u0926\u0940 \u092d\u093e\u0937\u093e", "".join(map(chr, range(0x30010, 0x30020)))
+    model = language_id.LanguageModel({"hi": [hindi], "en": ["the language"]})
+    assert len(model.samples[model.langs.index("hi")]) == len(hindi)
+    names, scores = model.predict([hindi, "\u093f\u0940", far, "12 ."])
+    assert names[0] == "hi" and names[1] == names[3] == "und" and names[2] != "und" and scores[1] == scores[3] == 0
 
 
 def test_every_letter_has_its_own_symbol():
