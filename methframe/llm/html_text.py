@@ -1,14 +1,22 @@
 """Main text of web pages by tag-path ratios.
 
 A page is read into text blocks, each with the path of its block elements from the root
-(names with their class and id words).  Per path the text length and punctuation of its blocks are
-added up and divided by the number of blocks (text-to-path and punctuation-to-path ratios); both
-are smoothed over the blocks in page order with a Gaussian kernel, fused as their product with
-the share of text outside links, and paths above a fraction of the strongest one are content.
-Paths through elements that hold no article text (menus, forms, notices, comments, ...) are ruled out
-before, and the content paths' common container then takes in its remaining blocks,
-so that short paragraphs, headings and lists of links of the article stay.  Class, id and role words
-also name layouts ('with-sidebar'); elements that they rule out but that hold the page's article are let in again.
+(names with their class and id words, which tell paths apart and mean nothing here).  Per path the text
+length and punctuation of its blocks are added up and divided by the number of blocks (text-to-path and
+punctuation-to-path ratios); both are smoothed over the blocks in page order with a Gaussian kernel and fused:
+a path's score is the geometric mean of the product of its own ratios and of the smoothed
+ones, times the share of its text outside links.  Paths above a fraction of the strongest one are content.
+
+The content paths' text then leads to the article's container: the deepest element that holds HOLD of it.  What else
+stands in an article's own container (short paragraphs, headings, lists of links) stays; of a wider one
+only the parts with content, and what lies between them, do.
+
+Names come last.  Elements that are named as something else (menus, forms, notices, readers' comments, ...) have no
+say in the choice of the container and are left out of it, unless they hold the page's article (a page in one form,
+a class word that tells of the layout).  An article or main element counts double, a level-one heading
+settles which of two containers it is.
+
+Reading and choosing take time in proportion to the page, whatever is broken in it.
 """
 
 from __future__ import annotations
@@ -24,7 +32,10 @@ from pyspark.sql import types as T
 from .arrowmap import add_columns
 
 SMOOTHING = 1.0  # standard deviation of the kernel, in blocks
-SHARE = 0.1  # of the strongest path's fused ratio
+SHARE = 0.15  # of the strongest path's fused ratio
+HOLD = 0.75  # of the content paths' text is in the container
+NESTED = 64  # elements ruled out by words inside one another; what is nested deeper counts to the innermost of these
+FORM_TEXT = 140  # characters that a form holds at least if it holds the article
 
 # Fixed values of the page format.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -36,33 +47,59 @@ CLOSES_P = frozenset(
 )
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("html body ul ol dl table article section div main aside nav header footer form td th blockquote".split())
+TRACKED = frozenset(("p", *CLOSES))
+TEXT_PARTS = frozenset(("p", "li", "ul", "ol", "dl", "dt", "dd", "blockquote", "pre", "td", "th", "tr", "tbody", "table", *HEADINGS))  # no containers of an article
 
 # Elements without article text: by name, and by words of class, id and role.
-OTHER_TAGS = frozenset("nav header footer aside form head menu dialog button fieldset".split())
+OTHER_TAGS = frozenset("nav header footer aside head menu button".split())
+FORM_TAGS = frozenset("form fieldset dialog".split())
 OTHER_WORDS = re.compile(
-    r"(?:^|[-_ ])(?:ad|ads|advert\w*|adverti[sz]ing|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|disqus|disclaimer|footer|gdpr|header|masthead|menu|modal|nav|navbar|"
-    r"navigation|newsletter|notices?|pagination|pager|popup|promo\w*|recommend\w*|related|replies|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|"
-    r"tags?|teasers?|toolbar|widgets?|complementary|contentinfo|search)(?:$|[-_ ])"
+    r"(?:^|[-_ ])(?:ad|ads|advert\w*|adverti[sz]ing|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|discussion|disqus|disclaimer|feedback|footer|gdpr|guestbook|header|masthead|menu|modal|nav|navbar|"
+    r"navigation|newsletter|notes|notices?|pagination|pager|popup|promo\w*|reactions|recommend\w*|related|replies|respond|responses|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|"
+    r"tags?|talkback|teasers?|toolbar|widgets?|complementary|contentinfo|search)(?:$|[-_ ])"
 )
 # Words before one of these that tell of the page's layout ("with-sidebar").
 LAYOUT_STATES = re.compile(r"(?:^|[-_])(?:with|without|has|have|no|not|non|hide|hides|show|shows|is|single)[-_]$")
 # Parts of words that name elements with running text of their own, such as readers' comments.
-OWN_TEXT = re.compile(r"ad|ads|advert\w*|adverti[sz]ing|comments?|commentlist|consent|cookies?|disqus|disclaimer|gdpr|newsletter|notices?|promo\w*|recommend\w*|related|replies|respond|sponsor\w*|teasers?")
-WHOLE, LAYOUT, TEXT = 1, 2, 3  # ruled out by a whole word, or by part of one that names a layout or text of its own
+OWN_TEXT = re.compile(
+    r"ad|ads|advert\w*|adverti[sz]ing|comments?|commentlist|consent|cookies?|discussion|disqus|disclaimer|feedback|gdpr|guestbook|newsletter|notes|notices?|promo\w*|reactions|recommend\w*|related|replies|respond|responses|"
+    r"sponsor\w*|talkback|teasers?"
+)
+WHOLE, LAYOUT, TEXT, FORM = 1, 2, 3, 4  # ruled out by a whole word, by part of one that names a layout or text of its own, or as a form
 MAIN_TAGS = frozenset(("article", "main"))
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?=[a-zA-Z/])[^<]*\Z", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)(?:\s*=\s*([\"']|[^\s>\"'][^\s>]*)?)?")
 _SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？،؛؟]")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
+_USED = frozenset(("class", "id", "role", "hidden", "aria-hidden", "style"))
 
 
 class Block:
-    __slots__ = ("text", "path", "nodes", "linked", "other", "main")
+    __slots__ = ("text", "path", "node", "linked", "other", "main", "ruled", "article")
+
+    def __init__(self, text: str, path: int, node: int, linked: int, other: bool, main: bool, ruled: int, article: int):
+        self.text, self.path, self.node, self.linked, self.other, self.main, self.ruled, self.article = text, path, node, linked, other, main, ruled, article
+
+
+class Node:
+    """An element: its own name, its path's number, and what holds for all that is in it."""
+
+    __slots__ = ("name", "label", "up", "depth", "path", "other", "main", "only_main", "article", "ruled", "kind", "near", "chain")
 
-    def __init__(self, text: str, path: str, nodes: tuple[int, ...], linked: int, other: bool, main: bool):
-        self.text, self.path, self.nodes, self.linked, self.other, self.main = text, path, nodes, linked, other, main
+    def __init__(self, name: str, label: str, up: int, depth: int, path: int):
+        self.name, self.label, self.up, self.depth, self.path = name, label, up, depth, path
+        self.other = self.main = self.only_main = False  # named as something else; in an article or main; in a main
+        self.article, self.ruled, self.kind, self.chain = -1, 0, 0, 0  # depth of the outermost article or main; innermost element that words rule out
+        self.near: dict[str, int] = {}  # places in the stack of open elements that a start tag may close
+
+
+class Page:
+    """Blocks in page order and the elements that they are in; element 0 is the page."""
+
+    def __init__(self, blocks: list[Block], nodes: list[Node]):
+        self.blocks, self.nodes = blocks, nodes
 
 
 def _ruled_out(word: str) -> int:
@@ -79,79 +116,101 @@ def _ruled_out(word: str) -> int:
     return kind
 
 
-def _label(name: str, attributes: str) -> tuple[str, bool, int]:
+def _label(name: str, attributes: dict[str, str]) -> tuple[str, bool, int]:
     """(name with class and id words, whether name or state mark something other than article text, and how words do)."""
-    if not attributes:
-        return name, name in OTHER_TAGS, 0
-    words, other = [], name in OTHER_TAGS
-    for key, value in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), html.unescape(value.strip("\"'")).lower()
+    kind, other, words = FORM if name in FORM_TAGS else 0, name in OTHER_TAGS, []
+    for key, value in attributes.items():
+        value = html.unescape(value).lower()
         if key in ("class", "id", "role"):
             words += value.split()
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
             other = True
     kinds = [k for k in map(_ruled_out, words) if k] if name not in ("html", "body") else []
-    kind = WHOLE if WHOLE in kinds else max(kinds, default=0)
+    if kinds:
+        kind = WHOLE if WHOLE in kinds else max(kinds)
     return ".".join([name, *words]), other, kind
 
 
-def _let_in(parents: dict[int, tuple[int, int, int]], held: dict[int, list[tuple[int, bool, int]]]) -> set[int]:
-    """Elements ruled out by words that hold the page's article all the same.
-
-    parents: of each such element the next one around it (0: none), its depth and kind; held: of each of them (0: the
-    rest of the page) its own blocks as (depth of the outermost article or main or -1, whether a main is around it, plain text).
+class _Tags:
+    """Where tags end.  A quote that is never closed ends with its tag at the next '>'; that there is none is found out once."""
+
+    def __init__(self, page: str):
+        self.page, self.none_after = page, {'"': len(page) + 1, "'": len(page) + 1}
+
+    def read(self, at: int, wanted: bool) -> tuple[dict[str, str], bool, int]:
+        """(attributes in use, whether the tag closes itself, one past its end) from the end of its name on; the end is -1 if there is none."""
+        page, found = self.page, {}
+        while True:
+            m = _ATTRIBUTE.match(page, at)
+            if m is None:
+                end = page.find(">", at)
+                return found, end > 0 and page[end - 1] == "/", end + 1 if end >= 0 else -1
+            key, value = m[1], m[2] or ""
+            at = m.end()
+            if value in ('"', "'") and value:
+                end = page.find(value, at) if at < self.none_after[value] else -1
+                if end < 0:
+                    self.none_after[value] = min(at, self.none_after[value])
+                    end = page.find(">", at)
+                    return found, False, end + 1 if end >= 0 else -1
+                value, at = page[at:end], end + 1
+            if wanted and (key := key.lower()) in _USED:
+                found.setdefault(key, value)
+
+
+def _let_in(nodes: list[Node], ruled: list[int], held: dict[int, list[tuple[int, bool, int]]]) -> set[int]:
+    """Elements ruled out by words, or as forms, that hold the page's article all the same.
+
+    ruled: these elements; held: of each of them (0: the rest of the page) its own blocks as (depth of the outermost
+    article or main or -1, whether a main is around it, plain text).
     Inner elements come first.  What is outside of one are the blocks that nothing but the elements around it rules out.
     """
     out = set()
     total = {n: [sum(b[2] for b in own), sum(b[2] for b in own if b[0] >= 0)] for n, own in held.items()}  # plain text, and that in an article
-    for node in sorted(parents, key=lambda n: -parents[n][1]):
-        own = held.get(node)
+    for at_node in sorted(ruled, key=lambda n: -nodes[n].depth):
+        own = held.get(at_node)
         if not own:
             continue
-        up, depth, kind = parents[node]
+        node = nodes[at_node]
+        up = nodes[node.up].ruled
         rest, named, at = *total.get(0, (0, 0)), up
         while at:
-            rest, named, at = rest + total.get(at, (0, 0))[0], named + total.get(at, (0, 0))[1], parents[at][0]
-        mass, article = total[node][0], sum(b[2] for b in own if b[0] > depth)
-        keep = any(b[1] and b[0] > depth for b in own)
-        keep = keep or article > named and (kind == LAYOUT or article > rest)
+            rest, named, at = rest + total.get(at, (0, 0))[0], named + total.get(at, (0, 0))[1], nodes[nodes[at].up].ruled
+        mass, article, kind = total[at_node][0], sum(b[2] for b in own if b[0] > node.depth), node.kind
+        keep = any(b[1] and b[0] > node.depth for b in own)
+        keep = keep or article > named and (kind in (LAYOUT, FORM) or article > rest)
         keep = keep or kind == LAYOUT and mass > rest or kind == TEXT and not rest
+        keep = keep or kind == FORM and mass > rest and mass >= FORM_TEXT and not named
         if keep:
-            out.add(node)
+            out.add(at_node)
             held.setdefault(up, []).extend(own)
-            total[up] = [x + y for x, y in zip(total.get(up, (0, 0)), total[node], strict=True)]
+            total[up] = [x + y for x, y in zip(total.get(up, (0, 0)), total[at_node], strict=True)]
     return out
 
 
-def blocks(page: str) -> list[Block]:
-    """Text blocks in page order."""
+def read(page: str) -> Page:
+    """The page's text blocks, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool, int, int]] = []  # open block elements: name, label, other, number, how words rule it out
-    parents: dict[int, tuple[int, int, int]] = {}
+    nodes = [Node("", "", 0, 0, 0)]
+    paths: dict[tuple[int, str], int] = {}
+    stack = [0]  # open elements
+    opened: dict[str, list[int]] = {}  # by name, their places in the stack
+    ruled: list[int] = []
     held: dict[int, list[tuple[int, bool, int]]] = {}
-    inside: list[list[int]] = []  # of each block the elements around it that words rule out
     parts: list[str] = []
-    count = linked = 0
-    depth_a = 0
+    linked = links = 0
+    tags = _Tags(page)
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = _SPACE.sub(" ", "".join(parts)).strip(" ")
             if text:
-                path = "/".join(s[1] for s in stack)
-                names = [s[0] for s in stack]
-                mains = [d for d, n in enumerate(names) if n in MAIN_TAGS]
-                b = Block(text, path, tuple(s[3] for s in stack), min(linked, len(text)), any(s[2] for s in stack), bool(mains))
+                n = nodes[stack[-1]]
+                b = Block(text, n.path, stack[-1], min(linked, len(text)), n.other, n.main, n.ruled, n.article)
                 out.append(b)
-                inside.append([])
-                for d, s in enumerate(stack):
-                    if s[4]:
-                        parents[s[3]] = (inside[-1][-1] if inside[-1] else 0, d, s[4])
-                        inside[-1].append(s[3])
                 if not b.other:
-                    own = held.setdefault(inside[-1][-1] if inside[-1] else 0, [])
-                    own.append((mains[0] if mains else -1, "main" in names, len(text) - b.linked))
+                    held.setdefault(n.ruled, []).append((n.article, n.only_main, len(text) - b.linked))
             parts.clear()
         linked = 0
 
@@ -159,140 +218,189 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = html.unescape(raw)
         parts.append(text)
-        if depth_a:
+        if links:
             linked += len(text.strip())
 
-    def close(names: tuple[str, ...]) -> None:
-        """Closes the innermost open element of these names, unless a scope lies between."""
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                flush()
-                del stack[k:]
-                return
-            if stack[k][0] in SCOPES:
-                return
-
-    at = 0
+    def close(place: int) -> None:
+        """Closes the open elements from a place in the stack on."""
+        flush()
+        for n in stack[place:]:
+            opened[nodes[n].name].pop()
+        del stack[place:]
+
+    def open_(name: str, attributes: dict[str, str]) -> None:
+        label, other, kind = _label(name, attributes)
+        up = nodes[stack[-1]]
+        n = Node(name, label, stack[-1], up.depth + 1, paths.setdefault((up.path, label), len(paths) + 1))
+        n.other = up.other or other
+        n.main, n.only_main = up.main or name in MAIN_TAGS, up.only_main or name == "main"
+        n.article = up.article if up.article >= 0 or name not in MAIN_TAGS else n.depth
+        n.ruled, n.chain = up.ruled, up.chain
+        number = len(nodes)
+        if kind and up.chain < NESTED:
+            n.ruled, n.kind, n.chain = number, kind, up.chain + 1
+            ruled.append(number)
+        n.near = {} if name in SCOPES else up.near
+        if name in TRACKED:
+            n.near = {**n.near, name: len(stack)}
+        opened.setdefault(name, []).append(len(stack))
+        nodes.append(n)
+        stack.append(number)
+
+    at, text_from = 0, 0
     while True:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            add(page[at:])
+        at = page.find("<", at)
+        if at < 0:
+            add(page[text_from:])
             break
-        if m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        name = (m[2] or "").lower()
-        if not name:
+        begin, c = at, page[at + 1 : at + 2]
+        if c == "!" or c == "?":
+            end = page.find("-->", at + 4) + 3 if page.startswith("<!--", at) else page.find(">", at) + 1
+            add(page[text_from:begin])
+            at = text_from = end if end > 2 else len(page)
+            continue
+        m = _NAME.match(page, at + (2 if c == "/" else 1))
+        if m is None:
+            at += 1
             continue
-        if m[1]:
+        name = m[0].lower()
+        attributes, alone, end = tags.read(m.end(), c != "/" and name not in INLINE)
+        add(page[text_from:begin])
+        if end < 0:  # the page ends within a tag
+            break
+        at = text_from = end
+        if c == "/":
             if name == "a":
-                depth_a = max(0, depth_a - 1)
-            elif name not in INLINE and name not in VOID:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        flush()
-                        del stack[k:]
-                        break
+                links = max(0, links - 1)
+            elif name not in INLINE and name not in VOID and opened.get(name):
+                close(opened[name][-1])
             continue
         if name in _RAW_END:
-            if not m[3].endswith("/"):
-                end = _RAW_END[name].search(page, at)
-                at = end.end() if end else len(page)
+            if not alone:
+                m = _RAW_END[name].search(page, at)
+                at = text_from = m.end() if m else len(page)
             continue
         if name == "br":
             parts.append(" ")
             continue
         if name in INLINE:
             if name == "a":
-                depth_a += 1
+                links += 1
             continue
         if name in VOID:
             flush()
             continue
-        if name in CLOSES_P:
-            close(("p",))
+        near = nodes[stack[-1]].near
+        if name in CLOSES_P and "p" in near:
+            close(near["p"])
+            near = nodes[stack[-1]].near
         if name in CLOSES:
-            close(CLOSES[name])
+            places = [near[x] for x in CLOSES[name] if x in near]
+            if places:
+                close(max(places))
         flush()
-        depth_a = 0 if name in CLOSES_P else depth_a
-        count += 1
-        label, other, kind = _label(name, m[3])
-        stack.append((name, label, other, count, kind))
+        links = 0 if name in CLOSES_P else links
+        open_(name, attributes)
     flush()
-    let_in = _let_in(parents, held) if parents else set()
-    for b, nodes in zip(out, inside, strict=True):
-        b.other = b.other or any(n not in let_in for n in nodes)
-    return out
+    let_in = _let_in(nodes, ruled, held) if ruled else set()
+    # Ancestors have smaller numbers, so one pass settles all.
+    shut = {0: False}
+    for n in ruled:
+        shut[n] = n not in let_in or shut[nodes[nodes[n].up].ruled]
+    for b in out:
+        b.other = b.other or shut[b.ruled]
+    return Page(out, nodes)
+
+
+def path_scores(blocks: list[Block]) -> tuple[np.ndarray, np.ndarray]:
+    """(each block's path, numbered from 0; each path's fused ratio)."""
+    _, path = np.unique([b.path for b in blocks], return_inverse=True)
+    length = np.array([len(b.text) for b in blocks], float)
+    number = np.bincount(path)
+    by_text = np.bincount(path, length) / number
+    by_mark = 1 + np.bincount(path, [len(_PUNCTUATION.findall(b.text)) for b in blocks]) / number
+    plain = 1 - np.bincount(path, [b.linked for b in blocks]) / np.bincount(path, length)
+    radius = int(3 * SMOOTHING)
+    kernel = np.exp(-0.5 * (np.arange(-radius, radius + 1) / SMOOTHING) ** 2)
+    weight = np.convolve(np.ones(len(path)), kernel, "full")[radius : radius + len(path)]
+    smooth = [np.convolve(x[path], kernel, "full")[radius : radius + len(path)] / weight for x in (by_text, by_mark)]
+    smoothed = np.bincount(path, smooth[0] * smooth[1]) / number
+    return path, np.sqrt(by_text * by_mark * smoothed) * plain
 
 
-def select(found: list[Block]) -> list[Block]:
+def select(page: Page) -> list[Block]:
     """The blocks of the main text."""
-    open_ = [b for b in found if not b.other]
-    if not open_:
+    found, nodes = page.blocks, page.nodes
+    open_ = np.array([not b.other for b in found], bool)
+    if not open_.any():
         return []
-    length: dict[str, int] = {}
-    marks: dict[str, int] = {}
-    number: dict[str, int] = {}
-    plain: dict[str, int] = {}
-    for b in open_:
-        length[b.path] = length.get(b.path, 0) + len(b.text)
-        marks[b.path] = marks.get(b.path, 0) + len(_PUNCTUATION.findall(b.text))
-        number[b.path] = number.get(b.path, 0) + 1
-        plain[b.path] = plain.get(b.path, 0) + len(b.text) - b.linked
-    text_ratio = np.array([length[b.path] / number[b.path] for b in open_])
-    mark_ratio = np.array([(1 + marks[b.path]) / number[b.path] for b in open_])
-    radius = int(3 * SMOOTHING)
-    kernel = np.exp(-0.5 * (np.arange(-radius, radius + 1) / SMOOTHING) ** 2)
-    weight = np.convolve(np.ones(len(open_)), kernel, "full")[radius : radius + len(open_)]
-    smooth = [np.convolve(x, kernel, "full")[radius : radius + len(open_)] / weight for x in (text_ratio, mark_ratio)]
-    fused = smooth[0] * smooth[1] * np.array([plain[b.path] / length[b.path] for b in open_])
-    if any(b.main for b in open_):  # a page that names its article is believed
-        fused = fused * np.array([b.main for b in open_])
-    best: dict[str, float] = {}
-    total: dict[str, int] = {}
-    for b, f in zip(open_, fused, strict=True):
-        best[b.path] = max(best.get(b.path, 0.0), float(f))
-        total[b.path] = total.get(b.path, 0) + len(b.text)
-    top = max(best.values())
-    if top <= 0:
+    path, score = path_scores(found)
+    fused = score[path] * open_
+    top = fused.max()
+    if top <= 0:  # nothing but links
         return []
-    strong = {p for p, f in best.items() if f >= SHARE * top}
-    chosen = [b for b in open_ if b.path in strong and (b.main or not any(x.main for x in open_))]
-    # The deepest element that holds most of the chosen text is the article's container.
-    held: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    for b in chosen:
-        for d, node in enumerate(b.nodes):
-            held[node] = held.get(node, 0) + len(b.text)
-            depth[node] = d
-    mass = sum(len(b.text) for b in chosen)
-    wide = [n for n, h in held.items() if 2 * h > mass]
-    container = max(wide, key=lambda n: depth[n]) if wide else None
-    # A paragraph is no container: the article is what it stands in.
-    if container is not None:
-        for b in chosen:
-            if container in b.nodes:
-                k = b.nodes.index(container)
-                names = b.path.split("/")
-                while k > 0 and names[k].split(".")[0] in ("p", "li", "ul", "ol", "blockquote", "pre", "td", "tr", "tbody", "table", *HEADINGS):
-                    k -= 1
-                container = b.nodes[k]
-                break
-    picked = set(map(id, chosen))
-
-    def belongs(b: Block) -> bool:
-        if container is None or container not in b.nodes:
-            return False
-        # The body is no article's own container: unmarked menus lie in it too.
-        whole = b.path.split("/")[b.nodes.index(container)].split(".")[0] in ("html", "body")
-        return not whole or b.path in strong or 2 * b.linked <= len(b.text)
-
-    return [b for b in open_ if id(b) in picked or belongs(b)]
+    strong = fused >= SHARE * top
+    weight = np.array([(len(b.text) - b.linked) * (2 if b.main else 1) for b in found], float) * strong
+    mass = np.bincount([b.node for b in found], weight, len(nodes))
+    up = [n.up for n in nodes]
+    for k in range(len(nodes) - 1, 0, -1):  # elements come after those around them
+        mass[up[k]] += mass[k]
+
+    def holder(least: float, within: int) -> int:
+        """The deepest element in another (or itself) that holds so much; never a mere part of a text."""
+        inside = {within}
+        best = within
+        for k in range(within + 1, len(nodes)):
+            if up[k] in inside and mass[k] >= least:
+                inside.add(k)
+                if nodes[k].depth > nodes[best].depth:
+                    best = k
+        while best and nodes[best].name in TEXT_PARTS:
+            best = up[best]
+        return best
+
+    def chain(k: int) -> list[int]:
+        out = [k]
+        while k:
+            k = up[k]
+            out.append(k)
+        return out
+
+    container = holder(HOLD * mass[0], 0)
+    # A page's level-one heading stands in its article, if anything of that is beside it.
+    title = next((b.node for b, ok in zip(found, open_, strict=True) if ok and nodes[b.node].name == "h1"), None)
+    if title is not None and container not in (around := chain(title)):
+        outer = set(chain(container))
+        branch = [k for k in around if k not in outer]
+        if branch and nodes[branch[-1]].name not in TEXT_PARTS and 10 * mass[branch[-1]] >= mass[0]:
+            container = holder(HOLD * mass[branch[-1]], branch[-1])
+    # The part of the container that each block is in: one of its child elements, or itself.
+    part_of = np.full(len(nodes), -1)
+    part_of[container] = container
+    for k in range(container + 1, len(nodes)):
+        if part_of[up[k]] >= 0:
+            part_of[k] = k if up[k] == container else part_of[up[k]]
+    part = np.array([part_of[b.node] for b in found])
+    inner = (part >= 0) & open_
+    own = any(nodes[k].name in TEXT_PARTS or k == container for k in part[inner & strong].tolist())
+    if own and nodes[container].name not in ("", "html", "body"):
+        return [b for b, ok in zip(found, inner, strict=True) if ok]
+    # A wider element: its parts with content, what lies between them and is not mostly links, and headings before.
+    parts = set(part[inner & strong].tolist())
+    places = np.flatnonzero(inner & strong)
+    first, last = int(places[0]), int(places[-1])
+    while first and inner[first - 1] and nodes[found[first - 1].node].name in HEADINGS:
+        first -= 1
+    heavy = np.bincount(np.maximum(part, 0), [2 * b.linked - len(b.text) for b in found], len(nodes)) > 0
+    keep = inner & (strong | np.isin(part, [k for k in parts if k != container and nodes[k].name not in TEXT_PARTS]))
+    between = np.arange(len(found))
+    keep |= inner & (between >= first) & (between <= last) & ~heavy[np.maximum(part, 0)]
+    return [b for b, ok in zip(found, keep, strict=True) if ok]
 
 
 def main_text(page: str | None) -> str:
     """The main text: white space inside a block as one space, blocks joined by one space."""
-    return " ".join(b.text for b in select(blocks(page or "")))
+    return " ".join(b.text for b in select(read(page or "")))
 
 
 def extract(df: DataFrame, html_col: str = "html", text_out: str = "text", chars_out: str = "n_chars") -> DataFrame:

@@ -380,6 +380,75 @@ def test_pages(spark):
         assert found[r["page_id"]]["text"] == want and found[r["page_id"]]["n_chars"] == len(want)
 
 
+def article_text(page):
+    """The text between article tags, by an independent cut."""
+    import html
+
+    body = re.search(r"<article>(.*?)(?:</article>|$)", page, re.S)[1]
+    parts = [html.unescape(re.sub(r"</?b>", "", p.replace("<br>", " "))) for p in re.split(r"</?(?:p|h1)\b[^>]*>", body)]
+    return " ".join(x for x in (" ".join(re.split(r"[ \t\n\r\f\v]+", p)).strip(" ") for p in parts) if x)
+
+
+def f1(a, b):
+    a, b = collections.Counter(a.split()), collections.Counter(b.split())
+    return 2 * sum((a & b).values()) / (sum(a.values()) + sum(b.values()))
+
+
+@pytest.mark.parametrize("names, least, exact", [("article|nav|footer|section|aside|header|main", 0.97, 0.9), ("article|nav|footer|section|aside|header|main|p|h1|ul|li", 0.93, 0)])
+def test_ratios_alone(spark, names, least, exact):
+    """Pages without any name that tells, all blocks div: the paths' ratios find the article."""
+    pages = [r["html"] for r in spark.read.parquet(DIR.replace("0.001", "0.01") + "/pages.parquet").collect()]
+    found = [html_text.main_text(re.sub(rf"<(/?)(?:{names})\b[^>]*>", r"<\1div>", re.sub(' class="[^"]*"', "", p))) for p in pages]
+    want = [article_text(p) for p in pages]
+    assert np.mean([f1(a, b) for a, b in zip(found, want, strict=True)]) >= least
+    assert np.mean([a == b for a, b in zip(found, want, strict=True)]) >= exact
+
+
+def test_path_scores_by_the_definition():
+    page = html_text.read(f"<div><a href=1>Home</a></div><div><p>{TEXT}<p>Short, one.</div><div><a href=2>More</a> text.</div>")
+    path, score = html_text.path_scores(page.blocks)
+    assert [b.text for b in page.blocks] == ["Home", TEXT.strip(), "Short, one.", "More text."] and path.tolist() == [0, 1, 1, 0]
+    texts, marks = [[4, 10], [len(TEXT.strip()), 11]], [[0, 1], [TEXT.count(",") + 1, 2]]
+    t, m = [np.mean(x) for x in texts], [1 + np.mean(x) for x in marks]
+    w = [[math.exp(-0.5 * (i - j) ** 2) if abs(i - j) <= 3 else 0 for j in range(4)] for i in range(4)]
+    smooth = [[sum(w[i][j] * x[path[j]] for j in range(4)) / sum(w[i]) for i in range(4)] for x in (t, m)]
+    want = [math.sqrt(t[k] * m[k] * np.mean([smooth[0][i] * smooth[1][i] for i in range(4) if path[i] == k])) for k in (0, 1)]
+    assert score.tolist() == pytest.approx([want[0] * (1 - 8 / 14), want[1]])
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<div class=content><p title='the hidden gem'>{TEXT}</p><p>{TEXT}</div>", f"{TEXT}{TEXT}".strip()),
+        (f"<div data-id='banner' data-class=ad><p>{TEXT}</p></div>", TEXT.strip()),
+        (f"<div hidden><p>{TEXT * 4}</div><div><p>{TEXT}</div>", TEXT.strip()),
+        (f"<body><form action=x><div class=top><a href=1>Home</a></div><div class=c><h1>T</h1><p>{TEXT * 3}<p>{TEXT}</div><input></form></body>", f"T {TEXT * 3}{TEXT}".strip()),
+        (f"<body><article>Teaser</article><div class=c><h1>T</h1><p>{TEXT * 3}<p>{TEXT}</div></body>", f"T {TEXT * 3}{TEXT}".strip()),
+        (f"<body><div class=c><h1>T</h1><p>{TEXT * 3}</div><div class='user-notes'><p>{TEXT * 9}</div></body>", f"T {TEXT * 3}".strip()),
+        (f"<body><div class=c><h1>T</h1><p>{TEXT * 3}</div><div class=xyz><p>{TEXT * 9}</div></body>", f"T {TEXT * 3}".strip()),
+        (f"<body><div><a href=1>Home</a> <a href=2>News</a></div><h1>T</h1><p>{TEXT * 2}<p>Short.<p>{TEXT}<div>Imprint</div></body>", f"T {TEXT * 2}Short. {TEXT}".strip()),
+        (f"<body><div><div><h2>One</h2><p>{TEXT * 2}</div><div><a href=1>x</a></div><div><p>{TEXT * 2}</div></div><div>Imprint</div></body>", f"One {TEXT * 2}{TEXT * 2}".strip()),
+        (f"<p>a <a href='x>{TEXT}", f"a {TEXT}".strip()),
+        (f"<p>1 < 2 and <3, {TEXT}<!-- open", f"1 < 2 and <3, {TEXT}".strip()),
+    ],
+)
+def test_what_names_do_not_decide(page, want):
+    assert html_text.main_text(page) == want
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<a href='x>word</a> ", '<p title="x>word ', "<div>word ", "<p>word<x>", "<li>word<ul>", "</x><y>word ", "<!-- word ", "< word <", "<div class='comments'>word. ", "<script>word", "<p><x><x><div><hr>word", "&amp;&#x41", "word "],
+)
+def test_broken_pages_take_linear_time(part):
+    import time
+
+    page = "<body>" + part * ((5 << 20) // len(part))
+    began = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - began < 40  # a quadratic reader takes hours; a busy machine some seconds
+
+
 def test_page_columns(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "<p>a</p>", "x"), (3, "<p>a</p>", "x")], "page_id long, html string, text string")
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract(df).collect()) == [(1, "", 0), (2, "", 0), (3, "a", 1), (3, "a", 1)]
