@@ -132,16 +132,45 @@ class Stream:
     discontinuities: int = 0
 
 
-def _read_section(body: bytes, table: int) -> bytes | None:
-    """The bytes between a section's header and checksum; null for other tables."""
-    start = 1 + body[0]
-    if body[start] != table:
+class _Sections:
+    """Joins a PID's packets into program-specific sections, which may span packets and follow one another."""
+
+    def __init__(self):
+        self.held: bytearray | None = None  # null: waiting for a start
+
+    def add(self, payload: bytes, starts: bool) -> list[bytes]:
+        """The sections that a packet's payload completes, header and checksum included."""
+        if starts:
+            pointer = payload[0] if payload else 0
+            tail, payload = payload[1 : 1 + pointer], payload[1 + pointer :]
+            out = self._take(tail) if self.held is not None else []
+            self.held = bytearray()
+            return out + self._take(payload)
+        return self._take(payload) if self.held is not None else []
+
+    def lose(self) -> None:
+        """Packets were lost: what is held cannot be completed."""
+        self.held = None
+
+    def _take(self, payload: bytes) -> list[bytes]:
+        self.held += payload
+        out = []
+        while len(self.held) >= 3 and self.held[0] != 0xFF:  # else: stuffing up to the next start
+            length = 3 + ((self.held[1] & 15) << 8 | self.held[2])
+            if len(self.held) < length:
+                break
+            out.append(bytes(self.held[:length]))
+            del self.held[:length]
+        return out
+
+
+def _table_body(section: bytes, table: int) -> bytes | None:
+    """The bytes between a section's header and checksum; null for other tables and those not yet in force."""
+    if section[0] != table:
         return None
-    length = (body[start + 1] & 15) << 8 | body[start + 2]
-    whole = body[start : start + 3 + length]
-    if len(whole) != 3 + length or section_crc(whole):
+    if len(section) < 12 or section_crc(section):
         raise StreamError("a program table is damaged")
-    return whole[8:-4]
+    return section[8:-4] if section[5] & 1 else None
 
 
 def _read_pes(parts: list[bytes]) -> tuple[int | None, bytes]:
@@ -163,13 +192,18 @@ def read_stream(data: bytes, strict: bool = True) -> Stream:
     """The first program's first elementary stream.
 
     With strict, lost packets (a gap in a continuity counter) raise StreamError; otherwise they are
-    counted and the damaged elementary packet is dropped.  Repeated packets are skipped.
+    counted and the damaged elementary packet is dropped.  A jump that the packet itself announces
+    (discontinuity indicator) is no loss.  A packet that repeats the one before it, byte for byte but
+    for its clock reference, is skipped; one of the same counter and other bytes is a gap.
+    Tables may span packets, and several sections may share one.
     """
     if len(data) % PACKET:
         raise StreamError("not a whole number of packets")
     out = Stream(b"", packets=len(data) // PACKET)
     pmt_pid = data_pid = None
     counters: dict[int, int] = {}
+    former: dict[int, bytes] = {}  # each PID's last payload
+    tables: dict[int, _Sections] = {PAT_PID: _Sections()}
     parts: list[bytes] = []
     bodies: list[bytes] = []
     total, point, damaged = 0, False, False
@@ -193,37 +227,48 @@ def read_stream(data: bytes, strict: bool = True) -> Stream:
         pid = (b1 & 0x1F) << 8 | data[i + 2]
         if pid == NULL_PID:
             continue
-        at, random_access = i + 4, False
+        at, random_access, announced = i + 4, False, False
         if b3 & 0x20:
             size = data[at]
+            if at + 1 + size > i + PACKET:
+                raise StreamError(f"an adaptation field is too long at byte {i}")
             random_access = size > 0 and bool(data[at + 1] & 0x40)
+            announced = size > 0 and bool(data[at + 1] & 0x80)
             at += 1 + size
-        if not b3 & 0x10:
+        if not b3 & 0x10:  # no payload: the counter stands still
+            if announced:
+                counters.pop(pid, None)
             continue
-        counter = b3 & 15
-        if pid in counters and counter != (counters[pid] + 1) & 15:
-            if counter == counters[pid]:
+        counter, payload = b3 & 15, data[at : i + PACKET]
+        if pid in counters and counter != (counters[pid] + 1) & 15 and not announced:
+            if counter == counters[pid] and payload == former[pid]:
                 continue
             if strict:
                 raise StreamError(f"packets of PID {pid} are missing before byte {i}")
             out.discontinuities += 1
             damaged = damaged or pid == data_pid
-        counters[pid] = counter
+            if pid in tables:
+                tables[pid].lose()
+        counters[pid], former[pid] = counter, payload
+        starts = bool(b1 & 0x40)
         if pid == data_pid:
-            if b1 & 0x40:
+            if starts:
                 close()
                 point, damaged = random_access, False
-                parts.append(data[at : i + PACKET])
+                parts.append(payload)
             elif parts:
-                parts.append(data[at : i + PACKET])
-        elif pid == PAT_PID and b1 & 0x40 and pmt_pid is None:
-            body = _read_section(data[at : i + PACKET], 0x00) or b""
-            pmt_pid = next(((body[k + 2] & 0x1F) << 8 | body[k + 3] for k in range(0, len(body), 4) if body[k] or body[k + 1]), None)
-        elif pid == pmt_pid and b1 & 0x40 and data_pid is None:
-            body = _read_section(data[at : i + PACKET], 0x02)
-            if body is not None:
-                k = 4 + ((body[2] & 15) << 8 | body[3])
-                data_pid = (body[k + 1] & 0x1F) << 8 | body[k + 2]
+                parts.append(payload)
+        elif pid in tables:
+            for section in tables[pid].add(payload, starts):
+                if pid == PAT_PID and pmt_pid is None and (body := _table_body(section, 0x00)) is not None:
+                    pmt_pid = next(((body[k + 2] & 0x1F) << 8 | body[k + 3] for k in range(0, len(body), 4) if body[k] or body[k + 1]), None)
+                    if pmt_pid is not None:
+                        tables.setdefault(pmt_pid, _Sections())
+                elif pid == pmt_pid and data_pid is None and (body := _table_body(section, 0x02)) is not None:
+                    k = 4 + ((body[2] & 15) << 8 | body[3])
+                    if k + 5 > len(body):
+                        raise StreamError("a program has no elementary stream")
+                    data_pid = (body[k + 1] & 0x1F) << 8 | body[k + 2]
     close()
     if data_pid is None:
         raise StreamError("no program was found")
@@ -234,7 +279,9 @@ def read_stream(data: bytes, strict: bool = True) -> Stream:
 def store(df: DataFrame, text_col: str = "text", media_col: str = "media", bytes_col: str = "n_bytes") -> DataFrame:
     """df with each text's stream and its length in bytes before padding; null texts count as empty.
 
-    Columns of the output names are replaced, all others pass through.
+    Columns of the output names are replaced, all others pass through.  Repeated rows get equal streams, an
+    empty table none.  A worker holds a slice of rows (see SLICE_BYTES) and their streams; a longer text is a slice of
+    its own and takes a few times its size.
     """
 
     def make():
@@ -272,6 +319,8 @@ def describe(df: DataFrame, media_col: str = "media") -> DataFrame:
 
     payload_bytes, payload_sha256, tail_crc32 (of the last 16 payload bytes), media_bytes,
     media_sha256, feature (packets, elementary packets, last timestamp, and timestamp:offset of every random-access point).
+    A null stream gives nulls, a damaged one raises StreamError.  Repeated rows get equal digests, an empty table gives
+    none; columns of the output names are replaced.  Memory is a few times the longest stream.
     """
     fields = [("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType())]
 

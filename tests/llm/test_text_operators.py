@@ -230,6 +230,58 @@ def test_stream_damage():
     assert transport_stream.section_crc(b"123456789") == 0x0376E6E7
 
 
+def packets(pid, payload, starts=True, counter=0):
+    """A table's payload over as many packets as it takes."""
+    out = []
+    for k in range(0, len(payload), 184):
+        part = payload[k : k + 184].ljust(184, b"\xff")
+        out.append(bytes([0x47, (0x40 if starts and not k else 0) | pid >> 8, pid & 255, 0x10 | (counter + k // 184) & 15]) + part)
+    return out
+
+
+def section(table, number, body):
+    length = len(body) + 9
+    head = bytes([table, 0xB0 | length >> 8, length & 255, number >> 8, number & 255, 0xC1, 0, 0]) + body
+    return head + transport_stream.section_crc(head).to_bytes(4, "big")
+
+
+def test_stream_tables_over_several_packets():
+    """A program map with long descriptors after another section in the same packet, as other writers make them."""
+    payload = transport_stream.padded(b"abc" * 5000)
+    data = transport_stream.write_stream(payload)
+    rest = [data[i : i + 188] for i in range(0, len(data), 188) if (data[i + 1] & 0x1F) << 8 | data[i + 2] == transport_stream.DATA_PID]
+    pat = section(0x00, 1, b"\0\0\xe0\x10" + (1).to_bytes(2, "big") + (0xE000 | transport_stream.PMT_PID).to_bytes(2, "big"))
+    pmt = section(0x02, 1, (0xE000 | transport_stream.DATA_PID).to_bytes(2, "big") + (0xF000 | 400).to_bytes(2, "big") + b"\x05" * 400 + bytes([6]) + (0xE000 | transport_stream.DATA_PID).to_bytes(2, "big") + b"\xf0\x00")
+    other = section(0x42, 9, b"x" * 30)
+    maps = packets(transport_stream.PMT_PID, b"\0" + other + pmt)
+    assert len(maps) == 3
+    whole = packets(0, b"\0" + pat) + maps[:2] + [b"\x47\x1f\xff\x10" + b"\0" * 184] + maps[2:] + rest
+    assert transport_stream.read_stream(b"".join(whole)).payload == payload
+    with pytest.raises(transport_stream.StreamError):
+        transport_stream.read_stream(b"".join(packets(0, b"\0" + pat) + [maps[0], maps[2]] + rest))
+    with pytest.raises(transport_stream.StreamError):  # the map is never completed
+        transport_stream.read_stream(b"".join(packets(0, b"\0" + pat) + [maps[0], maps[2]] + rest), strict=False)
+
+
+def test_stream_announced_jumps_and_repeats():
+    data = transport_stream.write_stream(transport_stream.padded(b"x" * 30_000))
+    parts = [data[i : i + 188] for i in range(0, len(data), 188)]
+    starts = [k for k, p in enumerate(parts) if p[1] & 0x40 and (p[1] & 0x1F) << 8 | p[2] == transport_stream.DATA_PID]
+    jump = [bytearray(p) for p in parts]
+    for k in range(starts[2], len(jump)):
+        if (jump[k][1] & 0x1F) << 8 | jump[k][2] == transport_stream.DATA_PID:
+            jump[k][3] = jump[k][3] & 0xF0 | (jump[k][3] + 5) & 15
+    with pytest.raises(transport_stream.StreamError):
+        transport_stream.read_stream(b"".join(map(bytes, jump)))
+    jump[starts[2]][5] |= 0x80  # announced
+    assert transport_stream.read_stream(b"".join(map(bytes, jump))).payload == transport_stream.read_stream(data).payload
+    changed = bytearray(parts[19])
+    changed[100] ^= 1
+    with pytest.raises(transport_stream.StreamError):  # the same counter with other bytes
+        transport_stream.read_stream(b"".join([*parts[:20], bytes(changed), *parts[20:]]))
+    assert transport_stream.read_stream(b"".join([*parts[:20], parts[19], *parts[20:]])).payload == transport_stream.read_stream(data).payload
+
+
 def test_stream_columns(docs, empty):
     stored = transport_stream.store(docs)
     out = {(r["doc_id"], r["text"]): r for r in transport_stream.load(transport_stream.describe(stored)).collect()}
