@@ -296,14 +296,15 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """A model of all languages of the labelled rows (null languages and texts are left out), bounded by documents and letters a language.
 
     Ids choose the documents, by hash; their texts are then read in a second pass, so that only ids are sorted.
+    Of rows that repeat an id and a language the first text in sorting order is taken.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     keys = rows.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
     order = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = keys.withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents)
+    chosen = keys.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents)
     ids = F.broadcast(chosen.select(F.col("lang").alias("chosen_lang"), F.col("id").alias("chosen_id"), "n"))  # languages * documents rows at most
     text = F.substring(F.col(text_col), 1, letters).alias("text")
-    found = rows.join(ids, (rows[id_col] == F.col("chosen_id")) & (rows[lang_col] == F.col("chosen_lang"))).select("chosen_lang", "n", text)
+    found = rows.join(ids, (rows[id_col] == F.col("chosen_id")) & (rows[lang_col] == F.col("chosen_lang"))).groupBy("chosen_lang", "n").agg(F.min(text).alias("text"))
     # Only texts that begin within the sample come to the driver.
     ahead = Window.partitionBy("chosen_lang").orderBy("n", "text").rowsBetween(Window.unboundedPreceding, -1)
     found = found.withColumn("ahead", F.coalesce(F.sum(F.length("text")).over(ahead), F.lit(0))).where(F.col("ahead") < letters)

@@ -7,7 +7,8 @@ chunk's pooled filters and the share of the chunk that holds text into a logit.
 chunks, calibrated by a logistic fit on whole training documents.
 
 Fitting is bounded to the DOCUMENTS labelled documents with the smallest id hashes
-and CHUNKS evenly spaced chunks of each; scoring covers every byte.
+and CHUNKS evenly spaced chunks of the first SAMPLE_CHARS characters of each; scoring covers every
+byte, in slices of SLICE segments.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ SAMPLE_CHARS = 65_536  # characters of one document that fitting looks at
 EMBED, FILTERS, HIDDEN = 8, 24, 16
 STRIDE, WIDTH, SEGMENT = 4, 8, 256
 EPOCHS, BATCH, RATE = 6, 64, 3e-3
+SLICE = 4096  # segments whose filter outputs are in memory at once
 SHORT = 0.3  # share of chunks that are also shown shortened
 THRESHOLD = 0.7
 
@@ -67,17 +69,21 @@ class QualityModel:
         """(logit of every chunk, number of the first chunk of each document)."""
         padded, first = _padded(data, offsets)
         half = self.p["filters"].reshape(2, STRIDE * EMBED, FILTERS)
-        steps = self.p["embed"][padded].reshape(-1, STRIDE * EMBED)
-        act = steps @ half[0]
-        act[:-1] += (steps @ half[1])[1:]
-        act += self.p["bias"]
         per = SEGMENT // STRIDE
-        act[first[1:] * per - 1] = 0  # would reach into the next document; only padding is left there
-        seg = np.maximum(act.reshape(-1, per, FILTERS).max(1), 0)
+        last = first[1:] - 1
+        seg = np.empty((int(first[-1]), FILTERS), np.float32)
+        for i in range(0, len(seg), SLICE):  # memory follows the slice, not the text
+            j = min(i + SLICE, len(seg))
+            steps = self.p["embed"][padded[i * SEGMENT : j * SEGMENT + STRIDE]].reshape(-1, STRIDE * EMBED)
+            n = (j - i) * per
+            act = steps[:n] @ half[0]
+            act[: len(steps) - 1] += (steps @ half[1])[1 : n + 1]
+            act += self.p["bias"]
+            act[(last[(last >= i) & (last < j)] + 1 - i) * per - 1] = 0  # would reach into the next document; only padding is left there
+            seg[i:j] = np.maximum(act.reshape(-1, per, FILTERS).max(1), 0)
         counts = np.diff(first)
         pooled = seg.copy()
         pooled[:-1] = np.maximum(seg[:-1], seg[1:])
-        last = first[1:] - 1
         pooled[last] = seg[last]
         filled = np.minimum(np.repeat(np.diff(offsets), counts) - (np.arange(len(seg)) - np.repeat(first[:-1], counts)) * SEGMENT, 2 * SEGMENT)
         pooled = np.concatenate([pooled, np.maximum(filled, 0)[:, None].astype(np.float32) / (2 * SEGMENT)], 1)
@@ -174,12 +180,13 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     Null ids and labels are left out, a null text counts as empty.  Labels of ids that documents
     lacks are not used, so the limit is taken after a join of ids alone; texts are read for the sample only.
+    Of a repeated id the first text in sorting order is taken, and the mean of its labels.
     """
     keys = documents.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct()
-    marks = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).dropDuplicates(["id"])
+    marks = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).groupBy("id").agg(F.avg("y").alias("y"))
     chosen = keys.join(marks, "id").withColumn("h", F.xxhash64(F.col("id").cast("string"))).orderBy("h", "id").limit(limit)
     text = F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, SAMPLE_CHARS).alias("text")
-    rows = documents.select(F.col(id_col).alias("id"), text).join(F.broadcast(chosen), "id").collect()  # limit rows
+    rows = documents.select(F.col(id_col).alias("id"), text).join(F.broadcast(chosen), "id").groupBy("id", "h", "y").agg(F.min("text").alias("text")).collect()  # limit rows
     rows.sort(key=lambda r: (r["h"], r["id"], r["text"]))
     return QualityModel().fit([r["text"].encode("utf-8", "replace") for r in rows], np.array([r["y"] for r in rows], np.float32))
 

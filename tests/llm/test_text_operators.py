@@ -132,8 +132,10 @@ def test_language_held_out(spark):
 # --- quality --------------------------------------------------------------------------
 
 
-def test_quality_covers_every_byte():
+@pytest.mark.parametrize("slice_", [4096, 3, 1])
+def test_quality_covers_every_byte(monkeypatch, slice_):
     """The parallel form equals a plain pass over one document."""
+    monkeypatch.setattr(quality, "SLICE", slice_)
     m = quality.QualityModel()
     m.p["bias"] = np.random.default_rng(1).normal(0, 0.1, quality.FILTERS).astype(np.float32)
     texts = [b"", b"short", bytes(range(256)) * 9, b"z" * 255, b"q" * 256, b"y" * 1500]
@@ -191,6 +193,20 @@ def test_quality_cases(docs, empty, spark):
     assert untrained.scale == 1.0
 
 
+def test_fitting_on_repeated_ids(spark):
+    """One text and one label of each id, whatever the order of rows; the sample stays bounded."""
+    data = [(k % 5, f"text {k} " * 30, "en") for k in range(50)]
+    marks = [(k % 5, int(k % 5 > 2)) for k in range(20)] + [(0, 1)]
+    for order in (1, -1):
+        docs_ = spark.createDataFrame(data[::order], "doc_id long, text string, lang string").repartition(2)
+        model = quality.fit(docs_, spark.createDataFrame(marks[::order], "doc_id long, quality int"))
+        found = model.p["out"].tobytes(), model.scale
+        sample_ = [x.tolist() for x in language_id.fit(docs_).samples]
+        if order == 1:
+            first, first_sample = found, sample_
+    assert found == first and sample_ == first_sample and len(sample_[0]) < 5 * 300
+
+
 def test_quality_held_out(spark):
     d = DIR.replace("0.001", "0.01")
     found = QUERIES["op8_quality"](spark, d).join(spark.read.parquet(d + "/labels.parquet"), "doc_id").where("held_out").collect()
