@@ -589,6 +589,58 @@ def test_recurrent_gradient():
             assert grads[k][at] == pytest.approx((up - down) / (2 * step), rel=0.05, abs=2e-4)
 
 
+def with_members():
+    """Two heads, two classes of endings with three and one members, the end."""
+    return gru_lm.Recurrent(5, 8, hidden=4, seed=3, class_of=np.array([0, 1, 2, 2, 2, 2, 3, 3, 4], np.uint8), member_of=np.array([0, 0, 0, 1, 2, 3, 0, 1, 0], np.uint8), first=2)
+
+
+def test_gradient_within_classes():
+    m = with_members()
+    m.p = {k: v.astype(np.float64) for k, v in m.p.items()}
+    r = np.random.default_rng(1)
+    begin = np.array([0, 9, 16, 17, 40])
+    tokens = r.integers(0, 9, 40).astype(np.uint16)
+    grads = {}
+    m._step = lambda g, rate: grads.update(g) if not grads else None
+    m.run(tokens[:16], begin[:3], 1.0)
+
+    def loss():
+        return -m.run(tokens[:16], begin[:3]).sum() / 16
+
+    for k, at in [(k, tuple(r.integers(0, s) for s in m.p[k].shape)) for k in m.p for _ in range(5)] + [("inner", (0, 1, 2)), ("inner_bias", (1, 1)), ("read", (int(tokens[2]), 5))]:
+        keep, step = m.p[k][at], 1e-2
+        m.p[k][at] = keep + step
+        up = loss()
+        m.p[k][at] = keep - step
+        down = loss()
+        m.p[k][at] = keep
+        assert grads[k][at] == pytest.approx((up - down) / (2 * step), rel=0.05, abs=2e-4)
+
+
+def test_unit_probabilities_sum_to_one_and_follow_the_state():
+    m = with_members()
+    within = []
+    for start in (np.array([3, 0, 5], np.uint16), np.array([7, 1, 1, 8], np.uint16)):
+        n = len(start)
+        p = [math.exp(m.run(np.append(start, u).astype(np.uint16), np.array([0, n + 1]))[0] - m.run(start, np.array([0, n]))[0]) for u in range(9)]
+        assert sum(p) == pytest.approx(1, rel=1e-4)
+        within.append(p[3] / sum(p[2:6]))
+    assert abs(within[0] - within[1]) > 1e-3
+
+
+def test_scores_do_not_depend_on_the_layout(sample, spark):
+    """Of files, partitions and rows."""
+    data = sample.select("doc_id", "text")
+    found = []
+    for df in (data.coalesce(1), data.repartition(4, "text"), data.orderBy(F.desc("doc_id")).coalesce(2)):
+        out = gru_lm.score(df, df.where(bucket(F.col("doc_id"), 10) != 0)).collect()
+        found.append({r["doc_id"]: (r["n_tokens"], r["n_known"], r["score"]) for r in out})
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        for k, (n, hits, score) in found[0].items():
+            assert other[k][:2] == (n, hits) and other[k][2] == pytest.approx(score, rel=1e-4)
+
+
 def test_class_probabilities_sum_to_one():
     """Over all next classes, in any state reached."""
     m = gru_lm.Recurrent(6, 5, hidden=4)
