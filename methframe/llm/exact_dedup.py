@@ -5,8 +5,8 @@ locally in the map tasks (the partial half of the first aggregate, before any sh
 (digest, salt, content), then the salts' winners by (digest, content).  A hot text so
 leaves a map task as one row per salt and meets in one task as one row per salt.
 
-Verdicts take the same way back: the salts' rows (at most as many per text as there are salts) learn
-the group's outcome, and every input row meets its own salt's row.  No key of any of
+Verdicts take the same way back, by digest alone: each (digest, salt) that occurs (at most as many per text as there are
+salts) learns the group's outcome, and every input row meets its own salt's.  No key of any of
 these joins and aggregates holds more than a salt's share of a text's copies, at any size of
 input; nothing depends on how many texts repeat.  The digest only routes rows: where different contents
 share one, content decides.
@@ -42,7 +42,7 @@ def _routed(df: DataFrame, id_col: str, text_col: str, salts: int, digest: Calla
 
 def _winners(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(salted, groups): rows per (digest, salt, content) with their smallest id and number, and the same per (digest, content)."""
-    salted = stash(rows.groupBy("digest", "salt", "content").agg(F.min("doc_id").alias("salt_id"), F.count(F.lit(1)).alias("salt_n")))
+    salted = rows.groupBy("digest", "salt", "content").agg(F.min("doc_id").alias("salt_id"), F.count(F.lit(1)).alias("salt_n"))
     groups = salted.groupBy("digest", "content").agg(F.min("salt_id").alias("keep_id"), F.sum("salt_n").alias("n"))
     return salted, groups
 
@@ -68,20 +68,20 @@ def exact_dedup(
     """
     salts = salts or max(SALTS, partitions(df.sparkSession))
     rows = _routed(df, id_col, text_col, salts, digest)
-    salted, groups = _winners(rows)
+    _, groups = _winners(rows)
     found = stash(groups.select("digest", "keep_id", "n"))
-    collides = bool(found.groupBy("digest").count().where("count > 1").take(1))
+    collides = digest is not sha256 or bool(found.groupBy("digest").count().where("count > 1").take(1))
     key = ["digest", "content"] if collides else ["digest"]
-    verdicts = salted.select("salt", *key).join(stash(groups) if collides else found, key)
     routes = ["salt", *key]
+    rows = stash(rows.select("doc_id", *routes))
+    verdicts = rows.select(*routes).distinct().join(stash(groups) if collides else found, key)
     text_sha256 = F.col("digest") if digest is sha256 else sha256(F.col("content"))
-    out = rows.select("doc_id", *routes, text_sha256.alias("text_sha256")).join(verdicts, routes, "left")
-    return out.select(
+    return rows.join(verdicts, routes, "left").select(
         "doc_id",
         "keep_id",
         F.col("n").cast("long").alias("group_size"),
         F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"),
-        "text_sha256",
+        text_sha256.alias("text_sha256"),
     )
 
 
