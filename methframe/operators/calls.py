@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as C
 from ..functions import reads as R
-from .genome import SPAN, TILE, with_reference
+from .genome import SPAN, TILE, names, with_reference
 
 COUNTERS = ["wC", "wT", "wO", "cC", "cT", "cO"]
 
 
 def usable(df: DataFrame, genome: DataFrame, min_mapq: int = 0) -> DataFrame:
     """Reads (or pairs) of enough mapping quality on known chromosomes with supported CIGARs, laid out along the reference."""
-    known = df.where(F.col("mapq") >= min_mapq).join(genome.select("chr"), "chr", "left_semi")
+    known = df.where(F.col("mapq") >= min_mapq).join(names(genome), "chr", "left_semi")
     tags = ["1", "2"] if "pos2" in df.columns else [""]
     for t in tags:
         known = known.where(C.supported(f"cigar{t}"))

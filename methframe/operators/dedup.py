@@ -1,7 +1,7 @@
 """Duplicate removal by place, strand and (for pairs) fragment size; of equals the best qualities stay.
 
-The best row of a key is an aggregate (max_by), so map tasks send one row per key they saw and a
-hot place does not gather its reads in one task.
+The best read of a key is a hash aggregate over one number, its rank, so map tasks send one short row per key they saw
+and a hot place does not gather its reads in one task.  Whole rows then move once, to meet the winners' numbers.
 """
 
 from __future__ import annotations
@@ -10,15 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
+from .genome import names
 
 
 def on_known(df: DataFrame, chr_info: DataFrame) -> DataFrame:
-    return df.join(chr_info.select("chr"), "chr", "left_semi")
+    return df.join(names(chr_info), "chr", "left_semi")
 
 
 def discarded(df: DataFrame, chr_info: DataFrame) -> DataFrame:
     """Rows on chromosomes that are not listed."""
-    return df.join(chr_info.select("chr"), "chr", "left_anti")
+    return df.join(names(chr_info), "chr", "left_anti")
 
 
 def with_fragment(pairs: DataFrame) -> DataFrame:
@@ -27,10 +28,16 @@ def with_fragment(pairs: DataFrame) -> DataFrame:
     return pairs.withColumns({"left": left, "frag_size": size})
 
 
+_ORDERS = "18446744073709551616BD"  # more than the different read numbers
+
+
 def _best(df: DataFrame, keys: list[str], score: Column) -> DataFrame:
-    rank = F.struct(score.alias("score"), (-F.col("read_no")).alias("order"))
-    best = df.groupBy(*[F.col(k).alias(f"key_{k}") for k in keys]).agg(F.max_by(F.struct(*df.columns), rank).alias("row"))
-    return best.select("row.*")
+    """Of equal keys the row of the highest score, on ties of the smallest read_no (which names a row)."""
+    order = F.lit((1 << 63) - 1).cast("decimal(20,0)") - F.col("read_no").cast("decimal(20,0)")  # 0 to _ORDERS - 1
+    rank = (score.cast("decimal(17,0)") * F.expr(_ORDERS) + order).cast("decimal(38,0)")
+    best = df.groupBy(*keys).agg(F.max(rank).alias("rank"))
+    won = F.lit((1 << 63) - 1).cast("decimal(20,0)") - F.pmod(F.col("rank"), F.expr(_ORDERS))
+    return df.join(best.select(won.cast("long").alias("read_no")), "read_no", "left_semi").select(df.columns)
 
 
 def dedup_single(reads: DataFrame, chr_info: DataFrame) -> DataFrame:

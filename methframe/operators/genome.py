@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,19 @@ SPAN = 1 << 12  # longest stretch of the reference that one row may look at
 LEAD = 2  # bases before a tile that it also holds
 
 
+#: Most names of a chromosome list that is broadcast.
+LISTED = 100_000
+_fit: weakref.WeakKeyDictionary[DataFrame, bool] = weakref.WeakKeyDictionary()
+
+
+def names(genome: DataFrame) -> DataFrame:
+    """The chromosomes' names; hinted for a broadcast if counted to be LISTED at most, or reads would be dealt by a few hot names."""
+    listed = genome.select("chr")
+    if genome not in _fit:
+        _fit[genome] = len(listed.select(F.lit(1)).take(LISTED + 1)) <= LISTED
+    return F.broadcast(listed) if _fit[genome] else listed
+
+
 def tiles(genome: DataFrame, tile: int = TILE, span: int = SPAN) -> DataFrame:
     """(chr, tile, piece): piece (binary) starts LEAD bases before tile * TILE + 1 ('X' before the chromosome) and reaches span bases beyond the tile.
 
@@ -30,9 +45,12 @@ def with_reference(df: DataFrame, genome: DataFrame, start: str, length: str, na
     """df with the reference from LEAD bases before *start* to LEAD after its last base of *length*; rows on unknown chromosomes go.
 
     The planner broadcasts the tiles if they are small, else both sides are dealt by chromosome and tile.
+    A row that reaches more than span bases beyond its tile raises: a larger span holds it.
     """
     joined = df.withColumn("tile", F.expr(f"({start} - 1) div {tile}")).join(tiles(genome, tile, span), ["chr", "tile"])
-    return joined.withColumn(name, F.expr(f"cast(substr(piece, cast({start} - tile * {tile} as int), {length} + {2 * LEAD}) as string)")).drop("piece", "tile")
+    far = f"{start} - tile * {tile} - 1 + {length} > {tile + span}"
+    cut = f"cast(substr(piece, cast({start} - tile * {tile} as int), {length} + {2 * LEAD}) as string)"
+    return joined.withColumn(name, F.expr(f"if({far}, raise_error('a row reaches more than {span} bases beyond its tile: raise span'), {cut})")).drop("piece", "tile")
 
 
 def prepare(raw: DataFrame, control: DataFrame | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import reads as R
+from .genome import names
 from .intervals import points_in
 
 MAX_ERRORS, MAX_ERROR_PERCENT = 5, 10  # fixed values of the site filter
@@ -24,7 +25,7 @@ def region_stats(called: DataFrame, bed: DataFrame, info: DataFrame, clean: bool
     """
     sites = clean_sites(called) if clean else called
     points = sites.select("chr", "locus", (F.col("wC") + F.col("cC")).alias("c"), (F.col("wT") + F.col("cT")).alias("t")).where("c + t > 0")
-    known = bed.join(info.select("chr"), "chr", "left_semi")
+    known = bed.join(names(info), "chr", "left_semi")
     regions = known.groupBy(*bed.columns).agg(F.count(F.lit(1)).alias("copies"))
     met = points_in(points, regions, "left").groupBy(*bed.columns, "copies")
     stats = met.agg(F.count("locus").alias("sites"), F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("c"), F.coalesce(F.sum("t"), F.lit(0)).cast("long").alias("t"))

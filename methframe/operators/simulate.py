@@ -37,9 +37,9 @@ class SimConfig:
     seed: int = 1
 
 
-def uniform(seed: int, purpose: str, *keys: Column) -> Column:
-    """In [0, 1), from a hash."""
-    return F.pmod(F.xxhash64(F.lit(seed), F.lit(purpose), *keys), F.lit(1 << 30)).cast("double") / float(1 << 30)
+def uniform(seed: int, purpose: str, *keys: Column, bits: int = 30) -> Column:
+    """In [0, 1), from a hash, in 2**bits steps (53 at most, all that a double tells apart)."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.lit(purpose), *keys), F.lit(1 << bits)).cast("double") / float(1 << bits)
 
 
 def places(spark: SparkSession, info: DataFrame, conf: SimConfig) -> DataFrame:
@@ -48,7 +48,8 @@ def places(spark: SparkSession, info: DataFrame, conf: SimConfig) -> DataFrame:
     ends = np.cumsum([n for _, n in sizes]).tolist()
     total = ends[-1] if ends else 0
     k = F.col("read_no")
-    at = F.floor(uniform(conf.seed, "place", k) * total).cast("long")
+    # A genome may have more places than 2**30.
+    at = F.floor(uniform(conf.seed, "place", k, bits=53) * total).cast("long")
     size = F.lit(conf.length) if not conf.paired else F.floor(uniform(conf.seed, "size", k) * (conf.max_fragment - conf.min_fragment + 1) + conf.min_fragment)
     starts = [0, *ends[:-1]]
     table = F.array(*[F.struct(F.lit(c).alias("chr"), F.lit(s).cast("long").alias("from"), F.lit(e).cast("long").alias("to")) for (c, _), s, e in zip(sizes, starts, ends, strict=True)])

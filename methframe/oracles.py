@@ -123,8 +123,7 @@ FROM sized WHERE chr IN (SELECT chr FROM genome)) d WHERE rn = 1
 """,
     ["sized", "genome"],
 )
-VIEWS["sizes"] = ("SELECT frag_size AS size, count(*) AS count, count(*)::DOUBLE * 100 / (SELECT count(*) FROM unique_pairs) AS proportion FROM unique_pairs WHERE frag_size BETWEEN 1 AND 70 GROUP BY 1", ["unique_pairs"])
-VIEWS["sizes_all"] = ("SELECT frag_size AS size, count(*) AS count, count(*)::DOUBLE * 100 / (SELECT count(*) FROM unique_pairs) AS proportion FROM unique_pairs WHERE frag_size BETWEEN 1 AND 1000 GROUP BY 1", ["unique_pairs"])
+VIEWS["sizes"] = ("SELECT frag_size AS size, count(*) AS count, count(*)::DOUBLE * 100 / (SELECT count(*) FROM unique_pairs) AS proportion FROM unique_pairs WHERE frag_size BETWEEN 1 AND 1000 GROUP BY 1", ["unique_pairs"])
 VIEWS["merged"] = (
     """
 SELECT read_no, strand, CASE WHEN strand = 'W' THEN w_chr ELSE c_chr END AS chr, CASE WHEN strand = 'W' THEN w_pos ELSE c_pos END AS pos,
@@ -362,8 +361,6 @@ oracle(
 oracle("discard_unknown_chr", "SELECT read_no, chr FROM pairs WHERE chr NOT IN (SELECT chr FROM genome)", "pairs")
 oracle("size_dist", "SELECT * FROM sizes", "sizes")
 oracle("size_axis", "SELECT (CASE WHEN min(size) > 100 THEN 100 WHEN min(size) > 50 THEN 50 ELSE 0 END)::BIGINT AS x_min, greatest(300, coalesce(max(size) FILTER (proportion > 0.01), 300))::BIGINT AS x_max FROM sizes", "sizes")
-oracle("size_dist_all", "SELECT * FROM sizes_all", "sizes_all")
-oracle("size_axis_all", "SELECT (CASE WHEN min(size) > 100 THEN 100 WHEN min(size) > 50 THEN 50 ELSE 0 END)::BIGINT AS x_min, greatest(300, coalesce(max(size) FILTER (proportion > 0.01), 300))::BIGINT AS x_max FROM sizes_all", "sizes_all")
 oracle("merge_hypotheses", "SELECT read_no, strand, chr, pos, mapq::INTEGER AS mapq, as_score, has_xs FROM merged", "merged")
 oracle("merge_strand_counts", "SELECT strand, count(*) AS reads FROM merged GROUP BY 1", "merged")
 VIEWS["ended"] = (f"SELECT *, pos1 + {REFLEN.format(c='cigar1')} - 1 AS e1, pos2 + {REFLEN.format(c='cigar2')} - 1 AS e2 FROM pairs WHERE regexp_full_match(cigar1, '([0-9]+[MID])+') AND regexp_full_match(cigar2, '([0-9]+[MID])+')", ["pairs"])
@@ -395,11 +392,6 @@ oracle(
 )
 oracle(
     "colour_space",
-    "SELECT chr, 'T' || array_to_string(list_transform(range(1, 201), lambda i: xor(instr('ACGT', substr(s, i, 1)) - 1, instr('ACGT', substr(s, i + 1, 1)) - 1)::VARCHAR), '') AS colours FROM (SELECT chr, 'T' || substr(seq, 1, 200) AS s FROM genome) g",
-    "genome",
-)
-oracle(
-    "colour_space_all",
     "SELECT chr, 'T' || array_to_string(list_transform(range(1, length(s)), lambda i: xor(instr('ACGT', substr(s, i, 1)) - 1, instr('ACGT', substr(s, i + 1, 1)) - 1)::VARCHAR), '') AS colours FROM (SELECT chr, 'T' || seq AS s FROM genome) g",
     "genome",
 )
@@ -474,19 +466,13 @@ WHERE "end" // 100 < length // 100 + 1 GROUP BY b.chr, length, p // 100
 """
 oracle("bed_wig", WIG.format(weight="1.0::DOUBLE"), "bed", "info")
 oracle("bed_wig_norm", WIG.format(weight="(10000000.0::DOUBLE / (SELECT count(*) FROM bed))"), "bed", "info")
-oracle(
-    "interval_overlap",
-    """SELECT a.chr AS chr_a, a.start AS start_a, a."end" AS end_a, b.chr AS chr_b, b.start AS start_b, b."end" AS end_b FROM bed a JOIN bed b ON a.chr = b.chr AND a.start <= b."end" AND a."end" >= b.start WHERE a.start % 2 = 0 AND b.start % 3 = 0""",
-    "bed",
-)
-oracle("interval_semijoin", """SELECT * FROM bed a WHERE start % 2 = 0 AND EXISTS (SELECT 1 FROM bed b WHERE b.start % 7 = 0 AND a.chr = b.chr AND a.start <= b."end" AND a."end" >= b.start)""", "bed")
 VIEWS["mirrored"] = ('SELECT chr, length + 1 - "end" AS start, length + 1 - start AS "end" FROM bed JOIN info USING (chr)', ["bed", "info"])
 oracle(
-    "interval_overlap_all",
+    "interval_overlap",
     """SELECT a.chr AS chr_a, a.start AS start_a, a."end" AS end_a, b.chr AS chr_b, b.start AS start_b, b."end" AS end_b FROM bed a JOIN mirrored b ON a.chr = b.chr AND a.start <= b."end" AND a."end" >= b.start""",
     "mirrored",
 )
-oracle("interval_semijoin_all", """SELECT * FROM bed a WHERE EXISTS (SELECT 1 FROM mirrored b WHERE a.chr = b.chr AND a.start <= b."end" AND a."end" >= b.start)""", "mirrored")
+oracle("interval_semijoin", """SELECT * FROM bed a WHERE EXISTS (SELECT 1 FROM mirrored b WHERE a.chr = b.chr AND a.start <= b."end" AND a."end" >= b.start)""", "mirrored")
 oracle(
     "merge_intervals",
     """
@@ -536,3 +522,52 @@ SELECT name, row FROM (SELECT name, regexp_replace(string_agg(substr(row, s + 1,
     "picture", "genome",
 )
 oracle("sim_bisulfite", "SELECT read_no, replace(seq1, 'C', 'T') AS seq FROM raw", "raw")
+
+# --- text forms, selections, certain outcomes of the simulator --------------------------
+
+oracle("fastq_roundtrip", "SELECT id1 AS id, seq1 AS seq, qual1 AS qual FROM raw", "raw")
+oracle(
+    "fastq_pairs_roundtrip",
+    "SELECT row_number() OVER (ORDER BY read_no) - 1 AS read_no, id1, substr(seq1, 1, n) AS seq1, substr(qual1, 1, n) AS qual1, id2, substr(seq2, 1, n) AS seq2, substr(qual2, 1, n) AS qual2 FROM (SELECT *, least(length(seq1), length(seq2)) AS n FROM raw) r",
+    "raw",
+)
+oracle("fasta_roundtrip", "SELECT chr, seq FROM genome", "genome")
+oracle("genome_with_control", "SELECT chr, seq FROM genome UNION ALL SELECT 'chrlambda', seq FROM genome WHERE chr = 'chrL'", "genome")
+oracle("chr_info_roundtrip", "SELECT * FROM info", "info")
+oracle("calls_roundtrip", "SELECT * FROM calls", "calls")
+oracle("bed_roundtrip", 'SELECT chr, start, "end" FROM bed', "bed")
+oracle("refgene_roundtrip", "SELECT chr, strand, tx_start, tx_end, gene FROM refgene", "refgene")
+oracle("conf_roundtrip", "SELECT * FROM (VALUES ('mode', '3'), ('protocol', 'BS'), ('min_size', '36')) v(key, value)")
+oracle(
+    "sam_roundtrip",
+    "SELECT name AS qname, (CASE WHEN strand = 'W' THEN 0 ELSE 16 END)::INTEGER AS flag, chr, pos::BIGINT AS pos, mapq, cigar, seq, qual, strand, (-(mapq % 7))::INTEGER AS as_score, mapq % 3 = 0 AS has_xs FROM single",
+    "single",
+)
+oracle("alignments_roundtrip", "SELECT read_no, chr, pos, cigar, seq, qual, strand FROM single", "single")
+oracle("metrics_roundtrip", f"SELECT unnest(['Dropped', 'Aadaptor', 'Tail Hit']) AS key, unnest([dropped, adapter, tail]) AS value FROM ({_count_cut('cut_pe')}) t", "cut_pe")
+oracle(
+    "log_lines",
+    """SELECT unnest(['All', 'Unique', 'Duplicate', 'Discard']) || chr(9) || unnest(["all", "unique", "all" - "unique" - discard, discard]) AS value
+FROM (SELECT count(*) AS "all", count(*) FILTER (chr NOT IN (SELECT chr FROM genome)) AS discard FROM pairs) a, (SELECT count(*) AS "unique" FROM unique_pairs) u
+UNION ALL SELECT CASE WHEN strand = 'W' THEN 'WATSON' ELSE 'CRICK' END || chr(9) || count(*) FROM merged GROUP BY strand""",
+    "unique_pairs",
+    "merged",
+)
+oracle("mbias_lines", "SELECT '#' || concat_ws(chr(9), 'cycle', 'wC', 'wT', 'wO', 'cC', 'cT', 'cO') AS value UNION ALL SELECT concat_ws(chr(9), cycle, wC, wT, wO, cC, cT, cO) FROM (" + _mbias("seen_single", 1) + ") m", "seen_single")
+oracle("bedgraph_lines", "SELECT concat_ws(chr(9), chr, locus - 1, locus, round((wC + cC)::DOUBLE * 100 / (wC + cC + wT + cT))::INTEGER) AS value FROM calls WHERE wC + cC + wT + cT > 0", "calls")
+oracle(
+    "wig_lines",
+    """SELECT 'track type=''wiggle_0'' name=''depth'' description=''depth, bin=100''' AS value UNION ALL SELECT 'variableStep chrom=' || i.chr || ' span=100' FROM info i WHERE substr(i.chr, 4, 1) <> 'M'
+UNION ALL SELECT pos || chr(9) || printf('%.4f', value) FROM ("""
+    + WIG.format(weight="1.0::DOUBLE")
+    + ") w",
+    "bed",
+    "info",
+)
+oracle("annotated_bed", 'SELECT concat_ws(chr(9), t.chr, t.start, t."end", sites, c, t.t) AS value FROM (' + STATS.format(calls="calls") + ") t", "calls", "bed")
+oracle("concordant_pairs", "SELECT read_no FROM sized WHERE frag_size BETWEEN 40 AND 80", "sized")
+oracle("viewer_one_strand", "SELECT name || '_R' || m AS name, pos, strand FROM region WHERE strand = 'C'", "region")
+oracle("sim_errors", "SELECT read_no, length(seq1)::BIGINT AS changed, length(seq1)::BIGINT AS n FROM raw", "raw")
+oracle("sim_snps", "SELECT read_no, 3::BIGINT AS changed FROM raw", "raw")
+oracle("sim_adapter", "SELECT read_no, substr(seq1, 1, length(seq1) - 10) || 'AGATCGGAAG' AS seq FROM raw", "raw")
+oracle("sim_random", "SELECT r AS read_no, 40::BIGINT AS n, true AS pure FROM range(200) t(r)")

@@ -98,7 +98,7 @@ class Pipeline:
             out["sizes"] = DEDUP.size_distribution(unique, c.max_ins)
         if c.align_only:
             return out
-        observed = CALLS.observations(CALLS.shown(unique, genome, c.min_align), genome)
+        observed = self.save(CALLS.observations(CALLS.shown(unique, genome, c.min_align), genome), "observed")  # read by the calls and each M-bias table
         called = self.save(CALLS.calls(observed), "calls")
         log = CALLS.chr_log(unique, called, genome, c.min_align)
         out |= {"calls": called, "chr_log": log, "bedgraph": CALLS.bedgraph(called, c.protocol)}

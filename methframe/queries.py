@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from .functions import cigar as C
 from .functions import reads as R
 from .operators import calls, dedup, genome, intervals, merge, preprocess, profile, report, simulate, view
 from .plans.pipeline import Conf
-from .sources import sinks
+from .sources import sequence, sinks, text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CYCLE = 50
@@ -135,21 +137,11 @@ def discard_unknown_chr(x):
 
 @query
 def size_dist(x):
-    return dedup.size_distribution(dedup.dedup_pairs(x.pairs, info(x)), 70)
-
-
-@query
-def size_axis(x):
-    return dedup.size_axis(dedup.size_distribution(dedup.dedup_pairs(x.pairs, info(x)), 70))
-
-
-@query
-def size_dist_all(x):
     return dedup.size_distribution(dedup.dedup_pairs(x.pairs, info(x)), Conf().max_ins)
 
 
 @query
-def size_axis_all(x):
+def size_axis(x):
     return dedup.size_axis(dedup.size_distribution(dedup.dedup_pairs(x.pairs, info(x)), Conf().max_ins))
 
 
@@ -209,11 +201,6 @@ def hex_offsets(x):
 
 @query
 def colour_space(x):
-    return x.genome.select("chr", R.color_space("substr(seq, 1, 200)").alias("colours"))
-
-
-@query
-def colour_space_all(x):
     return x.genome.select("chr", R.color_space("seq").alias("colours"))
 
 
@@ -372,21 +359,11 @@ def bed_wig_norm(x):
 
 @query
 def interval_overlap(x):
-    return intervals.overlaps(x.bed.where("start % 2 = 0"), x.bed.where("start % 3 = 0"))
-
-
-@query
-def interval_semijoin(x):
-    return intervals.overlapping(x.bed.where("start % 2 = 0"), x.bed.where("start % 7 = 0"))
-
-
-@query
-def interval_overlap_all(x):
     return intervals.overlaps(x.bed, genome.mirror(x.bed, info(x)))
 
 
 @query
-def interval_semijoin_all(x):
+def interval_semijoin(x):
     return intervals.overlapping(x.bed, genome.mirror(x.bed, info(x)))
 
 
@@ -552,3 +529,178 @@ def sim_bisulfite(x):
     conf = simulate.SimConfig(conversion=100.0)
     rows = x.raw.select("read_no", F.col("seq1").alias("seq"))
     return simulate.bisulfite(rows, "seq", conf)
+
+
+# --- text forms, written to a shared folder and read again ------------------------------
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new path on storage that driver and executors share; a temporary one only where they are one process."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="text-forms-")
+    return f"{shared}/text-{uuid.uuid4().hex}"
+
+
+def _written(x: Fixtures, lines: DataFrame, **options: str) -> str:
+    path = _folder(x.spark)
+    lines.select("value").write.options(**options).text(path)
+    return path
+
+
+def _in_files(x: Fixtures, df: DataFrame, tag: str) -> str:
+    """A mate's records as gzip files in the order of read_no; their paths, which the FASTQ source expands."""
+    ranged = df.selectExpr("read_no", f"id{tag} as id", f"seq{tag} as seq", f"qual{tag} as qual").repartitionByRange(4, "read_no").sortWithinPartitions("read_no")
+    return _written(x, sinks.fastq_lines(ranged), compression="gzip").removeprefix("file:") + "/part-*"
+
+
+@query
+def fastq_roundtrip(x):
+    """Single reads as plain FASTQ files."""
+    path = _written(x, sinks.fastq_lines(se(x)))
+    return sequence.fastq(x.spark, path.removeprefix("file:") + "/part-*").select("id", "seq", "qual")
+
+
+@query
+def fastq_pairs_roundtrip(x):
+    """Both mates as several gzip files, joined in their order by number and cut to equal lengths."""
+    return sequence.fastq_pairs(x.spark, _in_files(x, x.raw, "1"), _in_files(x, x.raw, "2"))
+
+
+@query
+def fasta_roundtrip(x):
+    path = _written(x, sinks.fasta_lines(x.genome))
+    return sequence.fasta(x.spark, path.removeprefix("file:") + "/part-*")
+
+
+@query
+def genome_with_control(x):
+    """The genome and a control sequence, with plain names prefixed and bases in upper case."""
+    bare = x.genome.select(F.expr("substr(chr, 4)").alias("chr"), F.lower("seq").alias("seq"))
+    return genome.prepare(bare, x.genome.where("chr = 'chrL'").select(F.lit("lambda").alias("chr"), "seq"))
+
+
+@query
+def chr_info_roundtrip(x):
+    return text.chr_info(x.spark, _written(x, sinks.tsv_lines(info(x), header=False)))
+
+
+@query
+def calls_roundtrip(x):
+    return text.calls(x.spark, _written(x, sinks.call_lines(cpg(x))))
+
+
+@query
+def bed_roundtrip(x):
+    return text.bed(x.spark, _written(x, sinks.tsv_lines(x.bed, header=False))).select("chr", "start", "end")
+
+
+@query
+def refgene_roundtrip(x):
+    rows = x.refgene.selectExpr("'0' as bin", "'t' as name", "chr", "strand", "tx_start", "tx_end", *[f"'.' as c{k}" for k in range(6, 12)], "gene", "'.' as c13", "'.' as c14", "'.' as c15")
+    return text.refgene(x.spark, _written(x, sinks.tsv_lines(rows, header=False)))
+
+
+@query
+def conf_roundtrip(x):
+    settings = sinks.conf_table(x.spark, {"mode": 3, "protocol": "BS", "min_size": 36})
+    return text.conf(x.spark, _written(x, sinks.tsv_lines(settings)))
+
+
+def _sam(x: Fixtures) -> DataFrame:
+    """Single reads as SAM lines under a header."""
+    tags = "concat_ws('\t', 'AS:i:' || -(mapq % 7), if(mapq % 3 = 0, 'XS:i:-3', 'NM:i:1'), if(strand = 'W', 'XG:Z:CT', 'XG:Z:GA'))"
+    body = x.single.selectExpr(f"concat_ws('\t', name, if(strand = 'W', 0, 16), chr, pos, mapq, cigar, '*', 0, 0, seq, qual, {tags}) as value")
+    return sinks.sam_header(info(x), {}).select("value").unionByName(body)
+
+
+@query
+def sam_roundtrip(x):
+    """SAM text read again, its strand, score and second-place tags parsed."""
+    rows = text.sam(x.spark, _written(x, _sam(x)))
+    return rows.select("qname", "flag", "chr", "pos", "mapq", "cigar", "seq", "qual", text.strand_of().alias("strand"), merge.score_of().alias("as_score"), merge.has_second().alias("has_xs"))
+
+
+@query
+def alignments_roundtrip(x):
+    """Coordinate-sorted alignments by chromosome, read back whole."""
+    path = _folder(x.spark)
+    sinks.write_alignments(x.single, path)
+    return x.spark.read.schema(x.single.schema).parquet(path).select("read_no", "chr", "pos", "cigar", "seq", "qual", "strand")
+
+
+@query
+def metrics_roundtrip(x):
+    """The trimming log as text, read as labels and numbers."""
+    counters = preprocess.trim_counters(preprocess.trim(pe(x)))
+    return text.metrics(x.spark, _written(x, sinks.trim_log_lines(counters)))
+
+
+@query
+def log_lines(x):
+    """Lines of the duplicate and merge logs."""
+    return sinks.dedup_log_lines(dedup_log(x)).unionByName(sinks.merge_log_lines(merge_strand_counts(x)))
+
+
+@query
+def mbias_lines(x):
+    return sinks.tsv_lines(mbias_se(x), order=["cycle"])
+
+
+@query
+def bedgraph_lines(x):
+    return sinks.bedgraph_lines(cpg_bedgraph_bs(x).select("chr", "start", "end", F.round("level").cast("int").alias("level")))
+
+
+@query
+def wig_lines(x):
+    return sinks.wig_lines(bed_wig(x), 100, info(x), "depth")
+
+
+@query
+def annotated_bed(x):
+    rows = profile.region_stats(cpg(x), x.bed.withColumn("line", F.concat_ws("\t", "chr", "start", "end")), info(x), clean=False)
+    return sinks.annotated_bed_lines(rows)
+
+
+# --- selections and parts of the simulator whose outcome is certain ---------------------
+
+
+@query
+def concordant_pairs(x):
+    return dedup.concordant(x.pairs, 40, 80).select("read_no")
+
+
+@query
+def viewer_one_strand(x):
+    return view.in_region(_mates(x).where(C.supported("cigar")), REGION, "C").select("name", "pos", "strand")
+
+
+@query
+def sim_errors(x):
+    """Every base wrong: reads differ from their originals at each of the four bases' places."""
+    rows = x.raw.select("read_no", F.translate("seq1", "N", "A").alias("seq"))
+    wrong = simulate.errors(rows.withColumn("was", F.col("seq")), "seq", "1D", simulate.SimConfig(), "error")
+    return wrong.select("read_no", F.expr("size(filter(sequence(1, length(seq)), i -> substr(seq, i, 1) <> substr(was, i, 1)))").cast("long").alias("changed"), F.length("seq").cast("long").alias("n"))
+
+
+@query
+def sim_snps(x):
+    rows = x.raw.select("read_no", F.translate("seq1", "N", "A").alias("seq"))
+    changed = simulate.snps(rows.withColumn("was", F.col("seq")), "seq", simulate.SimConfig(snps=3))
+    return changed.select("read_no", F.expr("size(filter(sequence(1, length(seq)), i -> substr(seq, i, 1) <> substr(was, i, 1)))").cast("long").alias("changed"))
+
+
+@query
+def sim_adapter(x):
+    conf = simulate.SimConfig(adapter="AGATCGGAAGAGC", fixed_adapter=10)
+    return simulate.with_adapter(x.raw.select("read_no", F.col("seq1").alias("seq")), "seq", conf)
+
+
+@query
+def sim_random(x):
+    """Random sequences: as many, as long and of the four bases alone."""
+    rows = simulate.random_sequences(x.spark, 200, 40)
+    return rows.select("read_no", F.length("seq").cast("long").alias("n"), F.col("seq").rlike("^[ACGT]+$").alias("pure"))

@@ -236,3 +236,41 @@ def test_parts_of_frequent_seeds_hold_every_place(spark):
     seeds = frame(spark, "read_no long, kmer string", (1, "often"), (2, "often"), (3, "k950"), (4, "none"))
     got = sorted((r["read_no"], r["pos"]) for r in align.seed_places(seeds, index, 7).collect())
     assert got == sorted([(n, p) for n in (1, 2) for p in range(900)] + [(3, 950)])
+
+
+def test_merge_across_tiles(spark):
+    """Intervals that span tiles, nest, touch and leave gaps, against a plain sweep."""
+    import random
+
+    r = random.Random(3)
+    data = [(f"chr{r.randint(1, 2)}", s, s + r.choice((0, 1, 5, 40, 300))) for s in (r.randint(0, 3000) for _ in range(150))] + [("chr3", 0, 5000), ("chr3", 10, 20), ("chr3", 4990, 4999), ("chr3", 5003, 5004)]
+    df = spark.createDataFrame(data, "chr string, start long, end long").repartition(3)
+    for gap in (0, 2):
+        want = []
+        for c, s, e in sorted(data):
+            if want and want[-1][0] == c and s <= want[-1][2] + gap:
+                want[-1][2], want[-1][3] = max(want[-1][2], e), want[-1][3] + 1
+            else:
+                want.append([c, s, e, 1])
+        for tile in (16, 256, 1 << 14):
+            got = intervals.merge(df, gap, tile).select("chr", "start", "end", "count").collect()
+            assert sorted(map(list, got)) == want
+
+
+def test_far_rows_raise(spark):
+    genome_ = spark.createDataFrame([("chr1", "ACGT" * 100)], "chr string, seq string")
+    row = spark.createDataFrame([(1, "chr1", 30)], "read_no long, chr string, pos long")
+    got = genome.with_reference(row, genome_, "pos", "20", tile=32, span=32).first()["ref"]
+    assert got == ("ACGT" * 100)[27:51]
+    with pytest.raises(Exception, match="raise span"):
+        genome.with_reference(row, genome_, "pos", "60", tile=32, span=32).collect()
+
+
+def test_dedup_plan(spark):
+    """Hash aggregation over short rows, and a broadcast list of chromosomes."""
+    reads = spark.createDataFrame([(k, "chr1", "W", k % 3, "IIII"[: 1 + k % 4]) for k in range(40)], "read_no long, chr string, strand string, pos long, qual string")
+    listed = spark.createDataFrame([("chr1", 10)], "chr string, length long")
+    out = dedup.dedup_single(reads, listed)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan and "BroadcastHashJoin" in plan
+    assert sorted(r["read_no"] for r in out.collect()) == [3, 7, 11]
