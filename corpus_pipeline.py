@@ -1,7 +1,9 @@
 """The corpus pipeline: stages that each call one operator, and their whole run.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
-and read again as the next stage's docs.  All but the last return the columns of documents.
+and read again as the next stage's docs.  All but the last return the columns of documents, and drop any others that
+docs has.  An empty table passes all stages as one.  Rows that repeat an id and its text share every decision; what
+nulls do is said with each stage.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents with a letter: only 'und' is rejected, that is null texts, texts without a letter, and all if nothing was learned.
 
     Which language is predicted, and how surely, decides nothing: texts of no learned language pass.
+    Rows with a null id or lang are judged like others, and not learned from.
     """
     model = language_id.fit(language_id.training_rows(docs, bucket(F.col("doc_id"), 4), HELD_OUT))
     found = language_id.identify(docs, model, lang_out="stage_lang", score_out="stage_score")
@@ -32,22 +35,22 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id."""
+    """Of equal texts the document with the smallest id; null counts as empty, rows with a null id stay."""
     return drop_copies(docs).select(COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by shingles the one with the smallest id."""
+    """Of each group of documents linked by shingles the one with the smallest id; rows with a null id, and texts without words, link with nothing and stay."""
     return keep_one_of_each(docs).select(COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated to their sources' target weights, in a random order."""
+    """Documents repeated to their sources' target weights, in a random order; a null source is '', a null id draws as 'null', sources without characters give no rows."""
     return mix_sources(docs).select(COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, n_tokens, decoded_sha256, exact) of every copy."""
+    """(doc_id, ids, n_tokens, decoded_sha256, exact) of every copy; a null text counts as empty."""
     return pieces.round_trip(docs, piece_model())
 
 
