@@ -34,6 +34,7 @@ from .arrowmap import add_columns
 
 DOCUMENTS = 64
 LETTERS = 40_000
+SALTS = 64  # tasks that share the ranking of one language's documents
 GROUP = 16  # languages whose automata are in memory together
 BLOCK = 1024
 UNDETERMINED = "und"
@@ -300,8 +301,12 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     keys = rows.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = keys.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents)
+    # The first of each partition, of each salt's partitions, of each language: no task ranks more than SALTS * documents
+    # rows of a language, or a salt's share of the partitions' firsts. Which partition a row is in changes no result.
+    salted = keys.distinct().withColumn("salt", F.spark_partition_id() % SALTS)
+    order = Window.partitionBy("lang", "salt").orderBy("h", "id")
+    salted = salted.withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents).drop("n", "salt")
+    chosen = salted.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))).where(F.col("n") <= documents)
     ids = F.broadcast(chosen.select(F.col("lang").alias("chosen_lang"), F.col("id").alias("chosen_id"), "n"))  # languages * documents rows at most
     text = F.substring(F.col(text_col), 1, letters).alias("text")
     found = rows.join(ids, (rows[id_col] == F.col("chosen_id")) & (rows[lang_col] == F.col("chosen_lang"))).groupBy("chosen_lang", "n").agg(F.min(text).alias("text"))

@@ -123,6 +123,18 @@ def test_language_cases(docs, empty, sample):
     assert {r["lang_pred"] for r in language_id.identify(docs, none).collect()} == {"und"}
 
 
+def test_language_sample_is_the_same_for_any_salts(spark, monkeypatch):
+    rows_ = [(i, f"word{i} " * 3, "en" if i % 4 else "fr") for i in range(400)]
+    docs_ = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    got = []
+    for salts, parts in ((1, 1), (3, 7), (64, 40)):
+        monkeypatch.setattr(language_id, "SALTS", salts)
+        model = language_id.fit(docs_.repartition(parts), documents=5)
+        got.append((model.langs, [x.tolist() for x in model.samples]))
+    assert got[0] == got[1] == got[2]
+    assert got[0][0] == ["en", "fr"]
+
+
 def test_language_held_out(spark):
     rows_ = QUERIES["op6_language_id"](spark, DIR.replace("0.001", "0.01")).join(spark.read.parquet(DIR.replace("0.001", "0.01") + "/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows_ if r["held_out"] and r["lang"] is not None]
