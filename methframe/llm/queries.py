@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gru_lm, html_text, language_id, pieces, quality, transport_stream
+from . import gru_lm, html_text, language_id, pieces, quality, spelling, transport_stream
 from .common import bucket, table
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_join
@@ -75,6 +75,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.letter_runs(table(spark, sf_dir, "documents"), min_length=7)  # a slip makes no run longer
+    words = runs.select(spelling.with_slips(runs, 31).alias("word"))
+    return spelling.variant_groups(spelling.count_words(words, min_length=7, min_count=2), ratio=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op4_transport_stream, op5_language_model, op6_language_id, op7_html_text, op8_quality, op9_exact_dedup, op10_jaccard_join)
+    f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op4_transport_stream, op5_language_model, op6_language_id, op7_html_text, op8_quality, op9_exact_dedup, op10_jaccard_join, op11_spelling_variants)
 }
