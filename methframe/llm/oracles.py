@@ -37,4 +37,29 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY content)
 """
 
-ORACLES = {"op2_mix_sources": OP2, "op9_exact_dedup": OP9}
+OP12 = r"""
+WITH found AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), docs AS (
+  SELECT d, doc_id, terms, len(terms)::BIGINT AS n FROM found WHERE len(terms) > 0
+), sizes AS (
+  SELECT count(*)::BIGINT AS all_docs, sum(n)::BIGINT AS all_terms FROM docs
+), postings AS (
+  SELECT d, term, count(*)::BIGINT AS tf FROM (SELECT d, unnest(terms) AS term FROM docs) GROUP BY 1, 2
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM postings, sizes GROUP BY term, all_docs
+), asked AS (
+  SELECT i, item_id, term, count(*)::BIGINT AS times FROM (
+    SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+  ) GROUP BY 1, 2, 3
+), scored AS (
+  SELECT i, item_id, d, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * all_docs) // all_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN docs USING (d), sizes GROUP BY 1, 2, 3, 4
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES = {"op2_mix_sources": OP2, "op9_exact_dedup": OP9, "op12_lexical_search": OP12}

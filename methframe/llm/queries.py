@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gru_lm, html_text, language_id, pieces, quality, spelling, transport_stream
+from . import gru_lm, html_text, language_id, lexical_search, nearest, pieces, quality, spelling, transport_stream
 from .common import bucket, table
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_join
@@ -81,6 +81,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variant_groups(spelling.count_words(words, min_length=7, min_count=2), ratio=10)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(lexical_search.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op4_transport_stream, op5_language_model, op6_language_id, op7_html_text, op8_quality, op9_exact_dedup, op10_jaccard_join, op11_spelling_variants)
+    f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_sentencepiece, op4_transport_stream, op5_language_model, op6_language_id, op7_html_text, op8_quality, op9_exact_dedup, op10_jaccard_join, op11_spelling_variants, op12_lexical_search, op13_nearest)
 }

@@ -60,7 +60,8 @@ def test_drop_copies(docs, empty):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     c = duckdb.connect()
-    c.execute(f"create view documents as select * from read_parquet('{DIR}/documents.parquet')")
+    for t in ("documents", "benchmark"):
+        c.execute(f"create view {t} as select * from read_parquet('{DIR}/{t}.parquet')")
     df = QUERIES[name](spark, DIR)
     columns = sorted(df.columns)
     result = c.execute(ORACLES[name])
