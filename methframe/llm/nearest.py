@@ -7,8 +7,8 @@ summed distance differ by a quantisation error; its quantile over near pairs of
 query goes through the pairs once more, up to the distance of its first answer plus the margin, and every entry of these
 cells is ranked by the cosine of the original vectors.  No number of cells or entries is fixed: dense data end sooner.
 
-Entries are dealt by cell, large cells in pieces, and so are the queries that visit them, in blocks, so no task holds
-more than a piece and a block.
+Entries are dealt by their first centroid, in pieces, and the queries that visit any of its cells, with the list of
+these, in blocks, so no task holds more than a piece and a block.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .arrowmap import release, sliced
@@ -29,7 +29,7 @@ from .common import stash
 SAMPLE = 20_000  #: vectors, about, that codebooks and margin are fitted on
 PROBES = 512  #: of them that serve as queries for the margin
 CENTROIDS = 256  #: of a half at most; a table of their pairs is what is broadcast
-QUANTILE = 0.98  #: of near pairs of the sample whose cell lies within the margin
+QUANTILE = 0.95  #: of near pairs of the sample whose cell lies within the margin
 FIRST = 1000  #: entries that the cells of a first answer hold at least
 PIECE, BLOCK = 4096, 1024  #: entries and queries that meet in one group at most, about
 ROUNDS = 10
@@ -113,7 +113,7 @@ class Codebooks:
 def fit(sample: np.ndarray, n: int, k: int = 5) -> Codebooks:
     """Codebooks for n vectors from a sample of them; more vectors have more centroids, up to CENTROIDS a half."""
     unit, cut = _unit(sample), sample.shape[1] // 2
-    size = max(1, min(CENTROIDS, round(math.sqrt(n) / 6)))
+    size = max(1, min(CENTROIDS, round(math.sqrt(n) / 2.5)))
     books = Codebooks((_codebook(unit[:, :cut], size, 1), _codebook(unit[:, cut:], size, 2)))
     probes = unit[:PROBES]
     cosine = probes @ unit.T
@@ -144,7 +144,7 @@ def pairs_in_order(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[float, int, i
 
 @dataclass
 class Index:
-    """Stored entries (vec_id, vector, cell, row) of one length, their codebooks, and how many a cell has."""
+    """Stored entries (vec_id, vector, first, second, row) of one length, their codebooks, and how many each cell (first, second) has."""
 
     entries: DataFrame
     books: Codebooks
@@ -155,22 +155,27 @@ def build(vectors: DataFrame, n: int) -> Index:
     """The index of the n usable vectors of one length; codebooks see about SAMPLE of them, chosen by a hash, the index has all."""
     spread = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(max(1, n // SAMPLE)))
     sample = vectors.where(spread == 0).select("vector").limit(2 * SAMPLE).toArrow().column(0).combine_chunks()  # a bounded number
-    books = fit(next(_rows(sample))[1], n) if len(sample) else fit(next(_rows(vectors.select("vector").limit(SAMPLE).toArrow().column(0).combine_chunks()))[1], n)
+    if not len(sample):  # the same few vectors over and over
+        sample = vectors.select("vector").limit(SAMPLE).toArrow().column(0).combine_chunks()
+    books = fit(next(_rows(sample))[1], n)
+    m = len(books.halves[1])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             for _, x in _rows(batch.column(1)):
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(books.cells(_unit(x)).astype(np.int32))], names=["vec_id", "vector", "cell"])
-
-    entries = stash(vectors.select("vec_id", "vector").mapInArrow(assign, "vec_id long, vector array<double>, cell int").withColumn("row", F.monotonically_increasing_id()))
-    sizes = np.zeros(len(books.halves[0]) * len(books.halves[1]), np.int64)
-    for r in entries.groupBy("cell").count().collect():  # a row a cell
-        sizes[r["cell"]] = r["count"]
+                cell = books.cells(_unit(x)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell // m), pa.array(cell % m)], names=["vec_id", "vector", "first", "second"])
+
+    assigned = vectors.select("vec_id", "vector").mapInArrow(assign, "vec_id long, vector array<double>, first int, second int")
+    entries = stash(assigned.withColumn("row", F.monotonically_increasing_id()))
+    sizes = np.zeros((len(books.halves[0]), m), np.int64)
+    for r in entries.groupBy("first", "second").count().collect():  # a row a cell
+        sizes[r["first"], r["second"]] = r["count"]
     return Index(entries, books, sizes)
 
 
 def _visits(queries: DataFrame, index: Index) -> DataFrame:
-    """(cell, query_row) of the cells that each query (query_row, vector, floor) goes through.
+    """(first, query_row, seconds) of the cells with entries that each query (query_row, vector, floor) goes through.
 
     floor is the cosine that its first answer ends with; without one (NEVER) the query stops at FIRST entries.
     """
@@ -183,17 +188,19 @@ def _visits(queries: DataFrame, index: Index) -> DataFrame:
                 near = books.distances(_unit(x))
                 for k, i in enumerate(at):
                     far = 2 - 2 * floors[i] + books.margin if floors[i] != NEVER else -1.0
-                    cells, met = [], 0
+                    cells: dict[int, list[int]] = {}
+                    met = 0
                     for s, a, b in pairs_in_order(near[0][k], near[1][k]):
                         if met >= FIRST and s > far:
                             break
-                        cell = a * len(books.halves[1]) + b
-                        if sizes[cell]:
-                            cells.append(cell)
-                            met += sizes[cell]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.array(cells, np.int32)), pa.array(np.full(len(cells), rows[i]))], names=["cell", "query_row"])
+                        if sizes[a, b]:
+                            cells.setdefault(a, []).append(b)
+                            met += sizes[a, b]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(cells), pa.int32()), pa.array(np.full(len(cells), rows[i])), pa.array(list(cells.values()), pa.list_(pa.int32()))], names=["first", "query_row", "seconds"]
+                    )
 
-    return queries.select("query_row", "vector", "floor").mapInArrow(run, "cell int, query_row long")
+    return queries.select("query_row", "vector", "floor").mapInArrow(run, "first int, query_row long, seconds array<int>")
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -204,53 +211,59 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _rerank(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(queries: pa.Table, entries: pa.Table) -> pa.Table:
         rows, ids, floors = (queries.column(c).to_numpy() for c in ("query_row", "query_id", "floor"))
-        found = entries.column("vec_id").to_numpy()
-        out: list[tuple[np.ndarray, ...]] = []
+        found, second = entries.column("vec_id").to_numpy(), entries.column("second").to_numpy()
+        q, e = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        a = b = np.empty((0, 1))
         if len(rows) and len(found):
             a = next(_rows(queries.column("query_vector").combine_chunks()))[1]
             b = next(_rows(entries.column("vector").combine_chunks()))[1]
-            ub = _unit(b)
-            for i in range(0, len(rows), BLOCK):
-                s = _unit(a[i : i + BLOCK]) @ ub.T
-                s[ids[i : i + BLOCK, None] == found[None]] = NEVER
-                kth = np.partition(s, -k, axis=1)[:, -k] if len(found) >= k else np.full(len(s), NEVER)
-                q, e = np.nonzero((s >= np.maximum(kth, floors[i : i + BLOCK])[:, None] - _SLACK) & (s > NEVER))
-                exact = np.concatenate([cosines(a[i + q[j : j + PIECE]], b[e[j : j + PIECE]]) for j in range(0, len(q), PIECE)]) if len(q) else np.empty(0)
-                order = np.lexsort((found[e], -exact, q))
-                q, e, exact = q[order], e[order], exact[order]
-                first = np.searchsorted(q, q)
-                best = np.arange(len(q)) - first < k
-                out.append((rows[i + q[best]], ids[i + q[best]], found[e[best]], exact[best]))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.float64)]
+            ua, ub = _unit(a), _unit(b)
+            lists = queries.column("seconds").combine_chunks()
+            visited = np.zeros((len(rows), int(max(second.max(), lists.flatten().to_numpy().max(initial=0))) + 1), bool)
+            visited[np.repeat(np.arange(len(rows)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = True
+            for cell in np.unique(second):
+                those, asked = np.flatnonzero(second == cell), np.flatnonzero(visited[:, cell])
+                s = ua[asked] @ ub[those].T
+                s[ids[asked, None] == found[None, those]] = NEVER
+                kth = np.partition(s, -k, axis=1)[:, -k] if len(those) >= k else np.full(len(s), NEVER)
+                i, j = np.nonzero((s >= np.maximum(kth, floors[asked])[:, None] - _SLACK) & (s > NEVER))
+                q.append(asked[i])
+                e.append(those[j])
+        q, e = np.concatenate(q), np.concatenate(e)
+        exact = np.concatenate([np.empty(0), *(cosines(a[q[j : j + PIECE]], b[e[j : j + PIECE]]) for j in range(0, len(q), PIECE))])
+        order = np.lexsort((found[e], -exact, q))
+        q, e, exact = q[order], e[order], exact[order]
+        best = np.arange(len(q)) - np.searchsorted(q, q) < k
+        out = {"query_row": rows[q[best]], "query_id": ids[q[best]], "vec_id": found[e[best]], "score": exact[best]}
         release()
-        return pa.table(dict(zip(("query_row", "query_id", "vec_id", "score"), columns, strict=True)))
+        return pa.table(out)
 
     return run
 
 
-def _shares(spark, counts: dict[int, int], most: int, name: str) -> DataFrame:
-    """(cell, name) of cells that have more than most rows: into how many parts they are dealt; at most CENTROIDS ** 2 rows."""
-    return spark.createDataFrame([(int(c), -(-int(n) // most)) for c, n in counts.items() if n > most], f"cell int, {name} int")
+def _shares(spark: SparkSession, counts: dict[int, int], most: int, name: str) -> DataFrame:
+    """(first, name) of first centroids that have more than most rows: into how many parts they are dealt; CENTROIDS rows at most."""
+    return spark.createDataFrame([(int(c), -(-int(n) // most)) for c, n in counts.items() if n > most], f"first int, {name} int")
 
 
 def _answers(queries: DataFrame, index: Index, k: int) -> DataFrame:
-    """(query_row, query_id, vec_id, score): the k best of all visited entries of each query (query_row, query_id, query_vector, floor)."""
+    """(query_row, query_id, vec_id, score, rank): the k best of all visited entries of each query (query_row, query_id, query_vector, floor)."""
     spark = queries.sparkSession
     visits = stash(_visits(queries.select("query_row", F.col("query_vector").alias("vector"), "floor"), index))
-    counts = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}  # a row a cell
-    pieces = F.broadcast(_shares(spark, {c: n for c, n in enumerate(index.sizes) if n}, PIECE, "pieces"))
+    counts = {r["first"]: r["count"] for r in visits.groupBy("first").count().collect()}  # a row a centroid
+    pieces = F.broadcast(_shares(spark, dict(enumerate(index.sizes.sum(1).tolist())), PIECE, "pieces"))
     blocks = F.broadcast(_shares(spark, counts, BLOCK, "blocks"))
 
     def dealt(df: DataFrame, number: Column) -> DataFrame:
-        """Rows with the piece and block of their cell: one is told by their number, the other takes all values."""
-        return df.join(pieces, "cell", "left").join(blocks, "cell", "left").withColumns({"pieces": F.coalesce("pieces", F.lit(1)), "blocks": F.coalesce("blocks", F.lit(1)), "number": number})
+        """Rows with the pieces and blocks of their centroid, and the number that tells their own."""
+        return df.join(pieces, "first", "left").join(blocks, "first", "left").withColumns({"pieces": F.coalesce("pieces", F.lit(1)), "blocks": F.coalesce("blocks", F.lit(1)), "number": number})
 
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     own = lambda c: F.pmod(F.col("number"), F.col(c)).cast("int")
     asked = dealt(visits, F.xxhash64("query_row")).withColumn("piece", every("pieces")).withColumn("block", own("blocks"))
-    asked = asked.join(queries, "query_row").select("cell", "piece", "block", "query_row", "query_id", "query_vector", "floor")
-    there = dealt(index.entries, F.xxhash64("row")).withColumn("block", every("blocks")).withColumn("piece", own("pieces")).select("cell", "piece", "block", "vec_id", "vector")
-    key = ["cell", "piece", "block"]
+    asked = asked.join(queries, "query_row").select("first", "piece", "block", "query_row", "query_id", "query_vector", "floor", "seconds")
+    there = dealt(index.entries, F.xxhash64("row")).withColumn("block", every("blocks")).withColumn("piece", own("pieces")).select("first", "piece", "block", "vec_id", "vector", "second")
+    key = ["first", "piece", "block"]
     met = asked.groupBy(*key).cogroup(there.groupBy(*key)).applyInArrow(_rerank(k), "query_row long, query_id long, vec_id long, score double")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
