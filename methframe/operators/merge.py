@@ -89,12 +89,99 @@ def deconvert(df: DataFrame, mate: int = 1) -> DataFrame:
     ).drop("places_W", "places_C")
 
 
+# Flags of SAM (fixed values).
+PAIRED, PROPER, UNMAPPED, REVERSE, MATE_REVERSE, FIRST, SECOND, SECONDARY, FAILED, SUPPLEMENTARY = 1, 2, 4, 16, 32, 64, 128, 256, 512, 2048
+
+
+def has_flag(bits: int, flag: str = "flag") -> Column:
+    return F.col(flag).bitwiseAND(bits) != 0
+
+
+def link_mates(rows: DataFrame, strand: Column) -> tuple[DataFrame, DataFrame]:
+    """(pairs, orphans) of SAM rows in any order (qname, flag, chr, pos, mapq, cigar, seq, qual, tags, ...).
+
+    Pairs have a row a name: (name, chr, strand, mapq, pos1, cigar1, seq1, qual1, tags1, pos2, ...), with mate 1's mapping quality
+    and strand, which is an expression over a row's columns.  A name makes a pair if it has one primary aligned row of
+    each mate and both lie on one chromosome; a suffix /1 or /2 is not part of it.  Other primary rows, single
+    reads included, are orphans, as they came, with what is missing: 'mate', 'chromosome', 'repeated' (several
+    primary rows of a mate) or 'single'; rows without a name ('*' or null) lack a mate.  Secondary, supplementary and unaligned rows are in neither.
+    """
+    names = rows.columns
+    primary = rows.where(~has_flag(SECONDARY | SUPPLEMENTARY) & ~has_flag(UNMAPPED) & (F.col("chr") != "*"))
+    mate = F.when(~has_flag(PAIRED), 0).when(has_flag(FIRST), 1).otherwise(2)
+    row = F.struct(*names, strand.alias("_strand"))
+    one = primary.select(F.coalesce(F.regexp_replace("qname", "/[12]$", ""), F.lit("*")).alias("name"), mate.alias("m"), row.alias("row"))
+    both = one.groupBy("name").agg(
+        *[F.min(F.when(F.col("m") == k, F.col("row"))).alias(f"r{k}") for k in (1, 2)], *[F.count(F.when(F.col("m") == k, 1)).alias(f"n{k}") for k in (1, 2)]
+    )
+    why = (
+        F.when(F.col("name") == "*", "mate").when((F.col("n1") > 1) | (F.col("n2") > 1), "repeated").when(F.col("r1").isNull() | F.col("r2").isNull(), "mate").when(F.col("r1.chr") != F.col("r2.chr"), "chromosome")
+    )
+    mates = [F.col(f"r{k}.{c}").alias(f"{c}{k}") for k in (1, 2) for c in names if c in ("flag", "pos", "cigar", "seq", "qual", "tags")]
+    judged = both.withColumn("why", why)
+    pairs = judged.where("why is null").select("name", F.col("r1.chr").alias("chr"), F.col("r1._strand").alias("strand"), F.col("r1.mapq").alias("mapq"), *mates)
+    alone = one.join(judged.select("name", "why"), "name").withColumn("missing", F.when(F.col("m") == 0, "single").otherwise(F.col("why"))).where("missing is not null")
+    return pairs, alone.select(*[F.col(f"row.{c}").alias(c) for c in names], "missing")
+
+
+def _tags(tags: str, strand: Column) -> Column:
+    """A row's tags with its strand's tag once, last."""
+    mark = F.when(strand == "W", "XG:Z:CT").otherwise("XG:Z:GA")
+    return F.array_append(F.filter(F.coalesce(F.col(tags), F.array().cast("array<string>")), lambda t: ~t.startswith("XG:Z:")), mark)
+
+
+def _name(df: DataFrame) -> Column:
+    return F.coalesce(*[F.col(c).cast("string") for c in ("name", "id", "read_no") if c in df.columns])
+
+
+def single_rows(merged: DataFrame) -> DataFrame:
+    """Rows of SAM of single reads, with the strand tag."""
+    name = _name(merged)
+    df = merged if "tags" in merged.columns else merged.withColumn("tags", F.lit(None).cast("array<string>"))
+    return df.select(
+        name.alias("qname"), F.when(F.col("strand") == "W", 0).otherwise(REVERSE).alias("flag"), "chr", F.col("pos").cast("long").alias("pos"), F.col("mapq").cast("int").alias("mapq"), "cigar",
+        F.lit("*").alias("rnext"), F.lit(0).cast("long").alias("pnext"), F.lit(0).cast("long").alias("tlen"), "seq", "qual", _tags("tags", F.col("strand")).alias("tags"),
+    )
+
+
+def pair_rows(pairs: DataFrame) -> DataFrame:
+    """Rows of SAM of pairs, two for each: flags of an oriented pair, the other mate's place, the signed template length, the strand tag.
+
+    On W mate 1 lies on the forward and mate 2 on the reverse side, on C it is the other way round; both have mate 1's mapping quality.
+    """
+    name = _name(pairs)
+    end1, end2 = (F.col(f"pos{k}") + C.reference_length(f"cigar{k}") - 1 for k in (1, 2))
+    span = F.greatest(end1, end2) - F.least("pos1", "pos2") + 1
+    left1 = F.col("pos1") <= F.col("pos2")
+
+    def mate(k: int, other: int, left: Column) -> Column:
+        forward = (F.col("strand") == "W") == F.lit(k == 1)
+        flag = F.lit(PAIRED | PROPER | (FIRST if k == 1 else SECOND)) + F.when(forward, MATE_REVERSE).otherwise(REVERSE)
+        tags = _tags(f"tags{k}", F.col("strand")) if f"tags{k}" in pairs.columns else F.array(F.when(F.col("strand") == "W", "XG:Z:CT").otherwise("XG:Z:GA"))
+        return F.struct(
+            flag.alias("flag"), "chr", F.col(f"pos{k}").cast("long").alias("pos"), F.col("mapq").cast("int").alias("mapq"), F.col(f"cigar{k}").alias("cigar"), F.lit("=").alias("rnext"),
+            F.col(f"pos{other}").cast("long").alias("pnext"), F.when(left, span).otherwise(-span).cast("long").alias("tlen"), F.col(f"seq{k}").alias("seq"), F.col(f"qual{k}").alias("qual"), tags.alias("tags"),
+        )
+
+    return pairs.select(name.alias("qname"), F.explode(F.array(mate(1, 2, left1), mate(2, 1, ~left1))).alias("m")).select("qname", "m.*")
+
+
+def fix_mates(rows: DataFrame, strand: Column) -> DataFrame:
+    """Rows of SAM with mate fields: pairs are linked by name and get each other's place, orphans lose theirs."""
+    pairs, orphans = link_mates(rows, strand)
+    alone = orphans.withColumns({"rnext": F.lit("*"), "pnext": F.lit(0).cast("long"), "tlen": F.lit(0).cast("long")}).drop("missing")
+    return pair_rows(pairs).unionByName(alone.select(*[c for c in alone.columns if c in ("qname", "flag", "chr", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual", "tags")]))
+
+
+def sam_lines(rows: DataFrame) -> DataFrame:
+    """Rows of SAM as text."""
+    fields = [F.col(c).cast("string") for c in ("qname", "flag", "chr", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual")]
+    return rows.select(F.concat_ws("\t", *fields, F.col("tags")).alias("value"))
+
+
 def to_sam(merged: DataFrame) -> DataFrame:
-    """One SAM line per single read, with the strand tag."""
-    flag = F.when(F.col("strand") == "W", 0).otherwise(16)
-    tag = F.when(F.col("strand") == "W", "XG:Z:CT").otherwise("XG:Z:GA")
-    fields = [F.coalesce("id", F.col("read_no").cast("string")) if "id" in merged.columns else F.col("read_no").cast("string"), flag, "chr", "pos", "mapq", "cigar"]
-    return merged.select(F.concat_ws("\t", *[F.col(f).cast("string") if isinstance(f, str) else f.cast("string") for f in fields], F.lit("*"), F.lit("0"), F.lit("0"), "seq", "qual", tag).alias("value"))
+    """SAM lines of single reads, or of both mates of pairs, with the strand tag."""
+    return sam_lines(pair_rows(merged) if "pos2" in merged.columns else single_rows(merged))
 
 
 def mate_fields(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
+from ..regions import parse_region
 
 PACK_GAP = 5  # columns between fragments packed into one row
 RULER = 10  # sites between two numbers of the dense ruler
@@ -21,17 +22,6 @@ SNP_DEPTH, SNP_ALLELE = 10, 3
 WARN_SPAN, MAX_SPAN = 10_000, 100_000
 
 
-def parse_region(text: str) -> tuple[str, int, int]:
-    """('chr7', 1234, 5678) from 'chr7:1,234-5,678'."""
-    m = re.fullmatch(r"\s*([^:\s]+):([\d,]+)-([\d,]+)\s*", text)
-    if not m:
-        raise ValueError(f"not a region: {text!r}")
-    start, end = (int(x.replace(",", "")) for x in m.groups()[1:])
-    if start > end:
-        raise ValueError(f"a region's start lies after its end: {text!r}")
-    return m[1], start, end
-
-
 def region_warning(text: str) -> str | None:
     _, start, end = parse_region(text)
     span = end - start + 1

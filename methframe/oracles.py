@@ -398,7 +398,7 @@ oracle(
 oracle("phred_error", "SELECT read_no, round(pow(10.0::DOUBLE, -(ascii(qual) - 33)::DOUBLE / 10), 9) AS error FROM single", "single")
 oracle("number_format", "SELECT chr, format('{:,}', wT) AS wT, CASE WHEN wC + wT > 0 THEN printf('%.2f %%', wC::DOUBLE * 100 / (wC + wT)) ELSE 'NA' END AS share FROM log", "log")
 
-oracle("cycle_detect", "SELECT max(length(seq1))::INTEGER AS cycle FROM raw", "raw")
+oracle("cycle_detect", "SELECT max(length(seq1))::INTEGER AS cycle FROM (SELECT seq1 FROM raw ORDER BY read_no LIMIT 9999) f", "raw")
 oracle("fqstat", "SELECT * FROM fq", "fq")
 VIEWS["fq_share"] = ('SELECT mate, cycle, "A"::DOUBLE * 100 / s AS "A", "C"::DOUBLE * 100 / s AS "C", "G"::DOUBLE * 100 / s AS "G", "T"::DOUBLE * 100 / s AS "T", "N"::DOUBLE * 100 / s AS "N" FROM (SELECT *, "A" + "C" + "G" + "T" + "N" AS s FROM fq) f', ["fq"])
 oracle("fqstat_pct", "SELECT * FROM fq_share", "fq_share")
@@ -537,7 +537,7 @@ oracle("chr_info_roundtrip", "SELECT * FROM info", "info")
 oracle("calls_roundtrip", "SELECT * FROM calls", "calls")
 oracle("bed_roundtrip", 'SELECT chr, start, "end" FROM bed', "bed")
 oracle("refgene_roundtrip", "SELECT chr, strand, tx_start, tx_end, gene FROM refgene", "refgene")
-oracle("conf_roundtrip", "SELECT * FROM (VALUES ('mode', '3'), ('protocol', 'BS'), ('min_size', '36')) v(key, value)")
+oracle("conf_roundtrip", "SELECT n_name AS key, n_regionkey::VARCHAR AS value FROM nation")
 oracle(
     "sam_roundtrip",
     "SELECT name AS qname, (CASE WHEN strand = 'W' THEN 0 ELSE 16 END)::INTEGER AS flag, chr, pos::BIGINT AS pos, mapq, cigar, seq, qual, strand, (-(mapq % 7))::INTEGER AS as_score, mapq % 3 = 0 AS has_xs FROM single",
@@ -571,3 +571,59 @@ oracle("sim_errors", "SELECT read_no, length(seq1)::BIGINT AS changed, length(se
 oracle("sim_snps", "SELECT read_no, 3::BIGINT AS changed FROM raw", "raw")
 oracle("sim_adapter", "SELECT read_no, substr(seq1, 1, length(seq1) - 10) || 'AGATCGGAAG' AS seq FROM raw", "raw")
 oracle("sim_random", "SELECT r AS read_no, 40::BIGINT AS n, true AS pure FROM range(200) t(r)")
+
+# --- binary files, mates as rows of their own, total orders ------------------------------
+
+
+def _digest(rows: str, order: str, *columns: str) -> str:
+    """Number and digest of rows in an order."""
+    text = " || '|' || ".join([f"(row_number() OVER (ORDER BY {order}) - 1)", *columns])
+    return f"SELECT count(*) AS rows, coalesce(sum(('0x' || substr(md5(t), 1, 12))::BIGINT % 1000000007), 0)::BIGINT AS digest FROM (SELECT {text} AS t FROM ({rows}) o) d"
+
+
+ORACLES["bam_roundtrip"] = ORACLES["sam_roundtrip"]
+oracle(
+    "bam_region",
+    f"""SELECT name AS qname, (CASE WHEN strand = 'W' THEN 0 ELSE 16 END)::INTEGER AS flag, chr, pos::BIGINT AS pos, mapq, cigar, seq, qual, strand, (-(mapq % 7))::INTEGER AS as_score, mapq % 3 = 0 AS has_xs
+FROM any_single WHERE chr = 'chr3' AND pos <= 900 AND pos + {REFLEN.format(c='cigar')} - 1 >= 201""",
+    "any_single",
+)
+oracle("bam_order", _digest("SELECT * FROM single WHERE regexp_full_match(chr, 'chr[0-9XYL]+')", "chr, pos, name", "chr", "pos", "name"), "single")
+oracle("sam_pairs", "SELECT name, chr, strand, mapq, pos1::BIGINT AS pos1, cigar1, seq1, qual1, pos2::BIGINT AS pos2, cigar2, seq2, qual2 FROM pairs", "pairs")
+VIEWS["mate_rows"] = (
+    """
+SELECT p.name, (3 + CASE WHEN mate = 1 THEN 64 ELSE 128 END + CASE WHEN (p.strand = 'W') = (mate = 1) THEN 32 ELSE 16 END)::INTEGER AS flag, m.*, CASE WHEN mate = 1 THEN seq1 ELSE seq2 END AS seq,
+  CASE WHEN mate = 1 THEN qual1 ELSE qual2 END AS qual FROM mated m JOIN pairs p USING (read_no)
+""",
+    ["mated", "pairs"],
+)
+oracle("sam_pair_lines", "SELECT concat_ws(chr(9), name, flag, chr, pos, mapq, cigar, rnext, pnext, tlen, seq, qual, CASE WHEN strand = 'W' THEN 'XG:Z:CT' ELSE 'XG:Z:GA' END) AS value FROM mate_rows", "mate_rows")
+oracle(
+    "mate_fixup",
+    """SELECT name AS qname, flag, chr, pos::BIGINT AS pos, mapq, CASE WHEN mapq >= 3 THEN '=' ELSE '*' END AS rnext, CASE WHEN mapq >= 3 THEN pnext ELSE 0 END::BIGINT AS pnext, CASE WHEN mapq >= 3 THEN tlen ELSE 0 END::BIGINT AS tlen
+FROM mate_rows WHERE mate = 1 OR mapq >= 3""",
+    "mate_rows",
+)
+oracle("calls_order", _digest("SELECT concat_ws(chr(9), chr, locus, total, wC, wT, wO, context, cC, cT, cO) AS line, * FROM calls", "chr, locus", "line"), "calls")
+oracle("genome_order", _digest("SELECT concat_ws(chr(9), chr, length) AS line, * FROM info", "chr", "line"), "info")
+oracle(
+    "bins_order",
+    _digest(
+        """SELECT concat_ws(chr(9), chr, bin, c, t) AS line, * FROM (SELECT 'hs' || substr(chr, 4) AS chr, locus // 100 AS bin, sum(wC + cC)::BIGINT AS c, sum(wT + cT)::BIGINT AS t FROM calls
+WHERE regexp_matches(chr, '[0-9XY]$') AND NOT contains(chr, '_') GROUP BY 1, 2) b WHERE c + t > 0""",
+        "chr, bin", "line",
+    ),
+    "calls",
+)
+oracle("name_order", _digest("SELECT name, 0 AS second, pos1 AS pos FROM pairs UNION ALL SELECT name, 128, pos2 FROM pairs", "name, second", "name", "second", "pos"), "pairs")
+ORACLES["fqstat_file"] = ORACLES["fqstat"]
+oracle(
+    "logs_roundtrip",
+    """SELECT 'merge' AS log, CASE WHEN strand = 'W' THEN 'WATSON' ELSE 'CRICK' END AS key, count(*) AS value FROM merged GROUP BY strand
+UNION ALL SELECT 'duplicates', unnest(['All', 'Unique', 'Duplicate', 'Discard']), unnest(["all", "unique", "all" - "unique" - discard, discard])
+FROM (SELECT count(*) AS "all", count(*) FILTER (chr NOT IN (SELECT chr FROM genome)) AS discard FROM pairs) a, (SELECT count(*) AS "unique" FROM unique_pairs) u
+UNION ALL SELECT 'calls', chr || ':' || unnest(['reads', 'wC', 'wT', 'cC', 'cT']), unnest([reads, wC, wT, cC, cT]) FROM log""",
+    "unique_pairs",
+    "merged",
+    "log",
+)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +10,10 @@ from pyspark.sql import functions as F
 from .fixtures import Fixtures
 from .functions import cigar as C
 from .functions import reads as R
-from .operators import calls, dedup, genome, intervals, merge, preprocess, profile, report, simulate, view
+from .operators import calls, dedup, genome, intervals, merge, ordering, preprocess, profile, report, simulate, view
 from .plans.pipeline import Conf
-from .sources import sequence, sinks, text
+from .sources import bam, sequence, sinks, text
+from .storage import folder, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CYCLE = 50
@@ -227,7 +226,8 @@ def pe(x: Fixtures) -> DataFrame:
 
 @query
 def cycle_detect(x):
-    return x.raw.agg(F.max(F.length("seq1")).alias("cycle"))
+    """The longest of the first reads in the order of the input."""
+    return preprocess.detect_cycle(ordering.numbered(se(x), "read_no", name="read_no"))
 
 
 @query
@@ -534,18 +534,8 @@ def sim_bisulfite(x):
 # --- text forms, written to a shared folder and read again ------------------------------
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new path on storage that driver and executors share; a temporary one only where they are one process."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        if not (spark.sparkContext.master or "").startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        shared = tempfile.mkdtemp(prefix="text-forms-")
-    return f"{shared}/text-{uuid.uuid4().hex}"
-
-
 def _written(x: Fixtures, lines: DataFrame, **options: str) -> str:
-    path = _folder(x.spark)
+    path = folder(x.spark, "text")
     lines.select("value").write.options(**options).text(path)
     return path
 
@@ -605,8 +595,10 @@ def refgene_roundtrip(x):
 
 @query
 def conf_roundtrip(x):
-    settings = sinks.conf_table(x.spark, {"mode": 3, "protocol": "BS", "min_size": 36})
-    return text.conf(x.spark, _written(x, sinks.tsv_lines(settings)))
+    """A settings table written under comments and between blank lines."""
+    rows = x.table("nation").select(F.col("n_name").alias("key"), F.col("n_regionkey").cast("string").alias("value"))
+    lines = sinks.tsv_lines(rows).unionByName(x.spark.createDataFrame([("",), ("# a comment\t1",)], "value string"))
+    return text.conf(x.spark, _written(x, lines))
 
 
 def _sam(x: Fixtures) -> DataFrame:
@@ -626,7 +618,7 @@ def sam_roundtrip(x):
 @query
 def alignments_roundtrip(x):
     """Coordinate-sorted alignments by chromosome, read back whole."""
-    path = _folder(x.spark)
+    path = folder(x.spark, "text")
     sinks.write_alignments(x.single, path)
     return x.spark.read.schema(x.single.schema).parquet(path).select("read_no", "chr", "pos", "cigar", "seq", "qual", "strand")
 
@@ -704,3 +696,115 @@ def sim_random(x):
     """Random sequences: as many, as long and of the four bases alone."""
     rows = simulate.random_sequences(x.spark, 200, 40)
     return rows.select("read_no", F.length("seq").cast("long").alias("n"), F.col("seq").rlike("^[ACGT]+$").alias("pure"))
+
+
+# --- binary files, mates as rows of their own, total orders ------------------------------
+
+
+def _single_rows(x: Fixtures) -> DataFrame:
+    tags = F.expr("array('AS:i:' || -(mapq % 7), if(mapq % 3 = 0, 'XS:i:-3', 'NM:i:1'))")
+    return merge.single_rows(x.single.withColumn("tags", tags))
+
+
+def _binary(x: Fixtures) -> str:
+    """Single reads as sorted binary parts; their paths."""
+    path = folder(x.spark, "bam")
+    bam.write_parts(_single_rows(x), "\n".join(r["value"] for r in sinks.sam_header(info(x).unionByName(_unknown(x)), {}).collect()), path)
+    return f"{path}/part-*.bam"
+
+
+def _unknown(x: Fixtures) -> DataFrame:
+    """Chromosomes of reads that the genome lacks."""
+    return x.single.select("chr").distinct().join(x.genome, "chr", "left_anti").select("chr", F.lit(1 << 20).cast("long").alias("length"))
+
+
+def _parsed(rows: DataFrame) -> DataFrame:
+    return rows.select("qname", "flag", "chr", "pos", "mapq", "cigar", "seq", "qual", text.strand_of().alias("strand"), merge.score_of().alias("as_score"), merge.has_second().alias("has_xs"))
+
+
+@query
+def bam_roundtrip(x):
+    """Binary files in small splits: what SAM text gives."""
+    return _parsed(bam.read(x.spark, _binary(x), split=1 << 16))
+
+
+@query
+def bam_region(x):
+    """A region's reads through indexes."""
+    path = _binary(x)
+    bam.build_index(x.spark, path)
+    return _parsed(bam.read(x.spark, path, region=REGION)).where(C.supported("cigar"))
+
+
+@query
+def bam_order(x):
+    """The order of the sorted parts, taken as they are read."""
+    rows = bam.read(x.spark, _binary(x)).where(F.col("chr").rlike("^chr[0-9XYL]+$"))
+    return ordering.digest(ordering.as_read(rows, "n"), "n", "chr", "pos", "qname")
+
+
+@query
+def sam_pairs(x):
+    """Pairs as SAM text in a mixed order, linked by name."""
+    lines = merge.to_sam(x.pairs).orderBy(F.md5("value"))
+    pairs, _ = merge.link_mates(text.sam(x.spark, _written(x, lines)), text.strand_of())
+    return pairs.select("name", "chr", "strand", "mapq", "pos1", "cigar1", "seq1", "qual1", "pos2", "cigar2", "seq2", "qual2")
+
+
+@query
+def sam_pair_lines(x):
+    """Both mates' lines of merged pairs."""
+    return merge.to_sam(x.pairs.where(C.supported("cigar1") & C.supported("cigar2")))
+
+
+@query
+def mate_fixup(x):
+    """Mate fields computed from rows that lack them; mates without a partner keep none."""
+    rows = merge.pair_rows(x.pairs.where(C.supported("cigar1") & C.supported("cigar2")))
+    bare = rows.where((F.col("flag").bitwiseAND(merge.FIRST) != 0) | (F.col("mapq") >= 3)).withColumns({"rnext": F.lit("*"), "pnext": F.lit(0).cast("long"), "tlen": F.lit(0).cast("long")})
+    return merge.fix_mates(bare, text.strand_of()).select("qname", "flag", "chr", "pos", "mapq", "rnext", "pnext", "tlen")
+
+
+def _order(x: Fixtures, lines: DataFrame) -> DataFrame:
+    """Number and digest of lines as files have them in the order of their names."""
+    return ordering.digest(text.numbered_lines(x.spark, _written(x, lines)), "line_no", "value")
+
+
+@query
+def calls_order(x):
+    return _order(x, sinks.tsv_lines(cpg(x), header=False, order=["chr", "locus"]))
+
+
+@query
+def genome_order(x):
+    return _order(x, sinks.tsv_lines(info(x), header=False, order=["chr"]))
+
+
+@query
+def bins_order(x):
+    return _order(x, sinks.tsv_lines(binned_methylome(x).select("chr", "bin", "c", "t"), header=False, order=["chr", "bin"]))
+
+
+@query
+def name_order(x):
+    """Reads of both mates by name, mates in their order."""
+    rows = merge.pair_rows(x.pairs).select("qname", F.col("flag").bitwiseAND(merge.SECOND).alias("second"), "pos")
+    return ordering.digest(ordering.numbered(rows, "qname", "second"), "n", "qname", "second", "pos")
+
+
+@query
+def fqstat_file(x):
+    """The composition table as text, read again."""
+    path = _written(x, sinks.tsv_lines(fqstat(x), order=["mate", "cycle"]))
+    return x.spark.read.csv(path, sep="\t", comment="#", schema="mate int, cycle long, A long, C long, G long, T long, N long")
+
+
+@query
+def logs_roundtrip(x):
+    """The logs of merging and duplicates and the counts per chromosome, as a report of an earlier run reads them."""
+    merged = text.metrics(x.spark, _written(x, sinks.merge_log_lines(merge_strand_counts(x)))).withColumn("log", F.lit("merge"))
+    dups = text.metrics(x.spark, _written(x, sinks.dedup_log_lines(dedup_log(x)))).withColumn("log", F.lit("duplicates"))
+    called = text.chr_log(x.spark, _written(x, sinks.tsv_lines(chr_log(x), order=["chr"])))
+    names = [c for c in called.columns if c != "chr"]
+    per = called.select(F.explode(F.array(*[F.struct(F.concat_ws(":", "chr", F.lit(c)).alias("key"), F.col(c).alias("value")) for c in names])).alias("m")).select("m.*", F.lit("calls").alias("log"))
+    return merged.unionByName(dups).unionByName(per)

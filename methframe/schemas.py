@@ -17,5 +17,6 @@ CALL = _struct(chr=_S, locus=_L, total=_L, wC=_L, wT=_L, wO=_L, context=_S, cC=_
 BED = _struct(chr=_S, start=_L, end=_L, line=_S)
 REFGENE = _struct(chr=_S, strand=_S, tx_start=_L, tx_end=_L, gene=_S)
 TSS_BIN = _struct(chr=_S, start=_L, end=_L, gene=_S, distance=_I, strand=_S)
+CHR_LOG = _struct(chr=_S, reads=_L, wC=_L, wT=_L, cC=_L, cT=_L)
 CONF = _struct(key=_S, value=_S)
 METRIC = _struct(key=_S, value=_L)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,15 @@ def tss_bins(spark: SparkSession, path: str) -> DataFrame:
     return _tsv(spark, path, S.TSS_BIN)
 
 
+def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(line_no, value) of text files in the order of their paths, from 0: splits count their own lines, and one row a split tells where it starts."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    splits = lines.groupBy("file_path", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file_path", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = splits.select("file_path", "block", (before - F.col("first")).alias("shift"))
+    return lines.join(F.broadcast(starts), ["file_path", "block"]).select((F.col("at") + F.col("shift")).alias("line_no"), "value")
+
+
 def sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Alignment lines; header lines are left out, optional tags are an array."""
     lines = spark.read.text(path).where(~F.col("value").startswith("@"))
@@ -53,6 +62,11 @@ def strand_of(tags: str = "tags"):
     return F.when(F.array_contains(tags, "XG:Z:CT"), "W").when(F.array_contains(tags, "XG:Z:GA"), "C")
 
 
+def chr_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Counts per chromosome of an earlier run."""
+    return _tsv(spark, path, S.CHR_LOG)
+
+
 def conf(spark: SparkSession, path: str) -> DataFrame:
     return _tsv(spark, path, S.CONF).where("trim(key) <> ''")
 
