@@ -1,42 +1,159 @@
-"""An ungapped seed-join aligner for converted reads.
+"""A seed-and-extend aligner of converted reads, single or paired, with gaps.
 
-Runs normally take alignments from an external gapped aligner.  This one serves where none is at hand: it finds
-exact seeds of a read in a k-mer table of the converted genome, checks each place base by base, and keeps the
-best.  It reports no gaps, and its mapping quality only tells unique (42) from ambiguous (0 or 1) places.
+Runs normally take alignments from an external aligner.  This one serves where none is at hand.  Exact seeds of a read,
+end to end, are looked up in a k-mer table of the converted genome; at each place the read is aligned end to end within a band by
+dynamic programming with affine gaps, many reads and places at a time.  Scores follow the usual scheme: 0 for a match,
+MISMATCH for a mismatch, AMBIGUOUS for a base that is not known, OPEN and EXTEND for gaps (none within BARRIER bases of an end), and at
+least MIN_SCORE per base.  A valid alignment spoils at most one seed for each mismatch or gap, and a read of 40 bases or more has
+more seeds of 20 than that (shorter ones with seeds of 15), so every valid place has an intact one.
 
-Scores follow the usual end-to-end scheme: 0 for a match, -MISMATCH for a mismatch, and at least MIN_SCORE per base.
-Every place of every seed is checked.  The places of a seed that occurs more than MAX_PLACES times are dealt out in
-parts of about that many, and each part is joined by itself, so that no task holds all of them.
+A seed that occurs more than MAX_PLACES times gives its first MAX_PLACES places only, so that reads and places of a
+repeat do not all meet.  What score a place may have that was not found for this is known, and counts as the second best;
+with every_place all places of all seeds are checked.
+The mapping quality only tells unique (42), better than another place (30) and ambiguous (1).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+from itertools import groupby
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import cigar as C
 from .genome import kmers, with_reference
 
-MISMATCH = 6
+MISMATCH, AMBIGUOUS, OPEN, EXTEND = 6, 1, 5, 3  # a gap of n bases costs OPEN + n * EXTEND
 MIN_SCORE = -0.2
+BARRIER = 4
 SEED = 20
 MAX_PLACES = 64
+CELLS = 1 << 22  # of the tables of a batch of alignments
+
+_BEYOND = -1_000_000  # below any score
+
+
+def longest_gap(length: int) -> int:
+    """Bases of the longest gap that a valid alignment of a read can have."""
+    return max(0, int((-MIN_SCORE * length - OPEN + 1e-9) // EXTEND))
+
+
+def band_align(reads: np.ndarray, refs: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(scores, starts, CIGARs) of reads (n, L) within references (n, L + 2 * gap), given as codes of letters; 'X' lies beyond a chromosome.
+
+    The best end-to-end alignment; of equal ones that which ends nearest to the middle of the band, with its gaps as far right as can be.
+    """
+    n, length = reads.shape
+    width = 2 * gap + 1
+    unknown, outside = ord("N"), ord("X")
+
+    def cost(i: int) -> np.ndarray:
+        here, there = reads[:, i, None], refs[:, i : i + width]
+        out = np.where(here == there, 0, -MISMATCH)
+        out = np.where((here == unknown) | (there == unknown), -AMBIGUOUS, out)
+        return np.where(there == outside, _BEYOND, out)
+
+    best, inserted = np.zeros((n, width), np.int64), np.full((n, width), _BEYOND * 4)
+    ways = np.zeros((length, n, width), np.uint8)  # bits: 0-1 how a cell is reached (0 both advance, 1 insertion, 2 deletion), 2 insertion goes on, 3 deletion goes on
+    for i in range(length):
+        following = best + cost(i)
+        way = np.zeros((n, width), np.uint8)
+        opened = np.full((n, width), _BEYOND * 4)
+        if BARRIER <= i < length - BARRIER:
+            begin, go_on = best[:, 1:] - OPEN - EXTEND, inserted[:, 1:] - EXTEND
+            opened[:, :-1] = np.maximum(begin, go_on)
+            way[:, :-1] |= (go_on > begin).astype(np.uint8) << 2
+            way |= (opened > following).astype(np.uint8)
+            following = np.maximum(following, opened)
+        if BARRIER <= i + 1 <= length - BARRIER:
+            deleted = np.full(n, _BEYOND * 4)
+            for k in range(1, width):
+                begin, go_on = following[:, k - 1] - OPEN - EXTEND, deleted - EXTEND
+                deleted = np.maximum(begin, go_on)
+                way[:, k] |= (go_on > begin).astype(np.uint8) << 3
+                better = deleted > following[:, k]
+                way[better, k] = way[better, k] & 0b1100 | 2
+                following[:, k] = np.maximum(following[:, k], deleted)
+        best, inserted, ways[i] = following, opened, way
+    columns = np.argsort(np.abs(np.arange(width) - gap), kind="stable")
+    k = columns[np.argmax(best[:, columns], axis=1)]
+    rows = np.arange(n)
+    score = best[rows, k]
+    i, state = np.full(n, length), np.zeros(n, np.uint8)
+    steps: list[np.ndarray] = []
+    while (i > 0).any():
+        on = i > 0
+        way = np.where(on, ways[np.maximum(i, 1) - 1, rows, k], 0)
+        state = np.where(state == 0, way & 3, state)
+        op = np.where(on, np.array([ord("M"), ord("I"), ord("D")])[state], 0).astype(np.uint8)
+        steps.append(op)
+        going = np.where(state == 1, way >> 2 & 1, np.where(state == 2, way >> 3 & 1, 0))
+        i = i - (on & (state != 2))
+        k = k + np.where(on & (state == 1), 1, np.where(on & (state == 2), -1, 0))
+        state = np.where(going == 1, state, 0)
+    lines = np.array(steps)[::-1].T
+    cigars = ["".join(f"{len(list(run))}{chr(op)}" for op, run in groupby(line[line > 0].tolist())) for line in lines]
+    return score, k - gap, cigars
+
+
+def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """as_score, shift of the place and CIGAR for rows of (..., have, want, ahead): converted read, reference around it, bases of it before the place."""
+    for batch in batches:
+        have, want, ahead = (batch.column(batch.schema.names.index(c)).to_pylist() for c in ("have", "want", "ahead"))
+        lengths = np.array([len(h) for h in have])
+        score, shift, cigar = np.full(len(have), _BEYOND, np.int64), np.zeros(len(have), np.int64), np.array([""] * len(have), object)
+        for length in np.unique(lengths[lengths > 0]).tolist():
+            gap = longest_gap(length)
+            rows = np.flatnonzero(lengths == length)
+            step = max(1, CELLS // (length * (2 * gap + 1)))
+            for at in (rows[k : k + step] for k in range(0, len(rows), step)):
+                reads = np.frombuffer("".join(have[r] for r in at).encode("latin-1"), np.uint8).reshape(len(at), length)
+                around = ["X" * (gap - ahead[r]) + want[r] for r in at]
+                refs = np.frombuffer("".join(w[: length + 2 * gap].ljust(length + 2 * gap, "X") for w in around).encode("latin-1"), np.uint8).reshape(len(at), length + 2 * gap)
+                # Without gaps first: what loses less than the least gap costs cannot be bettered.
+                score[at], shift[at], plain = band_align_ungapped(reads, refs[:, gap : gap + length])
+                cigar[at] = f"{length}M"
+                if gap:
+                    more = np.flatnonzero(plain > OPEN + EXTEND)
+                    if len(more):
+                        score[at[more]], shift[at[more]], cigar[at[more]] = band_align(reads[more], refs[more], gap)
+        names = [c for c in batch.schema.names if c not in ("have", "want", "ahead")]
+        kept = score >= MIN_SCORE * lengths - 1e-9
+        out = pa.RecordBatch.from_arrays([*(batch.column(batch.schema.names.index(c)) for c in names), pa.array(score, pa.int32()), pa.array(shift), pa.array(cigar, pa.string())], names=[*names, "as_score", "shift", "cigar"])
+        yield out.filter(pa.array(kept))
+
+
+def band_align_ungapped(reads: np.ndarray, refs: np.ndarray) -> tuple[np.ndarray, int, np.ndarray]:
+    """(scores, 0, losses) of reads against references of their length."""
+    loss = np.where(reads == refs, 0, MISMATCH)
+    loss = np.where((reads == ord("N")) | (refs == ord("N")), AMBIGUOUS, loss)
+    total = np.where(refs == ord("X"), -_BEYOND, loss).sum(1)
+    return np.maximum(-total, _BEYOND), 0, total
+
+
+def oriented(reads: DataFrame, strand: str, mate: int = 0) -> DataFrame:
+    """(read_no, seq, qual) as they lie on the forward sequence: single reads and mate 1 of hypothesis C, and mate 2 of W, are reverse-complemented."""
+    tag = str(mate) if mate else ""
+    rows = reads.select("read_no", F.col(f"seq{tag}").alias("seq"), F.col(f"qual{tag}").alias("qual"))
+    if (strand == "W") == (mate < 2):
+        return rows
+    return rows.select("read_no", F.expr("reverse(translate(seq, 'ACGT', 'TGCA'))").alias("seq"), F.reverse("qual").alias("qual"))
 
 
-def _oriented(reads: DataFrame, strand: str) -> DataFrame:
-    """Converted reads as they lie on the forward sequence: C hypotheses are reverse-complemented."""
-    if strand == "W":
-        return reads.select("read_no", "seq", "qual")
-    return reads.select("read_no", F.expr("reverse(translate(seq, 'ACGT', 'TGCA'))").alias("seq"), F.reverse("qual").alias("qual"))
+def _letters(strand: str) -> tuple[str, str]:
+    return ("C", "T") if strand == "W" else ("G", "A")
 
 
 def seed_index(genome: DataFrame, strand: str, seed: int = SEED) -> DataFrame:
     """(kmer, chr, pos) of the C-to-T (W) or G-to-A (C) converted genome."""
-    base = genome.select("chr", F.translate(F.upper("seq"), "C", "T").alias("seq") if strand == "W" else F.translate(F.upper("seq"), "G", "A").alias("seq"))
-    return kmers(base, seed)
+    return kmers(genome.select("chr", F.translate(F.upper("seq"), *_letters(strand)).alias("seq")), seed)
 
 
 def seed_places(seeds: DataFrame, index: DataFrame, max_places: int = MAX_PLACES) -> DataFrame:
-    """seeds (kmer, ...) with all their places (chr, pos) in the index."""
+    """seeds (kmer, ...) with all their places (chr, pos) in the index; those of a frequent seed are dealt out in parts of about max_places."""
     often = index.groupBy("kmer").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_places).select("kmer", F.expr(f"cast(ceil(n / {max_places}) as int)").alias("parts"))
     rare = seeds.join(index.join(often, "kmer", "left_anti"), "kmer")
     dealt = index.join(often, "kmer").withColumn("part", F.expr("cast(pmod(xxhash64(chr, pos), parts) as int)")).drop("parts")
@@ -44,28 +161,85 @@ def seed_places(seeds: DataFrame, index: DataFrame, max_places: int = MAX_PLACES
     return rare.unionByName(asked.join(dealt, ["kmer", "part"]).drop("part"))
 
 
-def align(reads: DataFrame, genome: DataFrame, strand: str, seed: int = SEED, max_places: int = MAX_PLACES) -> DataFrame:
-    """Hypothesis rows (read_no, chr, pos, mapq, cigar, seq, qual, as_score, has_xs) of converted reads (read_no, seq, qual).
+def first_places(index: DataFrame, max_places: int = MAX_PLACES) -> DataFrame:
+    """(kmer, places, crowded): the first places (chr, pos) of each k-mer, and whether there are more."""
+    turn = F.row_number().over(Window.partitionBy("kmer").orderBy("chr", "pos"))
+    few = index.withColumn("turn", turn).where(F.col("turn") <= max_places + 1)  # map tasks already leave out the rest
+    held = few.groupBy("kmer").agg(F.collect_list(F.when(F.col("turn") <= max_places, F.struct("chr", "pos"))).alias("places"), F.max("turn").alias("turn"))
+    return held.select("kmer", "places", (F.col("turn") > max_places).alias("crowded"))
+
 
-    Reads are cut into seeds end to end; candidate places are distinct per read, so a place that several seeds support is
-    checked once.  Of equal best places the smallest (chr, pos) is reported with has_xs.
+def places(own: DataFrame, genome: DataFrame, strand: str, seed: int = SEED, max_places: int = MAX_PLACES, every_place: bool = False) -> DataFrame:
+    """(read_no, seq, qual, chr, pos, cigar, as_score, unseen): all valid places found of oriented converted reads (read_no, seq, qual).
+
+    unseen is the best score that a place may have which was not found (null: none).  Places nearer to each other than the
+    longest gap are one, of which the best stays (ties: the leftmost).
     """
-    own = _oriented(reads, strand)
-    letter = ("C", "T") if strand == "W" else ("G", "A")
-    seeds = own.where(F.length("seq") >= seed).select(
-        "read_no", F.explode(F.expr(f"array_distinct(concat(sequence(0, length(seq) - {seed}, {seed}), array(length(seq) - {seed})))")).alias("at"), F.translate("seq", *letter).alias("c")
+    letters = _letters(strand)
+    cut = own.where(F.length("seq") >= seed).select(
+        "read_no", "seq", F.explode(F.expr(f"array_distinct(concat(sequence(0, length(seq) - {seed}, {seed}), array(length(seq) - {seed})))")).alias("at")
+    )
+    seeds = cut.select("read_no", "at", F.length("seq").alias("n"), F.translate(F.expr(f"substr(seq, at + 1, {seed})"), *letters).alias("kmer"))
+    index = seed_index(genome, strand, seed)
+    if every_place:
+        one = seed_places(seeds, index, max_places).select("read_no", F.lit(None).cast("int").alias("unseen"), "chr", (F.col("pos") - F.col("at")).alias("pos")).distinct()
+    else:
+        met = seeds.join(first_places(index, max_places), "kmer")
+        # A read's places are at most max_places for each of its seeds.
+        at = F.expr("transform(places, p -> struct(p.chr as chr, p.pos - at as pos))")
+        one = met.groupBy("read_no").agg(F.array_distinct(F.flatten(F.collect_list(at))).alias("places"), F.count_if("crowded").alias("crowds"), F.first("n").alias("n"))
+        # A place that no other seed finds differs from the read in each of them.
+        bound = (-MISMATCH * F.greatest(F.lit(0), F.floor(F.col("n") / seed) - F.col("crowds"))).cast("int")
+        unseen = F.when((F.col("crowds") > 0) & (bound >= MIN_SCORE * F.col("n")), bound)
+        one = one.select("read_no", unseen.alias("unseen"), F.explode("places").alias("p")).select("read_no", "unseen", "p.chr", "p.pos")
+    gap = f"cast(greatest(0, floor(({-MIN_SCORE} * length(seq) - {OPEN} + 1e-9) / {EXTEND})) as int)"
+    rows = one.join(own, "read_no").withColumn("gap", F.expr(gap)).withColumn("from", F.greatest(F.lit(1), F.col("pos") - F.col("gap"))).where("pos + length(seq) + gap > 0")
+    rows = with_reference(rows, genome, "from", "length(seq) + 2 * gap").withColumn("ahead", (F.col("pos") - F.col("from")).cast("int"))
+    rows = rows.select(
+        "read_no", "seq", "qual", "unseen", "chr", "pos", F.translate("seq", *letters).alias("have"), F.translate(F.upper(F.expr("substr(ref, 3, length(seq) + 2 * gap)")), *letters).alias("want"), "ahead"
     )
-    seeds = seeds.select("read_no", "at", F.expr(f"substr(c, at + 1, {seed})").alias("kmer"))
-    places = seed_places(seeds, seed_index(genome, strand, seed), max_places).select("read_no", "chr", (F.col("pos") - F.col("at")).alias("pos")).where("pos >= 1").distinct()
-    met = with_reference(places.join(own, "read_no"), genome, "pos", "length(seq)")
-    ref = F.translate(F.upper(F.expr("substr(ref, 3, length(seq))")), *letter)
-    met = met.withColumns({"want": ref, "have": F.translate("seq", *letter)}).where("length(want) = length(seq)")
-    # Both texts are bound once, or they would be cut out anew for every place.
-    wrong = F.expr("transform(array(struct(have as h, want as w)), p -> size(filter(sequence(1, length(p.h)), i -> substr(p.h, i, 1) <> substr(p.w, i, 1))))[0]")
-    scored = met.withColumn("as_score", F.when(F.col("have") == F.col("want"), 0).otherwise(-MISMATCH * wrong).cast("int"))
-    good = scored.where(F.col("as_score") >= MIN_SCORE * F.length("seq")).select("read_no", "chr", "pos", "seq", "qual", "as_score")
-    order = Window.partitionBy("read_no").orderBy(F.desc("as_score"), "chr", "pos")
-    ranked = good.withColumns({"turn": F.row_number().over(order), "second": F.lead("as_score").over(order)})
-    best = ranked.where("turn = 1")
+    found = rows.mapInArrow(_extended, "read_no long, seq string, qual string, unseen int, chr string, pos long, as_score int, shift long, cigar string").withColumn("pos", F.col("pos") + F.col("shift"))
+    by = Window.partitionBy("read_no", "chr").orderBy("pos", "as_score", "cigar")
+    near = F.col("pos") - F.lag("pos").over(by) <= F.expr(gap)
+    island = F.sum(F.when(near, 0).otherwise(1)).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    best = Window.partitionBy("read_no", "chr", "island").orderBy(F.desc("as_score"), "pos", "cigar")
+    kept = found.withColumn("island", island).withColumn("turn", F.row_number().over(best)).where("turn = 1")
+    return kept.select("read_no", "seq", "qual", "chr", "pos", "cigar", "as_score", "unseen")
+
+
+def _best(rows: DataFrame, *order: str) -> DataFrame:
+    """The best of each read's rows, with its mapping quality and has_xs, by whether there is a second one or may be."""
+    turns = Window.partitionBy("read_no").orderBy(F.desc("as_score"), *order)
+    ranked = rows.withColumns({"turn": F.row_number().over(turns), "second": F.greatest("unseen", F.lead("as_score").over(turns))}).where("turn = 1")
     mapq = F.when(F.col("second").isNull(), 42).when(F.col("second") < F.col("as_score"), 30).otherwise(1)
-    return best.select("read_no", "chr", "pos", mapq.alias("mapq"), F.expr("length(seq) || 'M'").alias("cigar"), "seq", "qual", "as_score", F.col("second").isNotNull().alias("has_xs"))
+    return ranked.withColumns({"mapq": mapq, "has_xs": F.col("second").isNotNull()}).drop("turn", "second", "unseen")
+
+
+def align(reads: DataFrame, genome: DataFrame, strand: str, seed: int = SEED, max_places: int = MAX_PLACES, every_place: bool = False) -> DataFrame:
+    """Hypothesis rows (read_no, chr, pos, mapq, cigar, seq, qual, as_score, has_xs) of converted reads (read_no, seq, qual).
+
+    Of equal best places the smallest (chr, pos) is reported with has_xs.  Reads shorter than a seed have none.
+    """
+    found = _best(places(oriented(reads, strand), genome, strand, seed, max_places, every_place), "chr", "pos")
+    return found.select("read_no", "chr", "pos", "mapq", "cigar", "seq", "qual", "as_score", "has_xs")
+
+
+def align_pairs(pairs: DataFrame, genome: DataFrame, strand: str, min_ins: int = 0, max_ins: int = 1000, seed: int = SEED, max_places: int = MAX_PLACES, every_place: bool = False) -> DataFrame:
+    """Hypothesis rows of converted pairs (read_no, seq1, qual1, seq2, qual2) whose mates lie on one chromosome, min_ins to max_ins bases apart.
+
+    Mates lie opposite to one another; they may contain each other or reach beyond each other's start.  Pairs of which one
+    mate has no place, or no places fit, have no row.  as_score is the sum of both.  Places meet by stretches of max_ins bases.
+    """
+    sides = []
+    for mate in (1, 2):
+        rows = places(oriented(pairs, strand, mate), genome, strand, seed, max_places, every_place)
+        end = (F.col("pos") + C.reference_length("cigar") - 1).alias(f"end{mate}")
+        sides.append(rows.select("read_no", "chr", *[F.col(c).alias(f"{c}{mate}") for c in ("seq", "qual", "pos", "cigar", "as_score", "unseen")], end))
+    stretch = lambda c: F.expr(f"{c} div {max(1, max_ins)}")
+    first = sides[0].withColumn("near", stretch("pos1"))
+    second = sides[1].withColumn("near", F.explode(F.array(*[stretch("pos2") + k for k in (-1, 0, 1)])))
+    size: Column = F.greatest("end1", "end2") - F.least("pos1", "pos2") + 1
+    met = first.join(second, ["read_no", "chr", "near"]).where((size >= min_ins) & (size <= max_ins))
+    summed = met.withColumns({"as_score": F.col("as_score1") + F.col("as_score2"), "unseen": F.greatest(F.col("unseen1") + F.col("as_score2"), F.col("as_score1") + F.col("unseen2"), F.col("unseen1") + F.col("unseen2"))})
+    found = _best(summed, "chr", "pos1", "pos2")
+    return found.select("read_no", "chr", "mapq", *[f"{c}{k}" for k in (1, 2) for c in ("pos", "cigar", "seq", "qual")], "as_score", "has_xs")
