@@ -11,9 +11,11 @@ The content paths' text then leads to the article's container: the deepest eleme
 stands in an article's own container (short paragraphs, headings, lists of links) stays; of a wider one
 only the parts with content, and what lies between them, do.
 
+A header inside an article or main element gives its headings to the article, and nothing else.
+
 Names come last.  Elements that are named as something else (menus, forms, notices, readers' comments, ...) have no
-say in the choice of the container and are left out of it, unless they hold the page's article (a page in one form,
-a class word that tells of the layout).  An article or main element counts double, a level-one heading
+say in the choice of the container and are left out of it, unless they hold the page's article (a page in one form, most of
+whose text is whole sentences, a class word that tells of the layout).  An article or main element counts double, a level-one heading
 settles which of two containers it is.
 
 Reading and choosing take time in proportion to the page, whatever is broken in it.
@@ -35,7 +37,7 @@ SMOOTHING = 1.0  # standard deviation of the kernel, in blocks
 SHARE = 0.15  # of the strongest path's fused ratio
 HOLD = 0.75  # of the content paths' text is in the container
 NESTED = 64  # elements ruled out by words inside one another; what is nested deeper counts to the innermost of these
-FORM_TEXT = 140  # characters that a form holds at least if it holds the article
+FORM_SHARE = 0.5  # of a form's plain text that is whole sentences if it holds the article
 
 # Fixed values of the page format.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,15 +57,15 @@ OTHER_TAGS = frozenset("nav header footer aside head menu button".split())
 FORM_TAGS = frozenset("form fieldset dialog".split())
 OTHER_WORDS = re.compile(
     r"(?:^|[-_ ])(?:ad|ads|advert\w*|adverti[sz]ing|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|discussion|disqus|disclaimer|feedback|footer|gdpr|guestbook|header|masthead|menu|modal|nav|navbar|"
-    r"navigation|newsletter|notes|notices?|pagination|pager|popup|promo\w*|reactions|recommend\w*|related|replies|respond|responses|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|"
-    r"tags?|talkback|teasers?|toolbar|widgets?|complementary|contentinfo|search)(?:$|[-_ ])"
+    r"navigation|newsletter|notes|notices?|pagination|pager|popup|opinions?|promo\w*|reactions|readers?|recommend\w*|related|replies|respond|responses|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|"
+    r"tags?|talkback|teasers?|thread|toolbar|voices|widgets?|complementary|contentinfo|search)(?:$|[-_ ])"
 )
 # Words before one of these that tell of the page's layout ("with-sidebar").
 LAYOUT_STATES = re.compile(r"(?:^|[-_])(?:with|without|has|have|no|not|non|hide|hides|show|shows|is|single)[-_]$")
 # Parts of words that name elements with running text of their own, such as readers' comments.
 OWN_TEXT = re.compile(
-    r"ad|ads|advert\w*|adverti[sz]ing|comments?|commentlist|consent|cookies?|discussion|disqus|disclaimer|feedback|gdpr|guestbook|newsletter|notes|notices?|promo\w*|reactions|recommend\w*|related|replies|respond|responses|"
-    r"sponsor\w*|talkback|teasers?"
+    r"ad|ads|advert\w*|adverti[sz]ing|comments?|commentlist|consent|cookies?|discussion|disqus|disclaimer|feedback|gdpr|guestbook|newsletter|notes|notices?|opinions?|promo\w*|reactions|readers?|recommend\w*|related|replies|respond|responses|"
+    r"sponsor\w*|talkback|teasers?|thread|voices"
 )
 WHOLE, LAYOUT, TEXT, FORM = 1, 2, 3, 4  # ruled out by a whole word, by part of one that names a layout or text of its own, or as a form
 MAIN_TAGS = frozenset(("article", "main"))
@@ -72,6 +74,7 @@ _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)(?:\s*=\s*([\"']|[^\s>\"'][^\s>]*)?)?")
 _SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？،؛؟]")
+_SENTENCE = re.compile(r"[.!?…。！？؟][\"'”’»)\]]*$")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 _USED = frozenset(("class", "id", "role", "hidden", "aria-hidden", "style"))
 
@@ -86,11 +89,11 @@ class Block:
 class Node:
     """An element: its own name, its path's number, and what holds for all that is in it."""
 
-    __slots__ = ("name", "label", "up", "depth", "path", "other", "main", "only_main", "article", "ruled", "kind", "near", "chain")
+    __slots__ = ("name", "label", "up", "depth", "path", "other", "main", "only_main", "article", "ruled", "kind", "near", "chain", "titled")
 
     def __init__(self, name: str, label: str, up: int, depth: int, path: int):
         self.name, self.label, self.up, self.depth, self.path = name, label, up, depth, path
-        self.other = self.main = self.only_main = False  # named as something else; in an article or main; in a main
+        self.other = self.main = self.only_main = self.titled = False  # named as something else; in an article or main; in a main; in an article's own header
         self.article, self.ruled, self.kind, self.chain = -1, 0, 0, 0  # depth of the outermost article or main; innermost element that words rule out
         self.near: dict[str, int] = {}  # places in the stack of open elements that a start tag may close
 
@@ -158,11 +161,11 @@ class _Tags:
                 found.setdefault(key, value)
 
 
-def _let_in(nodes: list[Node], ruled: list[int], held: dict[int, list[tuple[int, bool, int]]]) -> set[int]:
+def _let_in(nodes: list[Node], ruled: list[int], held: dict[int, list[tuple[int, bool, int, int]]]) -> set[int]:
     """Elements ruled out by words, or as forms, that hold the page's article all the same.
 
     ruled: these elements; held: of each of them (0: the rest of the page) its own blocks as (depth of the outermost
-    article or main or -1, whether a main is around it, plain text).
+    article or main or -1, whether a main is around it, plain text, that which ends as a sentence).
     Inner elements come first.  What is outside of one are the blocks that nothing but the elements around it rules out.
     """
     out = set()
@@ -180,7 +183,7 @@ def _let_in(nodes: list[Node], ruled: list[int], held: dict[int, list[tuple[int,
         keep = any(b[1] and b[0] > node.depth for b in own)
         keep = keep or article > named and (kind in (LAYOUT, FORM) or article > rest)
         keep = keep or kind == LAYOUT and mass > rest or kind == TEXT and not rest
-        keep = keep or kind == FORM and mass > rest and mass >= FORM_TEXT and not named
+        keep = keep or kind == FORM and mass > rest and not named and sum(b[3] for b in own) >= FORM_SHARE * mass
         if keep:
             out.add(at_node)
             held.setdefault(up, []).extend(own)
@@ -196,7 +199,7 @@ def read(page: str) -> Page:
     stack = [0]  # open elements
     opened: dict[str, list[int]] = {}  # by name, their places in the stack
     ruled: list[int] = []
-    held: dict[int, list[tuple[int, bool, int]]] = {}
+    held: dict[int, list[tuple[int, bool, int, int]]] = {}
     parts: list[str] = []
     linked = links = 0
     tags = _Tags(page)
@@ -210,7 +213,8 @@ def read(page: str) -> Page:
                 b = Block(text, n.path, stack[-1], min(linked, len(text)), n.other, n.main, n.ruled, n.article)
                 out.append(b)
                 if not b.other:
-                    held.setdefault(n.ruled, []).append((n.article, n.only_main, len(text) - b.linked))
+                    plain = len(text) - b.linked
+                    held.setdefault(n.ruled, []).append((n.article, n.only_main, plain, plain if _SENTENCE.search(text) else 0))
             parts.clear()
         linked = 0
 
@@ -233,6 +237,12 @@ def read(page: str) -> Page:
         up = nodes[stack[-1]]
         n = Node(name, label, stack[-1], up.depth + 1, paths.setdefault((up.path, label), len(paths) + 1))
         n.other = up.other or other
+        if name == "header" and up.article >= 0 and not up.other:
+            n.titled = True  # of an article: its headings are the article's
+        elif name in HEADINGS and up.titled:
+            n.other = False
+        else:
+            n.titled = up.titled
         n.main, n.only_main = up.main or name in MAIN_TAGS, up.only_main or name == "main"
         n.article = up.article if up.article >= 0 or name not in MAIN_TAGS else n.depth
         n.ruled, n.chain = up.ruled, up.chain
@@ -328,6 +338,11 @@ def path_scores(blocks: list[Block]) -> tuple[np.ndarray, np.ndarray]:
     return path, np.sqrt(by_text * by_mark * smoothed) * plain
 
 
+def _plain(b: Block, other: bool) -> Block:
+    """b as text outside links."""
+    return Block(b.text, b.path, b.node, 0, other, b.main, b.ruled, b.article)
+
+
 def select(page: Page) -> list[Block]:
     """The blocks of the main text."""
     found, nodes = page.blocks, page.nodes
@@ -337,8 +352,10 @@ def select(page: Page) -> list[Block]:
     path, score = path_scores(found)
     fused = score[path] * open_
     top = fused.max()
-    if top <= 0:  # nothing but links
-        return []
+    if top <= 0:
+        # Nothing but links: an article's own stand, and whole sentences, but no lists of links.
+        told = [not b.other and (b.main or _SENTENCE.search(b.text) is not None) for b in found]
+        return select(Page([_plain(b, not t) for b, t in zip(found, told, strict=True)], nodes)) if any(told) else []
     strong = fused >= SHARE * top
     weight = np.array([(len(b.text) - b.linked) * (2 if b.main else 1) for b in found], float) * strong
     mass = np.bincount([b.node for b in found], weight, len(nodes))
@@ -399,7 +416,10 @@ def select(page: Page) -> list[Block]:
 
 
 def main_text(page: str | None) -> str:
-    """The main text: white space inside a block as one space, blocks joined by one space."""
+    """The main text: white space of HTML (space, tab, line feed, vertical tab, form feed, carriage return) inside a block as one space, blocks joined by one space.
+
+    A no-break space is no such white space and stays.
+    """
     return " ".join(b.text for b in select(read(page or "")))
 
 

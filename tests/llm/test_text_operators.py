@@ -484,6 +484,33 @@ def test_ratios_alone(spark, names, least, exact):
     assert np.mean([a == b for a, b in zip(found, want, strict=True)]) >= exact
 
 
+SENTENCE = "The bridge was opened in spring, after years of work."
+LINKED = " ".join(f"<a href={k}>{SENTENCE}</a>" for k in range(5))
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        # a page in one form, however short its text
+        (f"<form action=x><h1>Bridge</h1><p>{SENTENCE}</p><input name=q></form>", f"Bridge {SENTENCE}"),
+        (f"<form action=x><h1>Bridge</h1><p>{SENTENCE} {SENTENCE} {SENTENCE} {SENTENCE}</p></form>", f"Bridge {SENTENCE} {SENTENCE} {SENTENCE} {SENTENCE}"),
+        ("<form><p>User name</p><input><p>Password</p><input><p>Remember me</p></form>", ""),
+        (f"<div><p>{SENTENCE}</p><p>{SENTENCE}</p></div><form><p>Leave a word.</p><textarea></textarea></form>", f"{SENTENCE} {SENTENCE}"),
+        # an article that is all links
+        (f"<article><p>{LINKED}</p></article>", " ".join([SENTENCE] * 5)),
+        (f"<nav><a href=1>Home</a></nav><ul><li><a href=2>News</a></ul><div><p>{LINKED}</p></div>", " ".join([SENTENCE] * 5)),
+        ("<ul><li><a href=1>Home</a><li><a href=2>News</a><li><a href=3>Contact</a></ul>", ""),
+        # readers' comments in the article's container
+        (f"<article><h1>Bridge</h1><p>{SENTENCE * 4}</p><div class='reader-voices'><p>{SENTENCE * 2}</p></div></article>", f"Bridge {SENTENCE * 4}"),
+        # the article's own header gives its headings
+        (f"<header><h2>Site</h2></header><article><header><div><h1>Bridge</h1></div><p>By A. Writer.</p></header><p>{SENTENCE * 4}</p></article>", f"Bridge {SENTENCE * 4}"),
+        (f"<article><p>{SENTENCE}&nbsp;{SENTENCE}\t\n {SENTENCE}</p></article>", f"{SENTENCE}\xa0{SENTENCE} {SENTENCE}"),
+    ],
+)
+def test_forms_links_voices_and_headers(page, want):
+    assert html_text.main_text(page) == want
+
+
 def test_path_scores_by_the_definition():
     page = html_text.read(f"<div><a href=1>Home</a></div><div><p>{TEXT}<p>Short, one.</div><div><a href=2>More</a> text.</div>")
     path, score = html_text.path_scores(page.blocks)
