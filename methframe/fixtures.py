@@ -87,6 +87,19 @@ FROM (
 """
 
 
+# Converted reads whose place is known: two bases missing, one too many, or none; and pairs of mates.
+PLACED = """
+SELECT read_no, base_chr AS chr, CAST(place AS BIGINT) AS pos, q % 3 AS kind, translate(CASE q % 3 WHEN 0 THEN substr(seq, CAST(place AS INT), 35) || substr(seq, CAST(place AS INT) + 37, 35)
+  WHEN 1 THEN substr(seq, CAST(place AS INT), 35) || 'A' || substr(seq, CAST(place AS INT) + 35, 34) ELSE substr(seq, CAST(place AS INT), 70) END, 'C', 'T') AS seq, repeat('I', 70) AS qual
+FROM keyed k JOIN genome g ON g.chr = k.base_chr
+"""
+PLACED_PAIRS = """
+SELECT read_no, base_chr AS chr, CAST(place AS BIGINT) AS pos1, CAST(place + 20 + l_partkey % 60 AS BIGINT) AS pos2, translate(substr(seq, CAST(place AS INT), 40), 'C', 'T') AS seq1, repeat('I', 40) AS qual1,
+  reverse(translate(translate(substr(seq, CAST(place + 20 + l_partkey % 60 AS INT), 40), 'C', 'T'), 'ACGT', 'TGCA')) AS seq2, repeat('#', 40) AS qual2
+FROM keyed k JOIN genome g ON g.chr = k.base_chr
+"""
+
+
 def _hypothesis(condition: str) -> str:
     return f"""
 SELECT l_orderkey AS read_no, chr, place AS pos, CAST(l_partkey % 43 AS INT) AS mapq, CAST(-(q % 7) AS INT) AS as_score, l_returnflag = 'R' AS has_xs FROM (
@@ -111,9 +124,9 @@ FROM customer
 #: Fixture tables in the order in which they build on each other.
 DUCKDB = {
     "genome": GENOME_DUCKDB.format(name=chr_name("n_nationkey")),
-    "keyed": KEYED, "single": SINGLE, "pairs": PAIRS, "raw": RAW, "hyp_w": HYP_W, "hyp_c": HYP_C, "bed": BED, "refgene": REFGENE,
+    "keyed": KEYED, "single": SINGLE, "pairs": PAIRS, "raw": RAW, "hyp_w": HYP_W, "hyp_c": HYP_C, "placed": PLACED, "placed_pairs": PLACED_PAIRS, "bed": BED, "refgene": REFGENE,
 }
-NEEDS = {"single": ["genome", "keyed"], "pairs": ["genome", "keyed"], "raw": ["genome", "keyed"], "hyp_w": ["keyed"], "hyp_c": ["keyed"]}
+NEEDS = {"single": ["genome", "keyed"], "pairs": ["genome", "keyed"], "raw": ["genome", "keyed"], "hyp_w": ["keyed"], "hyp_c": ["keyed"], "placed": ["genome", "keyed"], "placed_pairs": ["genome", "keyed"]}
 
 
 class Fixtures:
@@ -151,6 +164,14 @@ class Fixtures:
     def raw(self) -> DataFrame:
         return self._sql(RAW, keyed=self.keyed, genome=self.genome)
 
+    @property
+    def placed(self) -> DataFrame:
+        return self._sql(PLACED, keyed=self.keyed, genome=self.genome)
+
+    @property
+    def placed_pairs(self) -> DataFrame:
+        return self._sql(PLACED_PAIRS, keyed=self.keyed, genome=self.genome)
+
     @property
     def hyp_w(self) -> DataFrame:
         return self._sql(HYP_W, keyed=self.keyed)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
-from .genome import kmers, with_reference
+from .genome import kmers, tiled, with_reference
 
 MISMATCH, AMBIGUOUS, OPEN, EXTEND = 6, 1, 5, 3  # a gap of n bases costs OPEN + n * EXTEND
 MIN_SCORE = -0.2
@@ -149,7 +149,10 @@ def _letters(strand: str) -> tuple[str, str]:
 
 def seed_index(genome: DataFrame, strand: str, seed: int = SEED) -> DataFrame:
     """(kmer, chr, pos) of the C-to-T (W) or G-to-A (C) converted genome."""
-    return kmers(genome.select("chr", F.translate(F.upper("seq"), *_letters(strand)).alias("seq")), seed)
+    letters = _letters(strand)
+    if tiled(genome):
+        return kmers(genome.withColumn("piece", F.translate(F.upper(F.col("piece").cast("string")), *letters).cast("binary")), seed)
+    return kmers(genome.select("chr", F.translate(F.upper("seq"), *letters).alias("seq")), seed)
 
 
 def seed_places(seeds: DataFrame, index: DataFrame, max_places: int = MAX_PLACES) -> DataFrame:

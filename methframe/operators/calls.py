@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as C
 from ..functions import reads as R
-from .genome import SPAN, TILE, names, with_reference
+from .genome import SPAN, TILE, listed_names, names, with_reference
 
 COUNTERS = ["wC", "wT", "wO", "cC", "cT", "cO"]
 
@@ -125,7 +125,7 @@ def chr_log(df: DataFrame, called: DataFrame, genome: DataFrame, min_mapq: int =
     """(chr, reads, wC, wT, cC, cT) for every chromosome of the genome, also without reads."""
     reads = usable(df, genome, min_mapq).groupBy("chr").agg(F.count(F.lit(1)).alias("reads"))
     sums = called.groupBy("chr").agg(*[F.sum(c).alias(c) for c in ("wC", "wT", "cC", "cT")])
-    return genome.select("chr").join(reads, "chr", "left").join(sums, "chr", "left").fillna(0)
+    return listed_names(genome).join(reads, "chr", "left").join(sums, "chr", "left").fillna(0)
 
 
 def longest(df: DataFrame) -> int | None:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
-from .genome import names
+from .genome import few, names
 
 
 def on_known(df: DataFrame, chr_info: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def dedup_pairs(pairs: DataFrame, chr_info: DataFrame) -> DataFrame:
 
 def dedup_log(df: DataFrame, chr_info: DataFrame, unique: DataFrame) -> DataFrame:
     """(all, unique, duplicate, discard)."""
-    every = df.join(F.broadcast(chr_info.select("chr", F.lit(1).alias("listed"))), "chr", "left").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("listed").isNull()).alias("discard"))
+    every = df.join(few(chr_info.select("chr", F.lit(1).alias("listed"))), "chr", "left").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("listed").isNull()).alias("discard"))
     one = unique.agg(F.count(F.lit(1)).alias("unique"))
     return every.crossJoin(one).select("all", "unique", (F.col("all") - F.col("unique") - F.col("discard")).alias("duplicate"), "discard")  # two rows of counters
 

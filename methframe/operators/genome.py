@@ -19,9 +19,26 @@ LISTED = 100_000
 _fit: weakref.WeakKeyDictionary[DataFrame, bool] = weakref.WeakKeyDictionary()
 
 
+def few(listed: DataFrame) -> DataFrame:
+    """A table of a row a chromosome, hinted for a broadcast if counted to have LISTED rows at most."""
+    if listed not in _fit:
+        _fit[listed] = len(listed.select(F.lit(1)).take(LISTED + 1)) <= LISTED
+    return F.broadcast(listed) if _fit[listed] else listed
+
+
+def tiled(genome: DataFrame) -> bool:
+    """Whether a genome is given as tiles (chr, tile, piece, length) instead of whole sequences (chr, seq)."""
+    return "piece" in genome.columns
+
+
+def listed_names(genome: DataFrame) -> DataFrame:
+    """(chr): every chromosome once."""
+    return (genome.where("tile = 0") if tiled(genome) else genome).select("chr")
+
+
 def names(genome: DataFrame) -> DataFrame:
     """The chromosomes' names; hinted for a broadcast if counted to be LISTED at most, or reads would be dealt by a few hot names."""
-    listed = genome.select("chr")
+    listed = listed_names(genome)
     if genome not in _fit:
         _fit[genome] = len(listed.select(F.lit(1)).take(LISTED + 1)) <= LISTED
     return F.broadcast(listed) if _fit[genome] else listed
@@ -34,7 +51,10 @@ def tiles(genome: DataFrame, tile: int = TILE, span: int = SPAN) -> DataFrame:
 
     A row at position pos joins on (chr, (pos - 1) div tile), so reads of one chromosome spread
     over its tiles and no task holds a genome.  The base at x is piece[x - tile * TILE + LEAD] (1-based).
+    A genome that is read as tiles (sources.sequence.fasta_tiles) stays as it is, and must have been cut with this tile and span.
     """
+    if tiled(genome):
+        return genome.select("chr", "tile", "piece")
     padded = F.concat(F.lit("X" * LEAD), F.col("seq")).cast("binary")
     numbers = F.sequence(F.lit(0), F.expr(f"cast(greatest(0, (length(seq) - 1) div {tile}) as int)"))
     cut = genome.select("chr", F.explode(numbers).alias("tile"), padded.alias("padded"))
@@ -61,6 +81,8 @@ def prepare(raw: DataFrame, control: DataFrame | None = None) -> DataFrame:
 
 
 def chr_info(genome: DataFrame) -> DataFrame:
+    if tiled(genome):
+        return genome.where("tile = 0").select("chr", F.col("length").cast("long").alias("length"))
     return genome.select("chr", F.length("seq").cast("long").alias("length"))
 
 
@@ -119,5 +141,5 @@ def ct_rich(genome: DataFrame, width: int = 1000, threshold: float = 0.7) -> Dat
 
 def mirror(bed: DataFrame, info: DataFrame) -> DataFrame:
     """Intervals on the reverse complement of their chromosome (1-based inclusive places)."""
-    joined = bed.join(F.broadcast(info), "chr")  # one row per chromosome
+    joined = bed.join(few(info), "chr")
     return joined.select("chr", (F.col("length") + 1 - F.col("end")).alias("start"), (F.col("length") + 1 - F.col("start")).alias("end"))

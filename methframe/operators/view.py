@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as C
 from ..regions import parse_region
+from . import intervals
 
 PACK_GAP = 5  # columns between fragments packed into one row
 RULER = 10  # sites between two numbers of the dense ruler
@@ -138,24 +139,36 @@ def dense(rows: DataFrame, reference: str) -> DataFrame:
 
 
 def packed(rows: DataFrame, gap: int = PACK_GAP) -> DataFrame:
-    """(line, row): several dense rows to a line, each at least *gap* columns after the one before, in the order of pos and name."""
+    """(line, row): several dense rows to a line, each at least *gap* columns after the one before, in the order of pos and name.
+
+    Each row goes to the first line with room.  Where a row begins that far after all before it, every line has room
+    again, so the stretches between such columns are packed by themselves, each by a task; a line is put together from its stretches.
+    """
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        todo = frame.sort_values(["pos", "name"])["row"].tolist()
+        frame = frame.sort_values(["pos", "name"], ignore_index=True)
+        # The first line with room, by a tree over the lines' ends: a node holds the smallest end below it.
+        size = 1 << max(0, (len(frame) - 1).bit_length())
+        ends = [-gap] * (2 * size)
         lines = []
-        while todo:
-            line, rest = todo[0], []
-            for row in todo[1:]:
-                if len(row) - len(row.lstrip(" ")) >= len(line) + gap:
-                    line += row[len(line) :]
-                else:
-                    rest.append(row)
-            lines.append(line)
-            todo = rest
-        return pd.DataFrame({"line": range(len(lines)), "row": lines})
-
-    one = rows.select("pos", "name", "row", F.lit(0).alias("region"))  # the rows of one region
-    return one.groupBy("region").applyInPandas(lambda frame: pack(frame), "line long, row string")
+        for begin, end in zip(frame["begin"].tolist(), frame["end"].tolist(), strict=True):
+            k = 1
+            while k < size:
+                k = 2 * k if ends[2 * k] + gap <= begin else 2 * k + 1
+            lines.append(k - size)
+            ends[k] = end
+            while k > 1:
+                k //= 2
+                ends[k] = min(ends[2 * k], ends[2 * k + 1])
+        return pd.DataFrame({"line": lines, "begin": frame["begin"], "row": frame["row"]})
+
+    begin = (F.length("row") - F.length(F.ltrim("row"))).cast("long")
+    one = rows.select(F.lit("").alias("chr"), "pos", "name", F.ltrim("row").alias("row"), begin.alias("begin"), F.length("row").cast("long").alias("end_at"), (begin + 1).alias("locus"))
+    stretches = intervals.merge(one.select("chr", F.col("begin").alias("start"), F.col("end_at").alias("end")), gap - 1).select("chr", "start", "end")
+    placed = intervals.points_in(one, stretches).select("start", "pos", "name", "row", "begin", F.col("end_at").alias("end"))
+    parts = placed.groupBy("start").applyInPandas(lambda frame: pack(frame), "line long, begin long, row string")
+    line = parts.groupBy("line").agg(F.sort_array(F.collect_list(F.struct("begin", "row"))).alias("parts"))
+    return line.select("line", F.expr("aggregate(parts, '', (acc, x) -> concat(acc, repeat(' ', cast(x.begin - length(acc) as int)), x.row))").alias("row"))
 
 
 def ruler(reference: str, left: int) -> str:

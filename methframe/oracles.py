@@ -627,3 +627,6 @@ UNION ALL SELECT 'calls', chr || ':' || unnest(['reads', 'wC', 'wT', 'cC', 'cT']
     "merged",
     "log",
 )
+oracle("align_gapped", "SELECT read_no, chr, pos, (CASE kind WHEN 0 THEN -11 WHEN 1 THEN -8 ELSE 0 END)::INTEGER AS as_score, (CASE kind WHEN 0 THEN 72 WHEN 1 THEN 69 ELSE 70 END)::BIGINT AS spanned, kind < 2 AS gapped FROM placed", "placed")
+oracle("align_paired", "SELECT read_no, chr, pos1, pos2, 0::INTEGER AS as_score, '40M' AS cigar1, '40M' AS cigar2 FROM placed_pairs", "placed_pairs")
+ORACLES["cpg_calls_tiled"] = ORACLES["cpg_calls"]

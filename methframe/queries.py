@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .fixtures import Fixtures
 from .functions import cigar as C
 from .functions import reads as R
-from .operators import calls, dedup, genome, intervals, merge, ordering, preprocess, profile, report, simulate, view
+from .operators import align, calls, dedup, genome, intervals, merge, ordering, preprocess, profile, report, simulate, view
 from .plans.pipeline import Conf
 from .sources import bam, sequence, sinks, text
 from .storage import folder, stored
@@ -550,7 +550,7 @@ def _in_files(x: Fixtures, df: DataFrame, tag: str) -> str:
 def fastq_roundtrip(x):
     """Single reads as plain FASTQ files."""
     path = _written(x, sinks.fastq_lines(se(x)))
-    return sequence.fastq(x.spark, path.removeprefix("file:") + "/part-*").select("id", "seq", "qual")
+    return sequence.fastq(x.spark, path.removeprefix("file:") + "/part-*", split=1 << 20).select("id", "seq", "qual")
 
 
 @query
@@ -808,3 +808,26 @@ def logs_roundtrip(x):
     names = [c for c in called.columns if c != "chr"]
     per = called.select(F.explode(F.array(*[F.struct(F.concat_ws(":", "chr", F.lit(c)).alias("key"), F.col(c).alias("value")) for c in names])).alias("m")).select("m.*", F.lit("calls").alias("log"))
     return merged.unionByName(dups).unionByName(per)
+
+
+# --- alignment, files in ranges -----------------------------------------------------------
+
+
+@query
+def align_gapped(x):
+    """Reads with and without gaps at their places; which of equal places a gap takes is left open."""
+    found = align.align(x.placed.select("read_no", "seq", "qual"), x.genome, "W")
+    return found.select("read_no", "chr", "pos", "as_score", C.reference_length("cigar").cast("long").alias("spanned"), F.col("cigar").rlike("[ID]").alias("gapped"))
+
+
+@query
+def align_paired(x):
+    found = align.align_pairs(x.placed_pairs.select("read_no", "seq1", "qual1", "seq2", "qual2"), x.genome, "W")
+    return found.select("read_no", "chr", "pos1", "pos2", "as_score", "cigar1", "cigar2")
+
+
+@query
+def cpg_calls_tiled(x):
+    """Calls over a genome that is read as tiles, in small ranges."""
+    path = _written(x, sinks.fasta_lines(x.genome)).removeprefix("file:") + "/part-*"
+    return calls.call(x.single, sequence.fasta_tiles(x.spark, path, split=4096))

@@ -1,64 +1,111 @@
-"""Data sources for FASTQ and FASTA files: spark.read.format("fastq") and ("fasta") after register(spark).
+"""Data sources for FASTQ and FASTA files: spark.read.format("fastq"), ("fasta") and ("fasta_pieces") after register(spark).
 
-A file is one partition (compressed files cannot be split); a list of files is read in its order and read_no goes on
-from file to file.  Paths with * are expanded.  Files are opened where the task runs, so they belong on storage that
-all executors mount.
+Plain files are read in byte ranges, compressed ones (which cannot be split) by one task each; a list of files is read in
+its order.  Paths may lie on any storage that pyarrow reaches, and patterns are expanded.
 """
 
 from __future__ import annotations
 
 import bz2
-import glob
 import gzip
+import io
 import itertools
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from . import files
+from .files import expand
 
-def expand(paths: str) -> list[str]:
-    """A comma-separated list with globs, in order."""
-    out: list[str] = []
-    for p in paths.split(","):
-        out += sorted(glob.glob(p)) if any(c in p for c in "*?[") else [p]
-    if not out:
-        raise FileNotFoundError(paths)
-    return out
+ROWS = 8192  # records of a batch
+PIECE = 1 << 20  # bases of a piece of a sequence
+HEADING = 1 << 16  # bytes of a FASTA heading at most, where a range begins within one
 
 
-def _open(path: str):
-    path = path.removeprefix("file://")
+def _compressed(path: str) -> bool:
+    return path.endswith((".gz", ".bz2"))
+
+
+def _stream(path: str) -> io.BufferedReader:
+    raw = files.opened(path)
     if path.endswith(".gz"):
-        return gzip.open(path, "rt")
-    return bz2.open(path, "rt") if path.endswith(".bz2") else open(path)
+        return io.BufferedReader(gzip.GzipFile(fileobj=raw))
+    return io.BufferedReader(bz2.BZ2File(raw)) if path.endswith(".bz2") else io.BufferedReader(raw, 1 << 20)
 
 
-class _File(InputPartition):
-    def __init__(self, number: int, path: str):
-        self.number, self.path = number, path
+class _Range(InputPartition):
+    def __init__(self, file: int, split: int, path: str, start: int, end: int | None):
+        self.file, self.split, self.path, self.start, self.end = file, split, path, start, end
 
 
 class _Reader(DataSourceReader):
+    splits = True
+
     def __init__(self, options: dict):
         self.paths = expand(options.get("path") or options["paths"])
-
-    def partitions(self) -> list[_File]:
-        return [_File(i, p) for i, p in enumerate(self.paths)]
+        self.size = int(options.get("splitBytes") or files.SPLIT)
+        self.counts = str(options.get("content") or "").lower() == "counts"
+
+    def partitions(self) -> list[_Range]:
+        out = []
+        for k, path in enumerate(self.paths):
+            if _compressed(path) or not self.splits:
+                out.append(_Range(k, 0, path, 0, None))
+                continue
+            total = files.size(path)
+            out += [_Range(k, n, path, at, min(total, at + self.size)) for n, at in enumerate(range(0, max(total, 1), self.size))]
+        return out
+
+
+def _records(part: _Range) -> Iterator[tuple[bytes, bytes, bytes]]:
+    """(id, bases, qualities) of the records whose id line begins in the range.
+
+    A line is an id if it begins with '@' and the second line after it with '+': a quality line may begin with '@', but
+    two lines after it come bases, which begin with a letter.
+    """
+    with _stream(part.path) as f:
+        at, ahead = part.start, []
+        if at:
+            f.seek(at - 1)
+            at += len(f.readline()) - 1  # the rest of a line that began before
+            while True:
+                while len(ahead) < 3 and (line := f.readline()):
+                    ahead.append(line)
+                if len(ahead) < 3 or part.end is not None and at >= part.end:
+                    return
+                if ahead[0].startswith(b"@") and ahead[2].startswith(b"+"):
+                    break
+                at += len(ahead.pop(0))
+        lines = itertools.chain(ahead, f)
+        while part.end is None or at < part.end:
+            record = list(itertools.islice(lines, 4))
+            if not record or not record[0].strip():
+                return
+            if len(record) < 4 or not record[0].startswith(b"@"):
+                raise ValueError(f"{part.path}: no FASTQ record at byte {at} of the text")
+            at += sum(map(len, record))
+            yield record[0].rstrip(b"\r\n"), record[1].rstrip(b"\r\n"), record[3].rstrip(b"\r\n")
 
 
 class FastqReader(_Reader):
-    def read(self, part: _File) -> Iterator[tuple]:
-        with _open(part.path) as f:
-            lines = (x.rstrip("\r\n") for x in f)
-            for n in itertools.count():
-                record = list(itertools.islice(lines, 4))
-                if not record or not record[0]:
-                    return
-                if len(record) < 4 or not record[0].startswith("@"):
-                    raise ValueError(f"{part.path}: record {n + 1} is not FASTQ")
-                yield part.number, n, record[0], record[1], record[3]
+    def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
+        records = _records(part)
+        if self.counts:
+            yield pa.RecordBatch.from_pydict({"file": pa.array([part.file], pa.int32()), "split": pa.array([part.split], pa.int32()), "records": [sum(1 for _ in records)]})
+            return
+        for number in itertools.count(0, ROWS):
+            rows = list(itertools.islice(records, ROWS))
+            if not rows:
+                return
+            n = len(rows)
+            columns = [pa.array(c, pa.binary()).cast(pa.string()) for c in zip(*rows, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part.file] * n, pa.int32()), pa.array([part.split] * n, pa.int32()), pa.array(range(number, number + n), pa.int64()), *columns],
+                names=["file", "split", "record", "id", "seq", "qual"],
+            )
 
 
 class FastqSource(DataSource):
@@ -67,27 +114,35 @@ class FastqSource(DataSource):
         return "fastq"
 
     def schema(self) -> str:
-        return "file int, record long, id string, seq string, qual string"
+        if str(self.options.get("content") or "").lower() == "counts":
+            return "file int, split int, records long"
+        return "file int, split int, record long, id string, seq string, qual string"
 
     def reader(self, schema) -> FastqReader:
         return FastqReader(self.options)
 
 
 class FastaReader(_Reader):
-    def read(self, part: _File) -> Iterator[tuple]:
+    splits = False  # a sequence is a row
+
+    def read(self, part: _Range) -> Iterator[tuple]:
         name, parts = None, []
-        with _open(part.path) as f:
+        with _stream(part.path) as f:
             for line in f:
-                if line.startswith(">"):
+                if line.startswith(b">"):
                     if name is not None:
                         yield name, "".join(parts)
-                    name, parts = (line[1:].split() or [""])[0], []
+                    name, parts = _title(line), []
                 else:
-                    parts.append(line.strip())
+                    parts.append(line.strip().decode())
         if name is not None:
             yield name, "".join(parts)
 
 
+def _title(line: bytes) -> str:
+    return (line[1:].decode().split() or [""])[0]
+
+
 class FastaSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -100,32 +155,134 @@ class FastaSource(DataSource):
         return FastaReader(self.options)
 
 
+class PieceReader(_Reader):
+    """(file, split, piece, name, bases): name where a sequence begins with this piece, else null."""
+
+    def read(self, part: _Range) -> Iterator[tuple]:
+        for k, (name, bases) in enumerate(self._pieces(part)):
+            yield part.file, part.split, k, name, len(bases) if self.counts else bases.decode()
+
+    def _pieces(self, part: _Range) -> Iterator[tuple[str | None, bytes]]:
+        with _stream(part.path) as f:
+            at = part.start
+            if at:
+                back = min(at, HEADING)
+                f.seek(at - back)
+                begun = f.read(back).rpartition(b"\n")[2]
+                if begun.startswith(b">"):
+                    at += len(f.readline())  # the rest of a heading that began before
+                starts = not begun
+            else:
+                starts = True
+            held, name = bytearray(), None
+            while part.end is None or at < part.end:
+                line = f.readline(PIECE if part.end is None else min(PIECE, part.end - at))
+                if not line:
+                    break
+                if starts and line.startswith(b">"):
+                    while not line.endswith(b"\n") and (more := f.readline(PIECE)):
+                        line += more
+                    if held or name is not None:
+                        yield name, bytes(held)
+                    held, name = bytearray(), _title(line)
+                else:
+                    held += bytes(line).translate(None, b" \t\r\n")
+                at += len(line)
+                starts = line.endswith(b"\n")
+                if len(held) >= PIECE:
+                    yield name, bytes(held)
+                    held, name = bytearray(), None
+            if held or name is not None:
+                yield name, bytes(held)
+
+
+class PieceSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "fasta_pieces"
+
+    def schema(self) -> str:
+        return "file int, split int, piece int, name string, " + ("n long" if str(self.options.get("content") or "").lower() == "counts" else "bases string")
+
+    def reader(self, schema) -> PieceReader:
+        return PieceReader(self.options)
+
+
 def register(spark: SparkSession) -> None:
-    spark.dataSource.register(FastqSource)
-    spark.dataSource.register(FastaSource)
+    for source in (FastqSource, FastaSource, PieceSource):
+        spark.dataSource.register(source)
 
 
-def fastq(spark: SparkSession, paths: str) -> DataFrame:
-    """(read_no, id, seq, qual): read_no counts from 0 over all files in their order."""
+def _load(spark: SparkSession, kind: str, paths: str, split: int | None, content: str = "") -> DataFrame:
     register(spark)
-    rows = spark.read.format("fastq").option("path", paths).load()
-    if len(expand(paths)) == 1:
-        return rows.select(F.col("record").alias("read_no"), "id", "seq", "qual")
-    sizes = rows.groupBy("file").agg(F.max("record").alias("last"))  # one row per file
-    before = F.coalesce(F.sum(F.col("last") + 1).over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("file", before.alias("before"))
-    return rows.join(F.broadcast(starts), "file").select((F.col("before") + F.col("record")).alias("read_no"), "id", "seq", "qual")
+    source = spark.read.format(kind).option("path", paths).option("content", content)
+    return (source.option("splitBytes", split) if split else source).load()
+
+
+def fastq(spark: SparkSession, paths: str, split: int | None = None) -> DataFrame:
+    """(read_no, id, seq, qual): read_no counts from 0 over all files in their order.
 
+    Ranges are counted first, a number for each, and their sums tell where each range's numbers begin.
+    """
+    sizes = _load(spark, "fastq", paths, split, "counts")  # a row a range
+    before = F.coalesce(F.sum("records").over(Window.orderBy("file", "split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(sizes.select("file", "split", before.alias("before")))
+    rows = _load(spark, "fastq", paths, split)
+    return rows.join(starts, ["file", "split"]).select((F.col("before") + F.col("record")).alias("read_no"), "id", "seq", "qual")
 
-def fastq_pairs(spark: SparkSession, paths1: str, paths2: str) -> DataFrame:
+
+def fastq_pairs(spark: SparkSession, paths1: str, paths2: str, split: int | None = None) -> DataFrame:
     """Mates of equal number; both lists must have as many files."""
     from ..operators.preprocess import zip_pairs
 
     if len(expand(paths1)) != len(expand(paths2)):
         raise ValueError("both mates need the same number of files")
-    return zip_pairs(fastq(spark, paths1), fastq(spark, paths2))
+    return zip_pairs(fastq(spark, paths1, split), fastq(spark, paths2, split))
 
 
 def fasta(spark: SparkSession, paths: str) -> DataFrame:
+    """(chr, seq): a row a sequence, for genomes of small chromosomes; others are read by fasta_tiles."""
     register(spark)
     return spark.read.format("fasta").option("path", paths).load()
+
+
+def fasta_pieces(spark: SparkSession, paths: str, split: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(pieces (chr, start, bases), chromosomes (chr, length)) of FASTA files read in ranges; start is the first base's place, from 1.
+
+    Where a piece lies is told by the pieces' lengths, which are counted first, a number for each PIECE bases.
+    """
+    counts = _load(spark, "fasta_pieces", paths, split, "counts")
+    order = Window.orderBy("file", "split", "piece")
+    marked = counts.withColumn("own", F.sum(F.when(F.col("name").isNotNull(), 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    along = Window.partitionBy("own").orderBy("file", "split", "piece")
+    placed = marked.where("own > 0").select(
+        "file", "split", "piece", F.first("name", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0)).alias("chr"),
+        (F.coalesce(F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1).alias("start"), "n",
+    )
+    chromosomes = placed.groupBy("chr").agg(F.max(F.col("start") + F.col("n") - 1).alias("length"))
+    rows = _load(spark, "fasta_pieces", paths, split)
+    return rows.join(F.broadcast(placed.drop("n")), ["file", "split", "piece"]).where("bases <> ''").select("chr", "start", "bases"), chromosomes
+
+
+def fasta_tiles(spark: SparkSession, paths: str, tile: int | None = None, span: int | None = None, split: int | None = None, named: Column | None = None) -> DataFrame:
+    """(chr, tile, piece, length): the tiles of a genome (operators.genome.tiles) without a row that holds a chromosome.
+
+    Bases are turned to upper case; named: an expression for chr over the names as read.  length is the chromosome's.
+    """
+    from ..operators import genome as G
+
+    tile, span = tile or G.TILE, span or G.SPAN
+    pieces, chromosomes = fasta_pieces(spark, paths, split)
+    if named is not None:
+        pieces, chromosomes = (df.withColumn("chr", named) for df in (pieces, chromosomes))
+    rows = pieces.join(F.broadcast(chromosomes), "chr").withColumn("end", F.col("start") + F.length("bases") - 1)
+    # Tile t holds the places t * tile + 1 - LEAD to (t + 1) * tile + span + LEAD.
+    low = f"cast(greatest(0, ceil((start - {tile + span + G.LEAD}) / {tile})) as bigint)"
+    high = f"least((length - 1) div {tile}, (end + {G.LEAD} - 1) div {tile})"
+    cut = rows.where(f"{low} <= {high}").withColumn("tile", F.explode(F.expr(f"sequence({low}, {high})")))
+    first, last = f"greatest(start, tile * {tile} + {1 - G.LEAD})", f"least(end, (tile + 1) * {tile} + {span + G.LEAD})"
+    cut = cut.select("chr", "tile", "length", F.expr(first).alias("at"), F.expr(f"substr(bases, cast({first} - start + 1 as int), cast({last} - {first} + 1 as int))").alias("part"))
+    # A tile's parts are as long as the tile together.
+    joined = cut.groupBy("chr", "tile", "length").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "part"))), lambda p: p["part"]), "").alias("bases"))
+    lead = F.when(F.col("tile") == 0, F.lit("X" * G.LEAD)).otherwise("")
+    return joined.select("chr", "tile", F.concat(lead, F.upper("bases")).cast("binary").alias("piece"), "length")
