@@ -18,6 +18,17 @@ def ranged(df: DataFrame, *keys: str | Column, partitions: int | None = None) ->
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
+def cumulated(df: DataFrame, *keys: str | Column, weight: str, name: str) -> DataFrame:
+    """df with the sum of the weights of all rows before each one in the order of the keys."""
+    path = folder(df.sparkSession, "ordered")
+    ranged(df, *keys).write.parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path).select("*", F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1).cast("long").alias("_part"), F.col("_metadata.row_index").alias("_at"))
+    sums = rows.groupBy("_part").agg(F.sum(weight).alias("_sum"))  # a row a file
+    starts = F.broadcast(sums.select("_part", F.coalesce(F.sum("_sum").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")))
+    inside = F.coalesce(F.sum(weight).over(Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.withColumn("_inside", inside).join(starts, "_part").withColumn(name, F.col("_before") + F.col("_inside")).drop("_part", "_at", "_before", "_inside")
+
+
 def parts_numbered(spark: SparkSession, path: str, schema, name: str, start: int = 0) -> DataFrame:
     """The rows of a Parquet table in the order of its files and their rows, with their numbers."""
     rows = spark.read.schema(schema).parquet(path).select("*", F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1).cast("long").alias("_part"), F.col("_metadata.row_index").alias("_at"))

@@ -200,6 +200,22 @@ def page(lines: list[str], title: str) -> str:
     return f'<!DOCTYPE html><html><head><meta charset="utf-8"><title>{html.escape(title)}</title></head><body><h3>{html.escape(title)}</h3><pre style="font-size:{size}px">{body}</pre></body></html>'
 
 
+# Widths (columns) from which a larger sheet is taken, fixed values.
+SHEETS = {"Portrait": ((400, "A1"), (280, "A2"), (160, "A3")), "Landscape": ((600, "A1"), (400, "A2"), (240, "A3"))}
+
+
+def paper(width: int, rows: int) -> tuple[str, str]:
+    """(sheet, orientation) for a picture of so many columns and rows: landscape where it is more than twice as wide as high."""
+    turned = "Landscape" if width > 2 * rows else "Portrait"
+    return next((sheet for least, sheet in SHEETS[turned] if width > least), "A4"), turned
+
+
+def pdf_command(name: str, width: int, rows: int, program: str = "wkhtmltopdf") -> str:
+    """The command that turns the page name.html into name.pdf."""
+    sheet, turned = paper(width, rows)
+    return f"{program} -s {sheet} -O {turned} {name}.html {name}.pdf"
+
+
 class Viewer:
     """Pictures of aligned reads (name, chr, pos, cigar, seq, qual, strand) over a genome (chr, seq)."""
 

@@ -630,3 +630,17 @@ UNION ALL SELECT 'calls', chr || ':' || unnest(['reads', 'wC', 'wT', 'cC', 'cT']
 oracle("align_gapped", "SELECT read_no, chr, pos, (CASE kind WHEN 0 THEN -11 WHEN 1 THEN -8 ELSE 0 END)::INTEGER AS as_score, (CASE kind WHEN 0 THEN 72 WHEN 1 THEN 69 ELSE 70 END)::BIGINT AS spanned, kind < 2 AS gapped FROM placed", "placed")
 oracle("align_paired", "SELECT read_no, chr, pos1, pos2, 0::INTEGER AS as_score, '40M' AS cigar1, '40M' AS cigar2 FROM placed_pairs", "placed_pairs")
 ORACLES["cpg_calls_tiled"] = ORACLES["cpg_calls"]
+oracle(
+    "suffix_places",
+    """SELECT pattern, chr, p AS pos FROM (SELECT DISTINCT substr(seq, 1, 20) AS pattern FROM placed) s
+JOIN (SELECT chr, p, substr(translate(seq, 'C', 'T'), p, 20) AS part FROM (SELECT chr, seq, unnest(range(1, length(seq) - 18)) AS p FROM genome) g) k ON part = pattern""",
+    "placed",
+    "genome",
+)
+oracle(
+    "viewer_paper",
+    """SELECT chr, width, rows, CASE WHEN width > 2 * rows THEN CASE WHEN width > 600 THEN 'A1' WHEN width > 400 THEN 'A2' WHEN width > 240 THEN 'A3' ELSE 'A4' END
+ELSE CASE WHEN width > 400 THEN 'A1' WHEN width > 280 THEN 'A2' WHEN width > 160 THEN 'A3' ELSE 'A4' END END AS sheet, CASE WHEN width > 2 * rows THEN 'Landscape' ELSE 'Portrait' END AS orientation
+FROM (SELECT chr, (max(pos) - min(pos))::INTEGER AS width, count(*)::INTEGER AS rows FROM single GROUP BY chr) s""",
+    "single",
+)

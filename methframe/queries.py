@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .fixtures import Fixtures
 from .functions import cigar as C
 from .functions import reads as R
-from .operators import align, calls, dedup, genome, intervals, merge, ordering, preprocess, profile, report, simulate, view
+from .operators import align, calls, dedup, genome, intervals, merge, ordering, preprocess, profile, report, simulate, suffixes, view
 from .plans.pipeline import Conf
 from .sources import bam, sequence, sinks, text
 from .storage import folder, stored
@@ -831,3 +831,20 @@ def cpg_calls_tiled(x):
     """Calls over a genome that is read as tiles, in small ranges."""
     path = _written(x, sinks.fasta_lines(x.genome)).removeprefix("file:") + "/part-*"
     return calls.call(x.single, sequence.fasta_tiles(x.spark, path, split=4096))
+
+
+@query
+def suffix_places(x):
+    """Every place of the reads' first 20 letters in the converted genome, by backward search."""
+    index = suffixes.build(x.genome.select("chr", F.translate(F.upper("seq"), "C", "T").alias("seq")))
+    seeds = x.placed.select(F.substring("seq", 1, 20).alias("pattern")).distinct()
+    return suffixes.places(index, suffixes.ranges(index, seeds)).select("pattern", "chr", "pos")
+
+
+@query
+def viewer_paper(x):
+    """The sheet that the picture of each chromosome's reads takes."""
+    size = x.single.groupBy("chr").agg((F.max("pos") - F.min("pos")).cast("int").alias("width"), F.count(F.lit(1)).cast("int").alias("rows"))
+    portrait, landscape = (F.coalesce(*[F.when(F.col("width") > least, sheet) for least, sheet in view.SHEETS[k]], F.lit("A4")) for k in ("Portrait", "Landscape"))
+    wide = F.col("width") > 2 * F.col("rows")
+    return size.select("chr", "width", "rows", F.when(wide, landscape).otherwise(portrait).alias("sheet"), F.when(wide, "Landscape").otherwise("Portrait").alias("orientation"))

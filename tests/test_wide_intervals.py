@@ -65,3 +65,10 @@ def test_packing_by_stretches(spark, reach):
     got = {x["line"]: x["row"] for x in view.packed(df).collect()}
     assert [got[k] for k in sorted(got)] == plain_pack(rows, view.PACK_GAP) and sorted(got) == list(range(len(got)))
     assert view.packed(df.limit(0)).count() == 0
+
+
+def test_paper():
+    assert [view.paper(w, n) for w, n in ((160, 80), (161, 90), (281, 200), (401, 300), (200, 10), (241, 10), (401, 10), (601, 10))] == [
+        ("A4", "Portrait"), ("A3", "Portrait"), ("A2", "Portrait"), ("A1", "Portrait"), ("A4", "Landscape"), ("A3", "Landscape"), ("A2", "Landscape"), ("A1", "Landscape"),
+    ]
+    assert view.pdf_command("x", 700, 3) == "wkhtmltopdf -s A1 -O Landscape x.html x.pdf"
