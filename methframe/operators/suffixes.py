@@ -112,16 +112,15 @@ def ranges(index: SuffixIndex, patterns: DataFrame) -> DataFrame:
         return F.when(F.col(side) == 0, 0).otherwise(F.coalesce(counts[F.col("c")], F.lit(0)) + F.length(part) - F.length(F.replace(part, F.col("c"))))
 
     for step in range(steps):
-        going = state.where((F.col("left") > 0) & (F.col("hi") > F.col("lo"))).withColumn("c", F.expr("substr(pattern, left, 1)"))
-        rest = state.where((F.col("left") <= 0) | (F.col("hi") <= F.col("lo")))
+        going = (F.col("left") > 0) & (F.col("hi") > F.col("lo"))
+        state = state.withColumn("c", F.when(going, F.expr("substr(pattern, left, 1)")))  # null: done, meets no block
         for side in ("lo", "hi"):
             there = blocks.select(F.col("block").alias("_block"), F.col("letters").alias(f"letters_{side}"), F.col("counts").alias(f"counts_{side}"))
-            going = going.withColumn("_block", F.expr(f"greatest(0, {side} - 1) div {BLOCK}")).join(there, "_block").drop("_block")
+            state = state.withColumn("_block", F.when(F.col("c").isNotNull(), F.expr(f"greatest(0, {side} - 1) div {BLOCK}"))).join(there, "_block", "left").drop("_block")
         start = before[F.col("c")]
-        low, high = (start + occurs(s, F.col(f"letters_{s}"), F.col(f"counts_{s}")) for s in ("lo", "hi"))
-        moved = going.select(*names, F.coalesce(low, F.lit(0)).alias("lo"), F.coalesce(high, F.lit(0)).alias("hi"), (F.col("left") - 1).alias("left"))
-        state = rest.unionByName(moved)
-        if step % 4 == 3:
+        low, high = (F.when(F.col("c").isNull(), F.col(s)).otherwise(F.coalesce(start + occurs(s, F.col(f"letters_{s}"), F.col(f"counts_{s}")), F.lit(0))) for s in ("lo", "hi"))
+        state = state.select(*names, low.alias("lo"), high.alias("hi"), (F.col("left") - 1).alias("left"))
+        if step % 8 == 7:
             state = stored(state)
     hit = F.col("hi") > F.col("lo")
     return state.select(*names, F.when(hit, F.col("lo")).otherwise(0).alias("lo"), F.when(hit, F.col("hi")).otherwise(0).alias("hi"))
