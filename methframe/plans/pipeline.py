@@ -11,10 +11,12 @@ from ..operators import calls as CALLS
 from ..operators import dedup as DEDUP
 from ..operators import genome as GENOME
 from ..operators import merge as MERGE
+from ..operators import ordering as ORDERING
 from ..operators import preprocess as PRE
 from ..operators import profile as PROFILE
 from ..operators import report as REPORT
 from ..sources import sinks
+from ..sources.text import strand_of
 
 
 @dataclass(frozen=True)
@@ -88,6 +90,11 @@ class Pipeline:
         """The winners of both hypotheses (alignments come from an external aligner)."""
         return self.save(MERGE.merge_hypotheses(watson, crick), "merged")
 
+    def from_sam(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(aligned, orphans) of paired SAM rows in any order, from text or binary files with strand tags: pairs linked by name and numbered in its order, for run()."""
+        pairs, orphans = MERGE.link_mates(rows, strand_of())
+        return ORDERING.numbered(pairs, "name", name="read_no"), orphans
+
     def run(self, aligned: DataFrame, genome: DataFrame, refgene: DataFrame | None = None, cycle: int | None = None) -> dict[str, DataFrame]:
         """From merged alignments (single or pairs, with strand) to every table of the report."""
         c, info = self.conf, GENOME.chr_info(genome)

@@ -38,10 +38,9 @@ def test_paired_sam_runs_through_the_pipeline(spark, tmp_path):
     x = Fixtures(spark, DIR)
     lines = merge.to_sam(x.pairs).orderBy(F.md5("value"))
     lines.write.text(str(tmp_path / "sam"))
-    pairs, orphans = merge.link_mates(text.sam(spark, str(tmp_path / "sam")), text.strand_of())
-    assert orphans.count() == 0
-    linked = ordering.numbered(pairs, "name", name="read_no")
     p = Pipeline(spark, Conf())
+    linked, orphans = p.from_sam(text.sam(spark, str(tmp_path / "sam")))
+    assert orphans.count() == 0
     got, want = p.run(linked, x.genome), p.run(x.pairs, x.genome)
     for name in ("calls", "chr_log", "dedup_log", "sizes", "mbias_1", "mbias_2", "totals"):
         columns = sorted(want[name].columns)
