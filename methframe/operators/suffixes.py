@@ -19,7 +19,7 @@ from .genome import LEAD, TILE, tiled, tiles
 from .ordering import cumulated
 
 FIRST = 16  # letters of the first ranks
-BLOCK = 1 << 14  # letters of a block
+BLOCK = 1 << 8  # letters of a block, which a step of the search carries and counts
 END = " "  # stands behind a chromosome, before every letter
 
 
