@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from .operators import intervals, preprocess, profile, report, view
+from .operators import charts, intervals, preprocess, profile, report, view
 from .plans import index
 from .plans.pipeline import Conf, Pipeline
 from .sources import sequence, sinks, text
@@ -100,6 +100,8 @@ def main(argv: list[str] | None = None) -> None:
                 sinks.lines(sinks.fastq_lines(packed, f"name{k}", f"seq{tag}", f"qual{tag}"), f"{a.out}/R{k}.fq")
             sinks.lines(sinks.trim_log_lines(got["counters"]), f"{a.out}/trim.log", single=True)
             sinks.lines(sinks.tsv_lines(got["composition"], order=["mate", "cycle"]), f"{a.out}/composition", single=True)
+            for row in charts.of(got).toLocalIterator():
+                Path(f"{a.out}/{row['chart']}.svg").write_text(row["svg"])
         else:
             genes = Path(f"{a.index}/tss_bins").exists()
             out = run.run(spark.read.parquet(a.alignments), index.load(spark, a.index))
@@ -110,8 +112,11 @@ def main(argv: list[str] | None = None) -> None:
                     sinks.lines(sinks.tsv_lines(df), f"{a.out}/{name}", single=True)
             if "calls" in out:
                 sinks.lines(sinks.call_lines(out["calls"]), f"{a.out}/calls")
-                page = report.page(out["totals"].selectExpr("strand", "string(c + t)", "string(level)"), run.settings())
-                Path(f"{a.out}/report.html").write_text(page)
+                drawn = run.save(charts.of(out, run.conf.protocol), "charts")
+                for row in drawn.toLocalIterator():  # a row a chart
+                    Path(f"{a.out}/{row['chart']}.svg").write_text(row["svg"])
+                rows = out["totals"].selectExpr("strand as n", "strand as item", "string(c + t) as value", "string(level) as share")
+                Path(f"{a.out}/report.html").write_text(report.page(rows, run.settings(), charts=drawn).first()["page"])
     elif a.command == "view":
         if warning := view.region_warning(a.region):
             print(warning)

@@ -451,15 +451,12 @@ FROM (SELECT * FROM calls UNION ALL SELECT * FROM calls_pairs) a GROUP BY chr, l
     "calls", "calls_pairs",
 )
 oracle("tss_bins", "SELECT * FROM bins", "bins")
-oracle(
-    "tss_profile",
-    """
+TSS = """
 SELECT d.distance, max(level) FILTER (strand = '+') AS watson, max(level) FILTER (strand = '-') AS crick FROM (SELECT DISTINCT distance FROM bins WHERE strand = '+') d LEFT JOIN (
   SELECT distance, b.strand, CASE WHEN sum(wC + cC + wT + cT) > 0 THEN sum(wC + cC)::DOUBLE / sum(wC + cC + wT + cT)::DOUBLE END AS level
   FROM bins b JOIN calls c ON c.chr = b.chr AND c.locus > b.start AND c.locus <= b."end" GROUP BY 1, 2) p USING (distance) GROUP BY d.distance
-""",
-    "bins", "calls",
-)
+"""
+oracle("tss_profile", TSS, "bins", "calls")
 WIG = """
 SELECT b.chr, least(p // 100 * 100 + 1, length) AS pos, count(*) * {weight} AS value FROM (SELECT chr, unnest(range(start + 1, "end" + 1)) AS p, "end" FROM bed) b JOIN info i ON i.chr = b.chr
 WHERE "end" // 100 < length // 100 + 1 GROUP BY b.chr, length, p // 100
@@ -513,15 +510,134 @@ WHERE "left" <= 600 AND length(row) > greatest(301, "left") - "left" AND NOT reg
 )
 oracle("viewer_snp_column", "SELECT * FROM snp", "snp")
 oracle("viewer_snp_sorted", """SELECT name, pos, CASE WHEN "column" IS NULL OR length(row) <= "column" THEN '' ELSE substr(row, "column" + 1, 1) END AS allele FROM picture, snp""", "snp")
-oracle(
-    "viewer_dense1",
-    """
+DENSE = """
 SELECT name, row FROM (SELECT name, regexp_replace(string_agg(substr(row, s + 1, 2), '' ORDER BY s), '-$', '') AS row FROM picture JOIN (
   SELECT unnest(list_filter(range(0, 999), lambda i: substr(piece, i + 1, 2) = 'CG')) AS s FROM (SELECT substr(seq, (SELECT any_value("left") FROM picture), 1000) AS piece FROM genome WHERE chr = 'chr3') g) c ON s <= length(row) - 2 GROUP BY name) d WHERE trim(row) <> ''
+"""
+oracle("viewer_dense1", DENSE, "picture", "genome")
+oracle("sim_bisulfite", "SELECT read_no, replace(seq1, 'C', 'T') AS seq FROM raw", "raw")
+
+# Rows in the order of pos and name each go to the first line with room: the state is the lines' ends so far.
+VIEWS["dense_rows"] = (f"SELECT d.row, pos, length(d.row) - length(ltrim(d.row)) AS b, row_number() OVER (ORDER BY pos, d.name) AS k FROM ({DENSE}) d JOIN picture p ON p.name = d.name", ["picture", "genome"])
+oracle(
+    "viewer_dense2",
+    """SELECT (line - 1)::BIGINT AS line, string_agg(repeat(' ', (b - before)::INTEGER) || ltrim(row), '' ORDER BY k) AS row FROM (
+  SELECT w.k, w.line, b, d.row, coalesce(lag(length(d.row)) OVER (PARTITION BY w.line ORDER BY w.k), 0) AS before FROM walk w JOIN dense_rows d ON d.k = w.k) x GROUP BY line""",
+    "dense_rows",
+)
+ORACLES["viewer_dense2"] = ORACLES["viewer_dense2"].replace("WITH ", "WITH RECURSIVE ", 1).replace(
+    ") SELECT (line - 1)",
+    """), walk AS (
+  SELECT 0::BIGINT AS k, 0::BIGINT AS line, []::BIGINT[] AS ends
+  UNION ALL SELECT k, line, CASE WHEN line > len(ends) THEN list_append(ends, e) ELSE list_concat(list_append(ends[1:line - 1], e), ends[line + 1:]) END FROM (
+    SELECT d.k, length(d.row)::BIGINT AS e, w.ends, coalesce(list_position(list_transform(w.ends, lambda e: e + 5 <= d.b), true), len(w.ends) + 1)::BIGINT AS line FROM walk w JOIN dense_rows d ON d.k = w.k + 1) step
+) SELECT (line - 1)""",
+    1,
+)
+
+# --- report and charts ----------------------------------------------------------------
+
+SHARE = "CASE WHEN {w} > 0 THEN (({p}) * 20000 + {w}) // (2 * {w}) // 100 || '.' || lpad(((({p}) * 20000 + {w}) // (2 * {w}) % 100)::VARCHAR, 2, '0') || ' %' ELSE 'NA' END"
+COMMAS = "format('{{:,}}', ({0})::BIGINT)"
+REPORT = [
+    ("Total reads", "total", None), ("After trimming", "kept", ("kept", "total")), ("Aligned", "aligned", ("aligned", "kept")), ("Forward strand", "w", ("w", "aligned")), ("Reverse strand", "c", ("c", "aligned")),
+    ("Unique", '"unique"', ('"unique"', '"all"')), ("Duplicate", "dup", ("dup", '"all"')), ("Discarded", "discard", ("discard", '"all"')),
+    ("Methylation, watson", "w_all", ("wC", "w_all")), ("Methylation, crick", "c_all", ("cC", "c_all")), ("Methylation, total", "(w_all + c_all)", ("wC + cC", "(w_all + c_all)")),
+    ("Control reads", "control", None), ("Control conversion", "control_all", ("control_t", "control_all")),
+]
+VIEWS["facts"] = (
+    f"""
+SELECT t.total, t.dropped, t.total - t.dropped AS kept, s.*, u.*, "all" - "unique" - discard AS dup, m.*, k.* FROM ({_count_cut('cut_pe')}) t,
+  (SELECT count(*) AS aligned, count(*) FILTER (strand = 'W') AS w, count(*) FILTER (strand = 'C') AS c, count(*) AS "all", count(*) FILTER (chr NOT IN (SELECT chr FROM genome)) AS discard FROM pairs) s,
+  (SELECT count(*) AS "unique" FROM unique_pairs) u,
+  (SELECT coalesce(sum(wC), 0)::BIGINT AS wC, coalesce(sum(wC + wT), 0)::BIGINT AS w_all, coalesce(sum(cC), 0)::BIGINT AS cC, coalesce(sum(cC + cT), 0)::BIGINT AS c_all FROM calls_pairs WHERE chr <> 'chrL') m,
+  (SELECT coalesce(sum(wT + cT), 0)::BIGINT AS control_t, coalesce(sum(wC + wT + cC + cT), 0)::BIGINT AS control_all, (SELECT count(*) FROM known_pairs WHERE chr = 'chrL') AS control FROM calls_pairs WHERE chr = 'chrL') k
 """,
-    "picture", "genome",
+    ["cut_pe", "pairs", "unique_pairs", "calls_pairs", "known_pairs", "genome"],
+)
+
+
+def _reported(n: int, item: str, value: str, share: tuple[str, str] | None) -> str:
+    shown = COMMAS.format(value)
+    if share and n > 7:  # a level of nothing has no number of bases
+        shown = f"CASE WHEN {value} > 0 THEN {shown} ELSE '' END"
+    part = SHARE.format(p=share[0], w=share[1]) if share else "''"
+    return f"SELECT {n} AS n, '{item}' AS item, {shown} AS value, {part} AS share FROM facts"
+
+
+VIEWS["report"] = (" UNION ALL ".join(_reported(n, *row) for n, row in enumerate(REPORT)), ["facts"])
+oracle("report_rows", "SELECT n, item, value, share FROM report", "report")
+oracle(
+    "html_report",
+    """SELECT '<!DOCTYPE html><html><head><meta charset="utf-8"><title>Methylation report</title></head><body><h1>Methylation report</h1><table><tr><th>Item</th><th>Value</th><th>Share</th></tr>'
+|| string_agg('<tr><td>' || item || '</td><td>' || value || '</td><td>' || share || '</td></tr>', '' ORDER BY n) || '</table></body></html>' AS page FROM report""",
+    "report",
+)
+
+
+def _text(x: str, y: str, shown: str, more: str = "") -> str:
+    return f"""'<text x="' || {x} || '" y="' || {y} || '"{more}>' || {shown} || '</text>'"""
+
+
+def _svg(inside: str, ends: str, x_label: str, y_label: str, numbers: bool = True) -> str:
+    """SQL of charts: inside gives (chart, inside), ends gives (chart, x0, x1, y0, y1)."""
+    marks = [f"""'<rect x="70" y="40" width="660" height="300" fill="none" stroke="black"/>'""", _text("400", "400", f"'{x_label}'", ' text-anchor="middle"'), _text("20", "190", f"'{y_label}'", ' text-anchor="middle" transform="rotate(-90 20 190)"')]
+    for k in range(5):
+        if numbers:
+            marks.append(_text(str(70 + 165 * k), "360", f"floor(x0 + (x1 - x0) * {k} / 4 + 0.5)::BIGINT", ' text-anchor="middle"'))
+        marks.append(_text("62", str(345 - 75 * k), f"printf('%.1f', floor((y0 + (y1 - y0) * {k} / 4) * 10 + 0.5) / 10)", ' text-anchor="end"'))
+    head = """'<svg xmlns="http://www.w3.org/2000/svg" width="760" height="420" font-family="sans-serif" font-size="14">'"""
+    return f"SELECT e.chart, {head} || {' || '.join(marks)} || coalesce(inside, '') || '</svg>' AS svg FROM ({ends}) e LEFT JOIN ({inside}) i ON i.chart = e.chart"
+
+
+def _lines(series: list[tuple[str, str, str]], table: str, chart: str, x: str, ends: str, x_label: str, y_label: str) -> str:
+    """series: (expression, label, colour) of each line."""
+    points = " UNION ALL ".join(f"SELECT {chart} AS chart, {k} AS part, '{label}' AS label, '{colour}' AS colour, ({x})::DOUBLE AS x, ({y})::DOUBLE AS y FROM {table}" for k, (y, label, colour) in enumerate(series))
+    placed = f"""
+SELECT chart, part, '<polyline fill="none" stroke-width="2" stroke="' || colour || '" points="' || string_agg(px || ',' || py, ' ' ORDER BY x, px || ',' || py) || '"/><text x="' || 70 + 90 * part || '" y="28" fill="' || colour || '">' || label || '</text>' AS piece FROM (
+  SELECT p.*, floor(70 + (x - x0) * 660 / CASE WHEN x1 > x0 THEN x1 - x0 ELSE 1 END + 0.5)::BIGINT AS px, floor(340 - (y - y0) * 300 / CASE WHEN y1 > y0 THEN y1 - y0 ELSE 1 END + 0.5)::BIGINT AS py
+  FROM ({points}) p JOIN ({ends}) e ON e.chart = p.chart WHERE x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1) q GROUP BY chart, part, label, colour"""
+    return _svg(f"SELECT chart, string_agg(piece, '' ORDER BY part) AS inside FROM ({placed}) l GROUP BY chart", ends, x_label, y_label)
+
+
+def _ends(chart: str, x0: str, x1: str, y0: str, y1: str, source: str) -> str:
+    return f"SELECT {chart} AS chart, ({x0})::DOUBLE AS x0, coalesce(({x1})::DOUBLE, 1) AS x1, ({y0})::DOUBLE AS y0, coalesce(({y1})::DOUBLE, 1) AS y1 FROM {source}"
+
+
+_PLACES = [("watson", "Watson", "red"), ("crick", "Crick", "blue")]
+_MATE = "'composition_' || mate"
+oracle(
+    "chart_composition",
+    _lines(
+        [('"A"', "A", "green"), ('"C"', "C", "blue"), ('"G"', "G", "orange"), ('"T"', "T", "red"), ('"N"', "N", "black")], "fq_share", _MATE, "cycle",
+        _ends(_MATE, "1", "max(cycle)", "0", 'least(100.0::DOUBLE, max(greatest("A", "C", "G", "T", "N")) + 10)', "fq_share GROUP BY mate"), "Sequencing cycle", "Frequency (%)",
+    ),
+    "fq_share",
+)
+oracle(
+    "chart_sizes",
+    _lines([("proportion", "All", "black")], "sizes", "'sizes'", "size", _ends("'sizes'", "CASE WHEN min(size) > 100 THEN 100 WHEN min(size) > 50 THEN 50 ELSE 0 END", "greatest(300, coalesce(max(size) FILTER (proportion > 0.01), 300))", "0", "max(proportion)", "sizes"), "Fragment size (bp)", "Frequency (%)"),
+    "sizes",
+)
+VIEWS["by_cycle"] = ("SELECT cycle, CASE WHEN wC + wT > 0 THEN wC::DOUBLE * 100 / (wC + wT) END AS watson, CASE WHEN cC + cT > 0 THEN cC::DOUBLE * 100 / (cC + cT) END AS crick FROM mbias", ["mbias"])
+oracle("chart_mbias", _lines(_PLACES, "by_cycle", "'mbias_1'", "cycle", _ends("'mbias_1'", "1", "max(cycle)", "0", "100", "by_cycle"), "Sequencing cycle", "Methylation level (%)"), "by_cycle")
+VIEWS["around"] = (f"SELECT distance, watson * 100 AS watson, crick * 100 AS crick FROM ({TSS}) t", ["bins", "calls"])
+oracle("chart_tss", _lines(_PLACES, "around", "'tss'", "distance", _ends("'tss'", "min(distance)", "max(distance)", "0", "80", "around"), "Distance from transcription start (bp)", "Methylation level (%)"), "around")
+_BAR = """coalesce(CASE WHEN {h} > 0 THEN '<rect x="' || printf('%.2f', floor((70 + w * (n + {at})) * 100 + 0.5) / 100) || '" y="' || 340 - {h} || '" width="' || printf('%.2f', floor(w * 100 / 3 + 0.5) / 100) || '" height="' || {h} || '" fill="{colour}"/>' END, '')"""
+VIEWS["bars"] = (
+    """SELECT chr, row_number() OVER (ORDER BY chr) - 1 AS n, 660 / (count(*) OVER ())::DOUBLE AS w, floor(wC::DOUBLE * 100 / nullif(wC + wT, 0) * 300 / 100 + 0.5)::BIGINT AS hw, floor(cC::DOUBLE * 100 / nullif(cC + cT, 0) * 300 / 100 + 0.5)::BIGINT AS hc FROM log""",
+    ["log"],
+)
+_LEGEND = "".join(f'<text x="{70 + 90 * k}" y="28" fill="{colour}">{label}</text>' for k, (_, label, colour) in enumerate(_PLACES))
+_NAME = """'<text font-size="10" text-anchor="end" x="' || floor(70 + w * (n + 0.5) + 0.5)::BIGINT || '" y="352" transform="rotate(-45 ' || floor(70 + w * (n + 0.5) + 0.5)::BIGINT || ' 352)">' || chr || '</text>'"""
+oracle(
+    "chart_chromosomes",
+    _svg(
+        f"SELECT 'chromosomes' AS chart, '{_LEGEND}' || string_agg({_BAR.format(h='hw', at='0.5::DOUBLE / 3', colour='red')} || {_BAR.format(h='hc', at='1.5::DOUBLE / 3', colour='blue')} || {_NAME}, '' ORDER BY n) AS inside FROM bars",
+        _ends("'chromosomes'", "0", "count(*)", "0", "100", "bars"), "Chromosome", "Methylation level (%)", False,
+    ),
+    "bars",
 )
-oracle("sim_bisulfite", "SELECT read_no, replace(seq1, 'C', 'T') AS seq FROM raw", "raw")
 
 # --- text forms, selections, certain outcomes of the simulator --------------------------
 

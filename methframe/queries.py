@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .fixtures import Fixtures
 from .functions import cigar as C
 from .functions import reads as R
-from .operators import align, calls, dedup, genome, intervals, merge, ordering, preprocess, profile, report, simulate, suffixes, view
+from .operators import align, calls, charts, dedup, genome, intervals, merge, ordering, preprocess, profile, report, simulate, suffixes, view
 from .plans.pipeline import Conf
 from .sources import bam, sequence, sinks, text
 from .storage import folder, stored
@@ -503,12 +503,46 @@ def viewer_dense2(x):
     return view.packed(view.dense(_picture(x), _reference(x, _left(x), 1000)))
 
 
-@query
-def html_report(x):
+def _report(x: Fixtures) -> DataFrame:
     log = calls.chr_log(x.pairs, calls.call(x.pairs, x.genome), x.genome)
     counters = preprocess.trim_counters(preprocess.trim(pe(x)))
-    rows = report.table(counters, merge.strand_counts(x.pairs), dedup_log(x), log)
-    return x.spark.createDataFrame([(report.page(rows),)], "page string")
+    return report.table(counters, merge.strand_counts(x.pairs), dedup_log(x), log)
+
+
+@query
+def report_rows(x):
+    """The report of a run of pairs."""
+    return _report(x)
+
+
+@query
+def html_report(x):
+    return report.page(_report(x))
+
+
+@query
+def chart_composition(x):
+    return charts.composition(fqstat(x))
+
+
+@query
+def chart_sizes(x):
+    return charts.sizes(size_dist(x))
+
+
+@query
+def chart_mbias(x):
+    return charts.mbias(mbias_se(x))
+
+
+@query
+def chart_tss(x):
+    return charts.tss(tss_profile(x))
+
+
+@query
+def chart_chromosomes(x):
+    return charts.chromosomes(chr_log(x))
 
 
 @query
