@@ -642,11 +642,12 @@ oracle(
 # --- text forms, selections, certain outcomes of the simulator --------------------------
 
 oracle("fastq_roundtrip", "SELECT id1 AS id, seq1 AS seq, qual1 AS qual FROM raw", "raw")
-oracle(
-    "fastq_pairs_roundtrip",
-    "SELECT row_number() OVER (ORDER BY read_no) - 1 AS read_no, id1, substr(seq1, 1, n) AS seq1, substr(qual1, 1, n) AS qual1, id2, substr(seq2, 1, n) AS seq2, substr(qual2, 1, n) AS qual2 FROM (SELECT *, least(length(seq1), length(seq2)) AS n FROM raw) r",
-    "raw",
-)
+for _name in ("fastq_pairs_roundtrip", "fastq_blocks"):
+    oracle(
+        _name,
+        "SELECT row_number() OVER (ORDER BY read_no) - 1 AS read_no, id1, substr(seq1, 1, n) AS seq1, substr(qual1, 1, n) AS qual1, id2, substr(seq2, 1, n) AS seq2, substr(qual2, 1, n) AS qual2 FROM (SELECT *, least(length(seq1), length(seq2)) AS n FROM raw) r",
+        "raw",
+    )
 oracle("fasta_roundtrip", "SELECT chr, seq FROM genome", "genome")
 oracle("genome_with_control", "SELECT chr, seq FROM genome UNION ALL SELECT 'chrlambda', seq FROM genome WHERE chr = 'chrL'", "genome")
 oracle("chr_info_roundtrip", "SELECT * FROM info", "info")

@@ -12,7 +12,7 @@ from .functions import cigar as C
 from .functions import reads as R
 from .operators import align, calls, charts, dedup, genome, intervals, merge, ordering, preprocess, profile, report, simulate, suffixes, view
 from .plans.pipeline import Conf
-from .sources import bam, sequence, sinks, text
+from .sources import bam, blocks, sequence, sinks, text
 from .storage import folder, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -593,6 +593,19 @@ def fastq_pairs_roundtrip(x):
     return sequence.fastq_pairs(x.spark, _in_files(x, x.raw, "1"), _in_files(x, x.raw, "2"))
 
 
+@query
+def fastq_blocks(x):
+    """Both mates as block-compressed files, read in small ranges and joined by number."""
+    paths = []
+    for tag in "12":
+        path = folder(x.spark, "text").removeprefix("file:")
+        ranged = ordering.ranged(x.raw.selectExpr("read_no", f"id{tag} as id", f"seq{tag} as seq", f"qual{tag} as qual"), "read_no", partitions=4)
+        blocks.write(sinks.fastq_lines(ranged), path)
+        paths.append(f"{path}/part-*")
+    ones, twos = (sequence.fastq(x.spark, path, split=1 << 16) for path in paths)
+    return preprocess.zip_pairs(ones, twos)
+
+
 @query
 def fasta_roundtrip(x):
     path = _written(x, sinks.fasta_lines(x.genome))

@@ -1,7 +1,7 @@
 """Data sources for FASTQ and FASTA files: spark.read.format("fastq"), ("fasta") and ("fasta_pieces") after register(spark).
 
-Plain files are read in byte ranges, compressed ones (which cannot be split) by one task each; a list of files is read in
-its order.  Paths may lie on any storage that pyarrow reaches, and patterns are expanded.
+Plain files are read in byte ranges, and so are FASTQ files in block-compressed form (a kind of gzip); other compressed files,
+which cannot be split, are read by one task each.  A list of files is read in its order.  Paths may lie on any storage that pyarrow reaches, and patterns are expanded.
 """
 
 from __future__ import annotations
@@ -10,14 +10,14 @@ import bz2
 import gzip
 import io
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from . import files
+from . import blocks, files
 from .files import expand
 
 ROWS = 8192  # records of a batch
@@ -26,23 +26,23 @@ HEADING = 1 << 16  # bytes of a FASTA heading at most, where a range begins with
 
 
 def _compressed(path: str) -> bool:
-    return path.endswith((".gz", ".bz2"))
+    return path.endswith((*blocks.ENDINGS, ".bz2"))
 
 
 def _stream(path: str) -> io.BufferedReader:
     raw = files.opened(path)
-    if path.endswith(".gz"):
+    if path.endswith(blocks.ENDINGS):
         return io.BufferedReader(gzip.GzipFile(fileobj=raw))
     return io.BufferedReader(bz2.BZ2File(raw)) if path.endswith(".bz2") else io.BufferedReader(raw, 1 << 20)
 
 
 class _Range(InputPartition):
-    def __init__(self, file: int, split: int, path: str, start: int, end: int | None):
-        self.file, self.split, self.path, self.start, self.end = file, split, path, start, end
+    def __init__(self, file: int, split: int, path: str, start: int, end: int | None, blocked: bool = False):
+        self.file, self.split, self.path, self.start, self.end, self.blocked = file, split, path, start, end, blocked
 
 
 class _Reader(DataSourceReader):
-    splits = True
+    splits, splits_blocks = True, False
 
     def __init__(self, options: dict):
         self.paths = expand(options.get("path") or options["paths"])
@@ -52,11 +52,12 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[_Range]:
         out = []
         for k, path in enumerate(self.paths):
-            if _compressed(path) or not self.splits:
+            blocked = self.splits_blocks and blocks.blocked(path)
+            if _compressed(path) and not blocked or not self.splits:
                 out.append(_Range(k, 0, path, 0, None))
                 continue
             total = files.size(path)
-            out += [_Range(k, n, path, at, min(total, at + self.size)) for n, at in enumerate(range(0, max(total, 1), self.size))]
+            out += [_Range(k, n, path, at, min(total, at + self.size), blocked) for n, at in enumerate(range(0, max(total, 1), self.size))]
         return out
 
 
@@ -64,33 +65,50 @@ def _records(part: _Range) -> Iterator[tuple[bytes, bytes, bytes]]:
     """(id, bases, qualities) of the records whose id line begins in the range.
 
     A line is an id if it begins with '@' and the second line after it with '+': a quality line may begin with '@', but
-    two lines after it come bases, which begin with a letter.
+    two lines after it come bases, which begin with a letter.  In block-compressed files a range is the text of its
+    blocks; whether a line begins with a block is told by the block before, whose range takes that record.
     """
+    if part.blocked:
+        with files.opened(part.path) as raw:
+            text = blocks.Text(raw, part.start, part.end)
+            if not text.empty:
+                f = io.BufferedReader(text, 1 << 16)
+                at = len(f.readline()) if part.start else 0
+                yield from _from(part.path, f, at, bool(part.start), lambda at: text.limit is not None and at > text.limit)
+        return
     with _stream(part.path) as f:
-        at, ahead = part.start, []
+        at = part.start
         if at:
             f.seek(at - 1)
             at += len(f.readline()) - 1  # the rest of a line that began before
-            while True:
-                while len(ahead) < 3 and (line := f.readline()):
-                    ahead.append(line)
-                if len(ahead) < 3 or part.end is not None and at >= part.end:
-                    return
-                if ahead[0].startswith(b"@") and ahead[2].startswith(b"+"):
-                    break
-                at += len(ahead.pop(0))
-        lines = itertools.chain(ahead, f)
-        while part.end is None or at < part.end:
-            record = list(itertools.islice(lines, 4))
-            if not record or not record[0].strip():
-                return
-            if len(record) < 4 or not record[0].startswith(b"@"):
-                raise ValueError(f"{part.path}: no FASTQ record at byte {at} of the text")
-            at += sum(map(len, record))
-            yield record[0].rstrip(b"\r\n"), record[1].rstrip(b"\r\n"), record[3].rstrip(b"\r\n")
+        yield from _from(part.path, f, at, part.start > 0, lambda at: part.end is not None and at >= part.end)
+
+
+def _from(path: str, f: io.BufferedReader, at: int, search: bool, ended: Callable[[int], bool]) -> Iterator[tuple[bytes, bytes, bytes]]:
+    """The records of a text from its byte *at* on, where a line begins (search: not always a record's first), up to one that begins where it ended."""
+    ahead = []
+    while search:
+        while len(ahead) < 3 and (line := f.readline()):
+            ahead.append(line)
+        if len(ahead) < 3 or ended(at):
+            return
+        if ahead[0].startswith(b"@") and ahead[2].startswith(b"+"):
+            break
+        at += len(ahead.pop(0))
+    lines = itertools.chain(ahead, f)
+    while not ended(at):
+        record = list(itertools.islice(lines, 4))
+        if not record or not record[0].strip():
+            return
+        if len(record) < 4 or not record[0].startswith(b"@"):
+            raise ValueError(f"{path}: no FASTQ record at byte {at} of the text")
+        at += sum(map(len, record))
+        yield record[0].rstrip(b"\r\n"), record[1].rstrip(b"\r\n"), record[3].rstrip(b"\r\n")
 
 
 class FastqReader(_Reader):
+    splits_blocks = True
+
     def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
         records = _records(part)
         if self.counts:

@@ -6,7 +6,7 @@ import random
 import pytest
 
 from methframe.operators import align, calls, genome
-from methframe.sources import sequence
+from methframe.sources import bgzf, blocks, sequence, sinks
 
 
 def fastq_text(r, n, end="\n"):
@@ -98,3 +98,51 @@ def test_calls_and_alignment_over_tiles(spark, tmp_path):
     assert rows(calls.call(hits, whole)) == rows(calls.call(hits, tiles))
     assert rows(calls.chr_log(hits, calls.call(hits, whole), whole)) == rows(calls.chr_log(hits, calls.call(hits, tiles), tiles))
     assert rows(genome.chr_info(whole)) == rows(genome.chr_info(tiles))
+
+
+def _blocks(path, text, size):
+    """A block-compressed file whose blocks hold *size* bytes of text, and an empty one now and then."""
+    with open(path, "wb") as f:
+        for k, at in enumerate(range(0, len(text), size)):
+            f.write(bgzf.block(text[at : at + size]))
+            if k % 7 == 3:
+                f.write(bgzf.block(b""))
+        f.write(bgzf.END)
+
+
+@pytest.mark.parametrize("block, split", [(50, 64), (333, 100), (4000, 1500), (100, 1 << 20)])
+def test_fastq_in_blocks(tmp_path, block, split):
+    r = random.Random(block)
+    text = fastq_text(r, 200).encode() + b"\n"
+    path = str(tmp_path / "a.fq.gz")
+    _blocks(path, text, block)
+    lines = text.decode().split("\n")
+    want = [(lines[k], lines[k + 1], lines[k + 3]) for k in range(0, len(lines) - 1, 4)]
+    reader = sequence.FastqReader({"path": path, "splitBytes": split})
+    got = [tuple(x.decode() for x in record) for part in reader.partitions() for record in sequence._records(part)]
+    assert got == want
+    assert (len(reader.partitions()) > 1) == (split < 1 << 20)
+
+
+def test_records_that_begin_with_a_block(tmp_path):
+    records = [f"@r{k}\nACGT\n+\n@III\n".encode() for k in range(90)]
+    with open(tmp_path / "a.fq.bgz", "wb") as f:
+        sizes = [f.write(bgzf.block(x)) for x in records]
+        f.write(bgzf.END)
+    for split in (1, 7, sizes[0], sizes[0] + 1, 3 * sizes[0]):
+        reader = sequence.FastqReader({"path": str(tmp_path / "a.fq.bgz"), "splitBytes": split})
+        got = [record[0] for part in reader.partitions() for record in sequence._records(part)]
+        assert got == [f"@r{k}".encode() for k in range(90)]
+
+
+def test_written_in_blocks(spark, tmp_path):
+    rows = spark.range(0, 5000, 1, 3).selectExpr("id as n", "'r' || id as id", "repeat('ACGT', 20) as seq", "repeat('I', 80) as qual").repartitionByRange(5, "n").sortWithinPartitions("n")
+    blocks.write(sinks.fastq_lines(rows), str(tmp_path / "out"))
+    paths = sorted((tmp_path / "out").glob("part-*"))
+    assert len(paths) == 5 and len(list((tmp_path / "out").iterdir())) == 5
+    assert gzip.open(paths[0], "rt").readline() == "@r0\n"  # any gzip program reads it
+    got = sequence.fastq(spark, f"{tmp_path}/out/part-*", split=2000)
+    assert got.rdd.getNumPartitions() > 5
+    assert [(x["read_no"], x["id"]) for x in got.orderBy("read_no").collect()] == [(k, f"@r{k}") for k in range(5000)]
+    blocks.write(rows.limit(0).selectExpr("cast(null as string) as value"), str(tmp_path / "none"))
+    assert sequence.fastq(spark, f"{tmp_path}/none/part-*").count() == 0
