@@ -24,23 +24,47 @@ ADAPTERS = {
 }
 
 
+def bound(body: str, **values: str) -> str:
+    """body with names that stand for values, each worked out once a row.
+
+    The optimizer puts a column that is named once into the lambda that names it, and would work it out anew for each element.
+    """
+    for name, value in reversed(values.items()):
+        body = f"transform(array({value}), {name} -> {body})[0]"
+    return body
+
+
+def places_of(text: str, pattern: str) -> str:
+    """0-based places of a pattern, overlapping ones included, without a walk over all places: text is split before each of them."""
+    found = (
+        f"aggregate(split(t_, '(?={pattern})'), named_struct('at', 0, 'found', cast(array() as array<int>)), "
+        f"(a, x) -> named_struct('at', a.at + length(x), 'found', if(a.at > 0 or startswith(t_, '{pattern}'), array_append(a.found, a.at), a.found)), a -> a.found)"
+    )
+    return bound(found, t_=text)
+
+
 def crop(text: str, cycle: int) -> Column:
     return F.expr(f"substr({text}, 1, {cycle})")
 
 
 def quality_trim(min_qual: int, *quals: str) -> Column:
     """Length kept: up to the last position at which every quality reaches the threshold; at least 1, since the first is not tested."""
-    good = " and ".join(f"ascii(substr({q}, i + 1, 1)) >= {min_qual}" for q in quals)
     # One quality string can be cut by its tail of low characters, without a walk over positions.
+    low = f"[\\\\x00-\\\\x{min_qual - 1:02x}]+$"
     if len(quals) == 1:
-        q = quals[0]
-        low = f"[\\\\x00-\\\\x{min_qual - 1:02x}]+$"
-        return F.expr(f"greatest(1, length(regexp_replace({q}, '{low}', '')))")
-    return F.expr(f"greatest(1, coalesce(array_max(filter(sequence(0, length({quals[0]}) - 1), i -> {good})) + 1, 1))")
+        return F.expr(f"greatest(1, length(regexp_replace({quals[0]}, '{low}', '')))")
+    names = [f"q{k}_" for k in range(len(quals))]
+    good = " and ".join(f"ascii(substr({q}, i + 1, 1)) >= {min_qual}" for q in names)
+    # No place after the shortest string without its tail counts; often its last one does, else those before are walked.
+    ends = "least(length(q0_), " + ", ".join(f"length(regexp_replace({q}, '{low}', ''))" for q in names) + ")"
+    before = f"coalesce(array_max(filter(sequence(0, n_ - 1), i -> {good})) + 1, 1)"
+    found = f"case when n_ < 1 then 1 when {good.replace('i + 1', 'n_')} then n_ else {before} end"
+    return F.expr(f"coalesce({bound(found, **dict(zip(names, quals, strict=True)), n_=ends)}, 1)")
 
 
 def _mismatches(seq: str, adapter: str, at: str, length: str) -> str:
-    return f"size(filter(sequence(0, {length} - 1), k -> substr({seq}, {at} + k + 1, 1) <> substr('{adapter}', k + 1, 1)))"
+    walked = f"size(filter(sequence(0, {length} - 1), k -> substr({seq}, {at} + k + 1, 1) <> substr('{adapter}', k + 1, 1)))"
+    return f"if(substr({seq}, {at} + 1, {length}) = substr('{adapter}', 1, {length}), 0, {walked})"
 
 
 def adapter_at(adapter: Adapter, seq1: str, seq2: str | None = None) -> Column:
@@ -49,16 +73,17 @@ def adapter_at(adapter: Adapter, seq1: str, seq2: str | None = None) -> Column:
     Seeds are the places of its first three bases in any mate.  It passes if no mate has more than a quarter (rounded up)
     of the compared bases wrong, and both together no more than half of them (rounded down of one more).
     """
-    seqs = [(seq1, adapter.read1)] + ([(seq2, adapter.read2)] if seq2 else [])
-    seeded = " or ".join(f"substr({s}, i + 1, 3) = '{adapter.seed}'" for s, _ in seqs)
-    length = f"least({adapter.length}, length({seq1}) - i)"
-    tests = [f"{_mismatches(s, a, 'i', length)} <= ceil({length} / 4)" for s, a in seqs]
+    seqs = [("s1_", adapter.read1)] + ([("s2_", adapter.read2)] if seq2 else [])
+    places = [places_of(s, adapter.seed) for s, _ in seqs]
+    seeds = f"array_sort(array_union({', '.join(places)}))" if seq2 else places[0]
+    wrong = {f"m{k}_": _mismatches(s, a, "i", "n_") for k, (s, a) in enumerate(seqs, 1)}
+    tests = [f"{m} <= ceil(n_ / 4)" for m in wrong]
     if seq2:
-        total = " + ".join(_mismatches(s, a, "i", length) for s, a in seqs)
-        tests.append(f"{total} <= ({length} + 1) div 2")
-    contains = " or ".join(f"instr({s}, '{adapter.seed}') > 0" for s, _ in seqs)
-    found = f"try_element_at(filter(filter(sequence(0, length({seq1}) - 3), i -> {seeded}), i -> {' and '.join(tests)}), 1)"
-    return F.expr(f"case when length({seq1}) >= 3 and ({contains}) then {found} end")
+        tests.append("m1_ + m2_ <= (n_ + 1) div 2")
+    passes = bound(" and ".join(tests), n_=f"least({adapter.length}, length(s1_) - i)", **wrong)
+    found = f"try_element_at(filter(filter({seeds}, i -> i <= length(s1_) - 3), i -> {passes}), 1)"
+    texts = {"s1_": seq1} | ({"s2_": seq2} if seq2 else {})
+    return F.expr(bound(found, **texts))
 
 
 def _complement(a: str, b: str) -> str:
@@ -95,7 +120,10 @@ def clean_id(name: str) -> Column:
 def offsets(seq: str, pattern: str) -> Column:
     """0-based places of a pattern of one or two bases; for two bases of its first one."""
     k = len(pattern)
-    return F.expr(f"case when length({seq}) >= {k} then filter(sequence(0, length({seq}) - {k}), i -> substr({seq}, i + 1, {k}) = '{pattern}') else array() end")
+    if k > 1:
+        return F.expr(f"coalesce({places_of(seq, pattern)}, array())")
+    found = f"filter(sequence(0, length(t_) - {k}), i -> substr(t_, i + 1, {k}) = '{pattern}')"
+    return F.expr(bound(f"case when length(t_) >= {k} then {found} else array() end", t_=seq))
 
 
 def convert(seq: str, mate: int, mode: int) -> Column:
@@ -114,7 +142,8 @@ def strip_open_cpg(seq: str, mate: int) -> Column:
 
 def restore(seq: str, places: str, base: str) -> Column:
     """seq with *base* at the 0-based *places* (an array)."""
-    return F.expr(f"array_join(transform(sequence(0, length({seq}) - 1), i -> case when array_contains({places}, i) then '{base}' else substr({seq}, i + 1, 1) end), '')")
+    inside = f"filter({places}, p -> p between 0 and length(s_) - 1)"
+    return F.expr(bound(f"aggregate({inside}, s_, (s, p) -> overlay(s placing '{base}' from p + 1))", s_=seq))
 
 
 def reverse_complement(seq: str) -> Column:

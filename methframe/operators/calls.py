@@ -41,11 +41,12 @@ def fragments(pairs: DataFrame) -> DataFrame:
         for c in ("pos", "bases", "quals"):
             rows = rows.withColumn(f"{c}_{n}", F.when(one_first, F.col(f"{c}{a}")).otherwise(F.col(f"{c}{b}")))
     shift = "(pos_y - pos_x)"
-    joined = F.expr(
-        f"array_join(transform(sequence(0, cast({shift} as int) + length(bases_y) - 1), k -> case when k < {shift} then substr(bases_x, k + 1, 1) "
-        f"when k >= length(bases_x) or ascii(substr(quals_x, k + 1, 1)) < ascii(substr(quals_y, cast(k - {shift} as int) + 1, 1)) "
-        f"then substr(bases_y, cast(k - {shift} as int) + 1, 1) else substr(bases_x, k + 1, 1) end), '')"
-    )
+    # What x shows alone, the better base of each place of both, what y shows alone: only the middle is walked.
+    better = "if(ascii(substr(qx_, d_ + k + 1, 1)) < ascii(substr(qy_, k + 1, 1)), substr(by_, k + 1, 1), substr(bx_, d_ + k + 1, 1))"
+    joined = F.expr(R.bound(
+        f"concat(substr(bx_, 1, d_), array_join(transform(sequence(0, length(bx_) - d_ - 1), k -> {better}), ''), substr(by_, length(bx_) - d_ + 1))",
+        bx_="bases_x", by_="bases_y", qx_="quals_x", qy_="quals_y", d_=f"cast({shift} as int)",
+    ))
     end_x, end_y = F.col("pos_x") + F.length("bases_x"), F.col("pos_y") + F.length("bases_y")
 
     def shown(mate, pos, bases, apart):

@@ -63,23 +63,24 @@ def places(spark: SparkSession, info: DataFrame, conf: SimConfig) -> DataFrame:
 def _per_base(seq: str, conf: SimConfig, purpose: str, changed: str) -> Column:
     """Each base by an expression of its place i (1-based) and its draw u."""
     draw = f"(pmod(xxhash64({conf.seed}, '{purpose}', read_no, i), 1073741824) / 1073741824D)"
-    return F.expr(f"array_join(transform(sequence(1, length({seq})), i -> {changed.replace('%u', draw)}), '')")
+    each = changed.replace("%u", draw).replace("%s", "s_")
+    return F.expr(R.bound(f"array_join(transform(sequence(1, length(s_)), i -> {each}), '')", s_=seq))
 
 
 def bisulfite(df: DataFrame, seq: str, conf: SimConfig, purpose: str = "convert") -> DataFrame:
     """df with C of seq read as T at the rate of its context; a last C counts as CH."""
-    b = f"substr({seq}, i, 1)"
+    b = "substr(%s, i, 1)"
     if conf.cg_conversion is None and conf.ch_conversion is None:
         rate = f"{conf.conversion / 100}D"
     else:
         cg, ch = (conf.cg_conversion or 0) / 100, (conf.ch_conversion or 0) / 100
-        rate = f"if(substr({seq}, i + 1, 1) = 'G', {cg}D, {ch}D)"
+        rate = f"if(substr(%s, i + 1, 1) = 'G', {cg}D, {ch}D)"
     return df.withColumn(seq, _per_base(seq, conf, purpose, f"case when {b} = 'C' and %u < {rate} then 'T' else {b} end"))
 
 
 def errors(df: DataFrame, seq: str, rate: str, conf: SimConfig, purpose: str) -> DataFrame:
     """df with wrong bases at the rate (an SQL expression of place i)."""
-    b = f"substr({seq}, i, 1)"
+    b = "substr(%s, i, 1)"
     other = f"substr(replace('ACGT', {b}, ''), 1 + cast(pmod(xxhash64({conf.seed}, '{purpose}-base', read_no, i), 3) as int), 1)"
     return df.withColumn(seq, _per_base(seq, conf, purpose, f"if(%u < {rate}, {other}, {b})"))
 
@@ -88,11 +89,12 @@ def snps(df: DataFrame, seq: str, conf: SimConfig) -> DataFrame:
     """df with conf.snps distinct places of seq changed."""
     if not conf.snps:
         return df
-    picked = f"slice(array_sort(transform(sequence(1, length({seq})), i -> struct(xxhash64({conf.seed}, 'snp', read_no, i) as h, i as i))), 1, {conf.snps})"
-    rows = df.withColumn("snp_at", F.expr(f"transform({picked}, x -> x.i)"))
-    b = f"substr({seq}, i, 1)"
-    other = f"substr(replace('ACGT', {b}, ''), 1 + cast(pmod(xxhash64({conf.seed}, 'snp-base', read_no, i), 3) as int), 1)"
-    return rows.withColumn(seq, F.expr(f"array_join(transform(sequence(1, length({seq})), i -> if(array_contains(snp_at, i), {other}, {b})), '')")).drop("snp_at")
+    picked = f"slice(sort_array(transform(sequence(1, length({seq})), i -> struct(xxhash64({conf.seed}, 'snp', read_no, i) as h, i as i))), 1, {conf.snps})"
+    b = "substr(s, x.i, 1)"  # the places are distinct, so it is still the base that was read
+    other = f"substr(replace('ACGT', {b}, ''), 1 + cast(pmod(xxhash64({conf.seed}, 'snp-base', read_no, x.i), 3) as int), 1)"
+    # Only the places picked are changed: nothing is worked out anew for every base.
+    changed = f"aggregate({picked.replace(f'length({seq})', 'length(s_)')}, s_, (s, x) -> overlay(s placing {other} from x.i))"
+    return df.withColumn(seq, F.expr(R.bound(changed, s_=seq)))
 
 
 def with_adapter(df: DataFrame, seq: str, conf: SimConfig, purpose: str = "adapter") -> DataFrame:
