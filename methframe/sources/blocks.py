@@ -71,10 +71,10 @@ class BlockWriter(DataSourceArrowWriter):
         with store.open_output_stream(f"{at}/{name}") as sink:
             out = bgzf.Writer(sink)
             for batch in iterator:
-                for value in batch.column(0):
-                    if value.is_valid:
-                        out.write(value.as_py().encode() + b"\n")
-                        rows += 1
+                values = batch.column(0).drop_null().cast(pa.binary()).to_pylist()
+                if values:
+                    out.write(b"\n".join(values) + b"\n")
+                    rows += len(values)
             out.flush()
             sink.write(bgzf.END)
         return _Part(number, name, rows)

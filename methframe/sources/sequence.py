@@ -21,6 +21,7 @@ from . import blocks, files
 from .files import expand
 
 ROWS = 8192  # records of a batch
+RANGES = 256  # ranges that are smaller than files.SPLIT, at most: each is a task
 PIECE = 1 << 20  # bases of a piece of a sequence
 HEADING = 1 << 16  # bytes of a FASTA heading at most, where a range begins within one
 
@@ -50,14 +51,17 @@ class _Reader(DataSourceReader):
         self.counts = str(options.get("content") or "").lower() == "counts"
 
     def partitions(self) -> list[_Range]:
-        out = []
+        """Ranges of the size asked for; where these were more than RANGES, longer ones of files.SPLIT at most."""
+        out, cut = [], []
         for k, path in enumerate(self.paths):
             blocked = self.splits_blocks and blocks.blocked(path)
             if _compressed(path) and not blocked or not self.splits:
                 out.append(_Range(k, 0, path, 0, None))
-                continue
-            total = files.size(path)
-            out += [_Range(k, n, path, at, min(total, at + self.size), blocked) for n, at in enumerate(range(0, max(total, 1), self.size))]
+            else:
+                cut.append((k, path, files.size(path), blocked))
+        size = max(self.size, min(files.SPLIT, sum(total for _, _, total, _ in cut) // RANGES))
+        for k, path, total, blocked in cut:
+            out += [_Range(k, n, path, at, min(total, at + size), blocked) for n, at in enumerate(range(0, max(total, 1), size))]
         return out
 
 
