@@ -1,7 +1,7 @@
 """Methylation calls: observations per base, counts per place, and the tables derived from them.
 
 Aligned single reads: (read_no, chr, pos, mapq, cigar, seq, qual, strand); pairs have pos1, cigar1, ... pos2, ....
-A read looks for its sites in the reference it covers, and only these become rows.
+Reads meet CpG sites by stretches of the reference; for other sites a read looks in the reference it covers.  Only sites become rows.
 """
 
 from __future__ import annotations
@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as C
 from ..functions import reads as R
-from .genome import SPAN, TILE, listed_names, names, with_reference
+from .genome import SPAN, TILE, cpg_sites, listed_names, names, with_reference
 
+NEAR = 64  # bases of a stretch by which fragments meet sites
 COUNTERS = ["wC", "wT", "wO", "cC", "cT", "cO"]
 
 
@@ -28,43 +29,61 @@ def usable(df: DataFrame, genome: DataFrame, min_mapq: int = 0) -> DataFrame:
     return known.withColumns(new)
 
 
-def fragments(pairs: DataFrame) -> DataFrame:
-    """What a usable pair shows: (read_no, chr, strand, mate, pos, bases, apart).
+def _laid(pairs: DataFrame) -> DataFrame:
+    """What a usable pair shows: (read_no, chr, strand, mate, pos, bases, apart, quals, over, over_quals, shift).
 
-    Mates apart: both, and they count for the M-bias table.  Overlapping mates are joined to one read
-    with the better base at each place (the left mate's on ties); if the right mate ends inside the left one,
-    mate 1 alone is shown.
+    Mates apart: both, and they count for the M-bias table.  Overlapping mates are one row with the right one laid over the
+    left one, shift bases on; if the right mate ends inside the left one, mate 1 alone is shown.
     """
     one_first = F.col("pos1") <= F.col("pos2")
     rows = pairs
     for n, (a, b) in {"x": ("1", "2"), "y": ("2", "1")}.items():
         for c in ("pos", "bases", "quals"):
             rows = rows.withColumn(f"{c}_{n}", F.when(one_first, F.col(f"{c}{a}")).otherwise(F.col(f"{c}{b}")))
-    shift = "(pos_y - pos_x)"
-    # What x shows alone, the better base of each place of both, what y shows alone: only the middle is walked.
-    better = "if(ascii(substr(qx_, d_ + k + 1, 1)) < ascii(substr(qy_, k + 1, 1)), substr(by_, k + 1, 1), substr(bx_, d_ + k + 1, 1))"
-    joined = F.expr(R.bound(
-        f"concat(substr(bx_, 1, d_), array_join(transform(sequence(0, length(bx_) - d_ - 1), k -> {better}), ''), substr(by_, length(bx_) - d_ + 1))",
-        bx_="bases_x", by_="bases_y", qx_="quals_x", qy_="quals_y", d_=f"cast({shift} as int)",
-    ))
     end_x, end_y = F.col("pos_x") + F.length("bases_x"), F.col("pos_y") + F.length("bases_y")
 
-    def shown(mate, pos, bases, apart):
-        return F.struct(F.lit(mate).alias("mate"), pos.cast("long").alias("pos"), bases.alias("bases"), F.lit(apart).alias("apart"))
+    def shown(mate, pos, bases, apart, *rest):
+        more = zip(("quals", "over", "over_quals"), rest or [F.lit(None).cast("string")] * 3, strict=True)
+        shift = (F.col("pos_y") - F.col("pos_x")).cast("int") if rest else F.lit(None).cast("int")
+        return F.struct(F.lit(mate).alias("mate"), pos.cast("long").alias("pos"), bases.alias("bases"), F.lit(apart).alias("apart"), *[c.alias(k) for k, c in more], shift.alias("shift"))
 
     both = F.array(shown(1, F.col("pos1"), F.col("bases1"), True), shown(2, F.col("pos2"), F.col("bases2"), True))
-    parts = F.when(end_x <= F.col("pos_y"), both).when(end_y >= end_x, F.array(shown(1, F.col("pos_x"), joined, False))).otherwise(F.array(shown(1, F.col("pos1"), F.col("bases1"), False)))
+    joined = shown(1, F.col("pos_x"), F.col("bases_x"), False, F.col("quals_x"), F.col("bases_y"), F.col("quals_y"))
+    parts = F.when(end_x <= F.col("pos_y"), both).when(end_y >= end_x, F.array(joined)).otherwise(F.array(shown(1, F.col("pos1"), F.col("bases1"), False)))
     return rows.select("read_no", "chr", "strand", F.explode(parts).alias("f")).select("read_no", "chr", "strand", "f.*")
 
 
+def fragments(pairs: DataFrame) -> DataFrame:
+    """What a usable pair shows: (read_no, chr, strand, mate, pos, bases, apart).
+
+    Mates apart: both, and they count for the M-bias table.  Overlapping mates are joined to one read
+    with the better base at each place (the left mate's on ties); if the right mate ends inside the left one,
+    mate 1 alone is shown.
+    """
+    # What x shows alone, the better base of each place of both, what y shows alone: only the middle is walked.
+    better = "if(ascii(substr(qx_, d_ + k + 1, 1)) < ascii(substr(qy_, k + 1, 1)), substr(by_, k + 1, 1), substr(bx_, d_ + k + 1, 1))"
+    joined = R.bound(
+        f"concat(substr(bx_, 1, d_), array_join(transform(sequence(0, length(bx_) - d_ - 1), k -> {better}), ''), substr(by_, length(bx_) - d_ + 1))",
+        bx_="bases", by_="over", qx_="quals", qy_="over_quals", d_="shift",
+    )
+    return _laid(pairs).select("read_no", "chr", "strand", "mate", "pos", F.expr(f"case when over is null then bases else {joined} end").alias("bases"), "apart")
+
+
+def _base(i: str) -> str:
+    """The base that a fragment shows at 0-based place i: of mates laid over each other the better one."""
+    left, right = f"substr(bases, {i} + 1, 1)", f"substr(over, {i} - shift + 1, 1)"
+    worse = f"{i} >= length(bases) or ascii(substr(quals, {i} + 1, 1)) < ascii(substr(over_quals, {i} - shift + 1, 1))"
+    return f"case when over is null or {i} < shift then {left} when {worse} then {right} else {left} end"
+
+
 def single_fragments(reads: DataFrame) -> DataFrame:
     return reads.select("read_no", "chr", "strand", F.lit(1).alias("mate"), F.col("pos").cast("long").alias("pos"), "bases", F.lit(True).alias("apart"))
 
 
 def shown(df: DataFrame, genome: DataFrame, min_mapq: int = 0) -> DataFrame:
-    """Fragments of reads or pairs, whichever df holds."""
+    """Fragments of reads or pairs, whichever df holds; of overlapping mates the left one's bases and what lies over them, which observations() joins at the sites."""
     rows = usable(df, genome, min_mapq)
-    return fragments(rows) if "pos2" in df.columns else single_fragments(rows)
+    return _laid(rows) if "pos2" in df.columns else single_fragments(rows)
 
 
 def observations(frags: DataFrame, genome: DataFrame, context: str = "CpG", exclude_crick_cpg: bool = False, tile: int = TILE, span: int = SPAN) -> DataFrame:
@@ -73,29 +92,26 @@ def observations(frags: DataFrame, genome: DataFrame, context: str = "CpG", excl
     CpG sites of both strands are placed at their C.  CpH: C not before G on W; on C every G (also that of a CpG,
     unless exclude_crick_cpg), at its own place.
     """
-    rows = with_reference(frags, genome, "pos", "length(bases)", "ref", tile, span)
-    # u[i + 3] (1-based) is the reference at pos + i; binding u keeps it from being cut out anew for every i.
+    laid = "over" in frags.columns
+    base, n = (_base("i"), "if(over is null, length(bases), shift + length(over))") if laid else ("substr(bases, i + 1, 1)", "length(bases)")
+    rows = frags.withColumn("n", F.expr(n))
+    names = ["chr", "pos", "strand", "mate", "apart", "n", "bases", *(["quals", "over", "over_quals", "shift"] if laid else [])]
     if context == "CpG":
-        w, c, shift = "substr(u, i + 3, 2) = 'CG'", "substr(u, i + 2, 2) = 'CG'", "if(strand = 'W', 0, 1)"
-    else:
-        w = "substr(u, i + 3, 1) = 'C' and substr(u, i + 4, 1) <> 'G'"
-        c = "substr(u, i + 3, 1) = 'G'" + (" and substr(u, i + 2, 1) <> 'C'" if exclude_crick_cpg else "")
-        shift = "0"
-    every = "sequence(0, length(bases) - 1)"
-    found = f"case when length(bases) = 0 then array() when strand = 'W' then filter({every}, i -> {w}) else filter({every}, i -> {c}) end"
-    sites = F.expr(f"transform(array(ref), r -> transform(array(upper(r)), u -> transform({found}, i -> struct(i, substr(r, i + 2 - {shift}, 4) as context)))[0])[0]")
-    hits = rows.select("chr", "pos", "strand", "mate", "apart", "bases", F.explode(sites).alias("site")).withColumns({"i": F.col("site.i"), "context": F.col("site.context")})
-    return hits.select(
-        "chr",
-        F.expr(f"pos + i - {shift}").alias("locus"),
-        "strand",
-        "mate",
-        "apart",
-        "i",
-        F.length("bases").alias("n"),
-        F.expr("substr(bases, i + 1, 1)").alias("base"),
-        "context",
-    )
+        # Fragments meet the sites themselves, by short stretches: no walk over their places.
+        back = "if(strand = 'W', 0, 1)"
+        near = rows.where("n > 0").select(*names, F.expr(f"pos - {back}").alias("first"))
+        near = near.withColumn("near", F.explode(F.expr(f"sequence((first - 1) div {NEAR}, (first + n - 2) div {NEAR})")))
+        hits = near.join(cpg_sites(genome, NEAR, tile, span), ["chr", "near"]).where("locus between first and first + n - 1").withColumn("i", F.expr("cast(locus - first as int)"))
+        return hits.select("chr", "locus", "strand", "mate", "apart", "i", "n", F.expr(base).alias("base"), "context")
+    rows = with_reference(rows, genome, "pos", "n", "ref", tile, span)
+    # u[i + 3] (1-based) is the reference at pos + i; binding u keeps it from being cut out anew for every i.
+    w = "substr(u, i + 3, 1) = 'C' and substr(u, i + 4, 1) <> 'G'"
+    c = "substr(u, i + 3, 1) = 'G'" + (" and substr(u, i + 2, 1) <> 'C'" if exclude_crick_cpg else "")
+    every = "sequence(0, n - 1)"
+    found = f"case when n = 0 then array() when strand = 'W' then filter({every}, i -> {w}) else filter({every}, i -> {c}) end"
+    sites = F.expr(f"transform(array(ref), r -> transform(array(upper(r)), u -> transform({found}, i -> struct(i, substr(r, i + 2, 4) as context)))[0])[0]")
+    hits = rows.select(*names, F.explode(sites).alias("site")).withColumns({"i": F.col("site.i"), "context": F.col("site.context")})
+    return hits.select("chr", F.expr("pos + i").alias("locus"), "strand", "mate", "apart", "i", "n", F.expr(base).alias("base"), "context")
 
 
 def _counters() -> list:
