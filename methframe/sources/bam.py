@@ -46,8 +46,10 @@ WINDOW = 14  # bits of a window of the linear index
 
 LOOK = 1 << 18  # uncompressed bytes in which a range's first record is looked for, doubled as long as these do not tell,
 LOOK_MOST = 1 << 28  # but not for what would be a record longer than this
+NEAR = 1 << 11  # places that are judged at a time
 CHAIN = 8  # records that must follow one another there, unless the bytes end
 MOST_TAGS = 1 << 20  # bytes of the tags of a record that a range may begin with
+TASKS = 1024  # from so many ranges on, a task reads several of them, up to files.SPLIT bytes together
 ROWS, BYTES = 8192, 4 << 20  # of a batch
 
 _NIBBLE = np.full(256, 15, np.uint8)
@@ -117,7 +119,9 @@ def first_record(data: bytes, own: int, header: Header, last: bool) -> int | Non
     -1: nowhere; None: what may be one goes on beyond the bytes, so more are needed.  last: the file ends with them.
     """
     raw = np.frombuffer(data, np.uint8)
-    for at in np.flatnonzero(_fits(raw, np.arange(max(0, min(own, len(raw) - 36))), header)).tolist():
+    most = max(0, min(own, len(raw) - 36))
+    # Mostly the first record lies near, so places are judged a few at a time.
+    for at in (k + at for k in range(0, most, NEAR) for at in np.flatnonzero(_fits(raw, np.arange(k, min(most, k + NEAR)), header)).tolist()):
         k, n = at, 0
         while n < CHAIN and k + 36 <= len(raw) and _fits(raw, np.array([k]), header)[0]:
             k, n = k + 4 + struct.unpack_from("<i", data, k)[0], n + 1
@@ -335,6 +339,20 @@ class _Stretch(InputPartition):
         self.path, self.begin, self.end, self.exact = path, begin, end, exact
 
 
+class _Ranges(InputPartition):
+    """Ranges that follow one another, read by one task."""
+
+    def __init__(self, parts: list[_Stretch]):
+        self.parts = parts
+
+
+def _dealt(parts: list[_Stretch], total: int) -> list[_Ranges]:
+    """Ranges by tasks, in their order: one each, or several where there are many, so that small ranges do not make a task each."""
+    tasks = max(min(len(parts), TASKS), min(len(parts), -(-total // files.SPLIT)))
+    cuts = [k * len(parts) // tasks for k in range(tasks + 1)]
+    return [_Ranges(parts[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
 class BamReader(DataSourceReader):
     def __init__(self, options: dict):
         self.paths = files.expand(options.get("path") or options["paths"])
@@ -342,11 +360,12 @@ class BamReader(DataSourceReader):
         self.region = parse_region(options["region"]) if options.get("region") else None
         self.chunks = str(options.get("content") or "").lower() == "chunks"
 
-    def partitions(self) -> list[_Stretch]:
-        out = []
+    def partitions(self) -> list[_Ranges]:
+        out, whole = [], 0
         for path in self.paths:
             if self.region is None:
                 total = files.size(path)
+                whole += total
                 out += [_Stretch(path, k, min(total, k + self.split), False) for k in range(0, total, self.split)]
                 continue
             chr_, start, end = self.region
@@ -354,9 +373,13 @@ class BamReader(DataSourceReader):
                 names = read_header(f).names
             if chr_ in names:
                 out += [_Stretch(path, a, b, True) for a, b in chunks_of(read_index(path + ".bai"), names.index(chr_), start - 1, end)]
-        return out or [_Stretch(self.paths[0], 0, 0, False)]
+        return _dealt(out or [_Stretch(self.paths[0], 0, 0, False)], whole)
+
+    def read(self, ranges: _Ranges) -> Iterator[pa.RecordBatch]:
+        for part in ranges.parts:
+            yield from self._stretch(part)
 
-    def read(self, part: _Stretch) -> Iterator[pa.RecordBatch]:
+    def _stretch(self, part: _Stretch) -> Iterator[pa.RecordBatch]:
         with files.opened(part.path) as f:
             header = read_header(f)
             if self.chunks:
@@ -460,26 +483,90 @@ def _packed_tag(tag: str) -> bytes:
     return head + value.encode() + b"\0"
 
 
+def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, lengths) of strings, none of which is null."""
+    column = column.cast(pa.large_string())
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    held = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return held[ends[0] : ends[-1]] if len(column) else held[:0], np.diff(ends)
+
+
+def _looked_up(column: pa.Array, of) -> tuple[np.ndarray, list]:
+    """For each row the number of its value, and of(value) for each of the different values."""
+    coded = column.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), [of(v) for v in coded.dictionary.to_pylist()]
+
+
+def _pieces(numbers: np.ndarray, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, lengths) of the pieces of these numbers, one after another."""
+    lengths = np.array([len(p) for p in pieces], np.int64)
+    starts, held = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(pieces), np.uint8)
+    return held[_spread(starts[numbers], lengths[numbers])], lengths[numbers]
+
+
 def encode(batch: pa.RecordBatch, refs: dict[str, int]) -> bytes:
-    """Rows of SAM as records."""
-    out = bytearray()
-    rows = [batch.column(batch.schema.names.index(c)).to_pylist() for c in S.SAM.names]
-    for name, flag, chr_, pos, mapq, cigar, rnext, pnext, tlen, seq, qual, tags in zip(*rows, strict=True):
-        ops, n_ops, spent = _packed_cigar(cigar or "*")
-        letters = b"" if seq in (None, "*") else seq.encode()
-        codes = _NIBBLE[np.frombuffer(letters + b"=" * (len(letters) % 2), np.uint8)]
-        quals = b"\xff" * len(letters) if qual in (None, "*") else (np.frombuffer(qual.encode(), np.uint8) - 33).tobytes()
-        if len(quals) != len(letters):
-            raise ValueError(f"read {name}: bases and qualities differ in number")
-        ref = refs[chr_] if chr_ not in (None, "*") else -1
-        begin = (pos or 0) - 1
-        next_ref = ref if rnext == "=" else refs[rnext] if rnext not in (None, "*") else -1
-        number = int(bins_of(np.array([max(begin, 0)]), np.array([max(begin, 0) + max(spent, 1)]))[0]) if begin >= 0 else 4680
-        title = (name or "*").encode() + b"\0"
-        body = struct.pack("<iiBBHHHiiii", ref, begin, len(title), mapq or 0, number, n_ops, flag or 0, len(letters), next_ref, (pnext or 0) - 1, tlen or 0)
-        body += title + ops + (codes[::2] << 4 | codes[1::2]).tobytes() + quals + b"".join(map(_packed_tag, tags or ()))
-        out += struct.pack("<i", len(body)) + body
-    return bytes(out)
+    """Rows of SAM as records: fields are worked out for all rows at once, and put at their places among the records."""
+    if not batch.num_rows:
+        return b""
+    col = {c: batch.column(batch.schema.names.index(c)) for c in S.SAM.names}
+    number = {c: pc.fill_null(col[c].cast(pa.int64()), 0).to_numpy(zero_copy_only=False) for c in ("flag", "pos", "mapq", "pnext", "tlen")}
+    title, title_n = _texts(pc.if_else(pc.equal(pc.fill_null(col["qname"], ""), ""), "*", col["qname"]))
+
+    kinds, cigars = _looked_up(pc.if_else(pc.equal(pc.fill_null(col["cigar"], ""), ""), "*", col["cigar"]), _packed_cigar)
+    ops, ops_n = _pieces(kinds, [c[0] for c in cigars])
+    spent = np.array([c[2] for c in cigars], np.int64)[kinds]
+
+    def reference(name: str | None) -> int:
+        return refs[name] if name not in (None, "*") else -1
+
+    kinds, known = _looked_up(pc.fill_null(col["chr"], "*"), reference)
+    ref = np.array(known, np.int64)[kinds]
+    kinds, known = _looked_up(pc.fill_null(col["rnext"], "*"), lambda name: -2 if name == "=" else reference(name))
+    next_ref = np.array(known, np.int64)[kinds]
+    next_ref = np.where(next_ref == -2, ref, next_ref)
+
+    letters, bases = _texts(pc.if_else(pc.equal(pc.fill_null(col["seq"], "*"), "*"), "", col["seq"]))
+    halves = (bases + 1) // 2
+    codes = np.zeros(2 * int(halves.sum()), np.uint8)
+    codes[_spread(2 * (np.cumsum(halves) - halves), bases)] = _NIBBLE[letters]
+    packed = codes[::2] << 4 | codes[1::2]
+    absent = pc.equal(pc.fill_null(col["qual"], "*"), "*")
+    told, told_n = _texts(pc.if_else(absent, "", col["qual"]))
+    absent = absent.to_numpy(zero_copy_only=False)
+    wrong = np.flatnonzero(~absent & (told_n != bases))
+    if len(wrong):
+        raise ValueError(f"read {col['qname'][int(wrong[0])].as_py()}: bases and qualities differ in number")
+    quals = np.full(int(bases.sum()), 255, np.uint8)
+    quals[np.repeat(~absent, bases)] = told - 33
+
+    lists = pc.fill_null(col["tags"], pa.scalar([], col["tags"].type))
+    kinds, own = _looked_up(lists.flatten(), _packed_tag)
+    each = np.array([len(t) for t in own], np.int64)[kinds]
+    count = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    tags, _ = _pieces(kinds, own)
+    tags_n = np.bincount(np.repeat(np.arange(len(count)), count), each, len(count)).astype(np.int64)
+
+    begin = number["pos"] - 1
+    low = np.maximum(begin, 0)
+    h = np.zeros(batch.num_rows, HEAD)
+    body = 32 + title_n + 1 + ops_n + halves + bases + tags_n
+    fields = {
+        "size": body, "ref": ref, "pos": begin, "name": title_n + 1, "mapq": number["mapq"], "bin": np.where(begin >= 0, bins_of(low, low + np.maximum(spent, 1)), 4680), "ops": ops_n // 4,
+        "flag": number["flag"], "bases": bases, "next_ref": next_ref, "next_pos": number["pnext"] - 1, "tlen": number["tlen"],
+    }
+    for name, values in fields.items():
+        limits = np.iinfo(HEAD[name])
+        if values.min() < limits.min or values.max() > limits.max:
+            raise ValueError(f"a record's {name} does not fit the format: {values.min()} to {values.max()}")
+        h[name] = values
+    out = np.zeros(int((4 + body).sum()), np.uint8)
+    at = np.cumsum(4 + body) - (4 + body)
+    out[_spread(at, np.full(len(at), HEAD.itemsize))] = h.view(np.uint8)
+    at = at + HEAD.itemsize
+    for held, lengths, gap in ((title, title_n, 1), (ops, ops_n, 0), (packed, halves, 0), (quals, bases, 0), (tags, tags_n, 0)):
+        out[_spread(at, lengths)] = held
+        at = at + lengths + gap
+    return out.tobytes()
 
 
 @dataclass
