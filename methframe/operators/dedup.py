@@ -51,6 +51,11 @@ def dedup_pairs(pairs: DataFrame, chr_info: DataFrame) -> DataFrame:
     return _best(rows, ["chr", "strand", "left", "frag_size"], C.quality_sum("qual1") + C.quality_sum("qual2"))
 
 
+def unique_places(pairs: DataFrame, chr_info: DataFrame) -> DataFrame:
+    """(chr, strand, left, frag_size) of the pairs that dedup_pairs() keeps, a row each: for counting them, since neither qualities nor whole rows are needed for that."""
+    return with_fragment(on_known(pairs, chr_info)).select("chr", "strand", "left", "frag_size").distinct()
+
+
 def dedup_log(df: DataFrame, chr_info: DataFrame, unique: DataFrame) -> DataFrame:
     """(all, unique, duplicate, discard)."""
     every = df.join(few(chr_info.select("chr", F.lit(1).alias("listed"))), "chr", "left").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("listed").isNull()).alias("discard"))
