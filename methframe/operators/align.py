@@ -11,6 +11,8 @@ A seed that occurs more than MAX_PLACES times gives its first MAX_PLACES places
 repeat do not all meet.  What score a place may have that was not found for this is known, and counts as the second best;
 with every_place all places of all seeds are checked.
 The mapping quality only tells unique (42), better than another place (30) and ambiguous (1).
+Reads of equal converted sequences have equal places: each sequence (of pairs, each pair of them) is aligned once, and its
+places go to all reads that have it.
 """
 
 from __future__ import annotations
@@ -100,7 +102,7 @@ def band_align(reads: np.ndarray, refs: np.ndarray, gap: int) -> tuple[np.ndarra
 
 
 def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """as_score, shift of the place and CIGAR for rows of (..., have, want, ahead): converted read, reference around it, bases of it before the place."""
+    """as_score, shift of the place and CIGAR for rows of (have, ..., want, ahead): converted read, reference around it, bases of it before the place."""
     for batch in batches:
         have, want, ahead = (batch.column(batch.schema.names.index(c)).to_pylist() for c in ("have", "want", "ahead"))
         lengths = np.array([len(h) for h in have])
@@ -120,7 +122,7 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     more = np.flatnonzero(plain > OPEN + EXTEND)
                     if len(more):
                         score[at[more]], shift[at[more]], cigar[at[more]] = band_align(reads[more], refs[more], gap)
-        names = [c for c in batch.schema.names if c not in ("have", "want", "ahead")]
+        names = [c for c in batch.schema.names if c not in ("want", "ahead")]
         kept = score >= MIN_SCORE * lengths - 1e-9
         out = pa.RecordBatch.from_arrays([*(batch.column(batch.schema.names.index(c)) for c in names), pa.array(score, pa.int32()), pa.array(shift), pa.array(cigar, pa.string())], names=[*names, "as_score", "shift", "cigar"])
         yield out.filter(pa.array(kept))
@@ -134,13 +136,18 @@ def band_align_ungapped(reads: np.ndarray, refs: np.ndarray) -> tuple[np.ndarray
     return np.maximum(-total, _BEYOND), 0, total
 
 
-def oriented(reads: DataFrame, strand: str, mate: int = 0) -> DataFrame:
-    """(read_no, seq, qual) as they lie on the forward sequence: single reads and mate 1 of hypothesis C, and mate 2 of W, are reverse-complemented."""
+def _turned(strand: str, mate: int = 0) -> tuple[Column, Column]:
+    """(seq, qual) as they lie on the forward sequence: single reads and mate 1 of hypothesis C, and mate 2 of W, are reverse-complemented."""
     tag = str(mate) if mate else ""
-    rows = reads.select("read_no", F.col(f"seq{tag}").alias("seq"), F.col(f"qual{tag}").alias("qual"))
     if (strand == "W") == (mate < 2):
-        return rows
-    return rows.select("read_no", F.expr("reverse(translate(seq, 'ACGT', 'TGCA'))").alias("seq"), F.reverse("qual").alias("qual"))
+        return F.col(f"seq{tag}"), F.col(f"qual{tag}")
+    return F.expr(f"reverse(translate(seq{tag}, 'ACGT', 'TGCA'))"), F.reverse(f"qual{tag}")
+
+
+def oriented(reads: DataFrame, strand: str, mate: int = 0) -> DataFrame:
+    """(read_no, seq, qual) of single reads or of one mate as they lie on the forward sequence."""
+    seq, qual = _turned(strand, mate)
+    return reads.select("read_no", seq.alias("seq"), qual.alias("qual"))
 
 
 def _letters(strand: str) -> tuple[str, str]:
@@ -172,47 +179,55 @@ def first_places(index: DataFrame, max_places: int = MAX_PLACES) -> DataFrame:
     return held.select("kmer", "places", (F.col("turn") > max_places).alias("crowded"))
 
 
-def places(own: DataFrame, genome: DataFrame, strand: str, seed: int = SEED, max_places: int = MAX_PLACES, every_place: bool = False) -> DataFrame:
-    """(read_no, seq, qual, chr, pos, cigar, as_score, unseen): all valid places found of oriented converted reads (read_no, seq, qual).
+def sequence_places(sequences: DataFrame, genome: DataFrame, strand: str, seed: int = SEED, max_places: int = MAX_PLACES, every_place: bool = False) -> DataFrame:
+    """(have, chr, pos, cigar, as_score, unseen): all valid places found of oriented converted sequences (have), each given once.
 
     unseen is the best score that a place may have which was not found (null: none).  Places nearer to each other than the
     longest gap are one, of which the best stays (ties: the leftmost).
     """
     letters = _letters(strand)
-    cut = own.where(F.length("seq") >= seed).select(
-        "read_no", "seq", F.explode(F.expr(f"array_distinct(concat(sequence(0, length(seq) - {seed}, {seed}), array(length(seq) - {seed})))")).alias("at")
-    )
-    seeds = cut.select("read_no", "at", F.length("seq").alias("n"), F.translate(F.expr(f"substr(seq, at + 1, {seed})"), *letters).alias("kmer"))
+    cut = sequences.where(F.length("have") >= seed).select("have", F.explode(F.expr(f"array_distinct(concat(sequence(0, length(have) - {seed}, {seed}), array(length(have) - {seed})))")).alias("at"))
+    seeds = cut.select("have", "at", F.expr(f"substr(have, at + 1, {seed})").alias("kmer"))
     index = seed_index(genome, strand, seed)
     if every_place:
-        one = seed_places(seeds, index, max_places).select("read_no", F.lit(None).cast("int").alias("unseen"), "chr", (F.col("pos") - F.col("at")).alias("pos")).distinct()
+        one = seed_places(seeds, index, max_places).select("have", F.lit(None).cast("int").alias("unseen"), "chr", (F.col("pos") - F.col("at")).alias("pos")).distinct()
     else:
         met = seeds.join(first_places(index, max_places), "kmer")
-        # A read's places are at most max_places for each of its seeds.
+        # A sequence's places are at most max_places for each of its seeds.
         at = F.expr("transform(places, p -> struct(p.chr as chr, p.pos - at as pos))")
-        one = met.groupBy("read_no").agg(F.array_distinct(F.flatten(F.collect_list(at))).alias("places"), F.count_if("crowded").alias("crowds"), F.first("n").alias("n"))
-        # A place that no other seed finds differs from the read in each of them.
-        bound = (-MISMATCH * F.greatest(F.lit(0), F.floor(F.col("n") / seed) - F.col("crowds"))).cast("int")
-        unseen = F.when((F.col("crowds") > 0) & (bound >= MIN_SCORE * F.col("n")), bound)
-        one = one.select("read_no", unseen.alias("unseen"), F.explode("places").alias("p")).select("read_no", "unseen", "p.chr", "p.pos")
-    gap = f"cast(greatest(0, floor(({-MIN_SCORE} * length(seq) - {OPEN} + 1e-9) / {EXTEND})) as int)"
-    rows = one.join(own, "read_no").withColumn("gap", F.expr(gap)).withColumn("from", F.greatest(F.lit(1), F.col("pos") - F.col("gap"))).where("pos + length(seq) + gap > 0")
-    rows = with_reference(rows, genome, "from", "length(seq) + 2 * gap").withColumn("ahead", (F.col("pos") - F.col("from")).cast("int"))
-    rows = rows.select(
-        "read_no", "seq", "qual", "unseen", "chr", "pos", F.translate("seq", *letters).alias("have"), F.translate(F.upper(F.expr("substr(ref, 3, length(seq) + 2 * gap)")), *letters).alias("want"), "ahead"
-    )
-    found = rows.mapInArrow(_extended, "read_no long, seq string, qual string, unseen int, chr string, pos long, as_score int, shift long, cigar string").withColumn("pos", F.col("pos") + F.col("shift"))
-    by = Window.partitionBy("read_no", "chr").orderBy("pos", "as_score", "cigar")
+        one = met.groupBy("have").agg(F.array_distinct(F.flatten(F.collect_list(at))).alias("places"), F.count_if("crowded").alias("crowds"))
+        # A place that no other seed finds differs from the sequence in each of them.
+        n = F.length("have")
+        bound = (-MISMATCH * F.greatest(F.lit(0), F.floor(n / seed) - F.col("crowds"))).cast("int")
+        unseen = F.when((F.col("crowds") > 0) & (bound >= MIN_SCORE * n), bound)
+        one = one.select("have", unseen.alias("unseen"), F.explode("places").alias("p")).select("have", "unseen", "p.chr", "p.pos")
+    gap = f"cast(greatest(0, floor(({-MIN_SCORE} * length(have) - {OPEN} + 1e-9) / {EXTEND})) as int)"
+    rows = one.withColumn("gap", F.expr(gap)).withColumn("from", F.greatest(F.lit(1), F.col("pos") - F.col("gap"))).where("pos + length(have) + gap > 0")
+    rows = with_reference(rows, genome, "from", "length(have) + 2 * gap").withColumn("ahead", (F.col("pos") - F.col("from")).cast("int"))
+    rows = rows.select("have", "unseen", "chr", "pos", F.translate(F.upper(F.expr("substr(ref, 3, length(have) + 2 * gap)")), *letters).alias("want"), "ahead")
+    found = rows.mapInArrow(_extended, "have string, unseen int, chr string, pos long, as_score int, shift long, cigar string").withColumn("pos", F.col("pos") + F.col("shift"))
+    by = Window.partitionBy("have", "chr").orderBy("pos", "as_score", "cigar")
     near = F.col("pos") - F.lag("pos").over(by) <= F.expr(gap)
     island = F.sum(F.when(near, 0).otherwise(1)).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    best = Window.partitionBy("read_no", "chr", "island").orderBy(F.desc("as_score"), "pos", "cigar")
+    best = Window.partitionBy("have", "chr", "island").orderBy(F.desc("as_score"), "pos", "cigar")
     kept = found.withColumn("island", island).withColumn("turn", F.row_number().over(best)).where("turn = 1")
-    return kept.select("read_no", "seq", "qual", "chr", "pos", "cigar", "as_score", "unseen")
+    return kept.select("have", "chr", "pos", "cigar", "as_score", "unseen")
+
+
+def _have(seq: str | Column, strand: str) -> Column:
+    return F.translate(seq, *_letters(strand))
+
+
+def places(own: DataFrame, genome: DataFrame, strand: str, seed: int = SEED, max_places: int = MAX_PLACES, every_place: bool = False) -> DataFrame:
+    """(read_no, seq, qual, chr, pos, cigar, as_score, unseen): all valid places found of oriented converted reads (read_no, seq, qual), as sequence_places finds them."""
+    rows = own.withColumn("have", _have("seq", strand))
+    found = sequence_places(rows.select("have").distinct(), genome, strand, seed, max_places, every_place)
+    return rows.join(found, "have").select("read_no", "seq", "qual", "chr", "pos", "cigar", "as_score", "unseen")
 
 
-def _best(rows: DataFrame, *order: str) -> DataFrame:
-    """The best of each read's rows, with its mapping quality and has_xs, by whether there is a second one or may be."""
-    turns = Window.partitionBy("read_no").orderBy(F.desc("as_score"), *order)
+def _best(rows: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """The best of the rows of each of the keys, with its mapping quality and has_xs, by whether there is a second one or may be."""
+    turns = Window.partitionBy(*keys).orderBy(F.desc("as_score"), *order)
     ranked = rows.withColumns({"turn": F.row_number().over(turns), "second": F.greatest("unseen", F.lead("as_score").over(turns))}).where("turn = 1")
     mapq = F.when(F.col("second").isNull(), 42).when(F.col("second") < F.col("as_score"), 30).otherwise(1)
     return ranked.withColumns({"mapq": mapq, "has_xs": F.col("second").isNotNull()}).drop("turn", "second", "unseen")
@@ -223,8 +238,9 @@ def align(reads: DataFrame, genome: DataFrame, strand: str, seed: int = SEED, ma
 
     Of equal best places the smallest (chr, pos) is reported with has_xs.  Reads shorter than a seed have none.
     """
-    found = _best(places(oriented(reads, strand), genome, strand, seed, max_places, every_place), "chr", "pos")
-    return found.select("read_no", "chr", "pos", "mapq", "cigar", "seq", "qual", "as_score", "has_xs")
+    rows = oriented(reads, strand).withColumn("have", _have("seq", strand))
+    found = _best(sequence_places(rows.select("have").distinct(), genome, strand, seed, max_places, every_place), ["have"], "chr", "pos")
+    return rows.join(found, "have").select("read_no", "chr", "pos", "mapq", "cigar", "seq", "qual", "as_score", "has_xs")
 
 
 def align_pairs(pairs: DataFrame, genome: DataFrame, strand: str, min_ins: int = 0, max_ins: int = 1000, seed: int = SEED, max_places: int = MAX_PLACES, every_place: bool = False) -> DataFrame:
@@ -233,16 +249,21 @@ def align_pairs(pairs: DataFrame, genome: DataFrame, strand: str, min_ins: int =
     Mates lie opposite to one another; they may contain each other or reach beyond each other's start.  Pairs of which one
     mate has no place, or no places fit, have no row.  as_score is the sum of both.  Places meet by stretches of max_ins bases.
     """
+    rows = pairs.select("read_no", *[c.alias(f"{n}{mate}") for mate in (1, 2) for n, c in zip(("seq", "qual"), _turned(strand, mate), strict=True)])
+    keys = ["have1", "have2"]
+    rows = rows.withColumns({f"have{mate}": _have(f"seq{mate}", strand) for mate in (1, 2)})
+    apart = rows.select(*keys).distinct()
     sides = []
     for mate in (1, 2):
-        rows = places(oriented(pairs, strand, mate), genome, strand, seed, max_places, every_place)
+        found = sequence_places(apart.select(F.col(f"have{mate}").alias("have")).distinct(), genome, strand, seed, max_places, every_place)
         end = (F.col("pos") + C.reference_length("cigar") - 1).alias(f"end{mate}")
-        sides.append(rows.select("read_no", "chr", *[F.col(c).alias(f"{c}{mate}") for c in ("seq", "qual", "pos", "cigar", "as_score", "unseen")], end))
+        side = found.select(F.col("have").alias(f"have{mate}"), "chr", *[F.col(c).alias(f"{c}{mate}") for c in ("pos", "cigar", "as_score", "unseen")], end)
+        sides.append(apart.join(side, f"have{mate}"))
     stretch = lambda c: F.expr(f"{c} div {max(1, max_ins)}")
     first = sides[0].withColumn("near", stretch("pos1"))
     second = sides[1].withColumn("near", F.explode(F.array(*[stretch("pos2") + k for k in (-1, 0, 1)])))
     size: Column = F.greatest("end1", "end2") - F.least("pos1", "pos2") + 1
-    met = first.join(second, ["read_no", "chr", "near"]).where((size >= min_ins) & (size <= max_ins))
+    met = first.join(second, [*keys, "chr", "near"]).where((size >= min_ins) & (size <= max_ins))
     summed = met.withColumns({"as_score": F.col("as_score1") + F.col("as_score2"), "unseen": F.greatest(F.col("unseen1") + F.col("as_score2"), F.col("as_score1") + F.col("unseen2"), F.col("unseen1") + F.col("unseen2"))})
-    found = _best(summed, "chr", "pos1", "pos2")
-    return found.select("read_no", "chr", "mapq", *[f"{c}{k}" for k in (1, 2) for c in ("pos", "cigar", "seq", "qual")], "as_score", "has_xs")
+    best = _best(summed, keys, "chr", "pos1", "pos2")
+    return rows.join(best, keys).select("read_no", "chr", "mapq", *[f"{c}{k}" for k in (1, 2) for c in ("pos", "cigar", "seq", "qual")], "as_score", "has_xs")
