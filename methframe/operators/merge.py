@@ -6,7 +6,7 @@ pos1, cigar1, ... pos2, ...; as_score is then the sum of both mates, has_xs true
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
@@ -97,6 +97,29 @@ def has_flag(bits: int, flag: str = "flag") -> Column:
     return F.col(flag).bitwiseAND(bits) != 0
 
 
+MATE = ("flag", "pos", "cigar", "seq", "qual", "tags")  # what a pair holds of each mate
+
+
+def _linked(rows: DataFrame, strand: Column, *fields: str) -> DataFrame:
+    """Primary aligned rows with _name, _mate (0: single), _strand, _missing (null for rows of pairs) and _other: these fields of a pair's other row.
+
+    Rows move once, by name, and each is judged by the two before and the two after it among those of its name.  Single rows and
+    those without a name are dealt by their content, so that they make no group.
+    """
+    primary = rows.where(~has_flag(SECONDARY | SUPPLEMENTARY) & ~has_flag(UNMAPPED) & (F.col("chr") != "*"))
+    mate = F.when(~has_flag(PAIRED), 0).when(has_flag(FIRST), 1).otherwise(2)
+    one = primary.withColumns({"_name": F.coalesce(F.regexp_replace("qname", "/[12]$", ""), F.lit("*")), "_mate": mate, "_strand": strand})
+    alone = (F.col("_mate") == 0) | (F.col("_name") == "*")
+    one = one.withColumn("_apart", F.when(alone, F.xxhash64("pos", "seq", "qual")).otherwise(F.lit(0)))
+    by = Window.partitionBy("_name", "_apart").orderBy("_mate")
+    row = F.struct("_mate", "_strand", "chr", *fields)
+    near = {"_b2": F.lag("_mate", 2).over(by), "_b1": F.lag(row).over(by), "_a1": F.lead(row).over(by), "_a2": F.lead("_mate", 2).over(by)}
+    met = one.withColumns(near).withColumn("_other", F.coalesce("_b1", "_a1"))
+    several = F.col("_b2").isNotNull() | F.col("_a2").isNotNull() | (F.col("_b1").isNotNull() & F.col("_a1").isNotNull())
+    why = F.when(F.col("_mate") == 0, "single").when(alone, "mate").when(several | (F.col("_other._mate") == F.col("_mate")), "repeated").when(F.col("_other").isNull(), "mate")
+    return met.withColumn("_missing", why.when(F.col("_other.chr") != F.col("chr"), "chromosome")).drop(*near, "_apart")
+
+
 def link_mates(rows: DataFrame, strand: Column) -> tuple[DataFrame, DataFrame]:
     """(pairs, orphans) of SAM rows in any order (qname, flag, chr, pos, mapq, cigar, seq, qual, tags, ...).
 
@@ -106,22 +129,11 @@ def link_mates(rows: DataFrame, strand: Column) -> tuple[DataFrame, DataFrame]:
     reads included, are orphans, as they came, with what is missing: 'mate', 'chromosome', 'repeated' (several
     primary rows of a mate) or 'single'; rows without a name ('*' or null) lack a mate.  Secondary, supplementary and unaligned rows are in neither.
     """
-    names = rows.columns
-    primary = rows.where(~has_flag(SECONDARY | SUPPLEMENTARY) & ~has_flag(UNMAPPED) & (F.col("chr") != "*"))
-    mate = F.when(~has_flag(PAIRED), 0).when(has_flag(FIRST), 1).otherwise(2)
-    row = F.struct(*names, strand.alias("_strand"))
-    one = primary.select(F.coalesce(F.regexp_replace("qname", "/[12]$", ""), F.lit("*")).alias("name"), mate.alias("m"), row.alias("row"))
-    both = one.groupBy("name").agg(
-        *[F.min(F.when(F.col("m") == k, F.col("row"))).alias(f"r{k}") for k in (1, 2)], *[F.count(F.when(F.col("m") == k, 1)).alias(f"n{k}") for k in (1, 2)]
-    )
-    why = (
-        F.when(F.col("name") == "*", "mate").when((F.col("n1") > 1) | (F.col("n2") > 1), "repeated").when(F.col("r1").isNull() | F.col("r2").isNull(), "mate").when(F.col("r1.chr") != F.col("r2.chr"), "chromosome")
-    )
-    mates = [F.col(f"r{k}.{c}").alias(f"{c}{k}") for k in (1, 2) for c in names if c in ("flag", "pos", "cigar", "seq", "qual", "tags")]
-    judged = both.withColumn("why", why)
-    pairs = judged.where("why is null").select("name", F.col("r1.chr").alias("chr"), F.col("r1._strand").alias("strand"), F.col("r1.mapq").alias("mapq"), *mates)
-    alone = one.join(judged.select("name", "why"), "name").withColumn("missing", F.when(F.col("m") == 0, "single").otherwise(F.col("why"))).where("missing is not null")
-    return pairs, alone.select(*[F.col(f"row.{c}").alias(c) for c in names], "missing")
+    held = [c for c in rows.columns if c in MATE]
+    linked = _linked(rows, strand, *held)
+    mates = [F.col(f"{side}{c}").alias(f"{c}{k}") for k, side in ((1, ""), (2, "_other.")) for c in held]
+    pairs = linked.where("_missing is null and _mate = 1").select(F.col("_name").alias("name"), "chr", F.col("_strand").alias("strand"), "mapq", *mates)
+    return pairs, linked.where("_missing is not null").select(*rows.columns, F.col("_missing").alias("missing"))
 
 
 def _tags(tags: str, strand: Column) -> Column:
@@ -168,9 +180,22 @@ def pair_rows(pairs: DataFrame) -> DataFrame:
 
 def fix_mates(rows: DataFrame, strand: Column) -> DataFrame:
     """Rows of SAM with mate fields: pairs are linked by name and get each other's place, orphans lose theirs."""
-    pairs, orphans = link_mates(rows, strand)
-    alone = orphans.withColumns({"rnext": F.lit("*"), "pnext": F.lit(0).cast("long"), "tlen": F.lit(0).cast("long")}).drop("missing")
-    return pair_rows(pairs).unionByName(alone.select(*[c for c in alone.columns if c in ("qname", "flag", "chr", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual", "tags")]))
+    linked = _linked(rows, strand, "pos", "cigar", "mapq")
+    paired, first = F.col("_missing").isNull(), F.col("_mate") == 1
+    side = F.when(first, F.col("_strand")).otherwise(F.col("_other._strand"))  # mate 1's, as in pair_rows
+    forward = (side == "W") == first
+    flag = F.lit(PAIRED | PROPER) + F.when(first, FIRST).otherwise(SECOND) + F.when(forward, MATE_REVERSE).otherwise(REVERSE)
+    end1, end2 = (F.col(f"{at}pos") + C.reference_length(f"{at}cigar") - 1 for at in ("", "_other."))
+    span = F.greatest(end1, end2) - F.least("pos", "_other.pos") + 1
+    left = F.when(first, F.col("pos") <= F.col("_other.pos")).otherwise(F.col("pos") < F.col("_other.pos"))
+    new = {
+        "qname": (F.col("_name"), F.col("qname")), "flag": (flag, F.col("flag")), "mapq": (F.when(first, F.col("mapq")).otherwise(F.col("_other.mapq")), F.col("mapq")),
+        "rnext": (F.lit("="), F.lit("*")), "pnext": (F.col("_other.pos"), F.lit(0)), "tlen": (F.when(left, span).otherwise(-span), F.lit(0)), "tags": (_tags("tags", side), F.col("tags")),
+    }
+    kinds = {"pos": "long", "pnext": "long", "tlen": "long"}
+    names = ("qname", "flag", "chr", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual", "tags")
+    shown = {c: F.when(paired, new[c][0]).otherwise(new[c][1]) if c in new else F.col(c) for c in names}
+    return linked.select(*[(e.cast(kinds[c]) if c in kinds else e).alias(c) for c, e in shown.items()])
 
 
 def sam_lines(rows: DataFrame) -> DataFrame:
