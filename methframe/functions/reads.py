@@ -62,56 +62,6 @@ def quality_trim(min_qual: int, *quals: str) -> Column:
     return F.expr(f"coalesce({bound(found, **dict(zip(names, quals, strict=True)), n_=ends)}, 1)")
 
 
-def _mismatches(seq: str, adapter: str, at: str, length: str) -> str:
-    walked = f"size(filter(sequence(0, {length} - 1), k -> substr({seq}, {at} + k + 1, 1) <> substr('{adapter}', k + 1, 1)))"
-    return f"if(substr({seq}, {at} + 1, {length}) = substr('{adapter}', 1, {length}), 0, {walked})"
-
-
-def adapter_at(adapter: Adapter, seq1: str, seq2: str | None = None) -> Column:
-    """Offset of the first seed at which the adapter passes, or null.
-
-    Seeds are the places of its first three bases in any mate.  It passes if no mate has more than a quarter (rounded up)
-    of the compared bases wrong, and both together no more than half of them (rounded down of one more).
-    """
-    seqs = [("s1_", adapter.read1)] + ([("s2_", adapter.read2)] if seq2 else [])
-    places = [places_of(s, adapter.seed) for s, _ in seqs]
-    seeds = f"array_sort(array_union({', '.join(places)}))" if seq2 else places[0]
-    wrong = {f"m{k}_": _mismatches(s, a, "i", "n_") for k, (s, a) in enumerate(seqs, 1)}
-    tests = [f"{m} <= ceil(n_ / 4)" for m in wrong]
-    if seq2:
-        tests.append("m1_ + m2_ <= (n_ + 1) div 2")
-    passes = bound(" and ".join(tests), n_=f"least({adapter.length}, length(s1_) - i)", **wrong)
-    found = f"try_element_at(filter(filter({seeds}, i -> i <= length(s1_) - 3), i -> {passes}), 1)"
-    texts = {"s1_": seq1} | ({"s2_": seq2} if seq2 else {})
-    return F.expr(bound(found, **texts))
-
-
-def _complement(a: str, b: str) -> str:
-    return f"({a} rlike '[ACGT]' and {b} = translate({a}, 'ACGT', 'TGCA'))"
-
-
-def tail_cut(adapter: Adapter, seq1: str, seq2: str | None = None) -> Column:
-    """Bases to cut (2, 1 or 0) where the end of the read looks like the adapter's start.
-
-    Two mates need complementary bases as evidence of a short fragment; a single read is cut by two matching bases alone.
-    """
-    def at(s: str, i: str) -> str:
-        return f"substr({s}, {i} + 1, 1)"
-
-    if seq2 is None:
-        return F.expr(f"case when endswith({seq1}, '{adapter.read1[:2]}') then 2 else 0 end")
-    n = f"length({seq1})"
-    two = f"endswith({seq1}, '{adapter.read1[:2]}') and endswith({seq2}, '{adapter.read2[:2]}')"
-    one = f"endswith({seq1}, '{adapter.read1[:1]}') and endswith({seq2}, '{adapter.read2[:1]}')"
-
-    def evidence(i: int, j: str) -> str:
-        return f"{_complement(at(seq1, str(i)), at(seq2, j))} and {_complement(at(seq2, str(i)), at(seq1, j))}"
-
-    two_ok = evidence(5, f"({n} - 8)")
-    one_ok = f"{evidence(5, f'({n} - 7)')} and {evidence(6, f'({n} - 8)')}"
-    return F.expr(f"case when {n} < 9 then 0 when {two} then case when {two_ok} then 2 else 0 end when {one} and {one_ok} then 1 else 0 end")
-
-
 def clean_id(name: str) -> Column:
     """A read's name without the leading @ and anything after white space."""
     return F.expr(f"regexp_extract({name}, '^@?(\\\\S+)', 1)")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import batches as B
 from ..functions import reads as R
 
 
@@ -65,21 +66,17 @@ def trim(df: DataFrame, kit: str = "illumina", min_qual: int = 53, min_size: int
     trimmed_length (after the quality cut), adapter_at, tail (bases cut for a partial adapter) and
     dropped.  Rows are not filtered, so that counters can follow; min_qual is a character code.
     """
-    ad = R.ADAPTERS[kit]
     pair = "seq2" in df.columns
     seqs, quals = (["seq1", "seq2"], ["qual1", "qual2"]) if pair else (["seq"], ["qual"])
+    found = B.trimming(kit, min_qual, min_size, seqs, quals)
+    out = df.withColumn("found_", found).withColumns({c: F.col(f"found_.{c}") for c in ("trimmed_length", "adapter_at", "tail")}).drop("found_")
 
     def cut(frame: DataFrame, length: str) -> DataFrame:
         return frame.withColumns({c: F.expr(f"substr({c}, 1, {length})") for c in (*seqs, *quals)})
 
-    out = df.withColumn("trimmed_length", R.quality_trim(min_qual, *quals))
     out = cut(out, "trimmed_length")
-    short = F.col("trimmed_length") < min_size
-    out = out.withColumn("adapter_at", F.when(~short, R.adapter_at(ad, *seqs)))
-    tail = R.tail_cut(ad, *seqs)
-    out = out.withColumn("tail", F.when(~short & F.col("adapter_at").isNull(), tail).otherwise(0))
     kept = F.coalesce(F.col("adapter_at"), F.length(seqs[0]) - F.col("tail"))
-    out = out.withColumn("kept_length", kept).withColumn("dropped", short | (F.col("kept_length") < min_size))
+    out = out.withColumn("kept_length", kept).withColumn("dropped", (F.col("trimmed_length") < min_size) | (F.col("kept_length") < min_size))
     return cut(out, "kept_length").drop("kept_length")
 
 
