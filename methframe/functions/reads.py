@@ -67,15 +67,6 @@ def clean_id(name: str) -> Column:
     return F.expr(f"regexp_extract({name}, '^@?(\\\\S+)', 1)")
 
 
-def offsets(seq: str, pattern: str) -> Column:
-    """0-based places of a pattern of one or two bases; for two bases of its first one."""
-    k = len(pattern)
-    if k > 1:
-        return F.expr(f"coalesce({places_of(seq, pattern)}, array())")
-    found = f"filter(sequence(0, length(t_) - {k}), i -> substr(t_, i + 1, {k}) = '{pattern}')"
-    return F.expr(bound(f"case when length(t_) >= {k} then {found} else array() end", t_=seq))
-
-
 def convert(seq: str, mate: int, mode: int) -> Column:
     """Bases with the conversion that aligners see: every C (mate 2: G) in mode 3, only those of CpG in mode 4."""
     if mode == 3:

@@ -105,13 +105,13 @@ def convert(df: DataFrame, mode: int = 3) -> DataFrame:
         tag = seq[3:]
         base = "C" if mate == 1 else "G"
         if mode == 3:
-            new |= {seq: R.convert(seq, mate, 3), f"conv{tag}": R.offsets(seq, base)}
+            new |= {seq: R.convert(seq, mate, 3), f"conv{tag}": B.offsets(seq, base)}
             continue
         qual = f"qual{tag}"
         open_end = f"endswith({seq}, 'C')" if mate == 1 else f"startswith({seq}, 'G')"
         edge = f"substr({qual}, length({qual}), 1)" if mate == 1 else f"substr({qual}, 1, 1)"
         rest = f"substr({qual}, 1, length({qual}) - 1)" if mate == 1 else f"substr({qual}, 2)"
-        places = R.offsets(seq, "CG") if mate == 1 else F.transform(R.offsets(seq, "CG"), lambda i: i + 1)
+        places = B.offsets(seq, "CG", mate - 1)
         new |= {
             f"conv{tag}": places,
             f"end_qual{tag}": F.expr(f"case when {open_end} then {edge} end"),

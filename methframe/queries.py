@@ -280,7 +280,7 @@ def trim_counters_se(x):
 
 
 def _flat(df: DataFrame) -> DataFrame:
-    lists = {c: F.array_join(F.transform(c, lambda i: i.cast("string")), ";") for c in df.columns if c.startswith("conv")}
+    lists = {c: F.array_join(F.col(c).cast("array<string>"), ";") for c in df.columns if c.startswith("conv")}
     return df.withColumns(lists).drop("id1", "id2")
 
 
