@@ -166,13 +166,13 @@ class Recurrent:
 
     def _lanes(self, tokens: np.ndarray, start: np.ndarray, length: np.ndarray, lanes: np.ndarray, total: np.ndarray, rate: float) -> None:
         """Documents in falling order of length, window by window."""
-        h = np.zeros((len(start), self.hidden), np.float32)
+        h = np.zeros((self.hidden, len(start)), np.float32)
         before = np.full(len(start), self.end, tokens.dtype)
         for at in range(0, int(length[0]) if len(length) else 0, WINDOW):
             steps = np.arange(at, min(at + WINDOW, int(length[0])))
             active = np.searchsorted(-length, -steps, "left")  # documents longer than the step
             most = active[0]
-            h, before = h[:most], before[:most]
+            h, before = h[:, :most], before[:most]
             target = np.concatenate([tokens[start[:m] + t] for t, m in zip(steps, active, strict=True)])
             source = np.concatenate([before, target[: len(target) - active[-1]]])
             if (active[:-1] != active[1:]).any():  # documents that ended have no successor
@@ -185,114 +185,132 @@ class Recurrent:
             before[: active[-1]] = last
 
     def _window(self, source: np.ndarray, target: np.ndarray, active: np.ndarray, h: np.ndarray, lanes: np.ndarray, total: np.ndarray, rate: float) -> np.ndarray:
+        """One window; the state after it.  Arrays are by feature, then token, so that each step runs over whole rows of memory."""
         p, n = self.p, self.hidden
         size = len(target)
-        states = np.empty((size, n), np.float32)
+        source = source.astype(np.intp)
+        read, carry = np.ascontiguousarray(p["read"].T), np.ascontiguousarray(p["carry"].T)
+        states = np.empty((n, size), np.float32)
         kept = []
         at = 0
         h = h.copy()
         for m in active:
-            g = p["read"][source[at : at + m]]
-            prev = h[:m]
-            hu = prev @ p["carry"]
-            zr = g[:, : 2 * n]
-            zr += hu[:, : 2 * n]
+            g = np.take(read, source[at : at + m], axis=1)
+            prev = h[:, :m]
+            hu = carry @ prev
+            zr = g[: 2 * n]
+            zr += hu[: 2 * n]
             np.negative(zr, out=zr)
             np.exp(zr, out=zr)
             zr += 1
             np.reciprocal(zr, out=zr)
-            z, r, hn = zr[:, :n], zr[:, n:], hu[:, 2 * n :]
+            z, r, hn = zr[:n], zr[n:], hu[2 * n :]
             new = r * hn
-            new += g[:, 2 * n :]
+            new += g[2 * n :]
             np.tanh(new, out=new)
-            out = states[at : at + m]
-            np.subtract(prev, new, out=out)
+            out = prev - new
             if rate:
                 kept.append((z, r, hn, new, out.copy(), prev.copy()))
             out *= z
             out += new
-            h[:m] = out
+            states[:, at : at + m] = out
+            h[:, :m] = out
             at += m
-        logits = states @ p["write"]
-        logits += p["bias"]
+        logits = p["write"].T @ states
+        logits += p["bias"][:, None]
         np.minimum(logits, 60, out=logits)
-        rows = np.arange(size)
+        tokens = np.arange(size)
         chosen = self.class_of[target]
-        hit = logits[rows, chosen]
+        hit = logits[chosen, tokens]
         np.exp(logits, out=logits)
-        sums = logits.sum(1)
+        sums = logits.sum(0)
         hit -= np.log(sums)
-        parts = self._within(states, target, chosen, hit)
+        inner, parts = self._within(states, target, chosen, hit, rate > 0)
         at = 0
         for m in active:
             total[lanes[:m]] += hit[at : at + m]
             at += m
         if rate:
-            logits *= (1 / (sums * size))[:, None]
-            logits[rows, chosen] -= np.float32(1 / size)
-            grads = {"write": states.T @ logits, "bias": logits.sum(0)}
+            logits *= 1 / (sums * size)
+            logits[chosen, tokens] -= np.float32(1 / size)
+            grads = {"write": states @ logits.T, "bias": logits.sum(1)}
             grads |= {k: np.zeros_like(p[k]) for k in ("inner", "inner_bias") if k in p}
-            back = logits @ p["write"].T
-            for k, at, own, error in parts:
-                error *= np.float32(1 / size)
-                grads["inner"][k] = own.T @ error
-                grads["inner_bias"][k] = error.sum(0)
-                back[at] += error @ p["inner"][k].T
-            to_read = np.empty((size, 3 * n), np.float32)
-            to_carry = np.empty((size, 3 * n), np.float32)
-            previous = np.empty((size, n), np.float32)
-            later = np.zeros((active[0], n), np.float32)
+            back = p["write"] @ logits
+            if parts:
+                more = np.empty((n, len(inner)), back.dtype)
+                for k, a, b, own, error in parts:
+                    error *= np.float32(1 / size)
+                    grads["inner"][k] = own @ error.T
+                    grads["inner_bias"][k] = error.sum(1)
+                    more[:, a:b] = p["inner"][k] @ error
+                back[:, inner] += more
+            to_read = np.empty((3 * n, size), np.float32)
+            to_carry = np.empty((3 * n, size), np.float32)
+            previous = np.empty((n, size), np.float32)
+            later = np.zeros((n, active[0]), np.float32)
             at = size
             for m, (z, r, hn, new, diff, prev) in zip(active[::-1], kept[::-1], strict=True):
                 at -= m
-                dh = back[at : at + m]
-                dh += later[:m]
-                a, b = to_read[at : at + m], to_carry[at : at + m]
-                np.multiply(dh, diff, out=a[:, :n])
-                a[:, :n] *= z * (1 - z)
-                dnew = dh * (1 - z)
-                dnew *= 1 - new * new
-                a[:, 2 * n :] = dnew
-                np.multiply(dnew, hn, out=a[:, n : 2 * n])
-                a[:, n : 2 * n] *= r * (1 - r)
-                b[:, : 2 * n] = a[:, : 2 * n]
-                np.multiply(dnew, r, out=b[:, 2 * n :])
-                previous[at : at + m] = prev
+                dh = back[:, at : at + m] + later[:, :m]
+                a, b = to_read[:, at : at + m], to_carry[:, at : at + m]
+                rest = 1 - z
+                dnew = dh * rest
+                rest *= z
+                rest *= diff
+                np.multiply(dh, rest, out=a[:n])
+                new *= new
+                np.subtract(1, new, out=new)
+                dnew *= new
+                a[2 * n :] = dnew
+                np.multiply(dnew, r, out=b[2 * n :])
+                dnew *= hn
+                dnew *= r
+                np.subtract(1, r, out=r)
+                np.multiply(dnew, r, out=a[n : 2 * n])
+                b[: 2 * n] = a[: 2 * n]
+                previous[:, at : at + m] = prev
                 dh *= z
-                dh += b @ p["carry"].T
-                later[:m] = dh
-            grads["carry"] = previous.T @ to_carry
+                dh += p["carry"] @ b
+                later[:, :m] = dh
+            grads["carry"] = previous @ to_carry.T
             order = np.argsort(source, kind="stable")
             used, first = np.unique(source[order], return_index=True)
             grads["read"] = np.zeros_like(p["read"])
-            grads["read"][used] = np.add.reduceat(to_read[order], first, axis=0)
+            grads["read"][used] = np.add.reduceat(np.take(to_read, order, axis=1), first, axis=1).T
             self._step(grads, rate)
         return h
 
-    def _within(self, states: np.ndarray, target: np.ndarray, chosen: np.ndarray, hit: np.ndarray) -> list[tuple]:
-        """Adds the log-probabilities within the targets' classes to hit; (class, places, their states, softmax less target) of each class with members."""
+    def _within(self, states: np.ndarray, target: np.ndarray, chosen: np.ndarray, hit: np.ndarray, learn: bool) -> tuple[np.ndarray, list[tuple]]:
+        """Adds the log-probabilities within the targets' classes to hit.
+
+        To learn from: tokens of classes with members, by class, and for each class (class, first and one past the last
+        of its tokens there, their states, softmax less target).
+        """
         inner = np.flatnonzero((chosen >= self.first) & (chosen < self.p["bias"].shape[0] - 1))
         if not len(inner):
-            return []
+            return inner, []
         inner = inner[np.argsort(chosen[inner], kind="stable")]
         kinds = chosen[inner]
         cuts = np.flatnonzero(np.diff(kinds)) + 1
+        states, members = np.take(states, inner, axis=1), self.member_of[target[inner]]
+        found = np.empty(len(inner), hit.dtype)
         out = []
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(inner)], strict=True):
-            at = inner[a:b]
-            k, own = int(kinds[a]) - self.first, states[at]
-            x = own @ self.p["inner"][k]
-            x += self.p["inner_bias"][k]
+            k, own = int(kinds[a]) - self.first, states[:, a:b]
+            x = self.p["inner"][k].T @ own
+            x += self.p["inner_bias"][k][:, None]
             np.minimum(x, 60, out=x)
-            rows, member = np.arange(len(at)), self.member_of[target[at]]
-            hit[at] += x[rows, member]
+            tokens, member = np.arange(b - a), members[a:b]
+            found[a:b] = x[member, tokens]
             np.exp(x, out=x)
-            sums = x.sum(1)
-            hit[at] -= np.log(sums)
-            x /= sums[:, None]
-            x[rows, member] -= 1
-            out.append((k, at, own, x))
-        return out
+            sums = x.sum(0)
+            found[a:b] -= np.log(sums)
+            if learn:
+                x /= sums
+                x[member, tokens] -= 1
+                out.append((k, a, b, own, x))
+        hit[inner] += found
+        return inner, out
 
     def _step(self, grads: dict[str, np.ndarray], rate: float) -> None:
         """Adam."""
