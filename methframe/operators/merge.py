@@ -101,10 +101,11 @@ MATE = ("flag", "pos", "cigar", "seq", "qual", "tags")  # what a pair holds of e
 
 
 def _linked(rows: DataFrame, strand: Column, *fields: str) -> DataFrame:
-    """Primary aligned rows with _name, _mate (0: single), _strand, _missing (null for rows of pairs) and _other: these fields of a pair's other row.
+    """Primary aligned rows with _name, _mate (0: single), _strand, _missing (null for rows of pairs) and _other_x: x of a pair's other row, for these fields.
 
     Rows move once, by name, and each is judged by the two before and the two after it among those of its name.  Single rows and
-    those without a name are dealt by their content, so that they make no group.
+    those without a name are dealt by their content, so that they make no group.  What the neighbours hold is taken column by column:
+    a struct of them would be made before the rows move, and would move beside the columns that it repeats.
     """
     primary = rows.where(~has_flag(SECONDARY | SUPPLEMENTARY) & ~has_flag(UNMAPPED) & (F.col("chr") != "*"))
     mate = F.when(~has_flag(PAIRED), 0).when(has_flag(FIRST), 1).otherwise(2)
@@ -112,12 +113,14 @@ def _linked(rows: DataFrame, strand: Column, *fields: str) -> DataFrame:
     alone = (F.col("_mate") == 0) | (F.col("_name") == "*")
     one = one.withColumn("_apart", F.when(alone, F.xxhash64("pos", "seq", "qual")).otherwise(F.lit(0)))
     by = Window.partitionBy("_name", "_apart").orderBy("_mate")
-    row = F.struct("_mate", "_strand", "chr", *fields)
-    near = {"_b2": F.lag("_mate", 2).over(by), "_b1": F.lag(row).over(by), "_a1": F.lead(row).over(by), "_a2": F.lead("_mate", 2).over(by)}
-    met = one.withColumns(near).withColumn("_other", F.coalesce("_b1", "_a1"))
-    several = F.col("_b2").isNotNull() | F.col("_a2").isNotNull() | (F.col("_b1").isNotNull() & F.col("_a1").isNotNull())
-    why = F.when(F.col("_mate") == 0, "single").when(alone, "mate").when(several | (F.col("_other._mate") == F.col("_mate")), "repeated").when(F.col("_other").isNull(), "mate")
-    return met.withColumn("_missing", why.when(F.col("_other.chr") != F.col("chr"), "chromosome")).drop(*near, "_apart")
+    held = ("_mate", "_strand", "chr", *fields)
+    near = {"_b2": F.lag("_mate", 2).over(by), "_a2": F.lead("_mate", 2).over(by)}
+    near |= {f"_b1{c}": F.lag(c).over(by) for c in held} | {f"_a1{c}": F.lead(c).over(by) for c in held}
+    before, after = F.col("_b1_mate").isNotNull(), F.col("_a1_mate").isNotNull()
+    met = one.withColumns(near).withColumns({f"_other_{c.removeprefix('_')}": F.when(before, F.col(f"_b1{c}")).otherwise(F.col(f"_a1{c}")) for c in held})
+    several = F.col("_b2").isNotNull() | F.col("_a2").isNotNull() | (before & after)
+    why = F.when(F.col("_mate") == 0, "single").when(alone, "mate").when(several | (F.col("_other_mate") == F.col("_mate")), "repeated").when(F.col("_other_mate").isNull(), "mate")
+    return met.withColumn("_missing", why.when(F.col("_other_chr") != F.col("chr"), "chromosome")).drop(*near, "_apart")
 
 
 def link_mates(rows: DataFrame, strand: Column) -> tuple[DataFrame, DataFrame]:
@@ -131,7 +134,7 @@ def link_mates(rows: DataFrame, strand: Column) -> tuple[DataFrame, DataFrame]:
     """
     held = [c for c in rows.columns if c in MATE]
     linked = _linked(rows, strand, *held)
-    mates = [F.col(f"{side}{c}").alias(f"{c}{k}") for k, side in ((1, ""), (2, "_other.")) for c in held]
+    mates = [F.col(f"{side}{c}").alias(f"{c}{k}") for k, side in ((1, ""), (2, "_other_")) for c in held]
     pairs = linked.where("_missing is null and _mate = 1").select(F.col("_name").alias("name"), "chr", F.col("_strand").alias("strand"), "mapq", *mates)
     return pairs, linked.where("_missing is not null").select(*rows.columns, F.col("_missing").alias("missing"))
 
@@ -182,15 +185,15 @@ def fix_mates(rows: DataFrame, strand: Column) -> DataFrame:
     """Rows of SAM with mate fields: pairs are linked by name and get each other's place, orphans lose theirs."""
     linked = _linked(rows, strand, "pos", "cigar", "mapq")
     paired, first = F.col("_missing").isNull(), F.col("_mate") == 1
-    side = F.when(first, F.col("_strand")).otherwise(F.col("_other._strand"))  # mate 1's, as in pair_rows
+    side = F.when(first, F.col("_strand")).otherwise(F.col("_other_strand"))  # mate 1's, as in pair_rows
     forward = (side == "W") == first
     flag = F.lit(PAIRED | PROPER) + F.when(first, FIRST).otherwise(SECOND) + F.when(forward, MATE_REVERSE).otherwise(REVERSE)
-    end1, end2 = (F.col(f"{at}pos") + C.reference_length(f"{at}cigar") - 1 for at in ("", "_other."))
-    span = F.greatest(end1, end2) - F.least("pos", "_other.pos") + 1
-    left = F.when(first, F.col("pos") <= F.col("_other.pos")).otherwise(F.col("pos") < F.col("_other.pos"))
+    end1, end2 = (F.col(f"{at}pos") + C.reference_length(f"{at}cigar") - 1 for at in ("", "_other_"))
+    span = F.greatest(end1, end2) - F.least("pos", "_other_pos") + 1
+    left = F.when(first, F.col("pos") <= F.col("_other_pos")).otherwise(F.col("pos") < F.col("_other_pos"))
     new = {
-        "qname": (F.col("_name"), F.col("qname")), "flag": (flag, F.col("flag")), "mapq": (F.when(first, F.col("mapq")).otherwise(F.col("_other.mapq")), F.col("mapq")),
-        "rnext": (F.lit("="), F.lit("*")), "pnext": (F.col("_other.pos"), F.lit(0)), "tlen": (F.when(left, span).otherwise(-span), F.lit(0)), "tags": (_tags("tags", side), F.col("tags")),
+        "qname": (F.col("_name"), F.col("qname")), "flag": (flag, F.col("flag")), "mapq": (F.when(first, F.col("mapq")).otherwise(F.col("_other_mapq")), F.col("mapq")),
+        "rnext": (F.lit("="), F.lit("*")), "pnext": (F.col("_other_pos"), F.lit(0)), "tlen": (F.when(left, span).otherwise(-span), F.lit(0)), "tags": (_tags("tags", side), F.col("tags")),
     }
     kinds = {"pos": "long", "pnext": "long", "tlen": "long"}
     names = ("qname", "flag", "chr", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual", "tags")

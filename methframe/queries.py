@@ -13,11 +13,12 @@ from .functions import reads as R
 from .operators import align, calls, charts, dedup, genome, intervals, merge, ordering, preprocess, profile, report, simulate, suffixes, view
 from .plans.pipeline import Conf
 from .sources import bam, blocks, sequence, sinks, text
-from .storage import folder, stored
+from .storage import folder, moved_once, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CYCLE = 50
 REGION = "chr3:201-900"
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def query(f: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFrame]:
@@ -570,7 +571,8 @@ def sim_bisulfite(x):
 
 def _written(x: Fixtures, lines: DataFrame, **options: str) -> str:
     path = folder(x.spark, "text")
-    lines.select("value").write.options(**options).text(path)
+    with moved_once(x.spark):
+        lines.select("value").write.options(**options).text(path)
     return path
 
 
@@ -800,7 +802,7 @@ def bam_order(x):
 def sam_pairs(x):
     """Pairs as SAM text in a mixed order, linked by name."""
     lines = merge.to_sam(x.pairs).repartition(F.md5("value"))
-    pairs, _ = merge.link_mates(text.sam(x.spark, _written(x, lines)), text.strand_of())
+    pairs, _ = merge.link_mates(text.sam(x.spark, _written(x, lines, **GZIP)), text.strand_of())
     return pairs.select("name", "chr", "strand", "mapq", "pos1", "cigar1", "seq1", "qual1", "pos2", "cigar2", "seq2", "qual2")
 
 
