@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .fixtures import Fixtures
+from .fixtures import RAW, Fixtures
 from .functions import cigar as C
 from .functions import reads as R
 from .operators import align, calls, charts, dedup, genome, intervals, merge, ordering, preprocess, profile, report, simulate, suffixes, view
@@ -569,17 +569,30 @@ def sim_bisulfite(x):
 # --- text forms, written to a shared folder and read again ------------------------------
 
 
-def _written(x: Fixtures, lines: DataFrame, **options: str) -> str:
+def _written(x: Fixtures, lines: DataFrame, by: tuple[str, ...] = (), **options: str) -> str:
     path = folder(x.spark, "text")
     with moved_once(x.spark):
-        lines.select("value").write.options(**options).text(path)
+        lines.select(*by, "value").write.options(**options).partitionBy(*by).text(path)
     return path
 
 
-def _in_files(x: Fixtures, df: DataFrame, tag: str) -> str:
-    """A mate's records as gzip files in the order of read_no; their paths, which the FASTQ source expands."""
-    ranged = ordering.ranged(df.selectExpr("read_no", f"id{tag} as id", f"seq{tag} as seq", f"qual{tag} as qual"), "read_no")
-    return _written(x, sinks.fastq_lines(ranged), compression="gzip").removeprefix("file:") + "/part-*"
+def _raw_in_ranges(x: Fixtures) -> DataFrame:
+    """Sequenced pairs, partition by partition in ranges of read_no: keys are dealt before the bases are cut out, and a broadcast join leaves rows in their partitions (not in an order)."""
+    n = int(x.spark.conf.get("spark.sql.shuffle.partitions"))
+    return x._sql(RAW, keyed=x.keyed.repartitionByRange(n, "read_no"), genome=F.broadcast(x.genome))
+
+
+def _record(tag: str) -> Column:
+    return sinks.fastq_record(f"id{tag}", f"seq{tag}", f"qual{tag}")
+
+
+def _in_files(x: Fixtures, df: DataFrame, tags: str, in_ranges: bool = False) -> list[str]:
+    """Mates' records as gzip files in the order of read_no, written in one pass; each mate's paths, which the FASTQ source expands."""
+    rows = df if in_ranges else ordering.ranged(df, "read_no")
+    records = F.explode(F.array(*[F.struct(F.lit(tag).alias("mate"), _record(tag)) for tag in tags]))
+    lines = rows.select("read_no", records.alias("m")).select("read_no", "m.mate", "m.value").sortWithinPartitions("mate", "read_no")
+    path = _written(x, lines, by=("mate",), **GZIP).removeprefix("file:")
+    return [f"{path}/mate={tag}/part-*" for tag in tags]
 
 
 @query
@@ -592,21 +605,17 @@ def fastq_roundtrip(x):
 @query
 def fastq_pairs_roundtrip(x):
     """Both mates as several gzip files, joined in their order by number and cut to equal lengths."""
-    raw = stored(x.raw)
-    return sequence.fastq_pairs(x.spark, _in_files(x, raw, "1"), _in_files(x, raw, "2"))
+    return sequence.fastq_pairs(x.spark, *_in_files(x, _raw_in_ranges(x), "12", in_ranges=True))
 
 
 @query
 def fastq_blocks(x):
     """Both mates as block-compressed files, read in small ranges and joined by number."""
-    raw, paths = stored(x.raw), []
-    for tag in "12":
-        path = folder(x.spark, "text").removeprefix("file:")
-        ranged = ordering.ranged(raw.selectExpr("read_no", f"id{tag} as id", f"seq{tag} as seq", f"qual{tag} as qual"), "read_no")
-        blocks.write(sinks.fastq_lines(ranged), path)
-        paths.append(f"{path}/part-*")
-    ones, twos = (sequence.fastq(x.spark, path, split=1 << 16) for path in paths)
-    return preprocess.zip_pairs(ones, twos)
+    folders = {f"value{tag}": folder(x.spark, "text").removeprefix("file:") for tag in "12"}
+    rows = _raw_in_ranges(x).sortWithinPartitions("read_no")
+    with moved_once(x.spark):
+        blocks.write_columns(rows.select(*[_record(tag).alias(f"value{tag}") for tag in "12"]), folders, level=1)
+    return sequence.mates(x.spark, *[f"{path}/part-*" for path in folders.values()], split=1 << 16)
 
 
 @query

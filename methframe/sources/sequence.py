@@ -6,13 +6,17 @@ which cannot be split, are read by one task each.  A list of files is read in it
 
 from __future__ import annotations
 
+import bisect
 import bz2
 import gzip
 import io
 import itertools
+import json
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -20,7 +24,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from . import blocks, files
 from .files import expand
 
-ROWS = 8192  # records of a batch
+CHUNK = 1 << 19  # bytes of FASTQ text that are cut into records together
 RANGES = 256  # ranges that are smaller than files.SPLIT, at most: each is a task
 PIECE = 1 << 20  # bases of a piece of a sequence
 HEADING = 1 << 16  # bytes of a FASTA heading at most, where a range begins within one
@@ -65,8 +69,8 @@ class _Reader(DataSourceReader):
         return out
 
 
-def _records(part: _Range) -> Iterator[tuple[bytes, bytes, bytes]]:
-    """(id, bases, qualities) of the records whose id line begins in the range.
+def _chunks(part: _Range) -> Iterator[tuple[bytes, np.ndarray]]:
+    """(text, where its lines begin and the last one ends) of the records whose id line begins in the range, four lines each.
 
     A line is an id if it begins with '@' and the second line after it with '+': a quality line may begin with '@', but
     two lines after it come bases, which begin with a letter.  In block-compressed files a range is the text of its
@@ -78,19 +82,23 @@ def _records(part: _Range) -> Iterator[tuple[bytes, bytes, bytes]]:
             if not text.empty:
                 f = io.BufferedReader(text, 1 << 16)
                 at = len(f.readline()) if part.start else 0
-                yield from _from(part.path, f, at, bool(part.start), lambda at: text.limit is not None and at > text.limit)
+                yield from _from(part.path, f, at, bool(part.start), lambda: None if text.limit is None else text.limit + 1)
         return
     with _stream(part.path) as f:
         at = part.start
         if at:
             f.seek(at - 1)
             at += len(f.readline()) - 1  # the rest of a line that began before
-        yield from _from(part.path, f, at, part.start > 0, lambda at: part.end is not None and at >= part.end)
+        yield from _from(part.path, f, at, part.start > 0, lambda: part.end)
+
 
+def _from(path: str, f: io.BufferedReader, at: int, search: bool, bound: Callable[[], int | None]) -> Iterator[tuple[bytes, np.ndarray]]:
+    """The records of a text from its byte *at* on, where a line begins (search: not always a record's first), up to one that begins at the bound (null: not known yet)."""
 
-def _from(path: str, f: io.BufferedReader, at: int, search: bool, ended: Callable[[int], bool]) -> Iterator[tuple[bytes, bytes, bytes]]:
-    """The records of a text from its byte *at* on, where a line begins (search: not always a record's first), up to one that begins where it ended."""
-    ahead = []
+    def ended(at: int) -> bool:
+        return (end := bound()) is not None and at >= end
+
+    ahead: list[bytes] = []
     while search:
         while len(ahead) < 3 and (line := f.readline()):
             ahead.append(line)
@@ -99,35 +107,133 @@ def _from(path: str, f: io.BufferedReader, at: int, search: bool, ended: Callabl
         if ahead[0].startswith(b"@") and ahead[2].startswith(b"+"):
             break
         at += len(ahead.pop(0))
-    lines = itertools.chain(ahead, f)
+    held = b"".join(ahead)
     while not ended(at):
-        record = list(itertools.islice(lines, 4))
-        if not record or not record[0].strip():
-            return
-        if len(record) < 4 or not record[0].startswith(b"@"):
-            raise ValueError(f"{path}: no FASTQ record at byte {at} of the text")
-        at += sum(map(len, record))
-        yield record[0].rstrip(b"\r\n"), record[1].rstrip(b"\r\n"), record[3].rstrip(b"\r\n")
+        more = f.read(max(CHUNK, len(held)))
+        text = held + more
+        codes = np.frombuffer(text, np.uint8)
+        begins = np.concatenate([[0], np.flatnonzero(codes == ord("\n")) + 1])
+        if not more and begins[-1] < len(text):
+            begins = np.append(begins, len(text))  # a last line without its end
+        n = (len(begins) - 1) // 4
+        ids = begins[: 4 * n : 4]
+        end = bound()
+        full = n if end is None else int(np.searchsorted(ids, end - at))
+        strange = np.flatnonzero(codes[ids[:full]] != ord("@"))
+        good = int(strange[0]) if len(strange) else full
+        if good:
+            yield text, begins[: 4 * good + 1]
+        if good == n and more:
+            held, at = text[begins[4 * n] :], at + int(begins[4 * n])
+            continue
+        # Here the range ends, or the text does, or its records do.
+        rest = text[begins[4 * good] :]
+        at += int(begins[4 * good])
+        if good < full or (full == n and not ended(at)):
+            if rest.split(b"\n", 1)[0].strip():
+                raise ValueError(f"{path}: no FASTQ record at byte {at} of the text")
+        return
+
+
+def _columns(text: bytes, begins: np.ndarray) -> list[pa.Array]:
+    """(id, bases, qualities) of a text's records, without line ends."""
+    lines = pa.Array.from_buffers(pa.binary(), len(begins) - 1, [None, pa.py_buffer(begins.astype(np.int32)), pa.py_buffer(text)])
+    return [pc.ascii_rtrim(lines.take(pa.array(range(k, len(lines), 4), pa.int64())).cast(pa.string()), "\r\n") for k in (0, 1, 3)]
+
+
+def _records(part: _Range) -> Iterator[tuple[bytes, bytes, bytes]]:
+    """(id, bases, qualities) of the range's records one by one."""
+    for text, begins in _chunks(part):
+        yield from zip(*(c.cast(pa.binary()).to_pylist() for c in _columns(text, begins)), strict=True)
 
 
 class FastqReader(_Reader):
     splits_blocks = True
 
     def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
-        records = _records(part)
         if self.counts:
-            yield pa.RecordBatch.from_pydict({"file": pa.array([part.file], pa.int32()), "split": pa.array([part.split], pa.int32()), "records": [sum(1 for _ in records)]})
+            records = sum((len(begins) - 1) // 4 for _, begins in _chunks(part))
+            yield pa.RecordBatch.from_pydict({"file": pa.array([part.file], pa.int32()), "split": pa.array([part.split], pa.int32()), "records": [records]})
             return
-        for number in itertools.count(0, ROWS):
-            rows = list(itertools.islice(records, ROWS))
-            if not rows:
-                return
-            n = len(rows)
-            columns = [pa.array(c, pa.binary()).cast(pa.string()) for c in zip(*rows, strict=True)]
+        number = 0
+        for text, begins in _chunks(part):
+            n = (len(begins) - 1) // 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part.file] * n, pa.int32()), pa.array([part.split] * n, pa.int32()), pa.array(range(number, number + n), pa.int64()), *columns],
+                [pa.array([part.file] * n, pa.int32()), pa.array([part.split] * n, pa.int32()), pa.array(range(number, number + n), pa.int64()), *_columns(text, begins)],
                 names=["file", "split", "record", "id", "seq", "qual"],
             )
+            number += n
+
+
+class _Pairs(InputPartition):
+    """A range of mate 1, its first number, and the ranges of mate 2 that have its numbers, each with its own first one."""
+
+    def __init__(self, one: _Range | None = None, first: int = 0, twos: list[tuple[_Range, int]] = ()):
+        self.one, self.first, self.twos = one, first, list(twos)
+
+
+class PairReader(DataSourceReader):
+    """Mates of equal number, read side by side: a task reads a range of mate 1 and, of mate 2, the ranges with the same numbers, up to the last of these."""
+
+    def __init__(self, options: dict):
+        self.sides = [FastqReader({"path": options[f"path{mate}"], "splitBytes": options.get("splitBytes")}) for mate in (1, 2)]
+        self.records = [{(file, split): n for file, split, n in side} for side in json.loads(options["records"])]
+
+    def partitions(self) -> list[_Pairs]:
+        ranges = [sorted(side.partitions(), key=lambda p: (p.file, p.split)) for side in self.sides]
+        if any({(p.file, p.split) for p in parts} != set(records) for parts, records in zip(ranges, self.records, strict=True)):
+            raise ValueError("files have changed since their records were counted")
+        befores = [list(itertools.accumulate((records[p.file, p.split] for p in parts), initial=0)) for parts, records in zip(ranges, self.records, strict=True)]
+        out = []
+        for one, first, end in zip(ranges[0], befores[0], befores[0][1:], strict=False):
+            low = bisect.bisect_right(befores[1], first) - 1
+            twos = [(p, a) for p, a, z in zip(ranges[1][low:], befores[1][low:], befores[1][low + 1 :], strict=False) if a < z] if first < end else []
+            twos = list(itertools.takewhile(lambda x: x[1] < end, twos))  # noqa: B023
+            if twos:
+                out.append(_Pairs(one, first, twos))
+        return out or [_Pairs()]
+
+    def read(self, part: _Pairs) -> Iterator[pa.RecordBatch]:
+        if part.one is None:
+            return
+        twos, held, number = self._from_number(part.twos, part.first), None, part.first
+        for chunk in _chunks(part.one):
+            ones, pieces, need = _columns(*chunk), [], (len(chunk[1]) - 1) // 4
+            while need:
+                if held is None or not len(held[0]):
+                    held = next(twos, None)
+                    if held is None:
+                        break
+                pieces.append([c[:need] for c in held])
+                held = [c[need:] for c in held]
+                need -= len(pieces[-1][0])
+            if not pieces:
+                return
+            mates = [pa.concat_arrays(c) for c in zip(*pieces, strict=True)]
+            n = len(mates[0])
+            yield pa.RecordBatch.from_arrays([pa.array(range(number, number + n), pa.int64()), *(c[:n] for c in ones), *mates], names=["read_no", *(f"{c}{mate}" for mate in (1, 2) for c in ("id", "seq", "qual"))])
+            number += n
+
+    def _from_number(self, ranges: list[tuple[_Range, int]], first: int) -> Iterator[list[pa.Array]]:
+        """The columns of the ranges' records from number first on."""
+        for part, number in ranges:
+            for text, begins in _chunks(part):
+                n = (len(begins) - 1) // 4
+                if number + n > first:
+                    yield [c[max(0, first - number) :] for c in _columns(text, begins)]
+                number += n
+
+
+class PairSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "fastq_pairs"
+
+    def schema(self) -> str:
+        return "read_no long, id1 string, seq1 string, qual1 string, id2 string, seq2 string, qual2 string"
+
+    def reader(self, schema) -> PairReader:
+        return PairReader(self.options)
 
 
 class FastqSource(DataSource):
@@ -231,7 +337,7 @@ class PieceSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    for source in (FastqSource, FastaSource, PieceSource):
+    for source in (FastqSource, PairSource, FastaSource, PieceSource):
         spark.dataSource.register(source)
 
 
@@ -254,12 +360,29 @@ def fastq(spark: SparkSession, paths: str, split: int | None = None) -> DataFram
 
 
 def fastq_pairs(spark: SparkSession, paths1: str, paths2: str, split: int | None = None) -> DataFrame:
-    """Mates of equal number; both lists must have as many files."""
-    from ..operators.preprocess import zip_pairs
-
+    """Mates of equal number, both cut to the shorter one's length; both lists must have as many files."""
     if len(expand(paths1)) != len(expand(paths2)):
         raise ValueError("both mates need the same number of files")
-    return zip_pairs(fastq(spark, paths1, split), fastq(spark, paths2, split))
+    return mates(spark, paths1, paths2, split)
+
+
+def mates(spark: SparkSession, paths1: str, paths2: str, split: int | None = None) -> DataFrame:
+    """(read_no, id1, seq1, qual1, id2, seq2, qual2): mates of equal number over all files of either list, both cut to the shorter one's length.
+
+    Ranges are counted first, a number for each; then each range of mate 1 is read together with those of mate 2 that have
+    its numbers, so no read is shuffled.  Where files that cannot be split are fewer than the session's tasks, pairs are dealt anew.
+    """
+    from ..operators.preprocess import equal_mates
+
+    counts = [_load(spark, "fastq", paths, split, "counts").withColumn("mate", F.lit(mate)) for mate, paths in ((1, paths1), (2, paths2))]
+    sizes = counts[0].unionByName(counts[1]).collect()  # a row a range
+    records = [[(x["file"], x["split"], x["records"]) for x in sizes if x["mate"] == mate] for mate in (1, 2)]
+    source = spark.read.format("fastq_pairs").options(path1=paths1, path2=paths2, records=json.dumps(records))
+    pairs = (source.option("splitBytes", split) if split else source).load()
+    whole = any(_compressed(p) and not blocks.blocked(p) for p in expand(paths1))
+    if whole and len(records[0]) < spark.sparkContext.defaultParallelism:
+        pairs = pairs.repartition("read_no")
+    return equal_mates(pairs)
 
 
 def fasta(spark: SparkSession, paths: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -25,9 +25,13 @@ def tsv_lines(df: DataFrame, header: bool = True, order: list[str] | None = None
     return head.unionByName(body).select("value")
 
 
-def fastq_lines(df: DataFrame, name: str = "id", seq: str = "seq", qual: str = "qual") -> DataFrame:
+def fastq_record(name: str = "id", seq: str = "seq", qual: str = "qual") -> Column:
     at = F.when(F.col(name).startswith("@"), F.col(name)).otherwise(F.concat(F.lit("@"), name))
-    return df.select(F.concat_ws("\n", at, seq, F.lit("+"), qual).alias("value"))
+    return F.concat_ws("\n", at, seq, F.lit("+"), qual).alias("value")
+
+
+def fastq_lines(df: DataFrame, name: str = "id", seq: str = "seq", qual: str = "qual") -> DataFrame:
+    return df.select(fastq_record(name, seq, qual))
 
 
 def fasta_lines(genome: DataFrame, width: int = 50) -> DataFrame:
