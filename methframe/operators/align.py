@@ -26,13 +26,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
-from .genome import kmers, tiled, with_reference
+from ..storage import stored
+from .genome import LISTED, kmers, tiled, with_reference
 
 MISMATCH, AMBIGUOUS, OPEN, EXTEND = 6, 1, 5, 3  # a gap of n bases costs OPEN + n * EXTEND
 MIN_SCORE = -0.2
 BARRIER = 4
 SEED = 20
 MAX_PLACES = 64
+WIDE = 16  # places of a mate at most that meet those of the other within a row
 CELLS = 1 << 22  # of the tables of a batch of alignments
 
 _BEYOND = -1_000_000  # below any score
@@ -215,7 +217,7 @@ def sequence_places(sequences: DataFrame, genome: DataFrame, strand: str, seed:
 
 
 def _have(seq: str | Column, strand: str) -> Column:
-    return F.translate(seq, *_letters(strand))
+    return F.replace(F.col(seq) if isinstance(seq, str) else seq, *(F.lit(c) for c in _letters(strand)))
 
 
 def places(own: DataFrame, genome: DataFrame, strand: str, seed: int = SEED, max_places: int = MAX_PLACES, every_place: bool = False) -> DataFrame:
@@ -229,8 +231,13 @@ def _best(rows: DataFrame, keys: list[str], *order: str) -> DataFrame:
     """The best of the rows of each of the keys, with its mapping quality and has_xs, by whether there is a second one or may be."""
     turns = Window.partitionBy(*keys).orderBy(F.desc("as_score"), *order)
     ranked = rows.withColumns({"turn": F.row_number().over(turns), "second": F.greatest("unseen", F.lead("as_score").over(turns))}).where("turn = 1")
-    mapq = F.when(F.col("second").isNull(), 42).when(F.col("second") < F.col("as_score"), 30).otherwise(1)
-    return ranked.withColumns({"mapq": mapq, "has_xs": F.col("second").isNotNull()}).drop("turn", "second", "unseen")
+    return ranked.withColumns(_quality()).drop("turn", "second", "unseen")
+
+
+def _quality() -> dict[str, Column]:
+    """The mapping quality and has_xs by the best score and the second one, if there is or may be any."""
+    second = F.col("second")
+    return {"mapq": F.when(second.isNull(), 42).when(second < F.col("as_score"), 30).otherwise(1), "has_xs": second.isNotNull()}
 
 
 def align(reads: DataFrame, genome: DataFrame, strand: str, seed: int = SEED, max_places: int = MAX_PLACES, every_place: bool = False) -> DataFrame:
@@ -247,17 +254,57 @@ def align_pairs(pairs: DataFrame, genome: DataFrame, strand: str, min_ins: int =
     """Hypothesis rows of converted pairs (read_no, seq1, qual1, seq2, qual2) whose mates lie on one chromosome, min_ins to max_ins bases apart.
 
     Mates lie opposite to one another; they may contain each other or reach beyond each other's start.  Pairs of which one
-    mate has no place, or no places fit, have no row.  as_score is the sum of both.  Places meet by stretches of max_ins bases.
+    mate has no place, or no places fit, have no row.  as_score is the sum of both.
+
+    Sequences of both mates are aligned together, each once.  A pair whose mates have WIDE places at most takes them as two short
+    lists, which are joined to it (by a broadcast where they are few) and meet within its row; places of other pairs meet by stretches of max_ins bases.
     """
-    rows = pairs.select("read_no", *[c.alias(f"{n}{mate}") for mate in (1, 2) for n, c in zip(("seq", "qual"), _turned(strand, mate), strict=True)])
-    keys = ["have1", "have2"]
+    rows = stored(pairs.select("read_no", *[c.alias(f"{n}{mate}") for mate in (1, 2) for n, c in zip(("seq", "qual"), _turned(strand, mate), strict=True)]))
     rows = rows.withColumns({f"have{mate}": _have(f"seq{mate}", strand) for mate in (1, 2)})
-    apart = rows.select(*keys).distinct()
+    found = stored(sequence_places(rows.select(F.explode(F.array("have1", "have2")).alias("have")).distinct(), genome, strand, seed, max_places, every_place))
+    found = found.withColumn("end", F.col("pos") + C.reference_length("cigar") - 1)
+    lists = stored(_lists(found))
+    n, crowds = lists.agg(F.sum(F.size("places")), F.max("crowded")).first()
+    lists = F.broadcast(lists) if (n or 0) <= LISTED else lists
+    met = rows
+    for mate in (1, 2):
+        met = met.join(lists.select(F.col("have").alias(f"have{mate}"), F.col("places").alias(f"places{mate}"), F.col("crowded").alias(f"crowded{mate}")), f"have{mate}")
+    names = ["read_no", "chr", "mapq", *[f"{c}{k}" for k in (1, 2) for c in ("pos", "cigar", "seq", "qual")], "as_score", "has_xs"]
+    out = _met_in_rows(met.where("not crowded1 and not crowded2"), min_ins, max_ins).select(names)
+    if not crowds:
+        return out
+    hard = met.where("crowded1 or crowded2").drop("places1", "places2", "crowded1", "crowded2")
+    keys = ["have1", "have2"]
+    return out.unionByName(hard.join(_met_by_stretches(hard.select(keys).distinct(), found, min_ins, max_ins), keys).select(names))
+
+
+def _lists(found: DataFrame) -> DataFrame:
+    """(have, places, crowded): the places of each sequence, or none but a mark where they are more than WIDE."""
+    turn = F.row_number().over(Window.partitionBy("have").orderBy("chr", "pos"))
+    short = found.withColumn("turn", turn).where(F.col("turn") <= WIDE + 1)
+    held = short.groupBy("have").agg(F.collect_list(F.struct("chr", "pos", "end", "cigar", "as_score", "unseen")).alias("places"))
+    crowded = F.size("places") > WIDE
+    return held.select("have", F.when(crowded, F.slice("places", 1, 0)).otherwise(F.col("places")).alias("places"), crowded.alias("crowded"))
+
+
+def _met_in_rows(met: DataFrame, min_ins: int, max_ins: int) -> DataFrame:
+    """The best pair of places of each row with the lists places1 and places2, as _best ranks them; rows without any go."""
+    size = "greatest(a.end, b.end) - least(a.pos, b.pos) + 1"
+    unseen = "greatest(a.unseen + b.as_score, a.as_score + b.unseen, a.unseen + b.unseen)"
+    pair = f"struct(-(a.as_score + b.as_score) as loss, a.chr as chr, a.pos as pos1, b.pos as pos2, a.cigar as cigar1, b.cigar as cigar2, {unseen} as unseen)"
+    fit = f"filter(places2, b -> b.chr = a.chr and {size} between {min_ins} and {max_ins})"
+    pairs = F.expr(f"array_sort(flatten(transform(places1, a -> transform({fit}, b -> {pair}))))")
+    ranked = met.withColumn("pairs", F.explode(F.array(pairs))).where(F.size("pairs") > 0)
+    best = ranked.withColumns({"best": F.col("pairs")[0], "second": F.greatest(F.col("pairs")[0]["unseen"], -F.get("pairs", F.lit(1))["loss"])})
+    return best.withColumns({"as_score": -F.col("best.loss"), **{c: F.col(f"best.{c}") for c in ("chr", "pos1", "pos2", "cigar1", "cigar2")}}).withColumns(_quality())
+
+
+def _met_by_stretches(apart: DataFrame, found: DataFrame, min_ins: int, max_ins: int) -> DataFrame:
+    """The best pair of places of each pair of sequences (have1, have2), whose places meet by stretches of max_ins bases."""
+    keys = ["have1", "have2"]
     sides = []
     for mate in (1, 2):
-        found = sequence_places(apart.select(F.col(f"have{mate}").alias("have")).distinct(), genome, strand, seed, max_places, every_place)
-        end = (F.col("pos") + C.reference_length("cigar") - 1).alias(f"end{mate}")
-        side = found.select(F.col("have").alias(f"have{mate}"), "chr", *[F.col(c).alias(f"{c}{mate}") for c in ("pos", "cigar", "as_score", "unseen")], end)
+        side = found.select(F.col("have").alias(f"have{mate}"), "chr", *[F.col(c).alias(f"{c}{mate}") for c in ("pos", "cigar", "as_score", "unseen", "end")])
         sides.append(apart.join(side, f"have{mate}"))
     stretch = lambda c: F.expr(f"{c} div {max(1, max_ins)}")
     first = sides[0].withColumn("near", stretch("pos1"))
@@ -265,5 +312,4 @@ def align_pairs(pairs: DataFrame, genome: DataFrame, strand: str, min_ins: int =
     size: Column = F.greatest("end1", "end2") - F.least("pos1", "pos2") + 1
     met = first.join(second, [*keys, "chr", "near"]).where((size >= min_ins) & (size <= max_ins))
     summed = met.withColumns({"as_score": F.col("as_score1") + F.col("as_score2"), "unseen": F.greatest(F.col("unseen1") + F.col("as_score2"), F.col("as_score1") + F.col("unseen2"), F.col("unseen1") + F.col("unseen2"))})
-    best = _best(summed, keys, "chr", "pos1", "pos2")
-    return rows.join(best, keys).select("read_no", "chr", "mapq", *[f"{c}{k}" for k in (1, 2) for c in ("pos", "cigar", "seq", "qual")], "as_score", "has_xs")
+    return _best(summed, keys, "chr", "pos1", "pos2")
