@@ -13,7 +13,7 @@ from .functions import reads as R
 from .operators import align, calls, charts, dedup, genome, intervals, merge, ordering, preprocess, profile, report, simulate, suffixes, view
 from .plans.pipeline import Conf
 from .sources import bam, blocks, sequence, sinks, text
-from .storage import folder, moved_once, stored
+from .storage import folder, moved_once
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CYCLE = 50
